@@ -26,6 +26,8 @@ from dimweave.operators.changes import changed_rows
 from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, keyed_scan
 
 SEED = "_dw_seed"
+PRIOR = "_dw_prior"
+RANK = "_dw_rank"  # tie-break at equal order: seed row, then prior event, then events
 NEXT = "_dw_next"
 IS_NEW = "is_new"
 TOUCHED = "_dw_touched"
@@ -48,6 +50,7 @@ def scd2_versions(
     *,
     bounds: Sequence[str] | None = None,
     seed: DataFrame | None = None,
+    prior: DataFrame | None = None,
     compare_with_seed: bool = True,
     close: str = "standard",
     stamp_when: str = "any",
@@ -62,6 +65,9 @@ def scd2_versions(
         ``compare_with_seed=False`` the first event of a key always opens a version
         (the comparison state starts empty), otherwise it is compared with the open
         seed row.
+    prior: the last event already applied per key (columns as ``events``); it is the
+        comparison's row 0 for the key and never becomes a version.  Streams carry it
+        from one micro-batch to the next.
 
     Returns keys, ``columns``, ``eff_<b>``, ``end_<b>``, ``is_new`` (made by this
     load) and ``_dw_touched`` (end set or changed by this load).
@@ -69,21 +75,29 @@ def scd2_versions(
     keys, order, compare, columns = list(keys), list(order), list(compare), list(columns)
     bounds = list(bounds or order)
     body = list(dict.fromkeys(compare + columns))
-    ev = events.select(*keys, *bounds, *body, F.lit(False).alias(SEED))
+    ev = events.select(*keys, *bounds, *body, F.lit(False).alias(SEED), F.lit(False).alias(PRIOR),
+                       F.lit(2).alias(RANK))
     closed_seed = None
     rows = ev
+    if prior is not None:
+        pr = prior.select(*keys, *bounds, *[c for c in body if c in prior.columns])
+        pr = _fill_missing(pr, ev, body).select(*keys, *bounds, *body, F.lit(False).alias(SEED),
+                                                F.lit(True).alias(PRIOR), F.lit(1).alias(RANK))
+        rows = rows.unionByName(pr)
     if seed is not None:
         o_end = F.col(f"end_{order[0]}")
         open_seed = seed.filter(o_end.isNull()).select(
             *keys, *[F.col(f"eff_{b}").alias(b) for b in bounds],
-            *[c for c in body if c in seed.columns], F.lit(True).alias(SEED))
-        rows = ev.unionByName(_fill_missing(open_seed, ev, body).select(*ev.columns))
+            *[c for c in body if c in seed.columns], F.lit(True).alias(SEED), F.lit(False).alias(PRIOR),
+            F.lit(0).alias(RANK))
+        rows = rows.unionByName(_fill_missing(open_seed, ev, body).select(*ev.columns))
         closed_seed = seed.filter(o_end.isNotNull())
 
     cmp = compare if compare_with_seed or seed is None else [*compare, SEED]
-    kept = changed_rows(rows, keys, order, cmp, chunk_rows=chunk_rows)
+    order_ext = [*order, RANK]
+    kept = changed_rows(rows, keys, order_ext, cmp, chunk_rows=chunk_rows).filter(~F.col(PRIOR))
     # Same chunks as the change scan, so this window needs no further shuffle.
-    versions = keyed_scan(kept, keys, order, next={NEXT: F.struct(*bounds)}, chunked=True)
+    versions = keyed_scan(kept, keys, order_ext, next={NEXT: F.struct(*bounds)}, chunked=True)
     versions = drop_scan_columns(versions)
 
     out_cols = [*keys, *columns]

@@ -25,10 +25,15 @@ def _mod(c: str, n: int) -> Column:
 
 # ------------------------------------------------------------------ account events
 def fx_account(spark: SparkSession, d: str) -> DataFrame:
+    return account_events_from(driver_table(spark, d, "events"))
+
+
+def account_events_from(events: DataFrame) -> DataFrame:
+    """events rows -> account change events (works on batch and streaming frames)."""
     et = F.col("event_type")
     prt = (F.when(et == "click", "32").when(et == "purchase", "31").when(et == "view", "35")
            .when(et == "signup", "21").otherwise("99"))
-    return driver_table(spark, d, "events").select(
+    return events.select(
         F.col("event_id").alias("seq"), "ts", F.col("user_id").alias("id"), prt.alias("prt_code"),
         F.when(_mod("event_id", 3) == 0, "USD").otherwise("VND").alias("ccy"),
         F.when(et == "error", "D").otherwise("A").alias("op_type"))

@@ -42,13 +42,15 @@ def account_rate_lookups(az: DataFrame, accr: DataFrame) -> list[Lookup]:
 
 
 def account_versions(events: DataFrame, seed: DataFrame | None, az: DataFrame, accr: DataFrame, *,
-                     close: str = "standard", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                     close: str = "standard", chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                     prior: DataFrame | None = None, extra_columns: tuple[str, ...] = ()) -> DataFrame:
     """The account dimension after ``events``: a new version per event that differs
     from the key's previous event (the existing dimension takes no part in that
     comparison), with the rate from the first lookup table that has the account."""
     ev = account_rows(events).withColumn("rate", F.lit(None).cast(MONEY))
-    v = scd2_versions(ev, [ACCOUNT_KEY], ORDER, ACCOUNT_COMPARE, ACCOUNT_COLUMNS, bounds=BOUNDS,
-                      seed=seed, compare_with_seed=False, close=close, stamp_when="any", chunk_rows=chunk_rows)
+    v = scd2_versions(ev, [ACCOUNT_KEY], ORDER, ACCOUNT_COMPARE, [*ACCOUNT_COLUMNS, *extra_columns], bounds=BOUNDS,
+                      seed=seed, prior=prior, compare_with_seed=False, close=close, stamp_when="any",
+                      chunk_rows=chunk_rows)
     # Rates are looked up for the new versions only; the existing rows keep theirs.
     new = priority_lookup(v.filter(F.col(IS_NEW)), ACCOUNT_KEY, account_rate_lookups(az, accr), "_dw_rate")
     new = new.withColumn("rate", F.col("_dw_rate")).drop("_dw_rate")
