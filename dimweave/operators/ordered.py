@@ -9,8 +9,8 @@ after it.
 
 Cost: one partial aggregation (row count and order range per key) whose hot-key output
 is bounded by ``rows / chunk_rows`` and therefore safe to broadcast; one shuffle of the
-rows by (key, chunk); a carry table over hot chunks only (again at most
-``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the rows can
+rows by (key, chunk); a carry table built by a partial aggregation over the rows of hot
+keys only (one row per hot chunk, again at most ``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the rows can
 reuse the same chunks (``chunked=True``) and so needs no further shuffle.
 """
 
@@ -22,12 +22,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimweave.session import ensure_checkpoint_dir
+
 CHUNK = "_dw_chunk"
 HOT = "_dw_hot"
 _RN = "_dw_rn"
 _LAST = "_dw_is_last"
 
 DEFAULT_CHUNK_ROWS = 1_000_000
+# Hot keys are found on a sample holding about this many rows per chunk; at or below
+# this chunk size the whole input is used.
+SAMPLE_ROWS_PER_CHUNK = 10_000
+SAMPLE_SEED = 17
 
 
 def chunk_rows_of(spark, default: int = DEFAULT_CHUNK_ROWS) -> int:
@@ -49,13 +55,23 @@ def _order_number(df: DataFrame, name: str) -> Column:
 def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int) -> DataFrame:
     """Add ``_dw_chunk`` (0 for ordinary keys) and ``_dw_hot``.
 
-    A hot key with n rows over the order range [lo, hi] gets ceil(n / chunk_rows)
+    A hot key with about n rows over the order range [lo, hi] gets ceil(n / chunk_rows)
     chunks of equal order width, so the chunk number never decreases along the order.
+
+    n, lo and hi come from a seeded sample of about ``SAMPLE_ROWS_PER_CHUNK`` rows per
+    chunk.  The sample only places chunk boundaries: every row is still scanned, and
+    any monotone chunking gives the same result, so an estimate that is off only
+    changes chunk sizes.  The small hot-key table is checkpointed to the shared
+    checkpoint folder, so every branch of the plan and every retried task sees the
+    same chunks.
     """
     o0 = _order_number(df, order[0])
+    fraction = min(1.0, SAMPLE_ROWS_PER_CHUNK / float(chunk_rows))
+    src = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=SAMPLE_SEED)
     stats = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_dw_n"), F.min(o0).alias("_dw_lo"), F.max(o0).alias("_dw_hi"))
+        src.groupBy(*keys)
+        .agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_dw_n"), F.min(o0).alias("_dw_lo"),
+             F.max(o0).alias("_dw_hi"))
         .filter(F.col("_dw_n") > F.lit(chunk_rows))
         .select(
             *keys,
@@ -64,6 +80,8 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
              / F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).cast("double")).alias("_dw_width"),
         )
     )
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
     # Bounded: at most rows / chunk_rows keys can be hot.
     cols = df.columns
     x = df.join(F.broadcast(stats), list(keys), "left")
@@ -97,13 +115,14 @@ def keyed_scan(
     """
     prev, nxt = dict(prev or {}), dict(next or {})
     lastb, firstb = dict(last_before or {}), dict(first_before or {})
+    if not (prev or nxt or lastb or firstb):
+        raise ValueError("keyed_scan needs at least one output")
     if not chunked:
         df = assign_chunks(df, keys, order, chunk_rows)
     base_cols = df.columns
     part = [*keys, CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     w_before = w.rowsBetween(Window.unboundedPreceding, -1)
-    w_upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     # Values are wrapped in a one-field struct so that "no row" (null struct) and
     # "a row whose value is null" stay apart in lag/lead.
@@ -112,39 +131,40 @@ def keyed_scan(
 
     win_cols = [F.row_number().over(w).alias(_RN), F.lead(F.lit(1)).over(w).isNull().alias(_LAST)]
     for name, c in prev.items():
-        win_cols += [F.lag(wrap(c)).over(w).alias(f"_p_{name}"), wrap(c).alias(f"_pt_{name}")]
+        win_cols.append(F.lag(wrap(c)).over(w).alias(f"_p_{name}"))
     for name, c in nxt.items():
-        win_cols += [F.lead(wrap(c)).over(w).alias(f"_n_{name}"), wrap(c).alias(f"_nh_{name}")]
+        win_cols.append(F.lead(wrap(c)).over(w).alias(f"_n_{name}"))
     for name, c in lastb.items():
-        win_cols += [F.last(c, ignorenulls=True).over(w_before).alias(f"_lb_{name}"),
-                     F.last(c, ignorenulls=True).over(w_upto).alias(f"_lbi_{name}")]
+        win_cols.append(F.last(c, ignorenulls=True).over(w_before).alias(f"_lb_{name}"))
     for name, c in firstb.items():
-        win_cols += [F.first(c, ignorenulls=True).over(w_before).alias(f"_fb_{name}"),
-                     F.first(c, ignorenulls=True).over(w_upto).alias(f"_fbi_{name}")]
+        win_cols.append(F.first(c, ignorenulls=True).over(w_before).alias(f"_fb_{name}"))
     win = df.select("*", *win_cols)
 
-    # Carry table: one row per chunk of a hot key, from the chunk's first and last row.
+    # Carry table, built from the rows of hot keys before the window: one partially
+    # aggregated row per chunk (its first and last value, its first and last non-null
+    # value), so only hot chunks' summaries cross the network, never the rows.
     ostruct = F.struct(*order)
-    tail = F.struct(*[F.col(f"_pt_{n}").alias(f"pt_{n}") for n in prev],
-                    *[F.col(f"_lbi_{n}").alias(f"lbi_{n}") for n in lastb],
-                    *[F.col(f"_fbi_{n}").alias(f"fbi_{n}") for n in firstb], F.lit(1).alias("_"))
-    head = F.struct(*[F.col(f"_nh_{n}").alias(f"nh_{n}") for n in nxt], F.lit(1).alias("_"))
-    summary = (
-        win.filter(F.col(HOT) & ((F.col(_RN) == 1) | F.col(_LAST)))
-        .groupBy(*part)
-        .agg(F.max_by(tail, ostruct).alias("_T"), F.min_by(head, ostruct).alias("_H"))
-    )
+    aggs = []
+    for n, c in prev.items():
+        aggs.append(F.max_by(wrap(c), ostruct).alias(f"_t_{n}"))
+    for n, c in nxt.items():
+        aggs.append(F.min_by(wrap(c), ostruct).alias(f"_h_{n}"))
+    for n, c in lastb.items():
+        aggs.append(F.max_by(c, F.when(c.isNotNull(), ostruct)).alias(f"_tl_{n}"))
+    for n, c in firstb.items():
+        aggs.append(F.min_by(c, F.when(c.isNotNull(), ostruct)).alias(f"_hf_{n}"))
+    summary = df.filter(F.col(HOT)).groupBy(*part).agg(*aggs)
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
     wc_before = wc.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for n in prev:
-        carry_cols.append(F.lag(F.col("_T")[f"pt_{n}"]).over(wc).alias(f"_cp_{n}"))
+        carry_cols.append(F.lag(F.col(f"_t_{n}")).over(wc).alias(f"_cp_{n}"))
     for n in nxt:
-        carry_cols.append(F.lead(F.col("_H")[f"nh_{n}"]).over(wc).alias(f"_cn_{n}"))
+        carry_cols.append(F.lead(F.col(f"_h_{n}")).over(wc).alias(f"_cn_{n}"))
     for n in lastb:
-        carry_cols.append(F.last(F.col("_T")[f"lbi_{n}"], ignorenulls=True).over(wc_before).alias(f"_clb_{n}"))
+        carry_cols.append(F.last(F.col(f"_tl_{n}"), ignorenulls=True).over(wc_before).alias(f"_clb_{n}"))
     for n in firstb:
-        carry_cols.append(F.first(F.col("_T")[f"fbi_{n}"], ignorenulls=True).over(wc_before).alias(f"_cfb_{n}"))
+        carry_cols.append(F.first(F.col(f"_hf_{n}"), ignorenulls=True).over(wc_before).alias(f"_cfb_{n}"))
     # Bounded: hot keys only, one row per chunk, so at most rows / chunk_rows rows.
     carry = summary.select(*part, *carry_cols)
     joined = win.join(F.broadcast(carry), part, "left")

@@ -37,6 +37,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); only when it is
+    unset, as in local tests, a folder of our own is registered."""
+    base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not base:
+            base = tempfile.mkdtemp(prefix="dimweave-ckpt-")
+        spark.sparkContext.setCheckpointDir(base)
+        base = spark.sparkContext.getCheckpointDir() or base
+    return base
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -44,11 +57,4 @@ def work_dir(spark: SparkSession, name: str) -> str:
     folder).  Only when neither is set, as in local tests, a folder of our own is made
     and registered as the checkpoint folder.
     """
-    base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="dimweave-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

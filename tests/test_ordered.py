@@ -48,3 +48,23 @@ def test_timestamp_order(spark):
     out = drop_scan_columns(keyed_scan(df, ["k"], ["ts"], prev={"p": F.col("v")}, chunk_rows=3))
     got = sorted((r.v, r.p) for r in out.collect())
     assert got == [(i, i - 1 if i else None) for i in range(40)]
+
+
+def test_sampled_hot_key_detection(spark):
+    """chunk_rows above the sample threshold: hot keys are found on a sample, the
+    result still equals a plain per-key window on every row."""
+    from pyspark.sql import Window
+
+    n = 120_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),
+        F.col("id").alias("seq"), (F.col("id") * 7 % 11).cast("int").alias("v"))
+    out = keyed_scan(df, ["k"], ["seq"], prev={"p": F.col("v")}, last_before={"lb": F.when(F.col("v") > 8, F.col("v"))},
+                     chunk_rows=20_000)
+    assert out.filter(F.col("_dw_hot")).select(CHUNK).distinct().count() >= 2
+    w = Window.partitionBy("k").orderBy("seq")
+    ref = df.select("seq", F.lag("v").over(w).alias("p"),
+                    F.last(F.when(F.col("v") > 8, F.col("v")), ignorenulls=True)
+                    .over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lb"))
+    got = drop_scan_columns(out).select("seq", "p", "lb")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
