@@ -21,19 +21,21 @@ from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, HOT, assign_ch
 def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out: str, start: int = 1,
                           buckets: int = 64, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     cols = df.columns
-    b = "_dw_bucket"
+    b, g = "_dw_bucket", "_dw_group"
     x = assign_chunks(df, [key], order, chunk_rows).withColumn(b, F.pmod(F.col(key).cast("long"), F.lit(buckets)))
-    x = x.withColumn("_dw_rn", F.row_number().over(Window.partitionBy(key, CHUNK).orderBy(*order)))
-    groups = x.groupBy(b, key, CHUNK).agg(F.count(F.lit(1)).alias("_dw_n"))
-    before = Window.partitionBy(b).orderBy(key, CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # Ordinary keys have a null chunk; one group each.
+    x = x.withColumn(g, F.coalesce(F.col(CHUNK), F.lit(-(2 ** 62)).cast("long")))
+    x = x.withColumn("_dw_rn", F.row_number().over(Window.partitionBy(key, g).orderBy(*order)))
+    groups = x.groupBy(b, key, g).agg(F.count(F.lit(1)).alias("_dw_n"))
+    before = Window.partitionBy(b).orderBy(key, g).rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("_dw_goff", F.coalesce(F.sum("_dw_n").over(before), F.lit(0)))
     # ``buckets`` rows: the only window without a partition, bounded by the parameter.
     btot = groups.groupBy(b).agg(F.sum("_dw_n").alias("_dw_bn"))
     btot = btot.withColumn("_dw_boff", F.coalesce(
         F.sum("_dw_bn").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     offsets = (groups.join(F.broadcast(btot.select(b, "_dw_boff")), b)
-               .select(key, CHUNK, (F.col("_dw_goff") + F.col("_dw_boff")).alias("_dw_off")))
-    res = x.join(offsets, [key, CHUNK])
+               .select(key, g, (F.col("_dw_goff") + F.col("_dw_boff")).alias("_dw_off")))
+    res = x.join(offsets, [key, g])
     sk = (F.lit(start).cast("long") + F.col("_dw_off") + F.col("_dw_rn") - F.lit(1)).alias(out)
     return res.select(sk, *cols)
 

@@ -53,7 +53,9 @@ def _order_number(df: DataFrame, name: str) -> Column:
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int) -> DataFrame:
-    """Add ``_dw_chunk`` (0 for ordinary keys) and ``_dw_hot``.
+    """Add ``_dw_chunk`` (null for ordinary keys, so that "hot rows only" is a
+    predicate on a window partition column, which Spark pushes below windows and
+    shuffles) and ``_dw_hot``.
 
     A hot key with about n rows over the order range [lo, hi] gets ceil(n / chunk_rows)
     chunks of equal order width, so the chunk number never decreases along the order.
@@ -85,8 +87,8 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
     # Bounded: at most rows / chunk_rows keys can be hot.
     cols = df.columns
     x = df.join(F.broadcast(stats), list(keys), "left")
-    chunk = F.when(F.col("_dw_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"))
+    chunk = F.when(F.col("_dw_width").isNotNull(),
+                   F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"))
     return x.select(*cols, chunk.alias(CHUNK), F.col("_dw_width").isNotNull().alias(HOT))
 
 
@@ -153,7 +155,7 @@ def keyed_scan(
         aggs.append(F.max_by(c, F.when(c.isNotNull(), ostruct)).alias(f"_tl_{n}"))
     for n, c in firstb.items():
         aggs.append(F.min_by(c, F.when(c.isNotNull(), ostruct)).alias(f"_hf_{n}"))
-    summary = df.filter(F.col(HOT)).groupBy(*part).agg(*aggs)
+    summary = df.filter(F.col(CHUNK).isNotNull()).groupBy(*part).agg(*aggs)
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
     wc_before = wc.rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
@@ -166,6 +168,7 @@ def keyed_scan(
     for n in firstb:
         carry_cols.append(F.first(F.col(f"_hf_{n}"), ignorenulls=True).over(wc_before).alias(f"_cfb_{n}"))
     # Bounded: hot keys only, one row per chunk, so at most rows / chunk_rows rows.
+    # Ordinary keys (null chunk) find no carry row, as they need none.
     carry = summary.select(*part, *carry_cols)
     joined = win.join(F.broadcast(carry), part, "left")
 

@@ -51,10 +51,10 @@ def account_versions(events: DataFrame, seed: DataFrame | None, az: DataFrame, a
     v = scd2_versions(ev, [ACCOUNT_KEY], ORDER, ACCOUNT_COMPARE, [*ACCOUNT_COLUMNS, *extra_columns], bounds=BOUNDS,
                       seed=seed, prior=prior, compare_with_seed=False, close=close, stamp_when="any",
                       chunk_rows=chunk_rows)
-    # Rates are looked up for the new versions only; the existing rows keep theirs.
-    new = priority_lookup(v.filter(F.col(IS_NEW)), ACCOUNT_KEY, account_rate_lookups(az, accr), "_dw_rate")
-    new = new.withColumn("rate", F.col("_dw_rate")).drop("_dw_rate")
-    return new.unionByName(v.filter(~F.col(IS_NEW)))
+    # New versions take the looked-up rate; existing rows keep theirs.  One pass over
+    # the versions (a union of two filtered copies would run the whole plan twice).
+    x = priority_lookup(v, ACCOUNT_KEY, account_rate_lookups(az, accr), "_dw_rate")
+    return x.withColumn("rate", F.when(F.col(IS_NEW), F.col("_dw_rate")).otherwise(F.col("rate"))).drop("_dw_rate")
 
 
 def account_dimension_layout(v: DataFrame) -> DataFrame:
