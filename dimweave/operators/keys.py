@@ -16,10 +16,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, HOT, assign_chunks
+from dimweave.session import ensure_checkpoint_dir
 
 
 def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out: str, start: int = 1,
-                          buckets: int = 64, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+                          buckets: int = 64, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                          materialize: bool = True) -> DataFrame:
+    """``materialize``: the rows are read three times (sample, numbering, group
+    counts); checkpoint them once to the shared folder rather than recompute the plan
+    that made them."""
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     cols = df.columns
     b, g = "_dw_bucket", "_dw_group"
     x = assign_chunks(df, [key], order, chunk_rows).withColumn(b, F.pmod(F.col(key).cast("long"), F.lit(buckets)))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from dimweave.operators.changes import changed_rows
 from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, keyed_scan
+from dimweave.session import ensure_checkpoint_dir
 
 SEED = "_dw_seed"
 PRIOR = "_dw_prior"
@@ -119,8 +120,12 @@ def scd2_versions(
     if closed_seed is not None:
         allv = allv.unionByName(closed_seed.select(
             *out_cols, *[f"eff_{b}" for b in bounds], *[f"end_{b}" for b in bounds], F.lit(False).alias(IS_NEW)))
+    # The versions feed both the per-key summary and the final rows: materialise them
+    # once in the shared checkpoint folder instead of running the scans twice.
+    ensure_checkpoint_dir(allv.sparkSession)
+    allv = allv.checkpoint(eager=True)
     # Per key: newest new version, number of new versions, and whether a row existed
-    # before the load.  Hash aggregation with a map-side partial step.
+    # before the load.  Aggregation with a map-side partial step.
     eff_struct = F.struct(*[F.col(f"eff_{b}") for b in bounds])
     existed = (~F.col(IS_NEW)) if stamp_when == "any" else ((~F.col(IS_NEW)) & F.col(f"end_{order[0]}").isNull())
     info = allv.groupBy(*keys).agg(

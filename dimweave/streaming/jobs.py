@@ -41,7 +41,8 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
     dim = seed.select(*[c for c in seed.columns], F.lit(False).alias("loaded"),
                       F.lit(None).cast("timestamp_ntz").alias("update_tms")).select(*DIM_COLUMNS)
     last = account_events.select(*LAST_COLUMNS).limit(0)  # schema only
-    store.write(0, {"dim": dim, "last": last})
+    late = account_events.select(*LAST_COLUMNS, "ccy").limit(0)
+    store.write(0, {"dim": dim, "last": last, "late": late})
 
 
 def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_rows: int,
@@ -50,10 +51,17 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         dim, last = store.read(batch_id, "dim"), store.read(batch_id, "last")
-        ev = batch.select(*LAST_COLUMNS, "ccy")
-        touched = ev.select("id").distinct()
+        # The batch is read several times below; keep it for the duration of the batch.
+        batch = batch.select(*LAST_COLUMNS, "ccy").persist()
+        touched = batch.select("id").distinct()
         dim_t, dim_u = dim.join(touched, "id", "left_semi"), dim.join(touched, "id", "left_anti")
         last_t, last_u = last.join(touched, "id", "left_semi"), last.join(touched, "id", "left_anti")
+        # Late: not after the last event already applied for its key.  Such rows are
+        # kept aside (version's ``late`` table) instead of rewriting history.
+        tagged = batch.join(last_t.select("id", F.col("seq").alias("_dw_last_seq")), "id", "left")
+        is_late = F.col("_dw_last_seq").isNotNull() & (F.col("seq") <= F.col("_dw_last_seq"))
+        late = tagged.filter(is_late).drop("_dw_last_seq")
+        ev = tagged.filter(~is_late).drop("_dw_last_seq")
         ev2 = ev.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
         v = jobs.account_versions(ev2, dim_t, az, accr, prior=last_t, chunk_rows=chunk_rows,
                                   extra_columns=("loaded", "update_tms"))
@@ -65,7 +73,8 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
         obs = Observation(f"load_{batch_id}")
         new_dim = new_dim.observe(obs, F.count(F.lit(1)).alias("rows"),
                                   F.sum(F.col("loaded").cast("int")).alias("loaded_rows"))
-        store.write(batch_id + 1, {"dim": new_dim, "last": new_last})
+        store.write(batch_id + 1, {"dim": new_dim, "last": new_last, "late": late})
+        batch.unpersist()
         if metrics is not None:
             metrics.append({"batch": batch_id, **obs.get})
 

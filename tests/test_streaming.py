@@ -34,7 +34,6 @@ def cut_events(spark):
         part = ev.filter((F.col("event_id") >= bounds[i]) & (F.col("event_id") < bounds[i + 1]))
         part.coalesce(1).write.parquet(os.path.join(d, f"part{i}"))
         time.sleep(1.1)
-    # flatten: move nothing, just point the source at each part file via a glob of all
     return d
 
 
@@ -85,3 +84,29 @@ def test_stateful_changes_in_four_batches_equal_batch(spark, flat_events):
     out = run_stateful_changes(spark, SF_SMALL, work_dir(spark, "t-s02"), source_dir=flat_events,
                                glob="*.parquet")
     assert _rows(spark.read.parquet(out)) == _rows(q06_account_changes(spark, SF_SMALL))
+
+
+def test_late_events_are_kept_aside(spark, flat_events):
+    """A fifth file repeats old events with other values: they arrive after newer
+    events of their keys, so they go to the late table and the dimension is unchanged."""
+    d = tempfile.mkdtemp(prefix="dw-late-")
+    for f in sorted(os.listdir(flat_events)):
+        with open(os.path.join(flat_events, f), "rb") as src, open(os.path.join(d, f), "wb") as dst:
+            dst.write(src.read())
+        mtime = os.stat(os.path.join(flat_events, f)).st_mtime
+        os.utime(os.path.join(d, f), (mtime, mtime))
+    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    old = ev.filter((F.col("event_id") >= 100) & (F.col("event_id") < 150)).withColumn("event_type", F.lit("error"))
+    stage = tempfile.mkdtemp(prefix="dw-late-stage-")
+    old.coalesce(1).write.mode("overwrite").parquet(stage)
+    part = [f for f in os.listdir(stage) if f.endswith(".parquet")][0]
+    target = os.path.join(d, "events-9.parquet")
+    with open(os.path.join(stage, part), "rb") as src, open(target, "wb") as dst:
+        dst.write(src.read())
+    os.utime(target, (1_700_000_100, 1_700_000_100))
+    store = run_account_stream(spark, SF_SMALL, work_dir(spark, "t-late"), source_dir=d, glob="*.parquet")
+    assert store.latest() == 5
+    late = store.read(5, "late")
+    assert late.count() == old.count()
+    got = account_stream_layout(store.read_latest("dim"))
+    assert _rows(got) == _rows(q09_account_scd2(spark, SF_SMALL))
