@@ -42,7 +42,7 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
                       F.lit(None).cast("timestamp_ntz").alias("update_tms")).select(*DIM_COLUMNS)
     last = account_events.select(*LAST_COLUMNS).limit(0)  # schema only
     late = account_events.select(*LAST_COLUMNS, "ccy").limit(0)
-    store.write(0, {"dim": dim, "last": last, "late": late})
+    store.write(0, {"dim": dim, "last": last}, plain={"late": late})
 
 
 def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_rows: int,
@@ -50,9 +50,11 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
     """The ``foreachBatch`` body: version ``b`` + batch ``b`` -> version ``b + 1``."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        dim, last = store.read(batch_id, "dim"), store.read(batch_id, "last")
         # The batch is read several times below; keep it for the duration of the batch.
         batch = batch.select(*LAST_COLUMNS, "ccy").persist()
+        # Only the buckets holding this batch's keys are read and rewritten.
+        buckets = store.touched_buckets(batch.select("id"))
+        dim, last = store.read(batch_id, "dim", buckets), store.read(batch_id, "last", buckets)
         touched = batch.select("id").distinct()
         dim_t, dim_u = dim.join(touched, "id", "left_semi"), dim.join(touched, "id", "left_anti")
         last_t, last_u = last.join(touched, "id", "left_semi"), last.join(touched, "id", "left_anti")
@@ -73,7 +75,8 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
         obs = Observation(f"load_{batch_id}")
         new_dim = new_dim.observe(obs, F.count(F.lit(1)).alias("rows"),
                                   F.sum(F.col("loaded").cast("int")).alias("loaded_rows"))
-        store.write(batch_id + 1, {"dim": new_dim, "last": new_last, "late": late})
+        store.write(batch_id + 1, {"dim": new_dim, "last": new_last}, touched=buckets, plain={"late": late},
+                    base=batch_id)
         batch.unpersist()
         if metrics is not None:
             metrics.append({"batch": batch_id, **obs.get})
@@ -83,9 +86,9 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
 def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       metrics: list | None = None) -> VersionedStore:
+                       metrics: list | None = None, buckets: int = 64) -> VersionedStore:
     """Run the account stream until the source is drained (``availableNow``)."""
-    store = VersionedStore(spark, posixpath.join(root, "store"))
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
     if store.latest() is None:
         seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
     src = open_files(spark, source_dir or sf_dir, events_schema(spark, sf_dir),

@@ -1,67 +1,120 @@
-"""A versioned table store for micro-batch loads.
-
-Micro-batch ``b`` reads version ``b`` and writes version ``b + 1`` (``overwrite``), then
-moves the ``_LATEST`` pointer.  A batch that is run again after a failure (same batch id,
-same input) therefore rewrites the same version with the same rows, so a retry changes
-nothing; readers follow the pointer and never see a half-written version.  Paths live
-in the cluster's shared folder and go through the Hadoop file system, so any store that
-Spark can write (HDFS, object stores) works.
+"""A versioned, key-bucketed table store for micro-batch loads.
+
+Micro-batch ``b`` reads version ``b`` and writes version ``b + 1``.  A table is split
+into ``buckets`` by a hash of its key; a version writes only the buckets its batch
+touched (bucket-level copy-on-write, ``partitionBy`` on the bucket) and a small
+manifest per version records, for each bucket, the version that holds its rows.  So a
+micro-batch costs the size of the buckets it touches, not the size of the dimension.
+
+A batch that is run again after a failure (same batch id, same input) reads the same
+version ``b`` and rewrites version ``b + 1`` and its manifest with the same rows, so a
+retry changes nothing; readers follow the ``_LATEST`` pointer, which moves only after
+the data and manifest of a version are complete.  All paths go through the Hadoop file
+system, so any store Spark can write (HDFS, object stores) works.
 """
 
 from __future__ import annotations
 
+import json
 import posixpath
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POINTER = "_LATEST"
+BUCKET = "_dw_bucket"
+
+
+def bucket_of(key: Column | str, buckets: int) -> Column:
+    k = F.col(key) if isinstance(key, str) else key
+    return F.pmod(F.xxhash64(k), F.lit(buckets)).cast("int")
 
 
 class VersionedStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int = 256):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.key = key
+        self.buckets = buckets
 
     # -- file system helpers (Hadoop FS through the JVM: works for every scheme)
     def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def path(self, version: int, part: str) -> str:
-        return posixpath.join(self.root, f"version={version}", part)
-
-    def exists(self, version: int, part: str) -> bool:
-        p, fs = self._fs(posixpath.join(self.path(version, part), "_SUCCESS"))
-        return bool(fs.exists(p))
-
-    def latest(self) -> int | None:
-        p, fs = self._fs(posixpath.join(self.root, POINTER))
+    def _read_text(self, path: str) -> str | None:
+        p, fs = self._fs(path)
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
+            jio = self.spark._jvm.java.io
+            reader = jio.BufferedReader(jio.InputStreamReader(stream, "UTF-8"))
+            lines = []
+            line = reader.readLine()
+            while line is not None:
+                lines.append(line)
+                line = reader.readLine()
+            return "\n".join(lines)
         finally:
             stream.close()
 
-    def _set_latest(self, version: int) -> None:
-        p, fs = self._fs(posixpath.join(self.root, POINTER))
+    def _write_text(self, path: str, text: str) -> None:
+        p, fs = self._fs(path)
         out = fs.create(p, True)
         try:
-            out.write(bytearray(str(version).encode()))
+            out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
 
-    # -- reads and writes
-    def read(self, version: int, part: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(version, part))
+    def _listed_buckets(self, path: str) -> set[int]:
+        p, fs = self._fs(path)
+        if not fs.exists(p):
+            return set()
+        out = set()
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(f"{BUCKET}="):
+                out.add(int(name.split("=", 1)[1]))
+        return out
 
-    def write(self, version: int, parts: dict[str, DataFrame]) -> None:
-        for name, df in parts.items():
-            df.write.mode("overwrite").parquet(self.path(version, name))
-        self._set_latest(version)
+    def delete(self, path: str) -> bool:
+        p, fs = self._fs(path)
+        return bool(fs.delete(p, True))
+
+    # -- versions and manifests
+    def _data_path(self, part: str, version: int) -> str:
+        return posixpath.join(self.root, part, f"v={version}")
+
+    def _manifest_path(self, version: int) -> str:
+        return posixpath.join(self.root, "_manifest", f"v={version}.json")
+
+    def latest(self) -> int | None:
+        text = self._read_text(posixpath.join(self.root, POINTER))
+        return None if text is None else int(text.strip())
+
+    def manifest(self, version: int) -> dict:
+        text = self._read_text(self._manifest_path(version))
+        if text is None:
+            raise FileNotFoundError(f"no version {version} under {self.root}")
+        return json.loads(text)
+
+    # -- reads
+    def read(self, version: int, part: str, buckets: Iterable[int] | None = None) -> DataFrame:
+        """Rows of ``part`` as of ``version`` (only the given buckets when set)."""
+        entry = self.manifest(version)[part]
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        if entry["kind"] == "plain":
+            return self.spark.read.schema(schema).parquet(self._data_path(part, entry["version"]))
+        wanted = None if buckets is None else set(buckets)
+        paths = [posixpath.join(self._data_path(part, v), f"{BUCKET}={b}")
+                 for b, v in sorted((int(b), v) for b, v in entry["buckets"].items())
+                 if wanted is None or b in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def read_latest(self, part: str) -> DataFrame:
         v = self.latest()
@@ -69,6 +122,33 @@ class VersionedStore:
             raise FileNotFoundError(f"no version under {self.root}")
         return self.read(v, part)
 
-    def delete(self, path: str) -> bool:
-        p, fs = self._fs(path)
-        return bool(fs.delete(p, True))
+    def touched_buckets(self, keys: DataFrame) -> list[int]:
+        """Buckets of the given keys: at most ``buckets`` small numbers to the driver."""
+        return [r[0] for r in keys.select(bucket_of(self.key, self.buckets).alias("b")).distinct().collect()]
+
+    # -- writes
+    def write(self, version: int, bucketed: dict[str, DataFrame], *, touched: Iterable[int] | None = None,
+              plain: dict[str, DataFrame] | None = None, base: int | None = None) -> None:
+        """Write ``version``.  ``bucketed`` parts hold all rows of the ``touched``
+        buckets (every bucket when ``touched`` is None); other buckets carry over
+        from version ``base``."""
+        prev = self.manifest(base) if base is not None else {}
+        touched_set = None if touched is None else set(touched)
+        manifest = {}
+        for part, df in bucketed.items():
+            path = self._data_path(part, version)
+            (df.withColumn(BUCKET, bucket_of(self.key, self.buckets))
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+            written = self._listed_buckets(path)
+            old = {int(b): v for b, v in prev.get(part, {}).get("buckets", {}).items()}
+            new = {b: v for b, v in old.items() if touched_set is not None and b not in touched_set}
+            new.update({b: version for b in written})
+            manifest[part] = {"kind": "bucketed", "schema": df.schema.json(),
+                              "buckets": {str(b): v for b, v in sorted(new.items())}}
+        for part, df in (plain or {}).items():
+            df.write.mode("overwrite").parquet(self._data_path(part, version))
+            manifest[part] = {"kind": "plain", "schema": df.schema.json(), "version": version}
+        for part, entry in prev.items():
+            manifest.setdefault(part, entry)
+        self._write_text(self._manifest_path(version), json.dumps(manifest))
+        self._write_text(posixpath.join(self.root, POINTER), str(version))

@@ -110,3 +110,19 @@ def test_late_events_are_kept_aside(spark, flat_events):
     assert late.count() == old.count()
     got = account_stream_layout(store.read_latest("dim"))
     assert _rows(got) == _rows(q09_account_scd2(spark, SF_SMALL))
+
+
+def test_versions_rewrite_only_touched_buckets(spark, flat_events):
+    root = work_dir(spark, "t-buckets")
+    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet")
+    m = store.manifest(4)["dim"]["buckets"]
+    versions = set(m.values())
+    assert 0 in versions and max(versions) == 4  # seed-only buckets never rewritten
+    touched_last = store._listed_buckets(store._data_path("dim", 4))
+    keys_last = spark.read.parquet(_part_files_flat(flat_events)[-1]).select(F.col("user_id").alias("id"))
+    assert touched_last == set(store.touched_buckets(keys_last))
+    assert len(touched_last) < store.buckets
+
+
+def _part_files_flat(d):
+    return [os.path.join(d, f) for f in sorted(os.listdir(d))]
