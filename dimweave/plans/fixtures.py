@@ -50,13 +50,18 @@ FX_ACCOUNT_SQL = """fx_account AS (
 
 # ------------------------------------------------------------------ product events
 def fx_product(spark: SparkSession, d: str) -> DataFrame:
+    return product_events_from(driver_table(spark, d, "events"))
+
+
+def product_events_from(events: DataFrame) -> DataFrame:
+    """events rows -> product change events (batch or streaming frames)."""
     et, eid = F.col("event_type"), F.col("event_id")
     whole = F.floor(F.col("value")).cast("int")
     loc = (F.when(eid % 11 == 0, F.lit(None).cast("string"))
            .when(et == "signup", F.concat((whole % 3).cast("string"), F.lit("D")))
            .when((et == "error") & (eid % 2 == 0), F.lit("n/a"))
            .otherwise(whole.cast("string")))
-    return driver_table(spark, d, "events").select(
+    return events.select(
         eid.alias("seq"), "ts", F.get_json_object("props", "$.k").cast("int").alias("product_no"),
         loc.alias("loc_term"), F.when(eid % 5 == 0, "D").otherwise("A").alias("op_type"),
         F.concat(F.lit("C"), (eid % 2).cast("string")).alias("category"), F.lit("S1").alias("sub_product"))
@@ -164,7 +169,12 @@ def fx_rate_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rate_source(spark: SparkSession, d: str, event_type: str) -> DataFrame:
-    e = driver_table(spark, d, "events").filter(F.col("event_type") == event_type)
+    return rate_source_from(driver_table(spark, d, "events"), event_type)
+
+
+def rate_source_from(events: DataFrame, event_type: str) -> DataFrame:
+    """events rows of one type -> rate events (seq, account, amount)."""
+    e = events.filter(F.col("event_type") == event_type)
     return e.select(
         F.col("event_id").alias("seq"), F.col("user_id").alias("account"),
         F.when(_mod("event_id", RATE_NULL_EVERY) == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
@@ -193,7 +203,11 @@ FX_RATE_DIM_SQL = """fx_rate_dim AS (
 
 # ------------------------------------------------------------------ teller transactions
 def fx_teller(spark: SparkSession, d: str) -> DataFrame:
-    o = driver_table(spark, d, "orders")
+    return teller_from(driver_table(spark, d, "orders"))
+
+
+def teller_from(o: DataFrame) -> DataFrame:
+    """orders rows -> teller transactions (batch or streaming frames)."""
     od = F.col("o_orderdate")
     return o.select(
         (F.year(od) * 10000 + F.month(od) * 100 + F.dayofmonth(od)).alias("valueDate2"),

@@ -24,7 +24,6 @@ from dimweave.operators.ordered import chunk_rows_of
 from dimweave.operators.scd2 import IS_NEW, TOUCHED
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
-from dimweave.session import work_dir
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
 
@@ -152,32 +151,3 @@ def run_stateful_changes(spark: SparkSession, sf_dir: str, root: str, *, source_
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return out
-
-
-# ------------------------------------------------------------------ registered stream queries
-def s01_account_stream(spark: SparkSession, d: str) -> DataFrame:
-    store = run_account_stream(spark, d, work_dir(spark, "s01"))
-    return account_stream_layout(store.read_latest("dim"))
-
-
-def s02_stateful_changes(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(run_stateful_changes(spark, d, work_dir(spark, "s02")))
-
-
-def s03_replay(spark: SparkSession, d: str) -> DataFrame:
-    """Run the stream, take the last batch's commit out of the checkpoint (as after a
-    crash between the write and the commit), run again: the batch is redone with the
-    same id and rewrites the same version."""
-    root = work_dir(spark, "s03")
-    store = run_account_stream(spark, d, root)
-    last_batch = store.latest() - 1
-    store.delete(posixpath.join(root, "checkpoint", "commits", str(last_batch)))
-    store = run_account_stream(spark, d, root)
-    return account_stream_layout(store.read_latest("dim"))
-
-
-STREAM_QUERIES = {
-    "s01_account_stream": s01_account_stream,
-    "s02_stateful_changes": s02_stateful_changes,
-    "s03_replay": s03_replay,
-}
