@@ -7,8 +7,9 @@ with more than ``chunk_rows`` rows is cut into order-respecting chunks of about
 row per chunk of a hot key) supplies what a chunk needs from the chunks before or
 after it.
 
-Cost: one partial aggregation (row count and order range per key) whose hot-key output
-is bounded by ``rows / chunk_rows`` and therefore safe to broadcast; one shuffle of the
+Cost: one partial aggregation (row count and order range per key, over a hash-chosen
+sample of the rows) whose hot-key output is bounded by ``rows / chunk_rows`` and
+therefore safe to broadcast; one shuffle of the
 rows by (key, chunk); a carry table built by a partial aggregation over the rows of hot
 keys only (one row per hot chunk, again at most ``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the rows can
 reuse the same chunks (``chunked=True``) and so needs no further shuffle.
@@ -22,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimweave.session import ensure_checkpoint_dir
 
 CHUNK = "_dw_chunk"
 HOT = "_dw_hot"
@@ -34,6 +34,7 @@ DEFAULT_CHUNK_ROWS = 1_000_000
 # this chunk size the whole input is used.
 SAMPLE_ROWS_PER_CHUNK = 10_000
 SAMPLE_SEED = 17
+_SAMPLE_SPACE = 1_000_000
 
 
 def chunk_rows_of(spark, default: int = DEFAULT_CHUNK_ROWS) -> int:
@@ -60,16 +61,19 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
     A hot key with about n rows over the order range [lo, hi] gets ceil(n / chunk_rows)
     chunks of equal order width, so the chunk number never decreases along the order.
 
-    n, lo and hi come from a seeded sample of about ``SAMPLE_ROWS_PER_CHUNK`` rows per
-    chunk.  The sample only places chunk boundaries: every row is still scanned, and
-    any monotone chunking gives the same result, so an estimate that is off only
-    changes chunk sizes.  The small hot-key table is checkpointed to the shared
-    checkpoint folder, so every branch of the plan and every retried task sees the
-    same chunks.
+    n, lo and hi come from a sample of about ``SAMPLE_ROWS_PER_CHUNK`` rows per chunk.
+    The sample is chosen by a hash of each row's key and order values, not by row
+    position, so every branch of the plan and every retried task picks the same rows
+    and computes the same chunks, whatever the partitioning or row order.  The sample
+    only places chunk boundaries: every row is still scanned, and any monotone chunking
+    gives the same result, so an estimate that is off only changes chunk sizes.
     """
     o0 = _order_number(df, order[0])
     fraction = min(1.0, SAMPLE_ROWS_PER_CHUNK / float(chunk_rows))
-    src = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=SAMPLE_SEED)
+    src = df
+    if fraction < 1.0:
+        h = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *order]], F.lit(SAMPLE_SEED)), F.lit(_SAMPLE_SPACE))
+        src = df.filter(h < F.lit(int(fraction * _SAMPLE_SPACE)))
     stats = (
         src.groupBy(*keys)
         .agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_dw_n"), F.min(o0).alias("_dw_lo"),
@@ -82,8 +86,6 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
              / F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).cast("double")).alias("_dw_width"),
         )
     )
-    ensure_checkpoint_dir(df.sparkSession)
-    stats = stats.checkpoint(eager=True)
     # Bounded: at most rows / chunk_rows keys can be hot.
     cols = df.columns
     x = df.join(F.broadcast(stats), list(keys), "left")

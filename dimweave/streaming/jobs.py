@@ -85,7 +85,7 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
 def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       metrics: list | None = None, buckets: int = 64) -> VersionedStore:
+                       metrics: list | None = None, buckets: int | None = None) -> VersionedStore:
     """Run the account stream until the source is drained (``availableNow``)."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
     if store.latest() is None:

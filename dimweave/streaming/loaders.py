@@ -41,7 +41,7 @@ def _run(stream: DataFrame, handler, root: str) -> None:
 # ------------------------------------------------------------------ products
 def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       buckets: int = 64) -> VersionedStore:
+                       buckets: int | None = None) -> VersionedStore:
     store = VersionedStore(spark, posixpath.join(root, "store"), key="product_no", buckets=buckets)
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
@@ -78,7 +78,7 @@ def product_stream_layout(dim: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rates
 def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                     glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                    buckets: int = 64) -> VersionedStore:
+                    buckets: int | None = None) -> VersionedStore:
     """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
     every known account's rate before each event and writes the rates after it."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="account_no", buckets=buckets)

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 POINTER = "_LATEST"
 BUCKET = "_dw_bucket"
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 8192
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -33,11 +35,18 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
 
 
 class VersionedStore:
-    def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int = 256):
+    """``buckets``: number of key-hash buckets; None sizes it from the first version's
+    largest table (about ``ROWS_PER_BUCKET`` rows each).  Once written, the count is
+    read back from the manifest, so every version of a store uses the same buckets."""
+
+    def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
         self.buckets = buckets
+        v = self.latest()
+        if v is not None:
+            self.buckets = int(self.manifest(v).get("_buckets", buckets or 1))
 
     # -- file system helpers (Hadoop FS through the JVM: works for every scheme)
     def _fs(self, path: str):
@@ -102,6 +111,9 @@ class VersionedStore:
         return json.loads(text)
 
     # -- reads
+    def parts(self, version: int) -> list[str]:
+        return [p for p in self.manifest(version) if not p.startswith("_")]
+
     def read(self, version: int, part: str, buckets: Iterable[int] | None = None) -> DataFrame:
         """Rows of ``part`` as of ``version`` (only the given buckets when set)."""
         entry = self.manifest(version)[part]
@@ -124,6 +136,8 @@ class VersionedStore:
 
     def touched_buckets(self, keys: DataFrame) -> list[int]:
         """Buckets of the given keys: at most ``buckets`` small numbers to the driver."""
+        if self.buckets == 1:
+            return [0]
         return [r[0] for r in keys.select(bucket_of(self.key, self.buckets).alias("b")).distinct().collect()]
 
     # -- writes
@@ -134,10 +148,15 @@ class VersionedStore:
         from version ``base``."""
         prev = self.manifest(base) if base is not None else {}
         touched_set = None if touched is None else set(touched)
+        if self.buckets is None:
+            rows = max([df.count() for df in bucketed.values()] or [0])
+            self.buckets = max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
         manifest = {}
         for part, df in bucketed.items():
             path = self._data_path(part, version)
-            (df.withColumn(BUCKET, bucket_of(self.key, self.buckets))
+            # One writer task per bucket: one file per touched bucket, not one per
+            # (task, bucket) pair.
+            (df.withColumn(BUCKET, bucket_of(self.key, self.buckets)).repartition(BUCKET)
              .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
             written = self._listed_buckets(path)
             old = {int(b): v for b, v in prev.get(part, {}).get("buckets", {}).items()}
@@ -150,5 +169,6 @@ class VersionedStore:
             manifest[part] = {"kind": "plain", "schema": df.schema.json(), "version": version}
         for part, entry in prev.items():
             manifest.setdefault(part, entry)
+        manifest["_buckets"] = self.buckets
         self._write_text(self._manifest_path(version), json.dumps(manifest))
         self._write_text(posixpath.join(self.root, POINTER), str(version))

@@ -60,7 +60,8 @@ def flat_events(cut_events):
 def test_account_stream_in_four_batches_equals_batch(spark, flat_events):
     root = work_dir(spark, "t-s01")
     metrics = []
-    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet", metrics=metrics)
+    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet", metrics=metrics,
+                               buckets=64)
     assert store.latest() == 4
     assert [m["batch"] for m in metrics] == [0, 1, 2, 3]
     got = account_stream_layout(store.read_latest("dim"))
@@ -69,7 +70,7 @@ def test_account_stream_in_four_batches_equals_batch(spark, flat_events):
 
 def test_replay_of_last_batch_changes_nothing(spark, flat_events):
     root = work_dir(spark, "t-s03")
-    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet")
+    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet", buckets=8)
     first = _rows(account_stream_layout(store.read_latest("dim")))
     assert store.delete(posixpath.join(root, "checkpoint", "commits", "3"))
     store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet")
@@ -114,7 +115,7 @@ def test_late_events_are_kept_aside(spark, flat_events):
 
 def test_versions_rewrite_only_touched_buckets(spark, flat_events):
     root = work_dir(spark, "t-buckets")
-    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet")
+    store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet", buckets=64)
     m = store.manifest(4)["dim"]["buckets"]
     versions = set(m.values())
     assert 0 in versions and max(versions) == 4  # seed-only buckets never rewritten
@@ -132,7 +133,8 @@ def test_product_stream_in_four_batches_equals_batch(spark, flat_events):
     from dimweave.plans.catalogue import q12_product_scd2
     from dimweave.streaming.loaders import product_stream_layout, run_product_stream
 
-    store = run_product_stream(spark, SF_SMALL, work_dir(spark, "t-s04"), source_dir=flat_events, glob="*.parquet")
+    store = run_product_stream(spark, SF_SMALL, work_dir(spark, "t-s04"), source_dir=flat_events, glob="*.parquet",
+                               buckets=16)
     assert store.latest() == 4
     got = product_stream_layout(store.read_latest("dim"))
     assert _rows(got) == _rows(q12_product_scd2(spark, SF_SMALL))
@@ -142,7 +144,8 @@ def test_rate_stream_in_four_batches_equals_batch(spark, flat_events):
     from dimweave.plans.catalogue import q14_rates_before, q15_rates_final
     from dimweave.streaming.loaders import rate_stream_before, run_rate_stream
 
-    store = run_rate_stream(spark, SF_SMALL, work_dir(spark, "t-s05"), source_dir=flat_events, glob="*.parquet")
+    store = run_rate_stream(spark, SF_SMALL, work_dir(spark, "t-s05"), source_dir=flat_events, glob="*.parquet",
+                            buckets=16)
     assert store.latest() == 4
     final = store.read_latest("rates").select("account_no", F.col("rate").cast("double").alias("rate"))
     assert _rows(final) == _rows(q15_rates_final(spark, SF_SMALL))
