@@ -67,6 +67,9 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
     and computes the same chunks, whatever the partitioning or row order.  The sample
     only places chunk boundaries: every row is still scanned, and any monotone chunking
     gives the same result, so an estimate that is off only changes chunk sizes.
+
+    One small action (is the sampled hot-key table empty?) chooses the plan: with no
+    hot key the chunk is a literal null and the carry machinery folds away.
     """
     o0 = _order_number(df, order[0])
     fraction = min(1.0, SAMPLE_ROWS_PER_CHUNK / float(chunk_rows))
@@ -86,8 +89,12 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
              / F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).cast("double")).alias("_dw_width"),
         )
     )
-    # Bounded: at most rows / chunk_rows keys can be hot.
     cols = df.columns
+    if stats.isEmpty():
+        # No hot key: a literal null chunk.  Catalyst then folds every "hot rows only"
+        # branch to an empty relation and drops the carry joins, leaving a plain window.
+        return df.select(*cols, F.lit(None).cast("long").alias(CHUNK), F.lit(False).alias(HOT))
+    # Bounded: at most rows / chunk_rows keys can be hot.
     x = df.join(F.broadcast(stats), list(keys), "left")
     chunk = F.when(F.col("_dw_width").isNotNull(),
                    F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"))
