@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, HOT, assign_chunks
+from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, assign_chunks
 from dimweave.session import ensure_checkpoint_dir
 
 
@@ -47,5 +47,3 @@ def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out:
     sk = (F.lit(start).cast("long") + F.col("_dw_off") + F.col("_dw_rn") - F.lit(1)).alias(out)
     return res.select(sk, *cols)
 
-
-__all__ = ["assign_surrogate_keys", "CHUNK", "HOT"]
