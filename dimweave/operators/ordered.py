@@ -42,6 +42,18 @@ def chunk_rows_of(spark, default: int = DEFAULT_CHUNK_ROWS) -> int:
     return int(spark.conf.get("dimweave.chunkRows", str(default)))
 
 
+def _left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Broadcast left join on ``on`` where a null key matches a null key (a null key
+    is a key like any other here); keeps ``left``'s key columns."""
+    r = right.select(*[F.col(c).alias(f"_dw_r_{c}") for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        eq = left[c].eqNullSafe(r[f"_dw_r_{c}"])
+        cond = eq if cond is None else cond & eq
+    return left.join(F.broadcast(r), cond, "left").drop(*[f"_dw_r_{c}" for c in on])
+
+
 def _order_number(df: DataFrame, name: str) -> Column:
     """The first order column as a double that never decreases with the order."""
     dt = df.schema[name].dataType
@@ -95,7 +107,7 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
         # branch to an empty relation and drops the carry joins, leaving a plain window.
         return df.select(*cols, F.lit(None).cast("long").alias(CHUNK), F.lit(False).alias(HOT))
     # Bounded: at most rows / chunk_rows keys can be hot.
-    x = df.join(F.broadcast(stats), list(keys), "left")
+    x = _left_join_null_safe(df, stats, keys)
     chunk = F.when(F.col("_dw_width").isNotNull(),
                    F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"))
     return x.select(*cols, chunk.alias(CHUNK), F.col("_dw_width").isNotNull().alias(HOT))
@@ -179,7 +191,7 @@ def keyed_scan(
     # Bounded: hot keys only, one row per chunk, so at most rows / chunk_rows rows.
     # Ordinary keys (null chunk) find no carry row, as they need none.
     carry = summary.select(*part, *carry_cols)
-    joined = win.join(F.broadcast(carry), part, "left")
+    joined = _left_join_null_safe(win, carry, part)
 
     out = [F.col(c) for c in base_cols]
     first_row, last_row = F.col(_RN) == 1, F.col(_LAST)

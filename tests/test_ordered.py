@@ -68,3 +68,18 @@ def test_sampled_hot_key_detection(spark):
                     .over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("lb"))
     got = drop_scan_columns(out).select("seq", "p", "lb")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_null_key_is_a_key(spark):
+    """Rows with a null key form one ordered group, also when that group is hot."""
+    rows = [(None if i % 2 == 0 else i % 3, i, i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, seq long, v int")
+    for chunk_rows in (10, 1_000_000):
+        out = drop_scan_columns(keyed_scan(df, ["k"], ["seq"], prev={"p": F.col("v")}, chunk_rows=chunk_rows))
+        got = {r.seq: r.p for r in out.collect()}
+        exp = {}
+        last = {}
+        for k, seq, v in rows:
+            exp[seq] = last.get(k)
+            last[k] = v
+        assert got == exp
