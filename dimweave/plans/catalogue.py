@@ -36,7 +36,8 @@ from dimweave.operators.rates import (
 )
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
-from dimweave.sources.messages import decode
+from dimweave.schemas import ACCOUNT_EVENT
+from dimweave.sources.messages import decode, message_text
 from dimweave.sources.tables import driver_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +179,21 @@ def q18_messages(spark: SparkSession, d: str) -> DataFrame:
     return p.select(m.alias("m")).select("m.key", "m.value")
 
 
+ACCOUNT_REQUIRED = ["id", "prtCode", "opType"]
+
+
+def q19_account_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Account messages in the entity layout -> decode (dead letters split off) ->
+    dimension rows (PRJ-1: currency->ccy, id->account_no, dateMaturity->maturity_date,
+    allInOneProduct->account_class)."""
+    msgs = fx.fx_account_messages(spark, d)
+    good, _ = decode(msgs, message_text(msgs), ACCOUNT_EVENT, required=ACCOUNT_REQUIRED, keep=["key"])
+    ev = jobs.account_events_from_messages(good)
+    return jobs.account_rows(ev).select(
+        F.col("key").cast("bigint").alias("seq"), F.col("id").alias("account_no"), "account_type", "ccy", "cr_gl",
+        "maturity_date", "record_stat", "account_class")
+
+
 QUERIES: dict[str, Query] = {
     "q01_decode_messages": q01_decode_messages,
     "q02_dead_letters": q02_dead_letters,
@@ -198,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "q16_product_keys": q16_product_keys,
     "q17_fact_rows": q17_fact_rows,
     "q18_messages": q18_messages,
+    "q19_account_messages": q19_account_messages,
 }
 
 
@@ -382,6 +399,15 @@ SELECT CASE WHEN o_custkey % 2 = 0 THEN 'USD' ELSE 'VND' END AS txn_ccy,
   'ACC' || CAST(o_custkey AS VARCHAR) AS txn_acc, 'OFS' || CAST(o_orderkey % 7 AS VARCHAR) AS ofs_acc,
   CAST(try_strptime(CAST(vd AS VARCHAR), '%Y%m%d') AS DATE) AS trn_dt, DATE '2024-06-30' AS etl_date
 FROM t LEFT JOIN cd ON cd.c_custkey = t.o_custkey""",
+    "q19_account_messages": f"""WITH fx_account AS (SELECT event_id AS seq, ts, user_id AS id, event_type,
+    CASE event_type WHEN 'click' THEN '32' WHEN 'purchase' THEN '31'
+         WHEN 'view' THEN '35' WHEN 'signup' THEN '21' ELSE '99' END AS prt_code
+  FROM events)
+SELECT seq, CAST(id AS VARCHAR) AS account_no, {ACCOUNT_TYPE_SQL} AS account_type,
+  CASE WHEN seq % 3 = 0 THEN 'USD' ELSE 'VND' END AS ccy, '1' AS cr_gl, CAST(ts AS DATE) AS maturity_date,
+  CASE WHEN event_type = 'error' THEN 'C' ELSE 'O' END AS record_stat,
+  'P' || CAST(seq % 4 AS VARCHAR) AS account_class
+FROM fx_account WHERE seq % 50 <> 0""",
     "q18_messages": _with(fx.FX_PRODUCT_SQL) + """SELECT CAST(product_no AS VARCHAR) AS key,
   CAST(to_json({'seq': seq, 'product_no': product_no, 'loc_term': loc_term, 'op_type': op_type,
                 'category': category, 'sub_product': sub_product}) AS VARCHAR) AS value

@@ -48,6 +48,31 @@ FX_ACCOUNT_SQL = """fx_account AS (
   FROM events)"""
 
 
+def fx_account_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Account change messages in the entity's own JSON layout (camelCase fields),
+    keyed by event id.  The maturity date is epoch millis on even events and ISO text
+    on odd ones; every 50th message lacks its product code."""
+    e = driver_table(spark, d, "events")
+    a = account_events_from(e)
+    e = e.select("event_id", "value").join(a, e["event_id"] == a["seq"])
+    common = [
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("CUST"), F.col("id").cast("string")).alias("customer"),
+        F.when(F.col("seq") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("prt_code")).alias("prtCode"),
+        F.col("ccy").alias("currency"), F.floor(F.col("value") * 100).cast("bigint").alias("openValDateBal"),
+    ]
+    rest = [
+        F.col("op_type").alias("opType"), F.floor(F.col("value") * 90).cast("bigint").alias("workingBalance"),
+        F.concat(F.lit("P"), (F.col("seq") % 4).cast("string")).alias("allInOneProduct"),
+        F.when(F.col("seq") % 2 == 0, "1008").otherwise("1005").alias("category"), F.lit("001").alias("coCode"),
+    ]
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).alias("dateMaturity")
+    text = F.date_format(F.col("ts"), "yyyy-MM-dd").alias("dateMaturity")
+    opts = {"ignoreNullFields": "false"}
+    value = F.when(F.col("seq") % 2 == 0, F.to_json(F.struct(*common, millis, *rest), opts)).otherwise(
+        F.to_json(F.struct(*common, text, *rest), opts))
+    return e.select(F.col("seq").cast("string").alias("key"), value.alias("value"))
+
+
 # ------------------------------------------------------------------ product events
 def fx_product(spark: SparkSession, d: str) -> DataFrame:
     return product_events_from(driver_table(spark, d, "events"))

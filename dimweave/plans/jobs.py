@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimweave.functions.expressions import (
     account_record_stat,
     account_type,
+    flexible_date,
     product_record_stat,
     rate_from_text,
     term_bucket,
@@ -35,6 +36,14 @@ def account_rows(events: DataFrame) -> DataFrame:
         account_record_stat("op_type").alias("record_stat"))
 
 
+def account_events_from_messages(decoded: DataFrame) -> DataFrame:
+    """Decoded account messages (entity field names) -> the account event layout
+    (id, prt_code, ccy, op_type, maturity_date, account_class, ...)."""
+    return decoded.select(
+        "*", F.col("prtCode").alias("prt_code"), F.col("currency").alias("ccy"), F.col("opType").alias("op_type"),
+        flexible_date("dateMaturity").alias("maturity_date"), F.col("allInOneProduct").alias("account_class"))
+
+
 def account_rate_lookups(az: DataFrame, accr: DataFrame) -> list[Lookup]:
     """First table: a numeric rate by id; second: rate text by account number."""
     return [Lookup(az, "id", F.col("interest_rate").cast(MONEY)),
