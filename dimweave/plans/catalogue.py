@@ -390,7 +390,7 @@ FROM v WHERE is_new""",
     o_custkey, o_orderkey, o_totalprice, o_orderstatus, o_orderpriority,
     CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(1.25 AS DOUBLE) END AS rate2
   FROM orders),
-cd AS (SELECT c_custkey, c_custkey + 100000 AS cst_dim_id FROM customer WHERE c_custkey % 10 <> 0)
+cd AS (SELECT c_custkey, c_custkey + 100000 AS cst_dim_id FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
 SELECT CASE WHEN o_custkey % 2 = 0 THEN 'USD' ELSE 'VND' END AS txn_ccy,
   o_orderpriority AS product_code, CAST(o_orderkey AS VARCHAR) AS trn_ref_no,
   o_totalprice * coalesce(rate2, CAST(1.0 AS DOUBLE)) AS lcy_amount, o_totalprice AS txn_amount,

@@ -105,37 +105,43 @@ FX_PRODUCT_SQL = """fx_product AS (
 
 # ------------------------------------------------------------------ the two rate lookups
 def fx_az(spark: SparkSession, d: str) -> DataFrame:
+    """First rate table: every supplier id; no rate where the balance is negative."""
     s = driver_table(spark, d, "supplier")
-    return s.filter(F.col("s_suppkey") < 60).select(
+    return s.select(
         F.col("s_suppkey").alias("id"),
-        F.when(_mod("s_suppkey", 7) == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal"))
+        F.when(F.col("s_acctbal") < 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal"))
         .alias("interest_rate"))
 
 
 FX_AZ_SQL = """fx_az AS (
-  SELECT s_suppkey AS id, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_acctbal END AS interest_rate
-  FROM supplier WHERE s_suppkey < 60)"""
+  SELECT s_suppkey AS id, CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END AS interest_rate
+  FROM supplier)"""
 
 
 def fx_accr(spark: SparkSession, d: str) -> DataFrame:
-    c = driver_table(spark, d, "customer").filter(F.col("c_custkey") < 120)
+    """Second rate table, as text: customers outside one market segment; some rates
+    carry a ``T#`` prefix, and negative balances have the unparsable text ``T#``."""
+    c = driver_table(spark, d, "customer").filter(F.col("c_mktsegment") != "MACHINERY")
     cents = F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")
-    return c.select(
-        F.col("c_custkey").alias("account_number"),
-        F.when(_mod("c_custkey", 2) == 0, F.concat(F.lit("T#"), cents)).otherwise(cents).alias("cr_int_rate"))
+    prefixed = F.col("c_mktsegment").isin("BUILDING", "FURNITURE")
+    text = (F.when(F.col("c_acctbal") < 0, F.lit("T#"))
+            .when(prefixed, F.concat(F.lit("T#"), cents)).otherwise(cents))
+    return c.select(F.col("c_custkey").alias("account_number"), text.alias("cr_int_rate"))
 
 
 FX_ACCR_SQL = """fx_accr AS (
   SELECT c_custkey AS account_number,
-    CASE WHEN c_custkey % 2 = 0 THEN 'T#' || cents ELSE cents END AS cr_int_rate
-  FROM (SELECT c_custkey, CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS cents
-        FROM customer WHERE c_custkey < 120))"""
+    CASE WHEN c_acctbal < 0 THEN 'T#'
+         WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'T#' || cents ELSE cents END AS cr_int_rate
+  FROM (SELECT c_custkey, c_mktsegment, c_acctbal,
+          CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS cents
+        FROM customer WHERE c_mktsegment <> 'MACHINERY'))"""
 
 
 # ------------------------------------------------------------------ seeded dimensions
 def fx_dim_account(spark: SparkSession, d: str) -> DataFrame:
-    """Existing account dimension: an open row for even customers, a closed older row
-    for customers divisible by 3."""
+    """Existing account dimension: an open row for customers with a non-negative
+    balance, a closed older row for the customers of one market segment."""
     c = driver_table(spark, d, "customer")
 
     def rows(cond: Column, eff_seq: int, end_seq: int | None, eff_ts: str, end_ts: str | None) -> DataFrame:
@@ -147,8 +153,8 @@ def fx_dim_account(spark: SparkSession, d: str) -> DataFrame:
             _ntz(eff_ts).alias("eff_ts"),
             (_ntz(end_ts) if end_ts else F.lit(None).cast("timestamp_ntz")).alias("end_ts"))
 
-    return rows(_mod("c_custkey", 2) == 0, SEED_OPEN_SEQ, None, SEED_OPEN_TS, None).unionByName(
-        rows(_mod("c_custkey", 3) == 0, SEED_CLOSED_SEQ, SEED_OPEN_SEQ, SEED_CLOSED_TS, SEED_OPEN_TS))
+    return rows(F.col("c_acctbal") >= 0, SEED_OPEN_SEQ, None, SEED_OPEN_TS, None).unionByName(
+        rows(F.col("c_mktsegment") == "AUTOMOBILE", SEED_CLOSED_SEQ, SEED_OPEN_SEQ, SEED_CLOSED_TS, SEED_OPEN_TS))
 
 
 FX_DIM_ACCOUNT_SQL = """fx_dim_account AS (
@@ -156,16 +162,17 @@ FX_DIM_ACCOUNT_SQL = """fx_dim_account AS (
     CAST(c_acctbal AS DECIMAL(38,10)) AS rate, 'O' AS record_stat,
     CAST(-5 AS BIGINT) AS eff_seq, CAST(NULL AS BIGINT) AS end_seq,
     TIMESTAMP '2023-12-31 00:00:00' AS eff_ts, CAST(NULL AS TIMESTAMP) AS end_ts
-  FROM customer WHERE c_custkey % 2 = 0
+  FROM customer WHERE c_acctbal >= 0
   UNION ALL
   SELECT c_custkey, 'S', 'VND', '1', CAST(c_acctbal AS DECIMAL(38,10)), 'O',
     CAST(-9 AS BIGINT), CAST(-5 AS BIGINT),
     TIMESTAMP '2023-12-30 00:00:00', TIMESTAMP '2023-12-31 00:00:00'
-  FROM customer WHERE c_custkey % 3 = 0)"""
+  FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"""
 
 
 def fx_dim_product(spark: SparkSession, d: str) -> DataFrame:
-    p = driver_table(spark, d, "part").filter((F.col("p_partkey") < 100) & (_mod("p_partkey", 2) == 0))
+    """Existing product dimension: an open row for the smaller parts."""
+    p = driver_table(spark, d, "part").filter(F.col("p_size") <= 25)
     cat = F.when(F.col("p_size") <= 12, "SHORTTERM").when(F.col("p_size") <= 60, "MEDIUMTERM").otherwise("LONGTERM")
     return p.select(
         F.col("p_partkey").cast("int").alias("product_no"), cat.alias("product_category"),
@@ -181,7 +188,7 @@ FX_DIM_PRODUCT_SQL = """fx_dim_product AS (
     'C0' AS product_code, 'S1' AS product_type, 'A' AS record_stat,
     CAST(-5 AS BIGINT) AS eff_seq, CAST(NULL AS BIGINT) AS end_seq,
     TIMESTAMP '2023-12-31 00:00:00' AS eff_ts, CAST(NULL AS TIMESTAMP) AS end_ts
-  FROM part WHERE p_partkey < 100 AND p_partkey % 2 = 0)"""
+  FROM part WHERE p_size <= 25)"""
 
 
 # ------------------------------------------------------------------ rate events and rate dimension
@@ -214,16 +221,18 @@ FX_RATE_EVENTS_SQL = """fx_rate_events AS (
 
 
 def fx_rate_dim(spark: SparkSession, d: str) -> DataFrame:
-    c = driver_table(spark, d, "customer").filter(_mod("c_custkey", 10) != 0)
+    """Accounts with their current rate: customers outside one market segment (so some
+    rate events name unknown accounts); no rate yet where the balance is below 1000."""
+    c = driver_table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
     return c.select(F.col("c_custkey").alias("account_no"),
-                    F.when(_mod("c_custkey", 3) == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal"))
+                    F.when(F.col("c_acctbal") < 1000, F.lit(None).cast("double")).otherwise(F.col("c_acctbal"))
                     .alias("rate"))
 
 
 FX_RATE_DIM_SQL = """fx_rate_dim AS (
   SELECT c_custkey AS account_no,
-    CAST(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS DECIMAL(38,10)) AS rate
-  FROM customer WHERE c_custkey % 10 <> 0)"""
+    CAST(CASE WHEN c_acctbal < 1000 THEN NULL ELSE c_acctbal END AS DECIMAL(38,10)) AS rate
+  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
 
 
 # ------------------------------------------------------------------ teller transactions
@@ -248,5 +257,6 @@ def teller_from(o: DataFrame) -> DataFrame:
 
 
 def fx_customer_dim(spark: SparkSession, d: str) -> DataFrame:
-    c = driver_table(spark, d, "customer").filter(_mod("c_custkey", 10) != 0)
+    """Customer dimension keys: one market segment is not loaded yet."""
+    c = driver_table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
     return c.select("c_custkey", (F.col("c_custkey") + F.lit(100000)).alias("cst_dim_id"))
