@@ -39,8 +39,9 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
     """Version 0: the existing dimension and an empty last-event table."""
     dim = seed.select(*[c for c in seed.columns], F.lit(False).alias("loaded"),
                       F.lit(None).cast("timestamp_ntz").alias("update_tms")).select(*DIM_COLUMNS)
-    last = account_events.select(*LAST_COLUMNS).limit(0)  # schema only
-    late = account_events.select(*LAST_COLUMNS, "ccy").limit(0)
+    spark = seed.sparkSession
+    last = spark.createDataFrame([], account_events.select(*LAST_COLUMNS).schema)
+    late = spark.createDataFrame([], account_events.select(*LAST_COLUMNS, "ccy").schema)
     store.write(0, {"dim": dim, "last": last}, plain={"late": late})
 
 

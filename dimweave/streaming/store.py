@@ -36,7 +36,7 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
 
 class VersionedStore:
     """``buckets``: number of key-hash buckets; None sizes it from the first version's
-    largest table (about ``ROWS_PER_BUCKET`` rows each).  Once written, the count is
+    main (first) table, about ``ROWS_PER_BUCKET`` rows each.  Once written, the count is
     read back from the manifest, so every version of a store uses the same buckets."""
 
     def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int | None = None):
@@ -149,7 +149,8 @@ class VersionedStore:
         prev = self.manifest(base) if base is not None else {}
         touched_set = None if touched is None else set(touched)
         if self.buckets is None:
-            rows = max([df.count() for df in bucketed.values()] or [0])
+            # Sized from the first (main) part of the first version.
+            rows = next(iter(bucketed.values())).count() if bucketed else 0
             self.buckets = max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
         manifest = {}
         for part, df in bucketed.items():
