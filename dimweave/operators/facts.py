@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from dimweave.functions.expressions import yyyymmdd_to_date
 from dimweave.operators.lookups import dedupe_lookup
+from dimweave.schemas import MONEY
+
+LCY_DECIMAL = "decimal(38,6)"  # amount x rate keeps 6 decimals
 
 # Target fact column <- teller field (our reading of the two layouts).
 #   txn_ccy      <- currency1
@@ -25,13 +28,15 @@ AUTHORISED, UNAUTHORISED = "A", "U"
 
 
 def fact_columns(load_date: str) -> dict[str, Column]:
-    amount = F.col("amountFcy1").cast("double")
+    # Money is computed in decimal and becomes a double (the fact's type) only at the end.
+    amount = F.col("amountFcy1").cast(MONEY)
+    lcy = (amount * F.coalesce(F.col("rate2").cast(MONEY), F.lit(1).cast(MONEY))).cast(LCY_DECIMAL)
     return {
         "txn_ccy": F.col("currency1"),
         "product_code": F.col("transactionCode"),
         "trn_ref_no": F.col("id").cast("string"),
-        "lcy_amount": amount * F.coalesce(F.col("rate2").cast("double"), F.lit(1.0)),
-        "txn_amount": amount,
+        "lcy_amount": lcy.cast("double"),
+        "txn_amount": amount.cast("double"),
         "record_stat": F.col("opType"),
         "auth_stat": F.when(F.col("authoriser").isNotNull(), F.lit(AUTHORISED)).otherwise(F.lit(UNAUTHORISED)),
         "txn_acc": F.col("account1"),

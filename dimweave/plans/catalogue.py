@@ -393,7 +393,9 @@ FROM v WHERE is_new""",
 cd AS (SELECT c_custkey, c_custkey + 100000 AS cst_dim_id FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
 SELECT CASE WHEN o_custkey % 2 = 0 THEN 'USD' ELSE 'VND' END AS txn_ccy,
   o_orderpriority AS product_code, CAST(o_orderkey AS VARCHAR) AS trn_ref_no,
-  o_totalprice * coalesce(rate2, CAST(1.0 AS DOUBLE)) AS lcy_amount, o_totalprice AS txn_amount,
+  CAST(CAST(CAST(o_totalprice AS DECIMAL(38,10)) * CAST(coalesce(rate2, 1) AS DECIMAL(38,10))
+    AS DECIMAL(18,6)) AS DOUBLE) AS lcy_amount,
+  o_totalprice AS txn_amount,
   cd.cst_dim_id, o_orderstatus AS record_stat,
   CASE WHEN o_orderstatus = 'F' THEN 'A' ELSE 'U' END AS auth_stat,
   'ACC' || CAST(o_custkey AS VARCHAR) AS txn_acc, 'OFS' || CAST(o_orderkey % 7 AS VARCHAR) AS ofs_acc,
