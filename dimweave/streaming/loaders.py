@@ -78,9 +78,11 @@ def product_stream_layout(dim: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rates
 def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                     glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                    buckets: int | None = None) -> VersionedStore:
+                    buckets: int | None = None, metrics: list | None = None) -> VersionedStore:
     """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
-    every known account's rate before each event and writes the rates after it."""
+    every known account's rate before each event and writes the rates after it.
+    ``metrics`` receives per batch the number of events and of events for accounts
+    the dimension does not know (they change nothing and are otherwise lost)."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="account_no", buckets=buckets)
     if store.latest() is None:
         dim = fx.fx_rate_dim(spark, sf_dir).select("account_no", F.col("rate").cast(MONEY).alias("rate"))
@@ -95,11 +97,18 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
         dim = store.read(batch_id, "rates", touched_buckets)
         touched = batch.select("account_no").distinct()
         dim_t, dim_u = dim.join(touched, "account_no", "left_semi"), dim.join(touched, "account_no", "left_anti")
-        before = rates_before(batch, dim_t, key="account_no", order=["seq"], dim_key="account_no", dim_rate="rate",
-                              chunk_rows=chunk_rows).select(*BEFORE_COLUMNS)
+        before = rates_before(batch, dim_t, key="account_no", order=["seq"], dim_key="account_no",
+                              dim_rate="rate", chunk_rows=chunk_rows).select(*BEFORE_COLUMNS)
         final = rates_final(batch, dim_t, key="account_no", order=["seq"], dim_key="account_no", dim_rate="rate")
         store.write(batch_id + 1, {"rates": final.unionByName(dim_u)}, touched=touched_buckets,
                     plain={"before": before}, base=batch_id)
+        if metrics is not None:
+            known = dim_t.select("account_no", F.lit(True).alias("_dw_known"))
+            m = batch.join(known, "account_no", "left").agg(
+                F.count(F.lit(1)).alias("events"),
+                F.coalesce(F.sum(F.col("_dw_known").isNull().cast("int")), F.lit(0)).alias("unknown_account_events"),
+            ).first()
+            metrics.append({"batch": batch_id, **m.asDict()})
         batch.unpersist()
 
     schema = _schema(spark, sf_dir, "events")

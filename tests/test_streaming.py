@@ -141,12 +141,18 @@ def test_product_stream_in_four_batches_equals_batch(spark, flat_events):
 
 
 def test_rate_stream_in_four_batches_equals_batch(spark, flat_events):
-    from dimweave.plans.catalogue import q14_rates_before, q15_rates_final
+    from dimweave.plans import fixtures as fx
+    from dimweave.plans.catalogue import q13_rate_inputs, q14_rates_before, q15_rates_final
     from dimweave.streaming.loaders import rate_stream_before, run_rate_stream
 
+    metrics = []
     store = run_rate_stream(spark, SF_SMALL, work_dir(spark, "t-s05"), source_dir=flat_events, glob="*.parquet",
-                            buckets=16)
+                            buckets=16, metrics=metrics)
     assert store.latest() == 4
+    ev = q13_rate_inputs(spark, SF_SMALL)
+    unknown = ev.join(fx.fx_rate_dim(spark, SF_SMALL), "account_no", "left_anti").count()
+    assert sum(m["events"] for m in metrics) == ev.count()
+    assert sum(m["unknown_account_events"] for m in metrics) == unknown > 0
     final = store.read_latest("rates").select("account_no", F.col("rate").cast("double").alias("rate"))
     assert _rows(final) == _rows(q15_rates_final(spark, SF_SMALL))
     before = rate_stream_before(store).select(
