@@ -46,7 +46,8 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
             "*", F.lit(False).alias("loaded"), F.lit(None).cast("timestamp_ntz").alias("update_tms"))
-        store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)})
+        late = spark.createDataFrame([], jobs.product_rows(fx.fx_product(spark, sf_dir)).schema)
+        store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)}, plain={"late": late})
     chunk_rows = chunk_rows_of(spark)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -55,13 +56,19 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         dim = store.read(batch_id, "dim", touched_buckets)
         touched = batch.select("product_no").distinct()
         dim_t, dim_u = dim.join(touched, "product_no", "left_semi"), dim.join(touched, "product_no", "left_anti")
-        ev = batch.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
+        # Late: not after the newest version of its key; kept aside, history is not rewritten.
+        newest = dim_t.groupBy("product_no").agg(F.max("eff_seq").alias("_dw_newest"))
+        tagged = batch.join(newest, "product_no", "left")
+        is_late = F.col("_dw_newest").isNotNull() & (F.col("seq") <= F.col("_dw_newest"))
+        late = tagged.filter(is_late).drop("_dw_newest")
+        on_time = tagged.filter(~is_late).drop("_dw_newest")
+        ev = on_time.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
         v = scd2_versions(ev, ["product_no"], jobs.ORDER, jobs.PRODUCT_ATTRS,
                           [*jobs.PRODUCT_ATTRS, "loaded", "update_tms"], bounds=jobs.BOUNDS, seed=dim_t,
                           compare_with_seed=True, close="standard", chunk_rows=chunk_rows)
         v = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
         new_dim = v.select(*PRODUCT_DIM_COLUMNS).unionByName(dim_u.select(*PRODUCT_DIM_COLUMNS))
-        store.write(batch_id + 1, {"dim": new_dim}, touched=touched_buckets, base=batch_id)
+        store.write(batch_id + 1, {"dim": new_dim}, touched=touched_buckets, plain={"late": late}, base=batch_id)
         batch.unpersist()
 
     src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "events"),

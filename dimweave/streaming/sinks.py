@@ -23,6 +23,15 @@ def write_files(msgs: DataFrame, path: str, fmt: str = "json") -> None:
     msgs.write.mode("overwrite").format(fmt).save(path)
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append", batch_size: int = 10_000,
+               partitions: int | None = None, **options: str) -> None:
+    """Bulk write to a warehouse table over JDBC (credentials via options, never in
+    code); ``partitions`` bounds the number of parallel connections."""
+    out = df.coalesce(partitions) if partitions else df
+    (out.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", str(batch_size))
+     .options(**options).mode(mode).save())
+
+
 def show(df: DataFrame, n: int = 20) -> None:
     """Console output (the reference job's print)."""
     df.show(n, truncate=False)

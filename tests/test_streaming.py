@@ -87,9 +87,10 @@ def test_stateful_changes_in_four_batches_equal_batch(spark, flat_events):
     assert _rows(spark.read.parquet(out)) == _rows(q06_account_changes(spark, SF_SMALL))
 
 
-def test_late_events_are_kept_aside(spark, flat_events):
-    """A fifth file repeats old events with other values: they arrive after newer
-    events of their keys, so they go to the late table and the dimension is unchanged."""
+@pytest.fixture(scope="module")
+def events_with_late_file(spark, flat_events):
+    """The four in-order files plus a fifth that repeats old events (ids 100..149) with
+    other values; in every key newer events have been applied before it arrives."""
     d = tempfile.mkdtemp(prefix="dw-late-")
     for f in sorted(os.listdir(flat_events)):
         with open(os.path.join(flat_events, f), "rb") as src, open(os.path.join(d, f), "wb") as dst:
@@ -97,7 +98,8 @@ def test_late_events_are_kept_aside(spark, flat_events):
         mtime = os.stat(os.path.join(flat_events, f)).st_mtime
         os.utime(os.path.join(d, f), (mtime, mtime))
     ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
-    old = ev.filter((F.col("event_id") >= 100) & (F.col("event_id") < 150)).withColumn("event_type", F.lit("error"))
+    old = (ev.filter((F.col("event_id") >= 100) & (F.col("event_id") < 150))
+           .withColumn("event_type", F.lit("error")).withColumn("props", F.lit('{"k": 3}')))
     stage = tempfile.mkdtemp(prefix="dw-late-stage-")
     old.coalesce(1).write.mode("overwrite").parquet(stage)
     part = [f for f in os.listdir(stage) if f.endswith(".parquet")][0]
@@ -105,14 +107,30 @@ def test_late_events_are_kept_aside(spark, flat_events):
     with open(os.path.join(stage, part), "rb") as src, open(target, "wb") as dst:
         dst.write(src.read())
     os.utime(target, (1_700_000_100, 1_700_000_100))
+    return d, old.count()
+
+
+def test_late_events_are_kept_aside(spark, events_with_late_file):
+    d, n_old = events_with_late_file
     store = run_account_stream(spark, SF_SMALL, work_dir(spark, "t-late"), source_dir=d, glob="*.parquet")
     assert store.latest() == 5
-    late = store.read(5, "late")
-    assert late.count() == old.count()
+    assert store.read(5, "late").count() == n_old
     got = account_stream_layout(store.read_latest("dim"))
     assert _rows(got) == _rows(q09_account_scd2(spark, SF_SMALL))
 
 
+def test_late_product_events_are_kept_aside(spark, events_with_late_file):
+    from dimweave.plans.catalogue import q12_product_scd2
+    from dimweave.streaming.loaders import product_stream_layout, run_product_stream
+
+    d, n_old = events_with_late_file
+    store = run_product_stream(spark, SF_SMALL, work_dir(spark, "t-late-p"), source_dir=d, glob="*.parquet")
+    assert store.latest() == 5
+    assert store.read(5, "late").count() == n_old
+    got = product_stream_layout(store.read_latest("dim"))
+    assert _rows(got) == _rows(q12_product_scd2(spark, SF_SMALL))
+
+
 def test_versions_rewrite_only_touched_buckets(spark, flat_events):
     root = work_dir(spark, "t-buckets")
     store = run_account_stream(spark, SF_SMALL, root, source_dir=flat_events, glob="*.parquet", buckets=64)
