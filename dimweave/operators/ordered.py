@@ -9,10 +9,10 @@ after it.
 
 Cost: one partial aggregation (row count and order range per key, over a hash-chosen
 sample of the rows) whose hot-key output is bounded by ``rows / chunk_rows`` and
-therefore safe to broadcast; one shuffle of the
-rows by (key, chunk); a carry table built by a partial aggregation over the rows of hot
-keys only (one row per hot chunk, again at most ``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the rows can
-reuse the same chunks (``chunked=True``) and so needs no further shuffle.
+therefore safe to broadcast; one shuffle of the rows by (key, chunk); a carry table
+built by a partial aggregation over the rows of hot keys only (one row per hot chunk,
+again at most ``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the
+rows can reuse the same chunks (``chunked=True``) and so needs no further shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 CHUNK = "_dw_chunk"
 HOT = "_dw_hot"
 _RN = "_dw_rn"
@@ -42,16 +41,17 @@ def chunk_rows_of(spark, default: int = DEFAULT_CHUNK_ROWS) -> int:
     return int(spark.conf.get("dimweave.chunkRows", str(default)))
 
 
-def _left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Broadcast left join on ``on`` where a null key matches a null key (a null key
-    is a key like any other here); keeps ``left``'s key columns."""
+def left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], *, broadcast: bool) -> DataFrame:
+    """Left join on ``on`` where a null key matches a null key (a null key is a key
+    like any other here); keeps ``left``'s key columns.  ``broadcast`` only for a
+    right side of bounded size."""
     r = right.select(*[F.col(c).alias(f"_dw_r_{c}") for c in on],
                      *[c for c in right.columns if c not in on])
     cond = None
     for c in on:
         eq = left[c].eqNullSafe(r[f"_dw_r_{c}"])
         cond = eq if cond is None else cond & eq
-    return left.join(F.broadcast(r), cond, "left").drop(*[f"_dw_r_{c}" for c in on])
+    return left.join(F.broadcast(r) if broadcast else r, cond, "left").drop(*[f"_dw_r_{c}" for c in on])
 
 
 def _order_number(df: DataFrame, name: str) -> Column:
@@ -107,9 +107,11 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
         # branch to an empty relation and drops the carry joins, leaving a plain window.
         return df.select(*cols, F.lit(None).cast("long").alias(CHUNK), F.lit(False).alias(HOT))
     # Bounded: at most rows / chunk_rows keys can be hot.
-    x = _left_join_null_safe(df, stats, keys)
+    x = left_join_null_safe(df, stats, keys, broadcast=True)
+    # A null order sorts first (Spark's ascending default), so it goes to the first chunk.
     chunk = F.when(F.col("_dw_width").isNotNull(),
-                   F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"))
+                   F.coalesce(F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"),
+                              F.lit(-(2 ** 63)).cast("long")))
     return x.select(*cols, chunk.alias(CHUNK), F.col("_dw_width").isNotNull().alias(HOT))
 
 
@@ -191,7 +193,7 @@ def keyed_scan(
     # Bounded: hot keys only, one row per chunk, so at most rows / chunk_rows rows.
     # Ordinary keys (null chunk) find no carry row, as they need none.
     carry = summary.select(*part, *carry_cols)
-    joined = _left_join_null_safe(win, carry, part)
+    joined = left_join_null_safe(win, carry, part, broadcast=True)
 
     out = [F.col(c) for c in base_cols]
     first_row, last_row = F.col(_RN) == 1, F.col(_LAST)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.operators.changes import changed_rows
-from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, keyed_scan
+from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, keyed_scan, left_join_null_safe
 from dimweave.session import ensure_checkpoint_dir
 
 SEED = "_dw_seed"
@@ -134,7 +134,7 @@ def scd2_versions(
         F.sum(F.col(IS_NEW).cast("int")).alias("_dw_n_new"),
         F.max(existed.cast("int")).alias("_dw_existed"),
     )
-    x = allv.join(info, keys, "left")
+    x = left_join_null_safe(allv, info, keys, broadcast=False)
     newest = F.col("_dw_newest")
     is_newest = F.col(IS_NEW) & eff_struct.eqNullSafe(newest)
     stamp = (F.col("_dw_n_new") >= 1) & ((F.col("_dw_n_new") >= 2) | (F.col("_dw_existed") == 1)) & ~is_newest

@@ -83,3 +83,11 @@ def test_null_key_is_a_key(spark):
             exp[seq] = last.get(k)
             last[k] = v
         assert got == exp
+
+
+def test_null_order_sorts_first_in_hot_key(spark):
+    rows = [(1, None if i < 3 else i, i) for i in range(60)]  # three rows without an order value
+    df = spark.createDataFrame(rows, "k long, seq long, v int")
+    out = drop_scan_columns(keyed_scan(df, ["k"], ["seq", "v"], prev={"p": F.col("v")}, chunk_rows=5))
+    got = {r.v: r.p for r in out.collect()}
+    assert got == {v: (v - 1 if v else None) for v in range(60)}
