@@ -1,7 +1,8 @@
 """Keyed lookups: de-duplicated lookup tables, existence flags, priority lookups and
 current versions.  All are equi-joins left to Catalyst/AQE (broadcast when the measured
-side is small, sort-merge otherwise); de-duplication is a hash aggregation with a
-map-side partial step, so a hot lookup key is combined before the shuffle."""
+side is small, sort-merge otherwise, with skewed partitions split); de-duplication is an
+aggregation with a map-side partial step, so a hot lookup key is combined before the
+shuffle."""
 
 from __future__ import annotations
 
