@@ -28,12 +28,13 @@ def fx_account(spark: SparkSession, d: str) -> DataFrame:
     return account_events_from(driver_table(spark, d, "events"))
 
 
-def account_events_from(events: DataFrame) -> DataFrame:
-    """events rows -> account change events (works on batch and streaming frames)."""
+def account_events_from(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """events rows -> account change events (works on batch and streaming frames);
+    ``keep`` carries further events columns along."""
     et = F.col("event_type")
     prt = (F.when(et == "click", "32").when(et == "purchase", "31").when(et == "view", "35")
            .when(et == "signup", "21").otherwise("99"))
-    return events.select(
+    return events.select(*keep,
         F.col("event_id").alias("seq"), "ts", F.col("user_id").alias("id"), prt.alias("prt_code"),
         F.when(_mod("event_id", 3) == 0, "USD").otherwise("VND").alias("ccy"),
         F.when(et == "error", "D").otherwise("A").alias("op_type"))
@@ -52,9 +53,7 @@ def fx_account_messages(spark: SparkSession, d: str) -> DataFrame:
     """Account change messages in the entity's own JSON layout (camelCase fields),
     keyed by event id.  The maturity date is epoch millis on even events and ISO text
     on odd ones; every 50th message lacks its product code."""
-    e = driver_table(spark, d, "events")
-    a = account_events_from(e)
-    e = e.select("event_id", "value").join(a, e["event_id"] == a["seq"])
+    e = account_events_from(driver_table(spark, d, "events"), keep=("value",))
     common = [
         F.col("id").cast("string").alias("id"), F.concat(F.lit("CUST"), F.col("id").cast("string")).alias("customer"),
         F.when(F.col("seq") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("prt_code")).alias("prtCode"),
