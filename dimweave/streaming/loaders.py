@@ -14,17 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.operators.facts import teller_to_fact
+from dimweave.operators.keys import assign_surrogate_keys
 from dimweave.operators.ordered import chunk_rows_of
 from dimweave.operators.rates import FILL, OVERWRITE, normalise_rate_events, rate_events, rates_before, rates_final
 from dimweave.operators.scd2 import IS_NEW, TOUCHED, scd2_versions
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.schemas import MONEY
+from dimweave.session import ensure_checkpoint_dir
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
 
-PRODUCT_DIM_COLUMNS = ["product_no", *jobs.PRODUCT_ATTRS, "eff_seq", "end_seq", "eff_ts", "end_ts", "loaded",
-                       "update_tms"]
+PRODUCT_DIM_COLUMNS = ["pd_dim_id", "product_no", *jobs.PRODUCT_ATTRS, "eff_seq", "end_seq", "eff_ts", "end_ts",
+                       "loaded", "update_tms"]
+FIRST_PRODUCT_KEY = 1
 BEFORE_COLUMNS = ["seq", "account_no", "source", "rate", "rate_before"]
 
 
@@ -46,6 +49,8 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
             "*", F.lit(False).alias("loaded"), F.lit(None).cast("timestamp_ntz").alias("update_tms"))
+        # Existing rows keep their (unknown here) warehouse keys; new ones get the sequence.
+        seed = seed.withColumn("pd_dim_id", F.lit(None).cast("bigint"))
         late = spark.createDataFrame([], jobs.product_rows(fx.fx_product(spark, sf_dir)).schema)
         store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)}, plain={"late": late})
     chunk_rows = chunk_rows_of(spark)
@@ -62,13 +67,28 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         is_late = F.col("_dw_newest").isNotNull() & (F.col("seq") <= F.col("_dw_newest"))
         late = tagged.filter(is_late).drop("_dw_newest")
         on_time = tagged.filter(~is_late).drop("_dw_newest")
-        ev = on_time.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
+        ev = (on_time.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
+              .withColumn("pd_dim_id", F.lit(None).cast("bigint")))
         v = scd2_versions(ev, ["product_no"], jobs.ORDER, jobs.PRODUCT_ATTRS,
-                          [*jobs.PRODUCT_ATTRS, "loaded", "update_tms"], bounds=jobs.BOUNDS, seed=dim_t,
+                          [*jobs.PRODUCT_ATTRS, "loaded", "update_tms", "pd_dim_id"], bounds=jobs.BOUNDS, seed=dim_t,
                           compare_with_seed=True, close="standard", chunk_rows=chunk_rows)
         v = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
-        new_dim = v.select(*PRODUCT_DIM_COLUMNS).unionByName(dim_u.select(*PRODUCT_DIM_COLUMNS))
-        store.write(batch_id + 1, {"dim": new_dim}, touched=touched_buckets, plain={"late": late}, base=batch_id)
+        # The batch's versions feed two branches (new rows get keys, existing rows keep
+        # theirs): materialise them once in the shared checkpoint folder.
+        ensure_checkpoint_dir(spark)
+        v = v.checkpoint(eager=True)
+        # Surrogate keys continue the sequence kept with the store version, so a retried
+        # batch hands out the same keys.
+        start = store.value(batch_id, "next_pd_dim_id", FIRST_PRODUCT_KEY)
+        new = v.filter(F.col(IS_NEW)).drop("pd_dim_id")
+        keyed = assign_surrogate_keys(new, "product_no", ["eff_seq"], out="pd_dim_id", start=start,
+                                      chunk_rows=chunk_rows, materialize=False)
+        n_new = keyed.count()
+        new_dim = (keyed.select(*PRODUCT_DIM_COLUMNS)
+                   .unionByName(v.filter(~F.col(IS_NEW)).select(*PRODUCT_DIM_COLUMNS))
+                   .unionByName(dim_u.select(*PRODUCT_DIM_COLUMNS)))
+        store.write(batch_id + 1, {"dim": new_dim}, touched=touched_buckets, plain={"late": late}, base=batch_id,
+                    values={"next_pd_dim_id": start + n_new})
         batch.unpersist()
 
     src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "events"),

@@ -111,6 +111,9 @@ class VersionedStore:
         return json.loads(text)
 
     # -- reads
+    def value(self, version: int, name: str, default: int) -> int:
+        return int(self.manifest(version).get("_values", {}).get(name, default))
+
     def parts(self, version: int) -> list[str]:
         return [p for p in self.manifest(version) if not p.startswith("_")]
 
@@ -142,10 +145,12 @@ class VersionedStore:
 
     # -- writes
     def write(self, version: int, bucketed: dict[str, DataFrame], *, touched: Iterable[int] | None = None,
-              plain: dict[str, DataFrame] | None = None, base: int | None = None) -> None:
+              plain: dict[str, DataFrame] | None = None, base: int | None = None,
+              values: dict[str, int] | None = None) -> None:
         """Write ``version``.  ``bucketed`` parts hold all rows of the ``touched``
         buckets (every bucket when ``touched`` is None); other buckets carry over
-        from version ``base``."""
+        from version ``base``.  ``values``: small named numbers kept with the version
+        (e.g. the next surrogate key)."""
         prev = self.manifest(base) if base is not None else {}
         touched_set = None if touched is None else set(touched)
         if self.buckets is None:
@@ -171,5 +176,6 @@ class VersionedStore:
         for part, entry in prev.items():
             manifest.setdefault(part, entry)
         manifest["_buckets"] = self.buckets
+        manifest["_values"] = {**prev.get("_values", {}), **(values or {})}
         self._write_text(self._manifest_path(version), json.dumps(manifest))
         self._write_text(posixpath.join(self.root, POINTER), str(version))

@@ -154,8 +154,14 @@ def test_product_stream_in_four_batches_equals_batch(spark, flat_events):
     store = run_product_stream(spark, SF_SMALL, work_dir(spark, "t-s04"), source_dir=flat_events, glob="*.parquet",
                                buckets=16)
     assert store.latest() == 4
-    got = product_stream_layout(store.read_latest("dim"))
+    dim = store.read_latest("dim")
+    got = product_stream_layout(dim)
     assert _rows(got) == _rows(q12_product_scd2(spark, SF_SMALL))
+    # every new version got a key from one sequence: dense, unique, continued over batches
+    ids = sorted(r.pd_dim_id for r in dim.filter(F.col("loaded")).select("pd_dim_id").collect())
+    assert ids == list(range(1, len(ids) + 1))
+    assert store.value(4, "next_pd_dim_id", 0) == len(ids) + 1
+    assert dim.filter(~F.col("loaded") & F.col("pd_dim_id").isNotNull()).count() == 0
 
 
 def test_rate_stream_in_four_batches_equals_batch(spark, flat_events):
