@@ -140,15 +140,20 @@ def q12_product_scd2(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ rates
-def q13_rate_inputs(spark: SparkSession, d: str) -> DataFrame:
+def _rate_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """Both rate sources in one schema; rates stay decimal(38,10)."""
     ow = normalise_rate_events(fx.fx_rate_overwrite(spark, d), key="account", rate="amount", source=OVERWRITE,
                                order=["seq"])
     fl = normalise_rate_events(fx.fx_rate_fill(spark, d), key="account", rate="amount", source=FILL, order=["seq"])
     return rate_events(ow, fl)
 
 
+def q13_rate_inputs(spark: SparkSession, d: str) -> DataFrame:
+    return _rate_inputs(spark, d).withColumn("rate", F.col("rate").cast("double"))
+
+
 def q14_rates_before(spark: SparkSession, d: str) -> DataFrame:
-    ev = q13_rate_inputs(spark, d)
+    ev = _rate_inputs(spark, d)
     r = rates_before(ev, fx.fx_rate_dim(spark, d), key="account_no", order=["seq"], dim_key="account_no",
                      dim_rate="rate", chunk_rows=chunk_rows_of(spark))
     return r.select("seq", "account_no", "source", F.col("rate").cast("double").alias("rate"),
@@ -156,7 +161,7 @@ def q14_rates_before(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q15_rates_final(spark: SparkSession, d: str) -> DataFrame:
-    r = rates_final(q13_rate_inputs(spark, d), fx.fx_rate_dim(spark, d), key="account_no", order=["seq"],
+    r = rates_final(_rate_inputs(spark, d), fx.fx_rate_dim(spark, d), key="account_no", order=["seq"],
                     dim_key="account_no", dim_rate="rate")
     return r.select("account_no", F.col("rate").cast("double").alias("rate"))
 

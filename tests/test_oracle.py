@@ -26,10 +26,17 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _check(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rel = duck.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
     assert rows_of([tuple(r) for r in df.collect()], df.columns) == rows_of(rel.fetchall(), rel.columns)
 
 
