@@ -5,6 +5,10 @@ All of them stay inside whole-stage codegen: ``when``/``isin``/``rlike``/``try_c
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,12 +58,26 @@ def product_record_stat(op_type: Column | str) -> Column:
     return F.when(_c(op_type) == F.lit("D"), F.lit("D")).otherwise(F.lit("A"))
 
 
+@functools.lru_cache(maxsize=1)
+def _decimal_digits() -> tuple[str, str]:
+    """Every non-ASCII Unicode decimal digit and its ASCII value (built by rule from the
+    Unicode database), so that integer parsing reads any script's digits."""
+    src, dst = [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if unicodedata.category(ch) == "Nd":
+            src.append(ch)
+            dst.append(str(unicodedata.digit(ch)))
+    return "".join(src), "".join(dst)
+
+
 def strict_int(text: Column | str) -> Column:
-    """Text -> int only when it is an optionally signed run of ASCII digits that fits
-    in 32 bits; anything else (spaces, decimals, exponents, overflow) -> null.
-    ``\\z`` (not ``$``) so that a trailing newline is refused too."""
+    """Text -> int only when it is an optionally signed run of decimal digits (any
+    script) that fits in 32 bits; anything else (spaces, decimals, exponents, overflow)
+    -> null.  ``\\z`` (not ``$``) so that a trailing newline is refused too."""
     c = _c(text)
-    return F.when(c.rlike(r"^[+-]?[0-9]+\z"), c.try_cast("int"))
+    src, dst = _decimal_digits()
+    return F.when(c.rlike(r"^[+-]?\p{Nd}+\z"), F.translate(c, src, dst).try_cast("int"))
 
 
 def term_bucket(loc_term: Column | str) -> Column:

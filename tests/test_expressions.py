@@ -34,6 +34,7 @@ TERM_CASES = [
     ("61", "LONGTERM"), (" 12", "UNKNOWN"), ("12 ", "UNKNOWN"), ("12.0", "UNKNOWN"), ("1e1", "UNKNOWN"),
     ("", "UNKNOWN"), ("12d", "UNKNOWN"), ("99999999999", "UNKNOWN"), ("12\n", "UNKNOWN"),
     ("2147483647", "LONGTERM"), ("2147483648", "UNKNOWN"),
+    ("\u0661\u0662", "SHORTTERM"), ("\uff11\uff13", "MEDIUMTERM"), ("-\u0967", "SHORTTERM"), ("\u0661 ", "UNKNOWN"),
 ]
 
 RATE_CASES = [
