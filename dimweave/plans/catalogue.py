@@ -19,7 +19,6 @@ from dimweave.functions.expressions import (
     product_record_stat,
     rate_from_text,
     term_bucket,
-    to_message,
 )
 from dimweave.operators.facts import teller_to_fact
 from dimweave.operators.keys import assign_surrogate_keys
@@ -39,6 +38,7 @@ from dimweave.plans import jobs
 from dimweave.schemas import ACCOUNT_EVENT
 from dimweave.sources.messages import decode, message_text
 from dimweave.sources.tables import driver_table
+from dimweave.streaming.sinks import messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,8 +180,7 @@ def q17_fact_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def q18_messages(spark: SparkSession, d: str) -> DataFrame:
     p = fx.fx_product(spark, d)
-    m = to_message("product_no", "seq", "product_no", "loc_term", "op_type", "category", "sub_product")
-    return p.select(m.alias("m")).select("m.key", "m.value")
+    return messages(p, "product_no", "seq", "product_no", "loc_term", "op_type", "category", "sub_product")
 
 
 ACCOUNT_REQUIRED = ["id", "prtCode", "opType"]
