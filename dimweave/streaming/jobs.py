@@ -26,6 +26,7 @@ from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
+from dimweave.streaming.triggers import start
 
 DIM_COLUMNS = ["id", *jobs.ACCOUNT_COLUMNS, "eff_seq", "end_seq", "eff_ts", "end_ts", "loaded", "update_tms"]
 LAST_COLUMNS = ["id", "seq", "ts", *jobs.ACCOUNT_COMPARE]
@@ -86,8 +87,9 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
 def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       metrics: list | None = None, buckets: int | None = None) -> VersionedStore:
-    """Run the account stream until the source is drained (``availableNow``)."""
+                       metrics: list | None = None, buckets: int | None = None,
+                       trigger: dict | None = None) -> VersionedStore:
+    """Run the account stream (see ``streaming.triggers`` for ``trigger``)."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
     if store.latest() is None:
         seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
@@ -96,10 +98,8 @@ def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
     events = fx.account_events_from(src)
     handler = account_batch(store, fx.fx_az(spark, sf_dir), fx.fx_accr(spark, sf_dir), chunk_rows_of(spark),
                             metrics)
-    q = (events.writeStream.foreachBatch(handler)
-         .option("checkpointLocation", posixpath.join(root, "checkpoint"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    start(events.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")),
+          trigger)
     return store
 
 
@@ -142,13 +142,13 @@ def stateful_changes(stream: DataFrame, key: str, order: Sequence[str], compare:
 
 
 def run_stateful_changes(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                         glob: str | None = "events.parquet", max_files_per_trigger: int = 1) -> str:
+                         glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
+                         trigger: dict | None = None) -> str:
     src = open_files(spark, source_dir or sf_dir, events_schema(spark, sf_dir),
                      max_files_per_trigger=max_files_per_trigger, glob=glob)
     acc = fx.account_events_from(src).select("seq", "id", "prt_code", "ccy", "op_type", "ts")
     out = posixpath.join(root, "changes")
-    q = (stateful_changes(acc, "id", jobs.ORDER, jobs.ACCOUNT_COMPARE).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", posixpath.join(root, "checkpoint"))
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    start(stateful_changes(acc, "id", jobs.ORDER, jobs.ACCOUNT_COMPARE).writeStream.format("parquet")
+          .option("path", out).option("checkpointLocation", posixpath.join(root, "checkpoint"))
+          .outputMode("append"), trigger)
     return out

@@ -24,6 +24,7 @@ from dimweave.schemas import MONEY
 from dimweave.session import ensure_checkpoint_dir
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
+from dimweave.streaming.triggers import start
 
 PRODUCT_DIM_COLUMNS = ["pd_dim_id", "product_no", *jobs.PRODUCT_ATTRS, "eff_seq", "end_seq", "eff_ts", "end_ts",
                        "loaded", "update_tms"]
@@ -35,16 +36,15 @@ def _schema(spark: SparkSession, sf_dir: str, table: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet")).schema
 
 
-def _run(stream: DataFrame, handler, root: str) -> None:
-    q = (stream.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def _run(stream: DataFrame, handler, root: str, trigger: dict | None) -> None:
+    start(stream.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")),
+          trigger)
 
 
 # ------------------------------------------------------------------ products
 def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       buckets: int | None = None) -> VersionedStore:
+                       buckets: int | None = None, trigger: dict | None = None) -> VersionedStore:
     store = VersionedStore(spark, posixpath.join(root, "store"), key="product_no", buckets=buckets)
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
@@ -93,7 +93,7 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
 
     src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "events"),
                      max_files_per_trigger=max_files_per_trigger, glob=glob)
-    _run(fx.product_events_from(src), apply, root)
+    _run(fx.product_events_from(src), apply, root, trigger)
     return store
 
 
@@ -105,7 +105,8 @@ def product_stream_layout(dim: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rates
 def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                     glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                    buckets: int | None = None, metrics: list | None = None) -> VersionedStore:
+                    buckets: int | None = None, metrics: list | None = None,
+                    trigger: dict | None = None) -> VersionedStore:
     """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
     every known account's rate before each event and writes the rates after it.
     ``metrics`` receives per batch the number of events and of events for accounts
@@ -144,7 +145,7 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
         src = open_files(spark, source_dir or sf_dir, schema, max_files_per_trigger=max_files_per_trigger, glob=glob)
         streams.append(normalise_rate_events(fx.rate_source_from(src, event_type), key="account", rate="amount",
                                              source=source, order=["seq"]))
-    _run(rate_events(*streams), apply, root)
+    _run(rate_events(*streams), apply, root, trigger)
     return store
 
 
@@ -159,15 +160,14 @@ def rate_stream_before(store: VersionedStore) -> DataFrame:
 
 # ------------------------------------------------------------------ facts
 def run_fact_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                    glob: str | None = "orders.parquet", max_files_per_trigger: int = 1) -> str:
+                    glob: str | None = "orders.parquet", max_files_per_trigger: int = 1,
+                    trigger: dict | None = None) -> str:
     """Teller rows -> fact rows, appended with the file sink's exactly-once log."""
     src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "orders"),
                      max_files_per_trigger=max_files_per_trigger, glob=glob)
     facts = teller_to_fact(fx.teller_from(src), fx.fx_customer_dim(spark, sf_dir), dim_key="c_custkey",
                            dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
     out = posixpath.join(root, "facts")
-    q = (facts.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", posixpath.join(root, "checkpoint")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    start(facts.writeStream.format("parquet").option("path", out)
+          .option("checkpointLocation", posixpath.join(root, "checkpoint")).outputMode("append"), trigger)
     return out

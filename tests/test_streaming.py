@@ -194,3 +194,15 @@ def test_fact_stream_in_batches_equals_batch(spark):
     orders.repartition(3).write.mode("overwrite").parquet(d)
     out = run_fact_stream(spark, SF_SMALL, work_dir(spark, "t-s06"), source_dir=d, glob="*.parquet")
     assert _rows(spark.read.parquet(out)) == _rows(q17_fact_rows(spark, SF_SMALL))
+
+
+def test_processing_time_trigger_keeps_running(spark, flat_events):
+    from dimweave.streaming.loaders import run_fact_stream
+
+    before = {q.id for q in spark.streams.active}
+    out = run_fact_stream(spark, SF_SMALL, work_dir(spark, "t-cont"), source_dir=flat_events, glob="none-*",
+                          trigger={"processingTime": "1 second"})
+    running = [q for q in spark.streams.active if q.id not in before]
+    assert len(running) == 1 and running[0].isActive
+    running[0].stop()
+    assert out.endswith("facts")
