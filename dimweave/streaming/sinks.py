@@ -33,5 +33,5 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append", bat
 
 
 def show(df: DataFrame, n: int = 20) -> None:
-    """Console output (the reference job's print)."""
+    """Console output, for a look at a few rows."""
     df.show(n, truncate=False)

@@ -1,5 +1,5 @@
 """Plain-Python, one-event-at-a-time models of the loaders' rules (compare, close, insert,
-look up, update), used as the reference for the set-based operators."""
+look up, update), used as the expected results for the set-based operators."""
 
 from __future__ import annotations
 
