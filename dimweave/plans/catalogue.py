@@ -139,6 +139,14 @@ def q12_product_scd2(spark: SparkSession, d: str) -> DataFrame:
     return jobs.product_dimension_layout(v)
 
 
+def q12r_product_scd2_all_rows(spark: SparkSession, d: str) -> DataFrame:
+    """As q12, with the source system's close: every row of a changed product except the
+    newest carries the newest version's start (stamping needs an open row)."""
+    v = jobs.product_versions(fx.fx_product(spark, d), fx.fx_dim_product(spark, d),
+                              chunk_rows=chunk_rows_of(spark), close="all_rows")
+    return jobs.product_dimension_layout(v)
+
+
 # ------------------------------------------------------------------ rates
 def _rate_inputs(spark: SparkSession, d: str) -> DataFrame:
     """Both rate sources in one schema; rates stay decimal(38,10)."""
@@ -212,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "q10_product_actions": q10_product_actions,
     "q11_product_history": q11_product_history,
     "q12_product_scd2": q12_product_scd2,
+    "q12r_product_scd2_all_rows": q12r_product_scd2_all_rows,
     "q13_rate_inputs": q13_rate_inputs,
     "q14_rates_before": q14_rates_before,
     "q15_rates_final": q15_rates_final,
@@ -284,6 +293,33 @@ FROM fx_dim_product WHERE end_seq IS NOT NULL""" if seeded else ""
 FROM p_ver""" + closed
 
 
+def _product_all_rows_sql() -> str:
+    base = _product_versions_sql(seeded=True)
+    # reuse the change-detection CTEs of the standard form, then re-stamp
+    ctes = base[:base.index("SELECT product_no, product_category, product_code, product_type, record_stat,\n  seq AS eff_seq")]
+    return ctes.rstrip() + """,
+p_rows AS (
+  SELECT product_no, product_category, product_code, product_type, record_stat, seq AS eff_seq, ts AS eff_ts,
+    CAST(NULL AS BIGINT) AS end_seq, CAST(NULL AS TIMESTAMP) AS end_ts, NOT seed AS is_new FROM p_kept
+  UNION ALL
+  SELECT product_no, product_category, product_code, product_type, record_stat, eff_seq, eff_ts, end_seq, end_ts, FALSE
+  FROM fx_dim_product WHERE end_seq IS NOT NULL),
+p_info AS (
+  SELECT product_no, max(eff_seq) FILTER (WHERE is_new) AS newest_seq,
+    arg_max(eff_ts, eff_seq) FILTER (WHERE is_new) AS newest_ts,
+    count(*) FILTER (WHERE is_new) AS n_new, bool_or(NOT is_new AND end_seq IS NULL) AS existed
+  FROM p_rows GROUP BY product_no),
+p_x AS (
+  SELECT r.*, i.newest_seq, i.newest_ts,
+    (i.n_new >= 1 AND (i.n_new >= 2 OR i.existed) AND NOT (r.is_new AND r.eff_seq = i.newest_seq)) AS stamp
+  FROM p_rows r JOIN p_info i ON i.product_no = r.product_no)
+SELECT product_no, product_category, product_code, product_type, record_stat, eff_seq,
+  CASE WHEN stamp THEN newest_seq ELSE end_seq END AS end_seq, eff_ts AS eff_dt,
+  CASE WHEN stamp THEN newest_ts ELSE end_ts END AS end_dt,
+  CASE WHEN stamp THEN newest_ts END AS update_tms, is_new
+FROM p_x"""
+
+
 def _account_scd2_sql(close: str) -> str:
     base = [fx.FX_ACCOUNT_SQL, fx.FX_DIM_ACCOUNT_SQL, fx.FX_AZ_SQL, fx.FX_ACCR_SQL, ACCOUNT_CHANGES_CTE,
             ACCOUNT_NEW_CTE]
@@ -367,6 +403,7 @@ FROM fx_account a LEFT JOIN fx_az az ON az.id = a.id LEFT JOIN fx_accr ac ON ac.
 FROM p_first f LEFT JOIN p_cur c ON c.product_no = f.product_no""",
     "q11_product_history": _product_versions_sql(seeded=False),
     "q12_product_scd2": _product_versions_sql(seeded=True),
+    "q12r_product_scd2_all_rows": _product_all_rows_sql(),
     "q13_rate_inputs": _with(fx.FX_RATE_EVENTS_SQL) + """SELECT seq, account_no, CAST(rate AS DOUBLE) AS rate, source
 FROM fx_rate_events""",
     "q14_rates_before": _with(*RATE_EVENTS, """x AS (
