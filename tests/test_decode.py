@@ -38,3 +38,15 @@ def test_good_rows_are_typed(spark):
     row = good.first()
     assert row.productNo == 7 and row.locTerm == "12"
     assert good.schema["productNo"].dataType == T.IntegerType()
+
+
+def test_binary_values_are_read_as_text(spark):
+    """A topic delivers the value as bytes; only the value is decoded, the key ignored."""
+    from dimweave.sources.messages import message_text
+
+    rows = [(bytearray(b"k1"), bytearray(b'{"productNo": 5, "locTerm": "12D"}'))]
+    df = spark.createDataFrame(rows, "key binary, value binary")
+    good, dead = decode(df, message_text(df), PRODUCT_EVENT, required=["productNo"])
+    assert dead.count() == 0
+    r = good.first()
+    assert (r.productNo, r.locTerm) == (5, "12D")
