@@ -29,6 +29,11 @@ _RN = "_dw_rn"
 _LAST = "_dw_is_last"
 
 DEFAULT_CHUNK_ROWS = 1_000_000
+# The hot-key and carry tables are broadcast only while they hold at most this many
+# chunks (checked at run time); beyond it they are joined without a hint and AQE plans
+# the join from measured sizes.
+MAX_BROADCAST_CHUNKS = 500_000
+_BROADCAST_META = "dw_broadcast"
 # Hot keys are found on a sample holding about this many rows per chunk; at or below
 # this chunk size the whole input is used.
 SAMPLE_ROWS_PER_CHUNK = 10_000
@@ -80,8 +85,9 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
     only places chunk boundaries: every row is still scanned, and any monotone chunking
     gives the same result, so an estimate that is off only changes chunk sizes.
 
-    One small action (is the sampled hot-key table empty?) chooses the plan: with no
-    hot key the chunk is a literal null and the carry machinery folds away.
+    One small action (how many hot keys and chunks does the sample show?) chooses the
+    plan: with no hot key the chunk is a literal null and the carry machinery folds away;
+    the hot-key and carry tables are broadcast only up to ``MAX_BROADCAST_CHUNKS``.
     """
     o0 = _order_number(df, order[0])
     fraction = min(1.0, SAMPLE_ROWS_PER_CHUNK / float(chunk_rows))
@@ -97,22 +103,26 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
         .select(
             *keys,
             F.col("_dw_lo"),
+            F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).alias("_dw_k"),
             ((F.col("_dw_hi") - F.col("_dw_lo") + F.lit(1.0))
              / F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).cast("double")).alias("_dw_width"),
         )
     )
     cols = df.columns
-    if stats.isEmpty():
+    # One small action sizes the plan: how many hot keys and chunks the sample shows.
+    size = stats.agg(F.count(F.lit(1)).alias("keys"), F.sum("_dw_k").alias("chunks")).first()
+    if size["keys"] == 0:
         # No hot key: a literal null chunk.  Catalyst then folds every "hot rows only"
         # branch to an empty relation and drops the carry joins, leaving a plain window.
         return df.select(*cols, F.lit(None).cast("long").alias(CHUNK), F.lit(False).alias(HOT))
-    # Bounded: at most rows / chunk_rows keys can be hot.
-    x = left_join_null_safe(df, stats, keys, broadcast=True)
+    broadcast = int(size["chunks"]) <= MAX_BROADCAST_CHUNKS
+    x = left_join_null_safe(df, stats.drop("_dw_k"), keys, broadcast=broadcast)
     # A null order sorts first (Spark's ascending default), so it goes to the first chunk.
     chunk = F.when(F.col("_dw_width").isNotNull(),
                    F.coalesce(F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"),
                               F.lit(-(2 ** 63)).cast("long")))
-    return x.select(*cols, chunk.alias(CHUNK), F.col("_dw_width").isNotNull().alias(HOT))
+    return x.select(*cols, chunk.alias(CHUNK, metadata={_BROADCAST_META: broadcast}),
+                    F.col("_dw_width").isNotNull().alias(HOT))
 
 
 def keyed_scan(
@@ -190,10 +200,11 @@ def keyed_scan(
         carry_cols.append(F.last(F.col(f"_tl_{n}"), ignorenulls=True).over(wc_before).alias(f"_clb_{n}"))
     for n in firstb:
         carry_cols.append(F.first(F.col(f"_hf_{n}"), ignorenulls=True).over(wc_before).alias(f"_cfb_{n}"))
-    # Bounded: hot keys only, one row per chunk, so at most rows / chunk_rows rows.
-    # Ordinary keys (null chunk) find no carry row, as they need none.
+    # Hot keys only, one row per chunk: bounded by rows / chunk_rows and checked in
+    # assign_chunks.  Ordinary keys (null chunk) find no carry row, as they need none.
     carry = summary.select(*part, *carry_cols)
-    joined = left_join_null_safe(win, carry, part, broadcast=True)
+    broadcast = df.schema[CHUNK].metadata.get(_BROADCAST_META, True)
+    joined = left_join_null_safe(win, carry, part, broadcast=broadcast)
 
     out = [F.col(c) for c in base_cols]
     first_row, last_row = F.col(_RN) == 1, F.col(_LAST)

@@ -91,3 +91,22 @@ def test_null_order_sorts_first_in_hot_key(spark):
     out = drop_scan_columns(keyed_scan(df, ["k"], ["seq", "v"], prev={"p": F.col("v")}, chunk_rows=5))
     got = {r.v: r.p for r in out.collect()}
     assert got == {v: (v - 1 if v else None) for v in range(60)}
+
+
+def test_beyond_the_broadcast_bound_joins_without_broadcast(spark, monkeypatch):
+    """More hot chunks than the broadcast bound: same rows, plain joins instead."""
+    import dimweave.operators.ordered as ordered
+
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_CHUNKS", 1)
+    rows = [(i % 3, i, i % 5) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, seq long, v int")
+    out = keyed_scan(df, ["k"], ["seq"], prev={"p": F.col("v")}, next={"n": F.col("v")}, chunk_rows=20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+    got = {r.seq: (r.p, r.n) for r in drop_scan_columns(out).collect()}
+    assert got == _model_pn(rows)
+
+
+def _model_pn(rows):
+    m = _model(rows)
+    return {seq: (p, n) for seq, (p, n, _, _) in m.items()}
