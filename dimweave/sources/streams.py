@@ -9,10 +9,13 @@ from pyspark.sql import types as T
 
 def open_topic(spark: SparkSession, servers: str, topic: str, *, starting: str = "earliest",
                **options: str) -> DataFrame:
-    """Kafka source (needs the connector jar on the cluster); value-only text."""
+    """Kafka source (needs the connector jar on the cluster): the value as text (the
+    message key is not used), with partition, offset and timestamp.  A producer that
+    keys messages by the business key keeps each key in one partition, so the offset
+    orders a key's events."""
     df = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
           .option("subscribe", topic).option("startingOffsets", starting).options(**options).load())
-    return df.selectExpr("CAST(value AS STRING) AS value")
+    return df.selectExpr("CAST(value AS STRING) AS value", "partition", "offset", "timestamp")
 
 
 def open_files(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet",
