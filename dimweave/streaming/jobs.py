@@ -41,9 +41,8 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
     dim = seed.select(*[c for c in seed.columns], F.lit(False).alias("loaded"),
                       F.lit(None).cast("timestamp_ntz").alias("update_tms")).select(*DIM_COLUMNS)
     spark = seed.sparkSession
-    last = spark.createDataFrame([], account_events.select(*LAST_COLUMNS).schema)
     late = spark.createDataFrame([], account_events.select(*LAST_COLUMNS, "ccy").schema)
-    store.write(0, {"dim": dim, "last": last}, plain={"late": late})
+    store.write(0, {"dim": dim}, empty={"last": account_events.select(*LAST_COLUMNS).schema}, plain={"late": late})
 
 
 def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_rows: int,

@@ -146,11 +146,12 @@ class VersionedStore:
     # -- writes
     def write(self, version: int, bucketed: dict[str, DataFrame], *, touched: Iterable[int] | None = None,
               plain: dict[str, DataFrame] | None = None, base: int | None = None,
-              values: dict[str, int] | None = None) -> None:
+              values: dict[str, int] | None = None, empty: dict[str, T.StructType] | None = None) -> None:
         """Write ``version``.  ``bucketed`` parts hold all rows of the ``touched``
         buckets (every bucket when ``touched`` is None); other buckets carry over
         from version ``base``.  ``values``: small named numbers kept with the version
-        (e.g. the next surrogate key)."""
+        (e.g. the next surrogate key).  ``empty``: bucketed parts that start without rows
+        (recorded by schema, nothing written)."""
         prev = self.manifest(base) if base is not None else {}
         touched_set = None if touched is None else set(touched)
         if self.buckets is None:
@@ -170,6 +171,8 @@ class VersionedStore:
             new.update({b: version for b in written})
             manifest[part] = {"kind": "bucketed", "schema": df.schema.json(),
                               "buckets": {str(b): v for b, v in sorted(new.items())}}
+        for part, schema in (empty or {}).items():
+            manifest[part] = {"kind": "bucketed", "schema": schema.json(), "buckets": {}}
         for part, df in (plain or {}).items():
             df.write.mode("overwrite").parquet(self._data_path(part, version))
             manifest[part] = {"kind": "plain", "schema": df.schema.json(), "version": version}
