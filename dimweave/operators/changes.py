@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, keyed_scan
+from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, assign_chunks, keyed_scan, left_join_null_safe
 
 _PREV = "_dw_prev_cmp"
 
@@ -31,3 +31,67 @@ def changed_rows(
     cmp = F.struct(*[F.col(c) for c in compare])
     x = keyed_scan(df, keys, order, prev={_PREV: cmp}, chunk_rows=chunk_rows, chunked=chunked)
     return x.filter(~F.col(_PREV).eqNullSafe(cmp)).drop(_PREV)
+
+
+def change_points(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    compare: Sequence[str],
+    *,
+    bounds: Sequence[str],
+    skip: str | None = None,
+    next_name: str = "_dw_next",
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+) -> DataFrame:
+    """The rows ``changed_rows`` keeps (minus those where ``skip`` is true), each with
+    ``next_name`` = ``bounds`` of the key's next such row (null for the last): the
+    versions of an SCD2 dimension and where each one ends, in one row shuffle.
+
+    Hot keys are chunked as in ``keyed_scan``.  What a chunk needs from later chunks
+    (their first change) comes from pre-window partial aggregates: before its first
+    change every row of a chunk equals the chunk's first row, so the first change is the
+    first row that differs from that head row (found with a broadcast join to the
+    bounded head table and a map-side ``min_by``), or the head itself when it differs
+    from the previous chunk's last row.  ``skip`` rows may only open a key (they are
+    the comparison's row 0), so they can only be a chunk's head.
+    """
+    keys, order, compare, bounds = list(keys), list(order), list(compare), list(bounds)
+    df = assign_chunks(df, keys, order, chunk_rows)
+    broadcast = df.schema[CHUNK].metadata.get("dw_broadcast", True)
+    part = [*keys, CHUNK]
+    cmp, bnd, ostruct = F.struct(*compare), F.struct(*bounds), F.struct(*order)
+    skipped = F.col(skip) if skip else F.lit(False)
+
+    # Per hot chunk: head (first row) and tail (last row) values, pre-window.
+    hot = df.filter(F.col(CHUNK).isNotNull())
+    ends = hot.groupBy(*part).agg(
+        F.min_by(F.struct(cmp.alias("c"), bnd.alias("b"), skipped.alias("s")), ostruct).alias("_dw_head"),
+        F.max_by(F.struct(cmp.alias("c")), ostruct).alias("_dw_tail"))
+    # First row of each hot chunk that differs from the chunk's head row.
+    heads = ends.select(*part, F.col("_dw_head.c").alias("_dw_hc"))
+    diffs = (left_join_null_safe(hot, heads, part, broadcast=broadcast)
+             .filter(~cmp.eqNullSafe(F.col("_dw_hc")))
+             .groupBy(*part).agg(F.min_by(bnd, ostruct).alias("_dw_diff")))
+    wc = Window.partitionBy(*keys).orderBy(CHUNK)
+    chunks = (left_join_null_safe(ends, diffs, part, broadcast=False)
+              .withColumn("_dw_prev_tail", F.lag("_dw_tail").over(wc)))
+    head_kept = ((F.col("_dw_prev_tail").isNull() | ~F.col("_dw_head.c").eqNullSafe(F.col("_dw_prev_tail.c")))
+                 & ~F.col("_dw_head.s"))
+    chunks = chunks.withColumn("_dw_first", F.when(head_kept, F.col("_dw_head.b")).otherwise(F.col("_dw_diff")))
+    carry = chunks.select(
+        *part, "_dw_prev_tail",
+        F.first("_dw_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing))
+        .alias("_dw_next_chunk"))
+
+    base_cols = df.columns
+    w = Window.partitionBy(*part).orderBy(*order)
+    win = df.select("*", F.row_number().over(w).alias("_dw_rn"), F.lag(F.struct(cmp.alias("c"))).over(w).alias("_dw_p"))
+    x = left_join_null_safe(win, carry, part, broadcast=broadcast)
+    prev = F.when(F.col("_dw_rn") == 1, F.col("_dw_prev_tail")).otherwise(F.col("_dw_p"))
+    kept = (prev.isNull() | ~prev["c"].eqNullSafe(cmp)) & ~skipped
+    x = x.withColumn("_dw_kept", kept)
+    within = F.first(F.when(F.col("_dw_kept"), bnd), ignorenulls=True).over(
+        w.rowsBetween(1, Window.unboundedFollowing))
+    x = x.withColumn(next_name, F.coalesce(within, F.col("_dw_next_chunk")))
+    return x.filter(F.col("_dw_kept")).select(*base_cols, next_name)

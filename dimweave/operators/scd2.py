@@ -22,8 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.operators.changes import changed_rows
-from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, keyed_scan, left_join_null_safe
+from dimweave.operators.changes import change_points
+from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, drop_scan_columns, left_join_null_safe
 from dimweave.session import ensure_checkpoint_dir
 
 SEED = "_dw_seed"
@@ -96,10 +96,9 @@ def scd2_versions(
 
     cmp = compare if compare_with_seed or seed is None else [*compare, SEED]
     order_ext = [*order, RANK]
-    kept = changed_rows(rows, keys, order_ext, cmp, chunk_rows=chunk_rows).filter(~F.col(PRIOR))
-    # Same chunks as the change scan, so this window needs no further shuffle.
-    versions = keyed_scan(kept, keys, order_ext, next={NEXT: F.struct(*bounds)}, chunked=True)
-    versions = drop_scan_columns(versions)
+    # Versions and where each ends, in one row shuffle (prior rows only feed the comparison).
+    versions = drop_scan_columns(change_points(rows, keys, order_ext, cmp, bounds=bounds, skip=PRIOR,
+                                               next_name=NEXT, chunk_rows=chunk_rows))
 
     out_cols = [*keys, *columns]
     eff = [F.col(b).alias(f"eff_{b}") for b in bounds]

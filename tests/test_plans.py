@@ -45,3 +45,17 @@ def test_no_python_in_batch_plans(spark):
                  "q15_rates_final", "q16_product_keys", "q17_fact_rows"]:
         plan = _plan(entry.queries()[name](spark, SF_SMALL))
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+def test_hot_scd2_moves_rows_once(spark, small_chunks):
+    """With every key hot, SCD2 still shuffles rows once: every other (key, chunk)
+    exchange sits on a partial aggregation (chunk summaries only)."""
+    plan = _plan(entry.queries()["q09_account_scd2"](spark, SF_SMALL))
+    lines = plan.split("\n")
+    row_exchanges = 0
+    for i, line in enumerate(lines):
+        if re.search(r"Exchange hashpartitioning\(id#\d+L?, _dw_chunk", line):
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            if "Aggregate" not in child:
+                row_exchanges += 1
+    assert row_exchanges == 1, plan
