@@ -74,7 +74,7 @@ def change_points(
              .filter(~cmp.eqNullSafe(F.col("_dw_hc")))
              .groupBy(*part).agg(F.min_by(bnd, ostruct).alias("_dw_diff")))
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
-    chunks = (left_join_null_safe(ends, diffs, part, broadcast=False)
+    chunks = (left_join_null_safe(ends, diffs, part, broadcast=broadcast)
               .withColumn("_dw_prev_tail", F.lag("_dw_tail").over(wc)))
     head_kept = ((F.col("_dw_prev_tail").isNull() | ~F.col("_dw_head.c").eqNullSafe(F.col("_dw_prev_tail.c")))
                  & ~F.col("_dw_head.s"))
