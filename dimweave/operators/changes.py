@@ -54,7 +54,9 @@ def change_points(
     first row that differs from that head row (found with a broadcast join to the
     bounded head table and a map-side ``min_by``), or the head itself when it differs
     from the previous chunk's last row.  ``skip`` rows may only open a key (they are
-    the comparison's row 0), so they can only be a chunk's head.
+    the comparison's row 0, after at most one seed row), so they lie in the key's first
+    chunk, whose first change no other chunk needs, or head the next chunk, which the
+    head rule handles.
     """
     keys, order, compare, bounds = list(keys), list(order), list(compare), list(bounds)
     df = assign_chunks(df, keys, order, chunk_rows)
