@@ -1,9 +1,9 @@
 """Versioned (SCD type 2) dimensions from change events.
 
 ``scd2_versions`` turns ordered events into versions with opening and closing bounds,
-on top of an existing dimension (the seed).  It is set-based: one keyed scan keeps the
-rows that change something, a second scan over those rows (same chunks, no new
-shuffle) finds where each version ends.
+on top of an existing dimension (the seed).  It is set-based: one pass
+(``changes.change_points``) keeps the rows that change something and finds where each
+version ends, with a single shuffle of the rows, hot keys included.
 
 Close rules:
 
