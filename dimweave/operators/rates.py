@@ -37,22 +37,34 @@ def rate_events(overwrite: DataFrame, fill: DataFrame) -> DataFrame:
     return overwrite.unionByName(fill)
 
 
-def _dim_rates(dim: DataFrame, dim_key: str, dim_rate: str, key: str) -> DataFrame:
+def _dim_rates(dim: DataFrame, dim_key: str, dim_rate: str, key: str) -> DataFrame:  # used by rates_final
     return dim.select(F.col(dim_key).alias(key), F.col(dim_rate).cast(MONEY).alias("_dw_dim_rate"))
 
 
 def rates_before(events: DataFrame, dim: DataFrame, *, key: str, order: Sequence[str], dim_key: str,
                  dim_rate: str, out: str = "rate_before", chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """For every event of an account present in ``dim`` (one row per account), the
-    account's rate just before the event; events of unknown accounts are dropped."""
-    x = events.join(_dim_rates(dim, dim_key, dim_rate, key), key, "inner")
+    account's rate just before the event; events of unknown accounts are dropped.
+
+    The dimension's row joins the scan as the account's row 0 (a null order sorts
+    first), so the events are shuffled once, with no join before the scan."""
+    order = list(order)
+    types = {f.name: f.dataType for f in events.schema.fields}
+    extra = [c for c in events.columns if c not in {key, *order, "rate", "source"}]
+    ev = events.select(key, *order, *extra, F.col("rate").cast(MONEY).alias("rate"), "source",
+                       F.lit(None).cast(MONEY).alias("_dw_dim_rate"), F.lit(False).alias("_dw_is_dim"))
+    d = dim.select(F.col(dim_key).cast(types[key]).alias(key),
+                   *[F.lit(None).cast(types[c]).alias(c) for c in [*order, *extra]],
+                   F.lit(None).cast(MONEY).alias("rate"), F.lit(None).cast("string").alias("source"),
+                   F.col(dim_rate).cast(MONEY).alias("_dw_dim_rate"), F.lit(True).alias("_dw_is_dim"))
     ow = F.when((F.col("source") == OVERWRITE) & F.col("rate").isNotNull(), F.col("rate"))
     fl = F.when((F.col("source") == FILL) & F.col("rate").isNotNull(), F.col("rate"))
-    x = keyed_scan(x, [key], order, last_before={"_dw_ow": ow}, first_before={"_dw_fill": fl},
-                   chunk_rows=chunk_rows)
-    x = drop_scan_columns(x)
-    return (x.withColumn(out, F.coalesce(F.col("_dw_ow"), F.col("_dw_dim_rate"), F.col("_dw_fill")))
-            .drop("_dw_ow", "_dw_fill", "_dw_dim_rate"))
+    known = F.when(F.col("_dw_is_dim"), F.struct(F.col("_dw_dim_rate").alias("v")))
+    x = keyed_scan(ev.unionByName(d), [key], order, last_before={"_dw_ow": ow},
+                   first_before={"_dw_fill": fl, "_dw_known": known}, chunk_rows=chunk_rows)
+    x = drop_scan_columns(x).filter(~F.col("_dw_is_dim") & F.col("_dw_known").isNotNull())
+    rate = F.coalesce(F.col("_dw_ow"), F.col("_dw_known.v"), F.col("_dw_fill"))
+    return x.select(key, *order, *extra, "rate", "source", rate.alias(out))
 
 
 def rates_final(events: DataFrame, dim: DataFrame, *, key: str, order: Sequence[str], dim_key: str,
