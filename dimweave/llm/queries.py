@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import packing, topk, urls
+from dimweave.llm import packing, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,14 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5"""
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), holdout=(4, 2))
+    held = F.coalesce(toxicity.crc_part(F.col("doc_id"), 4) == 2, F.lit(False))
+    # the text leaves the task again only as doc_id, score and prediction
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return (urls.judge_urls(pages, urls.HOST_RULES, urls.PATTERNS)
@@ -66,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_topk": op4_topk,
+    "op6_toxicity": op6_toxicity,
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
 }

@@ -16,6 +16,9 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that belong to no term; a term is a run of ASCII letters and bytes of other characters.
+NO_TERM = np.ones(256, bool)
+NO_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -81,12 +84,13 @@ class Words:
         return self.buffer[self.start[k]:self.end[k]].tobytes()
 
 
-def words_of(buffer: np.ndarray, bounds: np.ndarray) -> Words:
+def words_of(buffer: np.ndarray, bounds: np.ndarray, gap: np.ndarray = SPACE) -> Words:
+    """The maximal runs, within each text, of bytes that ``gap`` doesn't mark."""
     n = len(buffer)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(buffer, bounds, none, none, none, np.zeros(len(bounds), np.int64))
-    space = SPACE[buffer]
+    space = gap[buffer]
     edge = np.zeros(n + 1, bool)  # a text begins or ends here
     edge[bounds] = True
     before = np.ones(n, bool)
