@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontamination, packing, topk, toxicity, urls
+from dimweave.llm import decontamination, packing, sanitise, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digest(sanitise.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), id="vec_id", vector="embedding", k=5)
@@ -77,6 +81,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_personal_data": op2_personal_data,
     "op4_topk": op4_topk,
     "op6_toxicity": op6_toxicity,
     "op8_decontamination": op8_decontamination,
