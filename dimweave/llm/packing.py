@@ -32,7 +32,7 @@ from dimweave.session import ensure_checkpoint_dir
 
 MAX_LEN, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Words, and pieces of words, that a Python worker keeps with their ids, and ids that it keeps.
-CACHE_WORDS, CACHE_IDS = 1_000_000, 10_000_000
+CACHE_WORDS, CACHE_IDS = 300_000, 3_000_000
 SALTS = 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
