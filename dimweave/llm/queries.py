@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontamination, packing, sanitise, topk, toxicity, urls
+from dimweave.llm import decontamination, packing, sanitise, substring, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeated_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.digest(sanitise.find_spans(table(spark, sf_dir, "documents")))
 
@@ -39,6 +44,12 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 5"""
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix.remove_later_copies(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), holdout=(4, 2))
@@ -81,8 +92,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_personal_data": op2_personal_data,
     "op4_topk": op4_topk,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,

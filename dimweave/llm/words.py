@@ -7,9 +7,9 @@ words of all of them; words never cross texts.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +22,11 @@ NO_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-SLICE_BYTES = 8 << 20
-#: Fixed values of the hashes: an odd multiplier with its inverse modulo 2**64, and a seed.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 2**64)
-SEED = 20_240_607
+SLICE_BYTES = 4 << 20
+#: Fixed values of the hashes: two odd multipliers.
+FACTOR, OTHER_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 4_096
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,23 +39,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(1)
-def _byte_values() -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(SEED)).integers(1, 2**63, 256, np.uint64)
-
-
-@lru_cache(2)
-def _powers(bits: int, base: int) -> np.ndarray:
-    """base**0 .. base**(2**bits) modulo 2**64."""
-    out = np.ones((1 << bits) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        out[1:] = np.uint64(base)
-        np.multiply.accumulate(out, out=out)
-    return out
-
-
-def powers(n: int, base: int) -> np.ndarray:
-    return _powers(max(16, n.bit_length()), base)[:n + 1]
+def words_at(buffer: np.ndarray, big_endian: bool = False) -> np.ndarray:
+    """The 8 bytes from every position on as one number, zeros after the end."""
+    padded = np.zeros(len(buffer) + 8, np.uint8)
+    padded[:len(buffer)] = buffer
+    return np.ndarray(len(buffer) + 1, ">u8" if big_endian else "<u8", padded, 0, (1,))
+
+
+def hash_runs(buffer: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each run of bytes, 8 bytes at a time."""
+    at = words_at(buffer)
+    h = (size.astype(np.uint64) + np.uint64(seed)) * FACTOR
+    live, pos, left = np.arange(len(start)), start, size
+    if len(size) and size.max() > LONG_WORD:
+        long = np.flatnonzero(size > LONG_WORD)
+        h[long] = [int.from_bytes(hashlib.blake2b(buffer[a:a + n].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+                   for a, n in zip(start[long].tolist(), size[long].tolist())]
+        live = np.flatnonzero(size <= LONG_WORD)
+        pos, left = start[live], size[live]
+    while len(live):
+        part = at[pos]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+        x = (h[live] ^ part) * OTHER_FACTOR
+        x ^= x >> np.uint64(29)
+        h[live] = x * FACTOR
+        more = left > 8
+        live, pos, left = live[more], pos[more] + 8, left[more] - 8
+    return mix(h)
 
 
 @dataclass
@@ -73,12 +84,7 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A hash of each word's bytes."""
-        n = len(self.buffer)
-        with np.errstate(over="ignore"):
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(_byte_values()[self.buffer] * powers(n, BASE)[:n], out=sums[1:])
-            h = (sums[self.end] - sums[self.start]) * powers(n, INVERSE)[self.start]
-            return mix(h ^ np.uint64(seed)) if seed else mix(h)
+        return hash_runs(self.buffer, self.start, self.end - self.start, seed)
 
     def bytes_of(self, k: int) -> bytes:
         return self.buffer[self.start[k]:self.end[k]].tobytes()
