@@ -104,12 +104,12 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     return length[order]
 
 
-def compare(text_a: np.ndarray, a: np.ndarray, text_b: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """-1, 0 or 1 for the ``size`` bytes at a against those at b; the texts as ``words_at``."""
+def compare(words: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """-1, 0 or 1 for the ``size`` bytes at a against those at b; the text as big-endian ``words_at``."""
     out = np.zeros(len(a), np.int8)
     live = np.arange(len(a))
     for k in range(0, size, 8):
-        x, y = text_a[a[live] + k].astype(np.uint64), text_b[b[live] + k].astype(np.uint64)
+        x, y = words[a[live] + k].astype(np.uint64), words[b[live] + k].astype(np.uint64)
         if size - k < 8:
             cut = np.uint64(8 * (8 - (size - k)))
             x, y = x >> cut, y >> cut
@@ -118,19 +118,21 @@ def compare(text_a: np.ndarray, a: np.ndarray, text_b: np.ndarray, b: np.ndarray
     return out
 
 
-def locate(text_a: np.ndarray, sorted_a: np.ndarray, text_b: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """Where each string of b lies among the sorted distinct strings of a, or -1: binary search."""
-    low, high = np.zeros(len(b), np.int64), np.full(len(b), len(sorted_a), np.int64)
-    while (open_ := np.flatnonzero(low < high)).size:
-        mid = (low[open_] + high[open_]) // 2
-        less = compare(text_a, sorted_a[mid], text_b, b[open_], size) < 0
-        low[open_[less]] = mid[less] + 1
-        high[open_[~less]] = mid[~less]
-    found = np.full(len(b), -1, np.int64)
-    inside = np.flatnonzero(low < len(sorted_a))
-    inside = inside[compare(text_a, sorted_a[low[inside]], text_b, b[inside], size) == 0]
-    found[inside] = low[inside]
-    return found
+def locate(words: np.ndarray, known: np.ndarray, new: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Binary search of strings among known ones (positions of distinct strings, in order): the
+    place of the first known string that isn't less, and whether it is equal."""
+    low, high = np.zeros(len(new), np.int64), np.full(len(new), len(known), np.int64)
+    live = np.flatnonzero(low < high)
+    while len(live):
+        mid = (low[live] + high[live]) // 2
+        less = compare(words, known[mid], new[live], size) < 0
+        low[live[less]] = mid[less] + 1
+        high[live[~less]] = mid[~less]
+        live = live[low[live] < high[live]]
+    equal = np.zeros(len(new), bool)
+    inside = np.flatnonzero(low < len(known))
+    equal[inside] = compare(words, known[low[inside]], new[inside], size) == 0
+    return low, equal
 
 
 def equal_strings(texts: list[bytes], size: int, array_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,33 +140,31 @@ def equal_strings(texts: list[bytes], size: int, array_bytes: int) -> tuple[np.n
     same for equal strings; and the texts' first window, with the end."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     first = np.concatenate([[0], np.cumsum(sizes - size + 1)])
-    name = np.empty(first[-1], np.int64)
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # (text words, sorted representatives, names)
-    used, lo = 0, 0
     ends = np.cumsum(sizes)
+    text = np.frombuffer(b"".join(texts), np.uint8)
+    words = words_at(text, big_endian=True)
+    name = np.empty(first[-1], np.int64)
+    known, names = np.zeros(0, np.int64), np.zeros(0, np.int64)  # distinct strings so far, in order, and their numbers
+    lo = 0
     while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + array_bytes, side="right")))
-        text = np.frombuffer(b"".join(texts[lo:hi]), np.uint8)
-        order, _ = suffix_array(text, size)
-        shared = common_prefixes(text, order)
-        begin = np.cumsum(sizes[lo:hi]) - sizes[lo:hi]
-        windows = np.full(len(text), -1, np.int64)  # the window that begins at a position
-        windows[ranges(begin, sizes[lo:hi] - size + 1)] = np.arange(first[lo], first[hi])
+        begin = ends[lo] - sizes[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, begin + array_bytes, side="right")))
+        part = text[begin:ends[hi - 1]]
+        order, _ = suffix_array(part, size)
+        shared = common_prefixes(part, order)
+        windows = np.full(len(part), -1, np.int64)  # the window that begins at a position
+        windows[ranges(ends[lo:hi] - sizes[lo:hi] - begin, sizes[lo:hi] - size + 1)] = np.arange(first[lo], first[hi])
         group = np.cumsum(shared < size) - 1
-        # positions where no window begins take part in the order only
-        real = windows[order] >= 0
-        groups, lead, member = np.unique(group[real], return_index=True, return_inverse=True)
-        at, words = order[real], words_at(text, big_endian=True)
-        names = np.full(len(groups), -1, np.int64)
-        for other, reps, theirs in parts:
-            todo = np.flatnonzero(names < 0)
-            where = locate(other, reps, words, at[lead[todo]], size)
-            names[todo[where >= 0]] = theirs[where[where >= 0]]
-        fresh = names < 0
-        names[fresh] = used + np.arange(fresh.sum())
-        used += int(fresh.sum())
-        name[windows[at]] = names[member]
-        parts.append((words, at[lead], names))
+        real = windows[order] >= 0  # positions where no window begins only take part in the order
+        _, lead, member = np.unique(group[real], return_index=True, return_inverse=True)
+        at = order[real] + begin
+        # merge: strings that an earlier array holds take its number, the others go in between
+        place, equal = locate(words, known, at[lead], size)
+        own = np.empty(len(lead), np.int64)
+        own[equal] = names[place[equal]]
+        own[~equal] = len(known) + np.arange((~equal).sum())
+        name[windows[at - begin]] = own[member]
+        known, names = np.insert(known, place[~equal], at[lead][~equal]), np.insert(names, place[~equal], own[~equal])
         lo = hi
     return name, first
 
