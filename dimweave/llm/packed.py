@@ -16,9 +16,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.llm.words import buffer_of, slices
@@ -27,7 +28,7 @@ from dimweave.session import ensure_checkpoint_dir
 CHUNK_BYTES = 4 << 20
 #: Numbers that a bucket holds, on average.
 BUCKET_ENTRIES = 200_000
-CHUNK = "chunk long, docs int, bytes long, ids binary, nulls binary, ends binary, texts binary"
+CHUNK = "chunk long, part int, docs int, bytes long, ids binary, nulls binary, ends binary, texts binary"
 BLOB = "bucket long, chunk long, blob binary"
 
 
@@ -63,12 +64,16 @@ def unsqueeze_sorted(blob: bytes) -> list[np.ndarray]:
     return [np.cumsum(first, dtype=first.dtype), *more]
 
 
+CHUNK_SCHEMA = pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("docs", pa.int32()), ("bytes", pa.int64()),
+                          ("ids", pa.binary()), ("nulls", pa.binary()), ("ends", pa.binary()), ("texts", pa.binary())])
+
+
 class Chunk:
     """One chunk's documents: ``ids`` (int64), ``nulls`` (id is null), and the texts' bytes end
     to end in ``buffer`` between ``bounds``."""
 
     def __init__(self, row: dict):
-        self.name = row["chunk"]
+        self.name, self.part = row["chunk"], row["part"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.nulls = np.frombuffer(row["nulls"], bool)
         self.bounds = np.concatenate([[0], np.frombuffer(row["ends"], np.int64)])
@@ -80,22 +85,26 @@ class Chunk:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name = TaskContext.get().partitionId() << 32
-    for part in (p for b in batches for p in slices(b, size=CHUNK_BYTES)):
-        buffer, bounds = buffer_of(part["text"])
-        ids = part["doc_id"]
-        nulls = np.array(ids.is_null())
-        row = {"chunk": name, "docs": part.num_rows, "bytes": len(buffer), "ids": ids.fill_null(0).to_numpy().tobytes(),
-               "nulls": nulls.tobytes(), "ends": bounds[1:].tobytes(), "texts": zstandard.compress(buffer.tobytes(), 3)}
-        yield pa.RecordBatch.from_pylist([row], pa.schema([
-            ("chunk", pa.int64()), ("docs", pa.int32()), ("bytes", pa.int64()), ("ids", pa.binary()),
-            ("nulls", pa.binary()), ("ends", pa.binary()), ("texts", pa.binary())]))
-        name += 1
-
-
-def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The chunks; null texts count as empty."""
+    for batch in batches:
+        parts = batch["part"].unique().to_pylist()
+        for part in parts:
+            own = batch if len(parts) == 1 else batch.filter(pc.equal(batch["part"], part))
+            for rows in slices(own, size=CHUNK_BYTES):
+                buffer, bounds = buffer_of(rows["text"])
+                ids = rows["doc_id"]
+                yield pa.RecordBatch.from_pylist([{
+                    "chunk": name, "part": part, "docs": rows.num_rows, "bytes": len(buffer),
+                    "ids": ids.fill_null(0).to_numpy().tobytes(), "nulls": np.array(ids.is_null()).tobytes(),
+                    "ends": bounds[1:].tobytes(), "texts": zstandard.compress(buffer.tobytes(), 3)}], CHUNK_SCHEMA)
+                name += 1
+
+
+def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", part: Column | None = None) -> DataFrame:
+    """The chunks; null texts count as empty.  Documents of different ``part`` (a whole number,
+    not null) come into different chunks."""
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       (F.lit(0) if part is None else part).cast("int").alias("part"))
     return rows.mapInArrow(_pack, CHUNK).checkpoint()
 
 

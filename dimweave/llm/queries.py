@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontamination, packing, sanitise, substring, suffix, topk, toxicity, urls
+from dimweave.llm import decontamination, language_model, packing, sanitise, substring, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op4_topk": op4_topk,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_language_model": op7_language_model,
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
