@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontamination, language_model, packing, sanitise, substring, suffix, topk, toxicity, urls
+from dimweave.llm import decontamination, jaccard, language_model, packing, sanitise, substring, suffix, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.digest(sanitise.find_spans(table(spark, sf_dir, "documents")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), id="vec_id", vector="embedding", k=5)
@@ -98,6 +102,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_personal_data": op2_personal_data,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_topk": op4_topk,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
