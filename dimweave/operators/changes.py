@@ -60,7 +60,7 @@ def change_points(
     """
     keys, order, compare, bounds = list(keys), list(order), list(compare), list(bounds)
     df = assign_chunks(df, keys, order, chunk_rows)
-    broadcast = df.schema[CHUNK].metadata.get("dw_broadcast", True)
+    broadcast = df.schema[CHUNK].metadata.get("dw_broadcast", False)
     part = [*keys, CHUNK]
     cmp, bnd, ostruct = F.struct(*compare), F.struct(*bounds), F.struct(*order)
     skipped = F.col(skip) if skip else F.lit(False)
@@ -81,10 +81,11 @@ def change_points(
     head_kept = ((F.col("_dw_prev_tail").isNull() | ~F.col("_dw_head.c").eqNullSafe(F.col("_dw_prev_tail.c")))
                  & ~F.col("_dw_head.s"))
     chunks = chunks.withColumn("_dw_first", F.when(head_kept, F.col("_dw_head.b")).otherwise(F.col("_dw_diff")))
-    carry = chunks.select(
-        *part, "_dw_prev_tail",
-        F.first("_dw_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing))
-        .alias("_dw_next_chunk"))
+    # The next chunk's first change: over the reversed order a running frame, which Spark
+    # extends row by row (a frame that shrinks towards the end would be summed anew for each).
+    back = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.select(*part, "_dw_prev_tail",
+                          F.last("_dw_first", ignorenulls=True).over(back).alias("_dw_next_chunk"))
 
     base_cols = df.columns
     w = Window.partitionBy(*part).orderBy(*order)
@@ -92,8 +93,8 @@ def change_points(
     x = left_join_null_safe(win, carry, part, broadcast=broadcast)
     prev = F.when(F.col("_dw_rn") == 1, F.col("_dw_prev_tail")).otherwise(F.col("_dw_p"))
     kept = (prev.isNull() | ~prev["c"].eqNullSafe(cmp)) & ~skipped
-    x = x.withColumn("_dw_kept", kept)
-    within = F.first(F.when(F.col("_dw_kept"), bnd), ignorenulls=True).over(
-        w.rowsBetween(1, Window.unboundedFollowing))
-    x = x.withColumn(next_name, F.coalesce(within, F.col("_dw_next_chunk")))
-    return x.filter(F.col("_dw_kept")).select(*base_cols, next_name)
+    # A kept row ends where the next kept row of its chunk begins: the same partitioning and
+    # order again, so no further shuffle, and time linear in the rows of a key.
+    x = x.filter(kept)
+    within = F.lead(bnd).over(w)
+    return x.select(*base_cols, F.coalesce(within, F.col("_dw_next_chunk")).alias(next_name))

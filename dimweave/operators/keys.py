@@ -1,7 +1,8 @@
 """Surrogate keys (a sequence's NEXTVAL) without a global sort or an unpartitioned
 window over the rows.
 
-Numbering order is (pmod(key, buckets), key, order).  Rows are numbered inside their
+Numbering order is (bucket, key, order); the bucket is pmod(key, buckets) for whole numbers
+and a hash for other types, and a null key is a key like any other (bucket 0, sorted first).  Rows are numbered inside their
 (key, chunk) group; each group's offset is the row count of the groups before it in its
 bucket (a window over group counts per bucket) plus the row count of the buckets before
 it (a window over ``buckets`` rows).  Keys come out dense and unique, starting at
@@ -12,13 +13,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimweave.operators.ordered import CHUNK, DEFAULT_CHUNK_ROWS, assign_chunks
 from dimweave.session import ensure_checkpoint_dir
 
 
+def _bucket(df: DataFrame, key: str, buckets: int) -> Column:
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    number = F.col(key).cast("long") if whole else F.xxhash64(key)
+    return F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.pmod(number, F.lit(buckets)).cast("int"))
+
+
 def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out: str, start: int = 1,
                           buckets: int = 64, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                           materialize: bool = True) -> DataFrame:
@@ -30,7 +38,7 @@ def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out:
         df = df.checkpoint(eager=True)
     cols = df.columns
     b, g = "_dw_bucket", "_dw_group"
-    x = assign_chunks(df, [key], order, chunk_rows).withColumn(b, F.pmod(F.col(key).cast("long"), F.lit(buckets)))
+    x = assign_chunks(df, [key], order, chunk_rows).withColumn(b, _bucket(df, key, buckets))
     # Ordinary keys have a null chunk; one group each.
     x = x.withColumn(g, F.coalesce(F.col(CHUNK), F.lit(-(2 ** 62)).cast("long")))
     x = x.withColumn("_dw_rn", F.row_number().over(Window.partitionBy(key, g).orderBy(*order)))
@@ -43,7 +51,8 @@ def assign_surrogate_keys(df: DataFrame, key: str, order: Sequence[str], *, out:
         F.sum("_dw_bn").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     offsets = (groups.join(F.broadcast(btot.select(b, "_dw_boff")), b)
                .select(key, g, (F.col("_dw_goff") + F.col("_dw_boff")).alias("_dw_off")))
-    res = x.join(offsets, [key, g])
+    o = offsets.select(F.col(key).alias("_dw_ok"), F.col(g).alias("_dw_og"), "_dw_off")
+    res = x.join(o, x[key].eqNullSafe(o["_dw_ok"]) & (x[g] == o["_dw_og"]))
     sk = (F.lit(start).cast("long") + F.col("_dw_off") + F.col("_dw_rn") - F.lit(1)).alias(out)
     return res.select(sk, *cols)
 

@@ -48,18 +48,22 @@ class Lookup:
 def priority_lookup(df: DataFrame, key: str, sources: Sequence[Lookup], out: str) -> DataFrame:
     """``out`` = value from the first source that has a *row* for the key (even when
     that row's value is null), else from the next, else null.  Unlike ``coalesce``, a
-    null in an earlier source wins over a value in a later one."""
-    choice = None
+    null in an earlier source wins over a value in a later one.
+
+    The sources become one table with the source's number in front of the value, one row is
+    picked per key, and ``df`` is joined once, so a hot key of ``df`` is split by
+    Spark's skew join."""
+    table = None
     for i, lk in enumerate(sources):
-        t = lk.table.select(F.col(lk.key).alias(key), lk.value.alias(f"_dw_v{i}"),
-                            *[F.col(o).alias(f"_dw_o{i}_{j}") for j, o in enumerate(lk.order or ())])
-        order = [f"_dw_o{i}_{j}" for j in range(len(lk.order or ()))] or None
-        t = dedupe_lookup(t, [key], order).select(key, f"_dw_v{i}", F.lit(True).alias(f"_dw_h{i}"))
-        df = df.join(t, key, "left")
-        hit, val = F.col(f"_dw_h{i}").isNotNull(), F.col(f"_dw_v{i}")
-        choice = F.when(hit, val) if choice is None else choice.when(hit, val)
-    drop = [c for i in range(len(sources)) for c in (f"_dw_v{i}", f"_dw_h{i}")]
-    return df.withColumn(out, choice).drop(*drop)
+        t = lk.table.select(F.col(lk.key).alias("_dw_k"), lk.value.alias("_dw_v"), *(lk.order or ()))
+        if lk.order:
+            t = dedupe_lookup(t, ["_dw_k"], lk.order)
+        t = t.select("_dw_k", F.lit(i).alias("_dw_s"), "_dw_v")
+        table = t if table is None else table.unionByName(t)
+    pick = F.min_by(F.struct("_dw_v"), F.struct("_dw_s", "_dw_v")).alias("_dw_p")
+    best = table.groupBy("_dw_k").agg(pick)
+    return (df.join(best, F.col(key) == F.col("_dw_k"), "left")
+            .withColumn(out, F.col("_dw_p._dw_v")).drop("_dw_k", "_dw_p"))
 
 
 def current_versions(dim: DataFrame, keys: Sequence[str], end_col: str, eff_order: Sequence[str]) -> DataFrame:

@@ -203,7 +203,7 @@ def keyed_scan(
     # Hot keys only, one row per chunk: bounded by rows / chunk_rows and checked in
     # assign_chunks.  Ordinary keys (null chunk) find no carry row, as they need none.
     carry = summary.select(*part, *carry_cols)
-    broadcast = df.schema[CHUNK].metadata.get(_BROADCAST_META, True)
+    broadcast = df.schema[CHUNK].metadata.get(_BROADCAST_META, False)
     joined = left_join_null_safe(win, carry, part, broadcast=broadcast)
 
     out = [F.col(c) for c in base_cols]

@@ -92,7 +92,7 @@ def scd2_versions(
             *[c for c in body if c in seed.columns], F.lit(True).alias(SEED), F.lit(False).alias(PRIOR),
             F.lit(0).alias(RANK))
         rows = rows.unionByName(_fill_missing(open_seed, ev, body).select(*ev.columns))
-        closed_seed = seed.filter(o_end.isNotNull())
+        closed_seed = _fill_missing(seed.filter(o_end.isNotNull()), ev, columns)
 
     cmp = compare if compare_with_seed or seed is None else [*compare, SEED]
     order_ext = [*order, RANK]

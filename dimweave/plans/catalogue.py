@@ -9,17 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimweave.functions.expressions import (
-    account_record_stat,
-    account_type,
-    product_record_stat,
-    rate_from_text,
-    term_bucket,
-)
+from dimweave.functions.expressions import rate_from_text
 from dimweave.operators.facts import teller_to_fact
 from dimweave.operators.keys import assign_surrogate_keys
 from dimweave.operators.lookups import flag_known, priority_lookup
@@ -35,7 +29,14 @@ from dimweave.operators.rates import (
 )
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
-from dimweave.schemas import ACCOUNT_EVENT
+from dimweave.schemas import (
+    ACCOUNT_EVENT,
+    DIM_ACCOUNT_COLUMNS,
+    PRODUCT_EVENT,
+    RATE_FILL_EVENT,
+    RATE_OVERWRITE_EVENT,
+    TELLER_EVENT,
+)
 from dimweave.sources.messages import decode, message_text
 from dimweave.sources.tables import driver_table
 from dimweave.streaming.sinks import messages
@@ -65,22 +66,18 @@ def q02_dead_letters(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ row layouts and rules
 def q03_account_rows(spark: SparkSession, d: str) -> DataFrame:
-    a = fx.fx_account(spark, d)
-    return a.select(
-        "seq", account_type("prt_code").alias("account_type"), "ccy", F.lit(jobs.CR_GL).alias("cr_gl"),
-        F.col("id").alias("account_no"), F.lit(None).cast("date").alias("maturity_date"),
-        F.lit(None).cast("double").alias("rate"), account_record_stat("op_type").alias("record_stat"),
-        F.lit(None).cast("string").alias("account_class"), F.col("ts").alias("eff_dt"),
+    a = jobs.account_rows(fx.fx_account(spark, d))
+    return jobs.in_layout(a.select(
+        "seq", "account_type", "ccy", "cr_gl", F.col("id").alias("account_no"), "maturity_date",
+        F.lit(None).cast("double").alias("rate"), "record_stat", "account_class", F.col("ts").alias("eff_dt"),
         F.lit(None).cast("timestamp_ntz").alias("end_dt"), F.lit(None).cast("timestamp_ntz").alias("update_tms"),
-        F.lit(None).cast("double").alias("act_f"))
+        "act_f"), DIM_ACCOUNT_COLUMNS)
 
 
 def q04_product_rows(spark: SparkSession, d: str) -> DataFrame:
-    p = fx.fx_product(spark, d)
+    p = jobs.product_rows(fx.fx_product(spark, d))
     return p.select(
-        "seq", "product_no", term_bucket("loc_term").alias("product_category"),
-        F.col("category").alias("product_code"), F.col("sub_product").alias("product_type"),
-        product_record_stat("op_type").alias("record_stat"), F.col("ts").alias("eff_dt"),
+        "seq", "product_no", *jobs.PRODUCT_ATTRS, F.col("ts").alias("eff_dt"),
         F.lit(None).cast("timestamp_ntz").alias("end_dt"), F.lit(None).cast("timestamp_ntz").alias("update_tms"))
 
 
@@ -125,7 +122,7 @@ def q09r_account_scd2_all_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q10_product_actions(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.product_first_actions(fx.fx_product(spark, d), fx.fx_dim_product(spark, d))
+    return jobs.product_actions(fx.fx_product(spark, d), fx.fx_dim_product(spark, d), chunk_rows=chunk_rows_of(spark))
 
 
 def q11_product_history(spark: SparkSession, d: str) -> DataFrame:
@@ -206,6 +203,66 @@ def q19_account_messages(spark: SparkSession, d: str) -> DataFrame:
         "maturity_date", "record_stat", "account_class")
 
 
+def q20_account_dimension_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rate events on the versioned account dimension: the open version takes the rate."""
+    r = jobs.account_rates(fx.fx_dim_account(spark, d), _rate_inputs(spark, d))
+    return r.select(F.col("id").alias("account_no"), "eff_seq", "end_seq", F.col("rate").cast("double").alias("rate"))
+
+
+def _as_message(df: DataFrame, key: str, schema: T.StructType, **fields: Column) -> DataFrame:
+    """Rows -> messages in an entity's JSON layout."""
+    body = F.struct(*[fields[f.name].alias(f.name) for f in schema.fields if f.name in fields])
+    return df.select(F.col(key).cast("string").alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def q21_product_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Product messages decoded by their schema into dimension rows."""
+    p = fx.fx_product(spark, d)
+    m = _as_message(p, "seq", PRODUCT_EVENT, productNo=F.col("product_no"), locTerm=F.col("loc_term"), category=F.col("category"),
+                    subProduct=F.col("sub_product"), opType=F.col("op_type"))
+    good, _ = decode(m, message_text(m), PRODUCT_EVENT, required=["productNo"], keep=["key"])
+    rows = good.select(F.col("key").cast("bigint").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+                       F.col("productNo").alias("product_no"), F.col("locTerm").alias("loc_term"), "category",
+                       F.col("subProduct").alias("sub_product"), F.col("opType").alias("op_type"))
+    return jobs.product_rows(rows).select("seq", "product_no", *jobs.PRODUCT_ATTRS)
+
+
+def q22_rate_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Both rate sources decoded by their schemas, then normalised and unioned."""
+    ow, fl = fx.fx_rate_overwrite(spark, d), fx.fx_rate_fill(spark, d)
+    amount, name = F.col("amount").cast(T.DecimalType(38, 10)), F.col("account").cast("string")
+    a = _as_message(ow, "seq", RATE_OVERWRITE_EVENT, id=name, interestNumber=amount)
+    b = _as_message(fl, "seq", RATE_FILL_EVENT, accountNumber=name, crIntRate=amount)
+    a, _ = decode(a, message_text(a), RATE_OVERWRITE_EVENT, required=["id"], keep=["key"])
+    b, _ = decode(b, message_text(b), RATE_FILL_EVENT, required=["accountNumber"], keep=["key"])
+    a, b = (x.withColumn("seq", F.col("key").cast("bigint")) for x in (a, b))
+    r = rate_events(normalise_rate_events(a, key="id", rate="interestNumber", source=OVERWRITE, order=["seq"]),
+                    normalise_rate_events(b, key="accountNumber", rate="crIntRate", source=FILL, order=["seq"]))
+    return r.select("seq", F.col("account_no").cast("bigint").alias("account_no"), F.col("rate").cast("double").alias("rate"), "source")
+
+
+def q23_teller_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Teller messages decoded by their schema, then the fact rows of q17."""
+    t = fx.fx_teller(spark, d)
+    m = _as_message(t, "id", TELLER_EVENT, **{f.name: F.col(f.name).cast(f.dataType) for f in TELLER_EVENT.fields})
+    good, _ = decode(m, message_text(m), TELLER_EVENT, required=["id"])
+    good = good.withColumns({"valueDate2": F.col("valueDate2").cast("int"), "customer2": F.col("customer2").cast("bigint"),
+                             "amountFcy1": F.col("amountFcy1").cast("double"), "amountFcy2": F.col("amountFcy2").cast("double"),
+                             "rate2": F.col("rate2").cast("double")})
+    return teller_to_fact(good, fx.fx_customer_dim(spark, d), dim_key="c_custkey", dim_id="cst_dim_id",
+                          load_date=fx.FACT_LOAD_DATE)
+
+
+def q24_dead_letter_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Every reason: no text, malformed text, a required field missing."""
+    e = driver_table(spark, d, "events")
+    raw = (F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
+           .when(F.col("event_id") % 7 == 0, F.expr("substring(props, 1, length(props) - 1)"))
+           .when(F.col("event_id") % 5 == 0, F.lit("{}")).otherwise(F.col("props")))
+    _, dead = decode(e.select("event_id", raw.alias("raw")), "raw", PROPS_SCHEMA, required=["k"], keep=["event_id"])
+    return dead
+
+
 QUERIES: dict[str, Query] = {
     "q01_decode_messages": q01_decode_messages,
     "q02_dead_letters": q02_dead_letters,
@@ -228,6 +285,11 @@ QUERIES: dict[str, Query] = {
     "q17_fact_rows": q17_fact_rows,
     "q18_messages": q18_messages,
     "q19_account_messages": q19_account_messages,
+    "q20_account_dimension_rates": q20_account_dimension_rates,
+    "q21_product_messages": q21_product_messages,
+    "q22_rate_messages": q22_rate_messages,
+    "q23_teller_messages": q23_teller_messages,
+    "q24_dead_letter_reasons": q24_dead_letter_reasons,
 }
 
 
@@ -247,18 +309,22 @@ TERM_BUCKET_SQL = """CASE WHEN loc_term IS NULL THEN NULL
     WHEN TRY_CAST(loc_term AS INTEGER) <= 60 THEN 'MEDIUMTERM' ELSE 'LONGTERM' END"""
 RATE_TEXT_SQL = "TRY_CAST(trim(regexp_replace({v}, '^.*#', '')) AS DECIMAL(38,10))"
 
-ACCOUNT_CHANGES_CTE = """acc_lag AS (
-  SELECT *, row_number() OVER w AS rn, lag(prt_code) OVER w AS p_prt, lag(op_type) OVER w AS p_op
-  FROM fx_account WINDOW w AS (PARTITION BY id ORDER BY seq)),
+# compared: every field of the event
+ACCOUNT_CHANGES_CTE = f"""acc_row AS (
+  SELECT *, row({', '.join(jobs.ACCOUNT_COMPARE)}) AS fields FROM fx_account),
+acc_lag AS (
+  SELECT *, row_number() OVER w AS rn, lag(fields) OVER w AS before
+  FROM acc_row WINDOW w AS (PARTITION BY id ORDER BY seq)),
 acc_changes AS (
-  SELECT seq, id, prt_code, ccy, op_type, ts FROM acc_lag
-  WHERE rn = 1 OR p_prt IS DISTINCT FROM prt_code OR p_op IS DISTINCT FROM op_type)"""
+  SELECT seq, id, prt_code, ccy, op_type, ts, maturity_date, account_class FROM acc_lag
+  WHERE rn = 1 OR before IS DISTINCT FROM fields)"""
 
 ACCOUNT_NEW_CTE = f"""acc_new AS (
   SELECT c.id, {ACCOUNT_TYPE_SQL} AS account_type, c.ccy, '1' AS cr_gl,
     CASE WHEN az.id IS NOT NULL THEN CAST(az.interest_rate AS DECIMAL(38,10))
          WHEN ac.account_number IS NOT NULL THEN {RATE_TEXT_SQL.format(v='ac.cr_int_rate')} END AS rate,
-    CASE WHEN c.op_type = 'D' THEN 'C' ELSE 'O' END AS record_stat, c.seq AS eff_seq, c.ts AS eff_ts
+    CASE WHEN c.op_type = 'D' THEN 'C' ELSE 'O' END AS record_stat, c.maturity_date, c.account_class,
+    CAST(NULL AS DECIMAL(38,10)) AS act_f, c.seq AS eff_seq, c.ts AS eff_ts
   FROM acc_changes c LEFT JOIN fx_az az ON az.id = c.id LEFT JOIN fx_accr ac ON ac.account_number = c.id)"""
 
 PRODUCT_ROWS_CTE = f"""prod_rows AS (
@@ -325,24 +391,27 @@ def _account_scd2_sql(close: str) -> str:
             ACCOUNT_NEW_CTE]
     if close == "standard":
         return _with(*base, """a_open AS (
-  SELECT id, account_type, ccy, cr_gl, rate, record_stat, eff_seq, eff_ts, TRUE AS is_new FROM acc_new
+  SELECT id, account_type, ccy, cr_gl, rate, record_stat, maturity_date, account_class, act_f, eff_seq, eff_ts, TRUE AS is_new FROM acc_new
   UNION ALL
-  SELECT id, account_type, ccy, cr_gl, rate, record_stat, eff_seq, eff_ts, FALSE FROM fx_dim_account
+  SELECT id, account_type, ccy, cr_gl, rate, record_stat, maturity_date, account_class, act_f, eff_seq, eff_ts, FALSE FROM fx_dim_account
   WHERE end_seq IS NULL)""", """a_ver AS (
   SELECT *, lead(eff_seq) OVER w AS end_seq, lead(eff_ts) OVER w AS end_ts
   FROM a_open WINDOW w AS (PARTITION BY id ORDER BY eff_seq))""") + """SELECT id AS account_no, account_type, ccy,
-  cr_gl, CAST(rate AS DOUBLE) AS rate, record_stat, eff_seq, end_seq, eff_ts AS eff_dt, end_ts AS end_dt,
+  cr_gl, CAST(rate AS DOUBLE) AS rate, record_stat, maturity_date, account_class, CAST(act_f AS DOUBLE) AS act_f,
+  eff_seq, end_seq, eff_ts AS eff_dt, end_ts AS end_dt,
   CASE WHEN end_seq IS NOT NULL THEN end_ts END AS update_tms, is_new
 FROM a_ver
 UNION ALL
-SELECT id, account_type, ccy, cr_gl, CAST(rate AS DOUBLE), record_stat, eff_seq, end_seq, eff_ts, end_ts,
+SELECT id, account_type, ccy, cr_gl, CAST(rate AS DOUBLE), record_stat, maturity_date, account_class,
+  CAST(act_f AS DOUBLE), eff_seq, end_seq, eff_ts, end_ts,
   CAST(NULL AS TIMESTAMP), FALSE
 FROM fx_dim_account WHERE end_seq IS NOT NULL"""
     return _with(*base, """a_all AS (
-  SELECT id, account_type, ccy, cr_gl, rate, record_stat, eff_seq, eff_ts,
+  SELECT id, account_type, ccy, cr_gl, rate, record_stat, maturity_date, account_class, act_f, eff_seq, eff_ts,
     CAST(NULL AS BIGINT) AS end_seq, CAST(NULL AS TIMESTAMP) AS end_ts, TRUE AS is_new FROM acc_new
   UNION ALL
-  SELECT id, account_type, ccy, cr_gl, rate, record_stat, eff_seq, eff_ts, end_seq, end_ts, FALSE
+  SELECT id, account_type, ccy, cr_gl, rate, record_stat, maturity_date, account_class, act_f, eff_seq, eff_ts,
+    end_seq, end_ts, FALSE
   FROM fx_dim_account)""", """a_info AS (
   SELECT id, max(eff_seq) FILTER (WHERE is_new) AS newest_seq,
     arg_max(eff_ts, eff_seq) FILTER (WHERE is_new) AS newest_ts,
@@ -351,7 +420,7 @@ FROM fx_dim_account WHERE end_seq IS NOT NULL"""
   SELECT a.*, i.newest_seq, i.newest_ts,
     (i.n_new >= 1 AND (i.n_new >= 2 OR i.existed) AND NOT (a.is_new AND a.eff_seq = i.newest_seq)) AS stamp
   FROM a_all a JOIN a_info i ON i.id = a.id)""") + """SELECT id AS account_no, account_type, ccy, cr_gl,
-  CAST(rate AS DOUBLE) AS rate, record_stat, eff_seq,
+  CAST(rate AS DOUBLE) AS rate, record_stat, maturity_date, account_class, CAST(act_f AS DOUBLE) AS act_f, eff_seq,
   CASE WHEN stamp THEN newest_seq ELSE end_seq END AS end_seq, eff_ts AS eff_dt,
   CASE WHEN stamp THEN newest_ts ELSE end_ts END AS end_dt,
   CASE WHEN stamp THEN newest_ts END AS update_tms, is_new
@@ -367,8 +436,8 @@ ORACLE_SQL: dict[str, str] = {
   FROM events)
 SELECT event_id, raw AS raw_value, 'malformed' AS reason FROM m WHERE NOT json_valid(raw)""",
     "q03_account_rows": _with(fx.FX_ACCOUNT_SQL) + f"""SELECT seq, {ACCOUNT_TYPE_SQL} AS account_type, ccy,
-  '1' AS cr_gl, id AS account_no, CAST(NULL AS DATE) AS maturity_date, CAST(NULL AS DOUBLE) AS rate,
-  CASE WHEN op_type = 'D' THEN 'C' ELSE 'O' END AS record_stat, CAST(NULL AS VARCHAR) AS account_class,
+  '1' AS cr_gl, id AS account_no, maturity_date, CAST(NULL AS DOUBLE) AS rate,
+  CASE WHEN op_type = 'D' THEN 'C' ELSE 'O' END AS record_stat, account_class,
   ts AS eff_dt, CAST(NULL AS TIMESTAMP) AS end_dt, CAST(NULL AS TIMESTAMP) AS update_tms,
   CAST(NULL AS DOUBLE) AS act_f
 FROM fx_account""",
@@ -380,7 +449,7 @@ FROM prod_rows""",
   CAST({RATE_TEXT_SQL.format(v='cr_int_rate')} AS DOUBLE) AS rate,
   (cr_int_rate IS NOT NULL AND {RATE_TEXT_SQL.format(v='cr_int_rate')} IS NULL) AS bad_rate
 FROM fx_accr""",
-    "q06_account_changes": _with(fx.FX_ACCOUNT_SQL, ACCOUNT_CHANGES_CTE) + "SELECT * FROM acc_changes",
+    "q06_account_changes": _with(fx.FX_ACCOUNT_SQL, ACCOUNT_CHANGES_CTE) + "SELECT seq, id, prt_code, ccy, op_type, ts FROM acc_changes",
     "q07_account_known": _with(fx.FX_ACCOUNT_SQL, fx.FX_DIM_ACCOUNT_SQL) + """SELECT a.seq, a.id,
   EXISTS (SELECT 1 FROM fx_dim_account d WHERE d.id = a.id) AS known
 FROM fx_account a""",
@@ -390,17 +459,18 @@ FROM fx_account a""",
 FROM fx_account a LEFT JOIN fx_az az ON az.id = a.id LEFT JOIN fx_accr ac ON ac.account_number = a.id""",
     "q09_account_scd2": _account_scd2_sql("standard"),
     "q09r_account_scd2_all_rows": _account_scd2_sql("all_rows"),
-    "q10_product_actions": _with(fx.FX_PRODUCT_SQL, fx.FX_DIM_PRODUCT_SQL, PRODUCT_ROWS_CTE, """p_first AS (
-  SELECT * FROM prod_rows QUALIFY row_number() OVER (PARTITION BY product_no ORDER BY seq) = 1)""",
-                                 """p_cur AS (SELECT * FROM fx_dim_product WHERE end_seq IS NULL)""") + """SELECT
-  f.product_no, f.seq,
-  CASE WHEN c.product_no IS NULL THEN 'INSERT'
-       WHEN c.product_category IS NOT DISTINCT FROM f.product_category
-        AND c.product_code IS NOT DISTINCT FROM f.product_code
-        AND c.product_type IS NOT DISTINCT FROM f.product_type
-        AND c.record_stat IS NOT DISTINCT FROM f.record_stat THEN 'NONE'
-       ELSE 'REPLACE' END AS action
-FROM p_first f LEFT JOIN p_cur c ON c.product_no = f.product_no""",
+    "q10_product_actions": _with(fx.FX_PRODUCT_SQL, fx.FX_DIM_PRODUCT_SQL, PRODUCT_ROWS_CTE, """p_all AS (
+  SELECT product_no, seq, product_category, product_code, product_type, record_stat FROM prod_rows
+  UNION ALL
+  SELECT product_no, NULL, product_category, product_code, product_type, record_stat FROM fx_dim_product
+  WHERE end_seq IS NULL)""",
+                                 """p_lag AS (
+  SELECT *, lag(row(product_category, product_code, product_type, record_stat)) OVER w AS cur,
+    row_number() OVER w AS rn FROM p_all WINDOW w AS (PARTITION BY product_no ORDER BY seq NULLS FIRST))""") + """SELECT
+  product_no, seq, CASE WHEN rn = 1 THEN 'INSERT'
+    WHEN cur IS NOT DISTINCT FROM row(product_category, product_code, product_type, record_stat) THEN 'NONE'
+    ELSE 'REPLACE' END AS action
+FROM p_lag WHERE seq IS NOT NULL""",
     "q11_product_history": _product_versions_sql(seeded=False),
     "q12_product_scd2": _product_versions_sql(seeded=True),
     "q12r_product_scd2_all_rows": _product_all_rows_sql(),
@@ -456,3 +526,23 @@ FROM fx_account WHERE seq % 50 <> 0""",
                 'category': category, 'sub_product': sub_product}) AS VARCHAR) AS value
 FROM fx_product""",
 }
+
+ORACLE_SQL |= {
+    "q20_account_dimension_rates": _with(fx.FX_RATE_EVENTS_SQL, fx.FX_DIM_ACCOUNT_SQL, """agg AS (
+  SELECT account_no,
+    arg_max(rate, seq) FILTER (WHERE source = 'overwrite' AND rate IS NOT NULL) AS ow,
+    arg_min(rate, seq) FILTER (WHERE source = 'fill' AND rate IS NOT NULL) AS fl
+  FROM fx_rate_events GROUP BY account_no)""") + """SELECT d.id AS account_no, d.eff_seq, d.end_seq,
+  CAST(CASE WHEN d.end_seq IS NULL THEN coalesce(a.ow, d.rate, a.fl) ELSE d.rate END AS DOUBLE) AS rate
+FROM fx_dim_account d LEFT JOIN agg a ON a.account_no = d.id""",
+    "q21_product_messages": _with(fx.FX_PRODUCT_SQL, PRODUCT_ROWS_CTE) + """SELECT seq, product_no, product_category,
+  product_code, product_type, record_stat FROM prod_rows""",
+    "q22_rate_messages": ORACLE_SQL["q13_rate_inputs"],
+    "q23_teller_messages": ORACLE_SQL["q17_fact_rows"],
+    "q24_dead_letter_reasons": """WITH m AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL
+    WHEN event_id % 7 = 0 THEN substr(props, 1, length(props) - 1) WHEN event_id % 5 = 0 THEN '{}' ELSE props END AS raw
+  FROM events)
+SELECT event_id, raw AS raw_value, CASE WHEN raw IS NULL THEN 'null' WHEN raw = '{}' THEN 'missing:k'
+  ELSE 'malformed' END AS reason
+FROM m WHERE raw IS NULL OR raw = '{}' OR NOT json_valid(raw)""",
+}

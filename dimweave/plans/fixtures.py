@@ -37,7 +37,14 @@ def account_events_from(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
     return events.select(*keep,
         F.col("event_id").alias("seq"), "ts", F.col("user_id").alias("id"), prt.alias("prt_code"),
         F.when(_mod("event_id", 3) == 0, "USD").otherwise("VND").alias("ccy"),
-        F.when(et == "error", "D").otherwise("A").alias("op_type"))
+        F.when(et == "error", "D").otherwise("A").alias("op_type"),
+        F.concat(F.lit("CUST"), F.col("user_id").cast("string")).alias("customer"),
+        (F.col("user_id").cast("bigint") * 10).alias("open_val_date_bal"),
+        F.date_add(F.lit("2025-01-01").cast("date"), (F.col("event_id") % 60 / 30).cast("int")).alias("maturity_date"),
+        F.when(et == "purchase", 9007199254740993).otherwise(9007199254740992).cast("bigint").alias("working_balance"),
+        F.concat(F.lit("P"), (F.col("user_id") % 4).cast("string")).alias("account_class"),
+        F.when(_mod("event_id", 70) == 0, F.lit(None).cast("string")).otherwise("1005").alias("category"),
+        F.lit("001").alias("co_code"))
 
 
 FX_ACCOUNT_SQL = """fx_account AS (
@@ -45,7 +52,12 @@ FX_ACCOUNT_SQL = """fx_account AS (
     CASE event_type WHEN 'click' THEN '32' WHEN 'purchase' THEN '31'
          WHEN 'view' THEN '35' WHEN 'signup' THEN '21' ELSE '99' END AS prt_code,
     CASE WHEN event_id % 3 = 0 THEN 'USD' ELSE 'VND' END AS ccy,
-    CASE WHEN event_type = 'error' THEN 'D' ELSE 'A' END AS op_type
+    CASE WHEN event_type = 'error' THEN 'D' ELSE 'A' END AS op_type,
+    'CUST' || CAST(user_id AS VARCHAR) AS customer, CAST(user_id AS BIGINT) * 10 AS open_val_date_bal,
+    DATE '2025-01-01' + CAST(event_id % 60 // 30 AS INTEGER) AS maturity_date,
+    CASE WHEN event_type = 'purchase' THEN 9007199254740993 ELSE 9007199254740992 END AS working_balance,
+    'P' || CAST(user_id % 4 AS VARCHAR) AS account_class,
+    CASE WHEN event_id % 70 = 0 THEN NULL ELSE '1005' END AS category, '001' AS co_code
   FROM events)"""
 
 
@@ -53,7 +65,12 @@ def fx_account_messages(spark: SparkSession, d: str) -> DataFrame:
     """Account change messages in the entity's own JSON layout (camelCase fields),
     keyed by event id.  The maturity date is epoch millis on even events and ISO text
     on odd ones; every 50th message lacks its product code."""
-    e = account_events_from(driver_table(spark, d, "events"), keep=("value",))
+    return account_messages_from(driver_table(spark, d, "events"))
+
+
+def account_messages_from(events: DataFrame) -> DataFrame:
+    """events rows (batch or streaming) -> account messages."""
+    e = account_events_from(events, keep=("value",))
     common = [
         F.col("id").cast("string").alias("id"), F.concat(F.lit("CUST"), F.col("id").cast("string")).alias("customer"),
         F.when(F.col("seq") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("prt_code")).alias("prtCode"),
@@ -147,7 +164,8 @@ def fx_dim_account(spark: SparkSession, d: str) -> DataFrame:
         return c.filter(cond).select(
             F.col("c_custkey").alias("id"), F.lit("S").alias("account_type"), F.lit("VND").alias("ccy"),
             F.lit("1").alias("cr_gl"), F.col("c_acctbal").cast("decimal(38,10)").alias("rate"),
-            F.lit("O").alias("record_stat"),
+            F.lit("O").alias("record_stat"), F.lit(None).cast("date").alias("maturity_date"),
+            F.lit(None).cast("string").alias("account_class"), F.lit(None).cast("decimal(38,10)").alias("act_f"),
             F.lit(eff_seq).cast("bigint").alias("eff_seq"), F.lit(end_seq).cast("bigint").alias("end_seq"),
             _ntz(eff_ts).alias("eff_ts"),
             (_ntz(end_ts) if end_ts else F.lit(None).cast("timestamp_ntz")).alias("end_ts"))
@@ -158,12 +176,13 @@ def fx_dim_account(spark: SparkSession, d: str) -> DataFrame:
 
 FX_DIM_ACCOUNT_SQL = """fx_dim_account AS (
   SELECT c_custkey AS id, 'S' AS account_type, 'VND' AS ccy, '1' AS cr_gl,
-    CAST(c_acctbal AS DECIMAL(38,10)) AS rate, 'O' AS record_stat,
+    CAST(c_acctbal AS DECIMAL(38,10)) AS rate, 'O' AS record_stat, CAST(NULL AS DATE) AS maturity_date,
+    CAST(NULL AS VARCHAR) AS account_class, CAST(NULL AS DECIMAL(38,10)) AS act_f,
     CAST(-5 AS BIGINT) AS eff_seq, CAST(NULL AS BIGINT) AS end_seq,
     TIMESTAMP '2023-12-31 00:00:00' AS eff_ts, CAST(NULL AS TIMESTAMP) AS end_ts
   FROM customer WHERE c_acctbal >= 0
   UNION ALL
-  SELECT c_custkey, 'S', 'VND', '1', CAST(c_acctbal AS DECIMAL(38,10)), 'O',
+  SELECT c_custkey, 'S', 'VND', '1', CAST(c_acctbal AS DECIMAL(38,10)), 'O', NULL, NULL, NULL,
     CAST(-9 AS BIGINT), CAST(-5 AS BIGINT),
     TIMESTAMP '2023-12-30 00:00:00', TIMESTAMP '2023-12-31 00:00:00'
   FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"""

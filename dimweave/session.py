@@ -38,12 +38,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); only when it is
-    unset, as in local tests, a folder of our own is registered."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).  Only where it is
+    unset on a local master, as in tests, a folder of our own is registered; on a cluster
+    that is an error, since executors don't share the driver's folders."""
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="dimweave-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -54,7 +57,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or the SparkContext's checkpoint
-    folder).  Only when neither is set, as in local tests, a folder of our own is made
-    and registered as the checkpoint folder.
+    folder), see ``ensure_checkpoint_dir``.
     """
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")

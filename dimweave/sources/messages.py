@@ -21,16 +21,6 @@ def message_text(df: DataFrame, value: str = "value") -> Column:
     return F.col(value).cast("string")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (parsing) every core: an input with fewer partitions
-    than the default parallelism (e.g. one small file) is spread round-robin; a large
-    input, which already has many partitions, is left alone (no shuffle)."""
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def decode(df: DataFrame, text: Column | str, schema: T.StructType, *, required: Sequence[str] = (),
            keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Return ``(good, dead)``.
@@ -38,7 +28,6 @@ def decode(df: DataFrame, text: Column | str, schema: T.StructType, *, required:
     good: ``keep`` columns + the schema's fields.  dead: ``keep`` columns, ``raw_value``
     and ``reason`` (``null``, ``malformed`` or ``missing:<field>``).
     """
-    df = spread(df)
     raw = F.col(text) if isinstance(text, str) else text
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(raw, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})

@@ -110,34 +110,32 @@ def account_stream_layout(dim: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ keyed state (STA-1)
+JSON = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def stateful_changes(stream: DataFrame, key: str, order: Sequence[str], compare: Sequence[str]) -> DataFrame:
     """Rows that differ from the key's last row, with the last row kept in keyed state.
 
     Spark does not order a group's rows inside a micro-batch, so the handler sorts
-    them; a group holds at most one micro-batch of a key (bounded by the trigger size).
+    them.  Compared values and whole rows pass through Python as JSON text, so that whole
+    numbers of any size and nulls stay what they are; Python only compares texts.
     """
-    order, compare = list(order), list(compare)
-    out_schema = stream.schema
-    fields = {f.name: f for f in out_schema.fields}
-    state_schema = T.StructType([fields[c] for c in [*compare, *order]])
-    out_cols = out_schema.fieldNames()
+    rows = stream.select(F.col(key), *[F.col(o).alias(f"_dw_o{i}") for i, o in enumerate(order)],
+                         F.to_json(F.struct(*compare), JSON).alias("_dw_cmp"),
+                         F.to_json(F.struct(*stream.columns), JSON).alias("_dw_row"))
+    by = [f"_dw_o{i}" for i in range(len(order))]
 
     def handle(key_value, frames, state):
-        pdf = pd.concat(list(frames), ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
-        cur = pdf[compare]
-        before = cur.shift(1)
-        if state.exists:
-            before.iloc[0] = list(state.get[: len(compare)])
-        same = (cur == before) | (cur.isna() & before.isna())
-        changed = ~same.all(axis=1)
-        if not state.exists:
-            changed.iloc[0] = True
-        last = pdf.iloc[-1]
-        state.update(tuple(last[c].item() if hasattr(last[c], "item") else last[c] for c in [*compare, *order]))
-        yield pdf.loc[changed, out_cols]
-
-    return stream.groupBy(key).applyInPandasWithState(
-        handle, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        pdf = pd.concat(list(frames), ignore_index=True).sort_values(by, kind="stable").reset_index(drop=True)
+        before = [state.get[0] if state.exists else None, *pdf["_dw_cmp"].iloc[:-1]]
+        state.update((pdf["_dw_cmp"].iloc[-1],))
+        changed = [b is None or b != c for b, c in zip(before, pdf["_dw_cmp"])]
+        yield pdf.loc[changed, ["_dw_row"]]
+
+    out = rows.groupBy(key).applyInPandasWithState(
+        handle, "_dw_row string", "_dw_cmp string", "append", GroupStateTimeout.NoTimeout)
+    return out.select(F.from_json("_dw_row", stream.schema, JSON).alias("r")).select("r.*")
 
 
 def run_stateful_changes(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,

@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 
 POINTER = "_LATEST"
 BUCKET = "_dw_bucket"
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 8192
+#: Buckets of a store unless its maker says otherwise: choose about as many as a micro-batch
+#: should be able to rewrite apart from each other.  A bucket of any size is written by as many
+#: tasks as its rows need.
+BUCKETS = 64
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:
@@ -35,18 +37,17 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
 
 
 class VersionedStore:
-    """``buckets``: number of key-hash buckets; None sizes it from the first version's
-    main (first) table, about ``ROWS_PER_BUCKET`` rows each.  Once written, the count is
-    read back from the manifest, so every version of a store uses the same buckets."""
+    """``buckets``: number of key-hash buckets (``BUCKETS`` unless given).  Once written, the
+    count is read back from the manifest, so every version of a store uses the same buckets."""
 
     def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
-        self.buckets = buckets
+        self.buckets = buckets or BUCKETS
         v = self.latest()
         if v is not None:
-            self.buckets = int(self.manifest(v).get("_buckets", buckets or 1))
+            self.buckets = int(self.manifest(v)["_buckets"])
 
     # -- file system helpers (Hadoop FS through the JVM: works for every scheme)
     def _fs(self, path: str):
@@ -154,16 +155,12 @@ class VersionedStore:
         (recorded by schema, nothing written)."""
         prev = self.manifest(base) if base is not None else {}
         touched_set = None if touched is None else set(touched)
-        if self.buckets is None:
-            # Sized from the first (main) part of the first version.
-            rows = next(iter(bucketed.values())).count() if bucketed else 0
-            self.buckets = max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
         manifest = {}
         for part, df in bucketed.items():
             path = self._data_path(part, version)
-            # One writer task per bucket: one file per touched bucket, not one per
-            # (task, bucket) pair.
-            (df.withColumn(BUCKET, bucket_of(self.key, self.buckets)).repartition(BUCKET)
+            # Dealt by bucket, and evened out at run time: small buckets share a task, a large
+            # one (or one with a hot key) is split over several.
+            (df.withColumn(BUCKET, bucket_of(self.key, self.buckets)).hint("rebalance", BUCKET)
              .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
             written = self._listed_buckets(path)
             old = {int(b): v for b, v in prev.get(part, {}).get("buckets", {}).items()}
