@@ -546,3 +546,22 @@ SELECT event_id, raw AS raw_value, CASE WHEN raw IS NULL THEN 'null' WHEN raw =
   ELSE 'malformed' END AS reason
 FROM m WHERE raw IS NULL OR raw = '{}' OR NOT json_valid(raw)""",
 }
+
+
+def account_messages_sql() -> str:
+    """The account dimension from the messages of ``fixtures.account_messages_from``: every 50th
+    message is dead, and balance, maturity, class and category are the messages' own."""
+    base = _account_scd2_sql("standard")
+    own = """fx_account AS (
+  SELECT *, 'CUST' || CAST(id AS VARCHAR) AS customer, CAST(floor(value * 100) AS BIGINT) AS open_val_date_bal,
+    CAST(real_ts AS DATE) AS maturity_date, CAST(floor(value * 90) AS BIGINT) AS working_balance,
+    'P' || CAST(seq % 4 AS VARCHAR) AS account_class, CASE WHEN seq % 2 = 0 THEN '1008' ELSE '1005' END AS category,
+    '001' AS co_code
+  FROM (SELECT event_id AS seq, ts AS real_ts, value, make_timestamp(event_id * 1000000) AS ts, user_id AS id,
+    CASE event_type WHEN 'click' THEN '32' WHEN 'purchase' THEN '31'
+         WHEN 'view' THEN '35' WHEN 'signup' THEN '21' ELSE '99' END AS prt_code,
+    CASE WHEN event_id % 3 = 0 THEN 'USD' ELSE 'VND' END AS ccy,
+    CASE WHEN event_type = 'error' THEN 'D' ELSE 'A' END AS op_type
+  FROM events WHERE event_id % 50 <> 0))"""
+    return ("SELECT account_no, account_type, ccy, rate, record_stat, account_class, eff_seq, end_seq, is_new FROM (\n"
+            + base.replace(fx.FX_ACCOUNT_SQL, own) + ")")

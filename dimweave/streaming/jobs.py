@@ -10,30 +10,63 @@
 
 from __future__ import annotations
 
-import os
 import posixpath
 from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from dimweave.operators.ordered import chunk_rows_of
-from dimweave.operators.scd2 import IS_NEW, TOUCHED
+from dimweave.operators.scd2 import TOUCHED
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
+from dimweave.schemas import ACCOUNT_EVENT
+from dimweave.sources.messages import decode, message_text
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
 
 DIM_COLUMNS = ["id", *jobs.ACCOUNT_COLUMNS, "eff_seq", "end_seq", "eff_ts", "end_ts", "loaded", "update_tms"]
 LAST_COLUMNS = ["id", "seq", "ts", *jobs.ACCOUNT_COMPARE]
+#: The order that a batch is applied in: what is there already comes before every row of the
+#: batch, the batch's rows go by ``seq``.
+PLACE = "_dw_place"
 
 
-def events_schema(spark: SparkSession, sf_dir: str) -> T.StructType:
-    return spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
+def table_stream(spark: SparkSession, sf_dir: str, table: str, *, source_dir: str | None = None, glob: str | None = None,
+                 max_files_per_trigger: int = 1) -> DataFrame:
+    """A given table as a stream: ``<sf_dir>/<table>.parquet``, a file or a folder of part
+    files, or the files of another folder."""
+    path = posixpath.join(sf_dir, f"{table}.parquet")
+    # The source wants a folder, or a pattern, which may as well name one file.
+    pattern = posixpath.join(sf_dir, f"[{table[0]}]{table[1:]}.parquet")
+    return open_files(spark, source_dir or pattern, spark.read.parquet(path).schema,
+                      max_files_per_trigger=max_files_per_trigger, glob=glob)
+
+
+def semi(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose key is (or with ``left_anti`` isn't) among ``keys``; a null key is a key."""
+    k = keys.select(F.col(key).alias("_dw_touched_key"))
+    return df.join(k, df[key].eqNullSafe(k["_dw_touched_key"]), how)
+
+
+def place_before(df: DataFrame, first: DataFrame, key: str, seq: str) -> DataFrame:
+    """``df`` with its place: its own order, or just before the batch's first row of its key
+    (``first``: key, _dw_first) where that is earlier."""
+    f = first.select(F.col(key).alias("_dw_first_key"), "_dw_first")
+    x = df.join(f, df[key].eqNullSafe(f["_dw_first_key"]))
+    return x.withColumn(PLACE, F.least(F.col(seq), F.col("_dw_first") - 1)).drop("_dw_first_key", "_dw_first")
+
+
+def split_late(batch: DataFrame, newest: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(on time, late): late rows aren't after the last event applied for their key (``newest``:
+    key, _dw_newest)."""
+    n = newest.select(F.col(key).alias("_dw_newest_key"), "_dw_newest")
+    tagged = batch.join(n, batch[key].eqNullSafe(n["_dw_newest_key"]), "left").drop("_dw_newest_key")
+    is_late = F.col("_dw_newest").isNotNull() & (F.col("seq") <= F.col("_dw_newest"))
+    return tagged.filter(~is_late).drop("_dw_newest"), tagged.filter(is_late).drop("_dw_newest")
 
 
 def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame) -> None:
@@ -41,72 +74,113 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
     dim = seed.select(*[c for c in seed.columns], F.lit(False).alias("loaded"),
                       F.lit(None).cast("timestamp_ntz").alias("update_tms")).select(*DIM_COLUMNS)
     spark = seed.sparkSession
-    late = spark.createDataFrame([], account_events.select(*LAST_COLUMNS, "ccy").schema)
+    late = spark.createDataFrame([], account_events.select(*LAST_COLUMNS).schema)
     store.write(0, {"dim": dim}, empty={"last": account_events.select(*LAST_COLUMNS).schema}, plain={"late": late})
 
 
 def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_rows: int,
-                  metrics: list | None = None):
-    """The ``foreachBatch`` body: version ``b`` + batch ``b`` -> version ``b + 1``."""
+                  metrics: list | None = None, late: str = "apply"):
+    """The ``foreachBatch`` body: version ``b`` + batch ``b`` -> version ``b + 1``.
+
+    ``late``: events that are older than the last one applied for their key are applied in the
+    order in which they arrive (``apply``), or set aside in the version's ``late`` table, which
+    ``late_rows`` reads, and counted in ``metrics`` (``divert``)."""
+    if late not in ("apply", "divert"):
+        raise ValueError(f"unknown late rule {late!r}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # The batch is read several times below; keep it for the duration of the batch.
-        batch = batch.select(*LAST_COLUMNS, "ccy").persist()
+        batch = batch.select(*LAST_COLUMNS).persist()
         # Only the buckets holding this batch's keys are read and rewritten.
         buckets = store.touched_buckets(batch.select("id"))
         dim, last = store.read(batch_id, "dim", buckets), store.read(batch_id, "last", buckets)
         touched = batch.select("id").distinct()
-        dim_t, dim_u = dim.join(touched, "id", "left_semi"), dim.join(touched, "id", "left_anti")
-        last_t, last_u = last.join(touched, "id", "left_semi"), last.join(touched, "id", "left_anti")
-        # Late: not after the last event already applied for its key.  Such rows are
-        # kept aside (version's ``late`` table) instead of rewriting history.
-        tagged = batch.join(last_t.select("id", F.col("seq").alias("_dw_last_seq")), "id", "left")
-        is_late = F.col("_dw_last_seq").isNotNull() & (F.col("seq") <= F.col("_dw_last_seq"))
-        late = tagged.filter(is_late).drop("_dw_last_seq")
-        ev = tagged.filter(~is_late).drop("_dw_last_seq")
-        ev2 = ev.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
-        v = jobs.account_versions(ev2, dim_t, az, accr, prior=last_t, chunk_rows=chunk_rows,
-                                  extra_columns=("loaded", "update_tms"))
+        dim_u, last_u = semi(dim, touched, "id", "left_anti"), semi(last, touched, "id", "left_anti")
+        last_t = semi(last, touched, "id")
+        on_time, aside = batch, batch.limit(0)
+        if late == "divert":
+            on_time, aside = split_late(batch, last_t.select("id", F.col("seq").alias("_dw_newest")), "id")
+        first = batch.groupBy("id").agg(F.min("seq").alias("_dw_first"))
+        prior = place_before(last_t, first, "id", "seq")
+        dim_t = place_before(dim, first, "id", "eff_seq").withColumnRenamed(PLACE, f"eff_{PLACE}").withColumn(
+            f"end_{PLACE}", F.col("end_seq"))
+        ev = on_time.withColumns({"loaded": F.lit(True), "update_tms": F.lit(None).cast("timestamp_ntz"), PLACE: F.col("seq")})
+        v = jobs.account_versions(ev, dim_t, az, accr, prior=prior, chunk_rows=chunk_rows, order=[PLACE],
+                                  bounds=[PLACE, *jobs.BOUNDS], extra_columns=("loaded", "update_tms"))
         new_t = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
         new_dim = new_t.select(*DIM_COLUMNS).unionByName(dim_u.select(*DIM_COLUMNS))
-        last_rows = last_t.select(*LAST_COLUMNS).unionByName(ev.select(*LAST_COLUMNS))
-        new_last = (last_rows.groupBy("id").agg(F.max_by(F.struct(*LAST_COLUMNS[1:]), F.col("seq")).alias("r"))
+        last_rows = (last_t.select(*LAST_COLUMNS, F.lit(0).alias("_dw_new"))
+                     .unionByName(on_time.select(*LAST_COLUMNS, F.lit(1).alias("_dw_new"))))
+        new_last = (last_rows.groupBy("id").agg(F.max_by(F.struct(*LAST_COLUMNS[1:]), F.struct("_dw_new", "seq")).alias("r"))
                     .select("id", "r.*").unionByName(last_u.select(*LAST_COLUMNS)))
-        obs = Observation(f"load_{batch_id}")
+        obs, seen = Observation(f"load_{batch_id}"), Observation(f"late_{batch_id}")
         new_dim = new_dim.observe(obs, F.count(F.lit(1)).alias("rows"),
                                   F.sum(F.col("loaded").cast("int")).alias("loaded_rows"))
-        store.write(batch_id + 1, {"dim": new_dim, "last": new_last}, touched=buckets, plain={"late": late},
+        aside = aside.observe(seen, F.count(F.lit(1)).alias("late_rows"))
+        store.write(batch_id + 1, {"dim": new_dim, "last": new_last}, touched=buckets, plain={"late": aside},
                     base=batch_id)
         batch.unpersist()
         if metrics is not None:
-            metrics.append({"batch": batch_id, **obs.get})
+            metrics.append({"batch": batch_id, **obs.get, **seen.get})
 
     return apply
 
 
+def late_rows(store: VersionedStore) -> DataFrame:
+    """Every row that any batch set aside, with its version."""
+    parts = [store.read(v, "late").withColumn("version", F.lit(v)) for v in range((store.latest() or 0) + 1)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                       glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       metrics: list | None = None, buckets: int | None = None,
-                       trigger: dict | None = None) -> VersionedStore:
-    """Run the account stream (see ``streaming.triggers`` for ``trigger``)."""
+                       glob: str | None = None, max_files_per_trigger: int = 1,
+                       metrics: list | None = None, buckets: int | None = None, events: DataFrame | None = None,
+                       late: str = "apply", trigger: dict | None = None) -> VersionedStore:
+    """Run the account stream (see ``streaming.triggers`` for ``trigger``).  ``events``: any
+    streaming account events (id, seq, ts and the compared fields) instead of the given table."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
     if store.latest() is None:
         seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
-    src = open_files(spark, source_dir or sf_dir, events_schema(spark, sf_dir),
-                     max_files_per_trigger=max_files_per_trigger, glob=glob)
-    events = fx.account_events_from(src)
+    if events is None:
+        events = fx.account_events_from(table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob,
+                                                     max_files_per_trigger=max_files_per_trigger))
     handler = account_batch(store, fx.fx_az(spark, sf_dir), fx.fx_accr(spark, sf_dir), chunk_rows_of(spark),
-                            metrics)
+                            metrics, late)
     start(events.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")),
           trigger)
     return store
 
 
+def run_account_messages(spark: SparkSession, messages: DataFrame, sf_dir: str, root: str, *,
+                         required: Sequence[str] = ("id", "prtCode", "opType"), metrics: list | None = None,
+                         buckets: int | None = None, late: str = "apply",
+                         trigger: dict | None = None) -> tuple[VersionedStore, str]:
+    """The account load from a stream of messages (``value`` text, ``seq``, ``ts``; for example
+    ``open_topic`` with its offset and timestamp under these names): decoded by the entity's
+    schema, dead letters appended to a folder of their own, the rest loaded.  Returns the store
+    and the dead letters' folder.  Each batch writes its dead letters under its id, so a batch
+    that is run again writes the same files."""
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
+    if store.latest() is None:
+        seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
+    load = account_batch(store, fx.fx_az(spark, sf_dir), fx.fx_accr(spark, sf_dir), chunk_rows_of(spark), metrics, late)
+    folder = posixpath.join(root, "dead")
+
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        good, dead = decode(batch, message_text(batch), ACCOUNT_EVENT, required=required, keep=["seq", "ts"])
+        dead.write.mode("overwrite").parquet(posixpath.join(folder, f"batch={batch_id}"))
+        events = jobs.account_events_from_messages(good).withColumn("id", F.col("id").cast("bigint"))
+        load(events, batch_id)
+
+    start(messages.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")), trigger)
+    return store, folder
+
+
 def account_stream_layout(dim: DataFrame) -> DataFrame:
-    return dim.select(
-        F.col("id").alias("account_no"), "account_type", "ccy", "cr_gl", F.col("rate").cast("double").alias("rate"),
-        "record_stat", "eff_seq", "end_seq", F.col("eff_ts").alias("eff_dt"), F.col("end_ts").alias("end_dt"),
-        "update_tms", F.col("loaded").alias(IS_NEW))
+    return jobs.account_dimension_layout(dim, F.col("update_tms"), "loaded")
 
 
 # ------------------------------------------------------------------ keyed state (STA-1)
@@ -139,11 +213,10 @@ def stateful_changes(stream: DataFrame, key: str, order: Sequence[str], compare:
 
 
 def run_stateful_changes(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                         glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
+                         glob: str | None = None, max_files_per_trigger: int = 1,
                          trigger: dict | None = None) -> str:
-    src = open_files(spark, source_dir or sf_dir, events_schema(spark, sf_dir),
-                     max_files_per_trigger=max_files_per_trigger, glob=glob)
-    acc = fx.account_events_from(src).select("seq", "id", "prt_code", "ccy", "op_type", "ts")
+    src = table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    acc = fx.account_events_from(src).select(*LAST_COLUMNS)
     out = posixpath.join(root, "changes")
     start(stateful_changes(acc, "id", jobs.ORDER, jobs.ACCOUNT_COMPARE).writeStream.format("parquet")
           .option("path", out).option("checkpointLocation", posixpath.join(root, "checkpoint"))

@@ -7,10 +7,9 @@ stream is a stateless append with the file sink's exactly-once log.
 
 from __future__ import annotations
 
-import os
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.operators.facts import teller_to_fact
@@ -22,7 +21,7 @@ from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.schemas import MONEY
 from dimweave.session import ensure_checkpoint_dir
-from dimweave.sources.streams import open_files
+from dimweave.streaming.jobs import PLACE, place_before, semi, split_late, table_stream
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
 
@@ -32,10 +31,6 @@ FIRST_PRODUCT_KEY = 1
 BEFORE_COLUMNS = ["seq", "account_no", "source", "rate", "rate_before"]
 
 
-def _schema(spark: SparkSession, sf_dir: str, table: str):
-    return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet")).schema
-
-
 def _run(stream: DataFrame, handler, root: str, trigger: dict | None) -> None:
     start(stream.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")),
           trigger)
@@ -43,34 +38,41 @@ def _run(stream: DataFrame, handler, root: str, trigger: dict | None) -> None:
 
 # ------------------------------------------------------------------ products
 def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                       glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
-                       buckets: int | None = None, trigger: dict | None = None) -> VersionedStore:
+                       glob: str | None = None, max_files_per_trigger: int = 1, metrics: list | None = None,
+                       buckets: int | None = None, events: DataFrame | None = None, late: str = "apply",
+                       trigger: dict | None = None) -> VersionedStore:
+    """``events``: any streaming product events instead of the given table; ``late``: as in
+    ``streaming.jobs.account_batch``."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="product_no", buckets=buckets)
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
             "*", F.lit(False).alias("loaded"), F.lit(None).cast("timestamp_ntz").alias("update_tms"))
         # Existing rows keep their (unknown here) warehouse keys; new ones get the sequence.
         seed = seed.withColumn("pd_dim_id", F.lit(None).cast("bigint"))
-        late = spark.createDataFrame([], jobs.product_rows(fx.fx_product(spark, sf_dir)).schema)
-        store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)}, plain={"late": late})
+        rows = jobs.product_rows(fx.fx_product(spark, sf_dir))
+        store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)}, empty={"last": rows.select("product_no", "seq").schema},
+                    plain={"late": spark.createDataFrame([], rows.schema)})
     chunk_rows = chunk_rows_of(spark)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = jobs.product_rows(batch).persist()
         touched_buckets = store.touched_buckets(batch.select("product_no"))
-        dim = store.read(batch_id, "dim", touched_buckets)
+        dim, last = store.read(batch_id, "dim", touched_buckets), store.read(batch_id, "last", touched_buckets)
         touched = batch.select("product_no").distinct()
-        dim_t, dim_u = dim.join(touched, "product_no", "left_semi"), dim.join(touched, "product_no", "left_anti")
-        # Late: not after the newest version of its key; kept aside, history is not rewritten.
-        newest = dim_t.groupBy("product_no").agg(F.max("eff_seq").alias("_dw_newest"))
-        tagged = batch.join(newest, "product_no", "left")
-        is_late = F.col("_dw_newest").isNotNull() & (F.col("seq") <= F.col("_dw_newest"))
-        late = tagged.filter(is_late).drop("_dw_newest")
-        on_time = tagged.filter(~is_late).drop("_dw_newest")
-        ev = (on_time.withColumn("loaded", F.lit(True)).withColumn("update_tms", F.lit(None).cast("timestamp_ntz"))
-              .withColumn("pd_dim_id", F.lit(None).cast("bigint")))
-        v = scd2_versions(ev, ["product_no"], jobs.ORDER, jobs.PRODUCT_ATTRS,
-                          [*jobs.PRODUCT_ATTRS, "loaded", "update_tms", "pd_dim_id"], bounds=jobs.BOUNDS, seed=dim_t,
+        dim_u, last_u = semi(dim, touched, "product_no", "left_anti"), semi(last, touched, "product_no", "left_anti")
+        last_t = semi(last, touched, "product_no")
+        on_time, aside = batch, batch.limit(0)
+        if late == "divert":
+            on_time, aside = split_late(batch, last_t.select("product_no", F.col("seq").alias("_dw_newest")), "product_no")
+        new_last = (last_t.unionByName(on_time.select("product_no", "seq")).groupBy("product_no").agg(F.max("seq").alias("seq"))
+                    .unionByName(last_u))
+        first = batch.groupBy("product_no").agg(F.min("seq").alias("_dw_first"))
+        dim_t = place_before(dim, first, "product_no", "eff_seq").withColumnRenamed(PLACE, f"eff_{PLACE}").withColumn(
+            f"end_{PLACE}", F.col("end_seq"))
+        ev = on_time.withColumns({"loaded": F.lit(True), "update_tms": F.lit(None).cast("timestamp_ntz"),
+                                  "pd_dim_id": F.lit(None).cast("bigint"), PLACE: F.col("seq")})
+        v = scd2_versions(ev, ["product_no"], [PLACE], jobs.PRODUCT_ATTRS,
+                          [*jobs.PRODUCT_ATTRS, "loaded", "update_tms", "pd_dim_id"], bounds=[PLACE, *jobs.BOUNDS], seed=dim_t,
                           compare_with_seed=True, close="standard", chunk_rows=chunk_rows)
         v = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
         # The batch's versions feed two branches (new rows get keys, existing rows keep
@@ -87,13 +89,18 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         new_dim = (keyed.select(*PRODUCT_DIM_COLUMNS)
                    .unionByName(v.filter(~F.col(IS_NEW)).select(*PRODUCT_DIM_COLUMNS))
                    .unionByName(dim_u.select(*PRODUCT_DIM_COLUMNS)))
-        store.write(batch_id + 1, {"dim": new_dim}, touched=touched_buckets, plain={"late": late}, base=batch_id,
-                    values={"next_pd_dim_id": start + n_new})
+        obs = Observation(f"product_late_{batch_id}")
+        aside = aside.observe(obs, F.count(F.lit(1)).alias("late_rows"))
+        store.write(batch_id + 1, {"dim": new_dim, "last": new_last}, touched=touched_buckets, plain={"late": aside},
+                    base=batch_id, values={"next_pd_dim_id": start + n_new})
         batch.unpersist()
+        if metrics is not None:
+            metrics.append({"batch": batch_id, "new_versions": n_new, **obs.get})
 
-    src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "events"),
-                     max_files_per_trigger=max_files_per_trigger, glob=glob)
-    _run(fx.product_events_from(src), apply, root, trigger)
+    if events is None:
+        events = fx.product_events_from(table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob,
+                                                     max_files_per_trigger=max_files_per_trigger))
+    _run(events, apply, root, trigger)
     return store
 
 
@@ -104,7 +111,7 @@ def product_stream_layout(dim: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ rates
 def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                    glob: str | None = "events.parquet", max_files_per_trigger: int = 1,
+                    glob: str | None = None, max_files_per_trigger: int = 1,
                     buckets: int | None = None, metrics: list | None = None,
                     trigger: dict | None = None) -> VersionedStore:
     """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
@@ -124,7 +131,7 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
         touched_buckets = store.touched_buckets(batch.select("account_no"))
         dim = store.read(batch_id, "rates", touched_buckets)
         touched = batch.select("account_no").distinct()
-        dim_t, dim_u = dim.join(touched, "account_no", "left_semi"), dim.join(touched, "account_no", "left_anti")
+        dim_t, dim_u = semi(dim, touched, "account_no"), semi(dim, touched, "account_no", "left_anti")
         before = rates_before(batch, dim_t, key="account_no", order=["seq"], dim_key="account_no",
                               dim_rate="rate", chunk_rows=chunk_rows).select(*BEFORE_COLUMNS)
         final = rates_final(batch, dim_t, key="account_no", order=["seq"], dim_key="account_no", dim_rate="rate")
@@ -139,10 +146,9 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
             metrics.append({"batch": batch_id, **m.asDict()})
         batch.unpersist()
 
-    schema = _schema(spark, sf_dir, "events")
     streams = []
     for event_type, source in (("purchase", OVERWRITE), ("click", FILL)):
-        src = open_files(spark, source_dir or sf_dir, schema, max_files_per_trigger=max_files_per_trigger, glob=glob)
+        src = table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob, max_files_per_trigger=max_files_per_trigger)
         streams.append(normalise_rate_events(fx.rate_source_from(src, event_type), key="account", rate="amount",
                                              source=source, order=["seq"]))
     _run(rate_events(*streams), apply, root, trigger)
@@ -160,12 +166,14 @@ def rate_stream_before(store: VersionedStore) -> DataFrame:
 
 # ------------------------------------------------------------------ facts
 def run_fact_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                    glob: str | None = "orders.parquet", max_files_per_trigger: int = 1,
+                    glob: str | None = None, max_files_per_trigger: int = 1, tellers: DataFrame | None = None,
                     trigger: dict | None = None) -> str:
-    """Teller rows -> fact rows, appended with the file sink's exactly-once log."""
-    src = open_files(spark, source_dir or sf_dir, _schema(spark, sf_dir, "orders"),
-                     max_files_per_trigger=max_files_per_trigger, glob=glob)
-    facts = teller_to_fact(fx.teller_from(src), fx.fx_customer_dim(spark, sf_dir), dim_key="c_custkey",
+    """Teller rows -> fact rows, appended with the file sink's exactly-once log.  ``tellers``:
+    any streaming teller rows instead of the given table."""
+    if tellers is None:
+        tellers = fx.teller_from(table_stream(spark, sf_dir, "orders", source_dir=source_dir, glob=glob,
+                                              max_files_per_trigger=max_files_per_trigger))
+    facts = teller_to_fact(tellers, fx.fx_customer_dim(spark, sf_dir), dim_key="c_custkey",
                            dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
     out = posixpath.join(root, "facts")
     start(facts.writeStream.format("parquet").option("path", out)

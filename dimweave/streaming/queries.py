@@ -3,14 +3,26 @@ returns the resulting table)."""
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.plans import fixtures as fx
+from dimweave.plans.catalogue import ORACLE_SQL, account_messages_sql
 from dimweave.session import work_dir
-from dimweave.streaming.jobs import account_stream_layout, run_account_stream, run_stateful_changes
-from dimweave.streaming.loaders import product_stream_layout, run_fact_stream, run_product_stream, run_rate_stream
+from dimweave.streaming.jobs import (
+    account_stream_layout,
+    run_account_messages,
+    run_account_stream,
+    run_stateful_changes,
+    table_stream,
+)
+from dimweave.streaming.loaders import (
+    product_stream_layout,
+    rate_stream_before,
+    run_fact_stream,
+    run_product_stream,
+    run_rate_stream,
+)
 
 
 def s01_account_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -19,19 +31,8 @@ def s01_account_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def s02_stateful_changes(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(run_stateful_changes(spark, d, work_dir(spark, "s02")))
-
-
-def s03_replay(spark: SparkSession, d: str) -> DataFrame:
-    """Run the stream, take the last batch's commit out of the checkpoint (as after a
-    crash between the write and the commit), run again: the batch is redone with the
-    same id and rewrites the same version."""
-    root = work_dir(spark, "s03")
-    store = run_account_stream(spark, d, root)
-    last_batch = store.latest() - 1
-    store.delete(posixpath.join(root, "checkpoint", "commits", str(last_batch)))
-    store = run_account_stream(spark, d, root)
-    return account_stream_layout(store.read_latest("dim"))
+    changes = spark.read.parquet(run_stateful_changes(spark, d, work_dir(spark, "s02")))
+    return changes.select("seq", "id", "prt_code", "ccy", "op_type", "ts")
 
 
 def s04_product_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -44,6 +45,31 @@ def s05_rate_stream(spark: SparkSession, d: str) -> DataFrame:
     return store.read_latest("rates").select("account_no", F.col("rate").cast("double").alias("rate"))
 
 
+def s05b_rates_before(spark: SparkSession, d: str) -> DataFrame:
+    r = rate_stream_before(run_rate_stream(spark, d, work_dir(spark, "s05b")))
+    return r.select("seq", "account_no", "source", F.col("rate").cast("double").alias("rate"),
+                    F.col("rate_before").cast("double").alias("rate_before"))
+
+
+def _messages(spark: SparkSession, d: str) -> DataFrame:
+    events = table_stream(spark, d, "events")
+    return fx.account_messages_from(events).select("value", F.col("key").cast("bigint").alias("seq"),
+                                                   F.timestamp_seconds(F.col("key").cast("bigint")).cast("timestamp_ntz").alias("ts"))
+
+
+def s07_account_messages(spark: SparkSession, d: str) -> DataFrame:
+    """From message text to the account dimension."""
+    store, _ = run_account_messages(spark, _messages(spark, d), d, work_dir(spark, "s07"))
+    return account_stream_layout(store.read_latest("dim")).select("account_no", "account_type", "ccy", "rate", "record_stat",
+                                                                  "account_class", "eff_seq", "end_seq", "is_new")
+
+
+def s08_account_dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """The same load's dead letters."""
+    _, folder = run_account_messages(spark, _messages(spark, d), d, work_dir(spark, "s08"))
+    return spark.read.parquet(folder).select("seq", "reason")
+
+
 def s06_fact_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(run_fact_stream(spark, d, work_dir(spark, "s06")))
 
@@ -51,8 +77,22 @@ def s06_fact_stream(spark: SparkSession, d: str) -> DataFrame:
 STREAM_QUERIES = {
     "s01_account_stream": s01_account_stream,
     "s02_stateful_changes": s02_stateful_changes,
-    "s03_replay": s03_replay,
     "s04_product_stream": s04_product_stream,
     "s05_rate_stream": s05_rate_stream,
+    "s05b_rates_before": s05b_rates_before,
     "s06_fact_stream": s06_fact_stream,
+    "s07_account_messages": s07_account_messages,
+    "s08_account_dead_letters": s08_account_dead_letters,
+}
+
+#: A stream that has read all its input holds the rows of its batch twin.
+STREAM_SQL = {
+    "s01_account_stream": ORACLE_SQL["q09_account_scd2"],
+    "s02_stateful_changes": ORACLE_SQL["q06_account_changes"],
+    "s04_product_stream": ORACLE_SQL["q12_product_scd2"],
+    "s05_rate_stream": ORACLE_SQL["q15_rates_final"],
+    "s05b_rates_before": ORACLE_SQL["q14_rates_before"],
+    "s06_fact_stream": ORACLE_SQL["q17_fact_rows"],
+    "s07_account_messages": account_messages_sql(),
+    "s08_account_dead_letters": "SELECT event_id AS seq, 'missing:prtCode' AS reason FROM events WHERE event_id % 50 = 0",
 }

@@ -28,7 +28,7 @@ BUCKET = "_dw_bucket"
 #: Buckets of a store unless its maker says otherwise: choose about as many as a micro-batch
 #: should be able to rewrite apart from each other.  A bucket of any size is written by as many
 #: tasks as its rows need.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def bucket_of(key: Column | str, buckets: int) -> Column:

@@ -17,3 +17,13 @@ def test_dense_unique_ordered(spark, chunk_rows):
     expected = sorted(rows, key=lambda r: (r[0] % 4, r[0], r[1]))
     assert [sk for sk, _, _ in res] == list(range(100, 100 + len(rows)))
     assert [(k, s) for _, k, s in res] == expected
+
+
+def test_text_and_null_keys_are_numbered(spark):
+    rows = [("a", 1), ("a", 2), (None, 3), (None, 4), ("b", 5)]
+    df = spark.createDataFrame(rows, "k string, o long")
+    out = assign_surrogate_keys(df, "k", ["o"], out="sk", start=10, buckets=3).collect()
+    assert sorted(r.sk for r in out) == [10, 11, 12, 13, 14]
+    assert {(r.k, r.o) for r in out} == set(rows)
+    nulls = sorted((r.o, r.sk) for r in out if r.k is None)
+    assert nulls[1][1] == nulls[0][1] + 1
