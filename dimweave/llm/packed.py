@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.words import buffer_of, slices
+from dimweave.llm.words import buffer_of, mix, slices
 from dimweave.session import ensure_checkpoint_dir
 
 CHUNK_BYTES = 4 << 20
@@ -208,7 +208,8 @@ class Windows:
         begin = np.flatnonzero(cut)
         self.start = v[begin]  # first window of each run
         self.count = np.diff(np.append(begin, len(v)))  # windows of each run
-        self.key = self.least[self.start]
+        # least hashes lie near 0: mixed again, they spread over all buckets
+        self.key = mix(self.least[self.start])
         self.grams = grams
 
     def minimisers(self) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +220,7 @@ class Windows:
         shown = np.where(self.valid, self.least, np.uint64(0))
         shown = sliding(np.maximum, shown[::-1], self.width)[::-1]  # the greatest least of the windows over a gram
         hit = np.flatnonzero((shown == self.grams) & (sliding(np.maximum, self.valid[::-1].view(np.uint8), self.width)[::-1] > 0))
-        keys, counts = np.unique(self.grams[hit], return_counts=True)
+        keys, counts = np.unique(mix(self.grams[hit]), return_counts=True)
         return keys, counts > 1
 
 

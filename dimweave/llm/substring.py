@@ -29,7 +29,7 @@ from dimweave.llm import packed
 from dimweave.llm.packed import Chunk, Pieces, Windows, covered, runs
 from dimweave.llm.words import Words, ranges, words_of
 
-SIZE, GRAM = 35, 5
+SIZE, GRAM = 35, 8
 #: Bytes of corpus for each shard; what travels is a small part of it.
 SHARD_BYTES = 8 << 20
 OUT = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>"
