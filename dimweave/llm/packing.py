@@ -169,13 +169,16 @@ def shortest_pack_first(histogram: Mapping[int, int], max_len: int) -> list[tupl
         left = histogram[length]
         while left:
             room = max((r for r, packs in by_room.items() if packs and r >= length), default=None)
-            if room is None:
-                count, pack, room = left, (), max_len
-            else:
-                count, pack = by_room[room].pop()
-                if count > left:
-                    by_room[room].append((count - left, pack))
-                    count = left
+            if room is None:  # new packs, each with as many of this length as it takes
+                copies = min(left, max_len // length)
+                count, pack, room = left // copies, (length,) * copies, max_len - length * copies
+                by_room.setdefault(room, []).append((count, pack))
+                left -= count * copies
+                continue
+            count, pack = by_room[room].pop()
+            if count > left:
+                by_room[room].append((count - left, pack))
+                count = left
             by_room.setdefault(room - length, []).append((count, (*pack, length)))
             left -= count
     return [x for room in sorted(by_room) for x in by_room[room]]
