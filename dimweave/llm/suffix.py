@@ -40,7 +40,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     key = words_at(text, big_endian=True)[:n].astype(np.uint64)
     order = np.argsort(key, kind="stable")
-    new = np.ones(n, bool)
+    new = np.ones(n, bool)  # places where a group begins
     new[1:] = key[order[1:]] != key[order[:-1]]
     rank = np.empty(n, np.int64)
     starts = np.flatnonzero(new)
@@ -65,7 +65,8 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         split[1:] = (own[1:] != own[:-1]) | (far[1:] != far[:-1])
         begin = place[split]
         rank[pos] = begin[np.cumsum(split) - 1]
-        starts = np.union1d(starts, begin)
+        new[begin] = True
+        starts = np.flatnonzero(new)
         known *= 2
     return order, rank
 
