@@ -3,7 +3,9 @@
 1. Examples: up to ``EXAMPLES`` labelled training documents of each class, and up to
    ``CALIBRATION`` others as they come, all by the hash of their id: a bounded sample of the
    labelled rows, and the only bound here.
-2. Vocabulary: terms that the two classes of examples use differently (chi-squared).  Their
+2. Vocabulary: terms that the two classes of examples use differently (chi-squared, and a rate
+   in one class ``LEAST_LIFT`` times that in the other, so that common words, which say little
+   and would give every document long inverted lists, stay out).  Their
    document frequencies are counted over all documents.
 3. Every document is compared with the examples: the index keeps, for each term and block of
    examples, the largest weight; blocks are scored in the order of their upper bound until no
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 from dimweave.llm.words import LOWER, NO_TERM, buffer_of, slices, words_of
 
 EXAMPLES, CALIBRATION = 2_048, 6_144
-VOCABULARY, LEAST_CHI2, LEAST_SHARE = 1_024, 10.83, 0.005
+VOCABULARY, LEAST_CHI2, LEAST_DOCS, LEAST_LIFT = 1_024, 25.0, 3, 2.5
 NEIGHBOURS, BLOCK, LEAST_DISTANCE = 15, 32, 0.02
 THRESHOLD = 0.3
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
@@ -227,11 +229,12 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -
     n0, n1 = size.get(0, 0), size.get(1, 0)
     a, b = F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))
     df = examples.mapInArrow(_terms, "h long, toxic int").groupBy("h").agg(a.alias("a"), b.alias("b"))
-    least = max(2, LEAST_SHARE * (n0 + n1))
     n, c, d = n0 + n1, n1 - F.col("a"), n0 - F.col("b")
     den = (F.col("a") + F.col("b")) * (c + d) * F.lit(n1) * F.lit(n0)
     chi2 = F.when(den > 0, n * (F.col("a") * d - F.col("b") * c).cast("double") ** 2 / den).otherwise(0.0)
-    picked = (df.filter(F.col("a") + F.col("b") >= least).withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
+    lift = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("b") + 0.5) / (n0 + 1))
+    picked = (df.filter((F.col("a") + F.col("b") >= LEAST_DOCS) & ((lift >= LEAST_LIFT) | (lift <= 1 / LEAST_LIFT)))
+              .withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
               .orderBy(F.desc("chi2"), "h").limit(VOCABULARY).collect())
     vocabulary = np.sort(np.array([r["h"] for r in picked], np.int64).view(np.uint64))
 
