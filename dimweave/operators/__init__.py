@@ -9,7 +9,6 @@ from dimweave.operators.lookups import (  # noqa: F401
     dedupe_lookup,
     flag_known,
     priority_lookup,
-    version_actions,
 )
 from dimweave.operators.ordered import assign_chunks, drop_scan_columns, keyed_scan  # noqa: F401
 from dimweave.operators.rates import (  # noqa: F401

@@ -72,16 +72,3 @@ def current_versions(dim: DataFrame, keys: Sequence[str], end_col: str, eff_orde
     others = [c for c in dim.columns if c not in keys]
     pick = F.max_by(F.struct(*others), F.struct(*eff_order))
     return open_rows.groupBy(*keys).agg(pick.alias("_dw_row")).select(*keys, "_dw_row.*")
-
-
-def version_actions(first_events: DataFrame, current: DataFrame, keys: Sequence[str],
-                    compare: Sequence[str], out: str = "action") -> DataFrame:
-    """Decide per event against the key's current version: INSERT (no current version),
-    REPLACE (some compared value differs, null-safe) or NONE."""
-    cur = current.select(*keys, F.struct(*compare).alias("_dw_cur"), F.lit(True).alias("_dw_has"))
-    x = first_events.join(cur, list(keys), "left")
-    new = F.struct(*[F.col(c) for c in compare])
-    act = (F.when(F.col("_dw_has").isNull(), F.lit("INSERT"))
-           .when(F.col("_dw_cur").eqNullSafe(new), F.lit("NONE"))
-           .otherwise(F.lit("REPLACE")))
-    return x.withColumn(out, act).drop("_dw_cur", "_dw_has")

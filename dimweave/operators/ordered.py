@@ -60,9 +60,12 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], *,
 
 
 def _order_number(df: DataFrame, name: str) -> Column:
-    """The first order column as a double that never decreases with the order."""
+    """The first order column as a double that never decreases with the order; null for types
+    without one (text), whose keys then stay in one piece."""
     dt = df.schema[name].dataType
     c = F.col(name)
+    if not isinstance(dt, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.lit(None).cast("double")
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
     if isinstance(dt, T.DateType):

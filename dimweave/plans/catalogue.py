@@ -27,11 +27,14 @@ from dimweave.operators.rates import (
     rates_before,
     rates_final,
 )
+from dimweave.operators.scd2 import IS_NEW, TOUCHED
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.schemas import (
     ACCOUNT_EVENT,
     DIM_ACCOUNT_COLUMNS,
+    DIM_PRODUCT_COLUMNS,
+    FACT_TRANSACTION_COLUMNS,
     PRODUCT_EVENT,
     RATE_FILL_EVENT,
     RATE_OVERWRITE_EVENT,
@@ -179,8 +182,9 @@ def q16_product_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q17_fact_rows(spark: SparkSession, d: str) -> DataFrame:
-    return teller_to_fact(fx.fx_teller(spark, d), fx.fx_customer_dim(spark, d), dim_key="c_custkey",
-                          dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
+    facts = teller_to_fact(fx.fx_teller(spark, d), fx.fx_customer_dim(spark, d), dim_key="c_custkey",
+                           dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
+    return jobs.in_layout(facts, FACT_TRANSACTION_COLUMNS)
 
 
 def q18_messages(spark: SparkSession, d: str) -> DataFrame:
@@ -253,6 +257,18 @@ def q23_teller_messages(spark: SparkSession, d: str) -> DataFrame:
                           load_date=fx.FACT_LOAD_DATE)
 
 
+def q25_product_layout(spark: SparkSession, d: str) -> DataFrame:
+    """The product dimension in the warehouse's columns: new versions take the next keys of the
+    sequence, the rows that were there have theirs elsewhere (null here)."""
+    v = jobs.product_versions(fx.fx_product(spark, d), fx.fx_dim_product(spark, d), chunk_rows=chunk_rows_of(spark))
+    v = v.select("*", F.col("eff_ts").alias("eff_dt"), F.col("end_ts").alias("end_dt"),
+                 F.when(F.col(TOUCHED), F.col("end_ts")).alias("update_tms")).drop("eff_ts", "end_ts", TOUCHED)
+    keyed = assign_surrogate_keys(v.filter(F.col(IS_NEW)), "product_no", ["eff_seq"], out="pd_dim_id", start=SURROGATE_START,
+                                  buckets=SURROGATE_BUCKETS, chunk_rows=chunk_rows_of(spark))
+    rest = v.filter(~F.col(IS_NEW)).withColumn("pd_dim_id", F.lit(None).cast("bigint"))
+    return jobs.in_layout(keyed.unionByName(rest), DIM_PRODUCT_COLUMNS)
+
+
 def q24_dead_letter_reasons(spark: SparkSession, d: str) -> DataFrame:
     """Every reason: no text, malformed text, a required field missing."""
     e = driver_table(spark, d, "events")
@@ -290,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "q22_rate_messages": q22_rate_messages,
     "q23_teller_messages": q23_teller_messages,
     "q24_dead_letter_reasons": q24_dead_letter_reasons,
+    "q25_product_layout": q25_product_layout,
 }
 
 
@@ -528,6 +545,11 @@ FROM fx_product""",
 }
 
 ORACLE_SQL |= {
+    "q25_product_layout": "WITH v AS (\n" + _product_versions_sql(seeded=True) + f"""
+)
+SELECT CASE WHEN is_new THEN CAST(row_number() OVER (PARTITION BY is_new ORDER BY product_no % {SURROGATE_BUCKETS},
+    product_no, eff_seq) + {SURROGATE_START - 1} AS BIGINT) END AS pd_dim_id, *
+FROM v""",
     "q20_account_dimension_rates": _with(fx.FX_RATE_EVENTS_SQL, fx.FX_DIM_ACCOUNT_SQL, """agg AS (
   SELECT account_no,
     arg_max(rate, seq) FILTER (WHERE source = 'overwrite' AND rate IS NOT NULL) AS ow,

@@ -110,3 +110,11 @@ def test_beyond_the_broadcast_bound_joins_without_broadcast(spark, monkeypatch):
 def _model_pn(rows):
     m = _model(rows)
     return {seq: (p, n) for seq, (p, n, _, _) in m.items()}
+
+
+def test_text_order(spark):
+    """A text order column has no width to cut by: a hot key stays in one piece, with the same rows."""
+    rows = [(1, f"{i:03d}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, seq string, v int")
+    out = drop_scan_columns(keyed_scan(df, ["k"], ["seq"], prev={"p": F.col("v")}, chunk_rows=5))
+    assert {r.v: r.p for r in out.collect()} == {v: (v - 1 if v else None) for v in range(60)}
