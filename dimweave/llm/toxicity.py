@@ -2,11 +2,13 @@
 
 1. Examples: up to ``EXAMPLES`` labelled training documents of each class, and up to
    ``CALIBRATION`` others as they come, all by the hash of their id: a bounded sample of the
-   labelled rows, and the only bound here.
-2. Vocabulary: terms that the two classes of examples use differently (chi-squared, and a rate
-   in one class ``LEAST_LIFT`` times that in the other, so that common words, which say little
-   and would give every document long inverted lists, stay out).  Their
-   document frequencies are counted over all documents.
+   labelled rows.  Besides it, tasks hold 16 bytes for each distinct term of the corpus that
+   occurs in two documents or more.
+2. Vectors: every term of a text counts, with its tf-idf (document frequencies over all
+   documents) times a weight for how differently the two classes of examples use it: its
+   chi-squared, plus ``LEAST_WEIGHT`` for terms that say nothing or that no example holds.
+   Vectors have length 1 over all their terms.  The weight takes the place of a choice of terms:
+   by plain tf-idf the nearest example is the one on the same subject, toxic or not.
 3. Every document is compared with the examples: the index keeps, for each term and block of
    examples, the largest weight; blocks are scored in the order of their upper bound until no
    other block can reach the k nearest.  Nearest examples vote with the inverse of their
@@ -16,8 +18,8 @@
 Terms are runs of ASCII letters and non-ASCII characters, with A-Z lower-cased; every term of a
 text counts, whatever its length.
 
-Cases: a null or empty text, or one without a vocabulary term, has no neighbour and gets the
-rate of such calibration rows; without labels every score is 0; repeated rows get equal scores;
+Cases: a null or empty text, or one that shares no term with an example, has no neighbour and
+gets the rate of such calibration rows; without labels every score is 0; repeated rows get equal scores;
 a document labelled both ways counts as toxic; ties between examples go to the smaller id; an
 empty table gives an empty result; input columns named like a result column are replaced.
 """
@@ -29,14 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimweave.llm.words import LOWER, NO_TERM, buffer_of, slices, words_of
+from dimweave.llm.words import LOWER, NO_TERM, buffer_of, ranges, slices, words_of
 
 EXAMPLES, CALIBRATION = 2_048, 6_144
-VOCABULARY, LEAST_CHI2, LEAST_DOCS, LEAST_LIFT = 1_024, 25.0, 3, 2.5
+LEAST_WEIGHT = 0.25
+#: Distinct terms that a task counts before it hands them on.
+HELD_TERMS = 1 << 20
 NEIGHBOURS, BLOCK, LEAST_DISTANCE = 15, 32, 0.02
 THRESHOLD = 0.3
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
@@ -50,24 +55,32 @@ def crc_part(doc_id: Column, parts: int) -> Column:
 
 @dataclass
 class Sparse:
-    """Rows of (vocabulary number, count): ``row`` ascending."""
+    """Rows of (number of a term, count), ``row`` and in it ``term`` ascending; ``hashes``: the
+    terms, ascending."""
 
+    hashes: np.ndarray
     row: np.ndarray
     term: np.ndarray
     count: np.ndarray
 
 
-def term_counts(column: pa.Array, vocabulary: np.ndarray) -> Sparse:
-    """Occurrences of vocabulary terms (sorted hashes) in each text."""
+def term_counts(column: pa.Array) -> Sparse:
+    """Occurrences of terms in each text."""
     buffer, bounds = buffer_of(column)
     terms = words_of(LOWER[buffer], bounds, NO_TERM)
-    if not len(vocabulary) or not len(terms.start):
-        return Sparse(*(np.zeros(0, np.int64) for _ in range(3)))
-    h = terms.hashes()
-    at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-    known = vocabulary[at] == h
-    keys, count = np.unique(terms.text[known] * len(vocabulary) + at[known], return_counts=True)
-    return Sparse(keys // len(vocabulary), keys % len(vocabulary), count)
+    if not len(terms.start):
+        return Sparse(np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+    hashes, number = np.unique(terms.hashes(), return_inverse=True)
+    keys, count = np.unique(terms.text * len(hashes) + number, return_counts=True)
+    return Sparse(hashes, keys // len(hashes), keys % len(hashes), count)
+
+
+def find(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``known``, ascending, and whether it is there) of each hash."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return at, known[at] == hashes
 
 
 class BlockMaxIndex:
@@ -89,42 +102,50 @@ class BlockMaxIndex:
         cell = term * (-(-self.n // block) or 1) + row // block
         starts = np.flatnonzero(np.diff(cell, prepend=-1))
         top = np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0)
-        ends = np.append(starts[1:], len(row))
-        self.lists = []
-        for t in range(n_terms):
-            a, b = np.searchsorted(term[starts], [t, t + 1]) if len(starts) else (0, 0)
-            self.lists.append((row[starts[a:b]] // block, top[a:b], starts[a:b], ends[a:b]))
-        self.row, self.weight = row, weight
+        # the cells of term t are first[t]:first[t + 1]; a cell's postings end where the next begin
+        self.first = np.searchsorted(term[starts], np.arange(n_terms + 1))
+        self.blocks, self.top = (row[starts] // block).astype(np.int32), top
+        self.starts = np.append(starts, len(row))
+        self.row, self.weight = row.astype(np.int32), weight
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k examples of highest cosine over 0, as (cosine, example), best first."""
-        bound = np.zeros(-(-self.n // self.block) or 1)
-        cuts: dict[int, list] = {}
-        for t, w in zip(terms.tolist(), weights.tolist()):
-            blocks, top, lo, hi = self.lists[t]
-            bound[blocks] += w * top
-            for b, a, e in zip(blocks.tolist(), lo.tolist(), hi.tolist()):
-                cuts.setdefault(b, []).append((w, a, e))
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[k - 1][0] - 1e-9:
-                break
-            score = np.zeros(self.block)
-            for w, a, e in cuts[b]:
-                score[self.row[a:e] - b * self.block] += w * self.weight[a:e]
-            hit = np.flatnonzero(score)
-            best += zip((-np.round(score[hit], 9)).tolist(), self.order[hit + b * self.block].tolist())
-            best.sort()
-            del best[k:]
-        return [(-s, i) for s, i in best]
+        count = self.first[terms + 1] - self.first[terms]
+        cells, w = ranges(self.first[terms], count), np.repeat(weights, count)
+        blocks = self.blocks[cells]
+        bound = np.bincount(blocks, w * self.top[cells], -(-self.n // self.block) or 1)
+        by = np.argsort(-bound, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        turn = place[blocks]
+        score, who = np.zeros(0), np.zeros(0, np.int64)
+        lo, hi, live = 0, 2, np.count_nonzero(bound > 0)
+        while lo < live and (len(score) < k or bound[by[lo]] >= score[k - 1] - 1e-9):
+            now = (turn >= lo) & (turn < hi)
+            cell = cells[now]
+            size = self.starts[cell + 1] - self.starts[cell]
+            at = ranges(self.starts[cell], size)
+            new = np.round(np.bincount(self.row[at], np.repeat(w[now], size) * self.weight[at]), 9)
+            hit = np.flatnonzero(new)
+            score, who = np.concatenate([score, new[hit]]), np.concatenate([who, self.order[hit]])
+            if len(score) > k:
+                best = score >= np.partition(score, len(score) - k)[len(score) - k]
+                score, who = score[best], who[best]
+            best = np.lexsort((who, -score))[:k]
+            score, who = score[best], who[best]
+            lo, hi = hi, 3 * hi  # blocks are taken a few at first, then more at once
+        return list(zip(score.tolist(), who.tolist()))
 
 
 @dataclass
 class Model:
     """What tasks need: small, bounded by the parameters."""
 
-    vocabulary: np.ndarray
-    idf: np.ndarray
+    vocabulary: np.ndarray  # the examples' terms
+    weights: np.ndarray  # their idf times class weight
+    others: np.ndarray  # terms of no example, in two documents or more
+    other_weights: np.ndarray
+    least: float  # the weight of any other term
     index: BlockMaxIndex
     ids: np.ndarray
     toxic: np.ndarray
@@ -133,11 +154,19 @@ class Model:
     none: float  # the rate where there is no neighbour
 
     def vectors(self, counts: Sparse, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        w = (1 + np.log(np.maximum(counts.count, 1))) * self.idf[counts.term]
-        norm = np.sqrt(np.bincount(counts.row, w * w, n)) if n else w
-        w = w / norm[counts.row] if len(w) else w
-        cut = np.searchsorted(counts.row, np.arange(n + 1))
-        return [(counts.term[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+        """Unit vectors over all terms, of which those that an example holds are given."""
+        at, known = find(self.vocabulary, counts.hashes)
+        by_term = np.full(len(known), self.least)
+        by_term[known] = self.weights[at[known]]
+        other, there = find(self.others, counts.hashes)
+        by_term[there] = self.other_weights[other[there]]
+        w = (1 + np.log(counts.count)) * by_term[counts.term]
+        if len(w):
+            w = w / np.sqrt(np.bincount(counts.row, w * w, n))[counts.row]
+        given = known[counts.term]
+        row, term, w = counts.row[given], at[counts.term[given]], w[given]
+        cut = np.searchsorted(row, np.arange(n + 1))
+        return [(term[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
     def vote(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float | None, list[tuple[float, int]]]:
         near = self.index.nearest(*vector, NEIGHBOURS)
@@ -182,36 +211,38 @@ def _pick(labels: DataFrame, holdout: tuple[int, int]) -> dict[int, tuple[str, i
     return chosen | {r["doc_id"]: ("calibration", r["toxic"]) for r in rows}
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's distinct terms, as hashes."""
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many of the task's texts each term occurs, and without a term their number."""
+    n, known, df = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    batch = lambda h, n: pa.record_batch([h, pa.array(n)], ["h", "n"])
     for part in (p for b in batches for p in slices(b)):
-        buffer, bounds = buffer_of(part["text"])
-        terms = words_of(LOWER[buffer], bounds, NO_TERM)
-        pairs = np.unique(np.rec.fromarrays([terms.text, terms.hashes()])) if len(terms.start) else np.zeros(0, "i8,u8")
-        text, h = pairs[pairs.dtype.names[0]], pairs[pairs.dtype.names[1]]
-        yield pa.record_batch([pa.array(h.view(np.int64)), part["toxic"].take(pa.array(text))], ["h", "toxic"])
-
-
-def _frequencies(vocabulary: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, df = 0, np.zeros(len(vocabulary), np.int64)
-        for part in (p for b in batches for p in slices(b)):
-            n += part.num_rows
-            df += np.bincount(term_counts(part["text"], vocabulary).term, minlength=len(vocabulary))
-        yield pa.record_batch([pa.array(np.arange(-1, len(df))), pa.array(np.append(n, df))], ["term", "n"])
-
-    return run
+        n += part.num_rows
+        c = term_counts(part["text"])
+        both, number = np.unique(np.concatenate([known, c.hashes]), return_inverse=True)
+        own = np.bincount(c.term, minlength=len(c.hashes))
+        known, df = both, np.bincount(number, np.concatenate([df, own]), len(both)).astype(np.int64)
+        if len(known) > HELD_TERMS:
+            yield batch(pa.array(known.view(np.int64)), df)
+            known, df = known[:0], df[:0]
+    yield batch(pa.array(known.view(np.int64)), df)
+    yield batch(pa.array([None], pa.int64()), np.array([n]))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in (p for b in batches for p in slices(b)):
+        c = term_counts(part["text"])
+        cut = np.searchsorted(c.row, np.arange(part.num_rows + 1)).astype(np.int32)
+        arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (c.hashes.view(np.int64)[c.term], c.count)]
+        yield pa.record_batch([part["doc_id"], part["text_hash"], *arrays], ["doc_id", "text_hash", "terms", "counts"])
 
 
-def _projected(vocabulary: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for b in batches for p in slices(b)):
-            c = term_counts(part["text"], vocabulary)
-            cut = np.searchsorted(c.row, np.arange(part.num_rows + 1)).astype(np.int32)
-            arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (c.term, c.count)]
-            yield pa.record_batch([part["doc_id"], *arrays], ["doc_id", "terms", "counts"])
-
-    return run
+def class_weights(term: np.ndarray, toxic: np.ndarray, n_terms: int, n0: int, n1: int) -> np.ndarray:
+    """chi-squared of each term and the class, plus LEAST_WEIGHT; ``term`` and ``toxic`` of each
+    (example, term), and the number of examples of both classes."""
+    a, b = (np.bincount(term[toxic == y], minlength=n_terms).astype(float) for y in (1, 0))
+    c, d = n1 - a, n0 - b
+    den = (a + b) * (c + d) * n1 * n0
+    return np.where(den > 0, (n0 + n1) * (a * d - b * c) ** 2 / np.maximum(den, 1), 0) + LEAST_WEIGHT
 
 
 def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -> Model:
@@ -223,38 +254,43 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -
     # bounded by EXAMPLES and CALIBRATION, so broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(sample), "doc_id")
-    examples = texts.filter("use = 'example'").dropDuplicates(["text"]).select("text", "toxic")
-    by_class = examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()
-    size = {r["toxic"]: r["n"] for r in by_class}
-    n0, n1 = size.get(0, 0), size.get(1, 0)
-    a, b = F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))
-    df = examples.mapInArrow(_terms, "h long, toxic int").groupBy("h").agg(a.alias("a"), b.alias("b"))
-    n, c, d = n0 + n1, n1 - F.col("a"), n0 - F.col("b")
-    den = (F.col("a") + F.col("b")) * (c + d) * F.lit(n1) * F.lit(n0)
-    chi2 = F.when(den > 0, n * (F.col("a") * d - F.col("b") * c).cast("double") ** 2 / den).otherwise(0.0)
-    lift = (F.col("a") + 0.5) / (n1 + 1) / ((F.col("b") + 0.5) / (n0 + 1))
-    picked = (df.filter((F.col("a") + F.col("b") >= LEAST_DOCS) & ((lift >= LEAST_LIFT) | (lift <= 1 / LEAST_LIFT)))
-              .withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-              .orderBy(F.desc("chi2"), "h").limit(VOCABULARY).collect())
-    vocabulary = np.sort(np.array([r["h"] for r in picked], np.int64).view(np.uint64))
-
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_frequencies(vocabulary), "term long, n long")
-    df_all = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    n_docs = df_all.get(-1, 0)
-    idf = np.array([1 + np.log((1 + n_docs) / (1 + df_all.get(k, 0))) for k in range(len(vocabulary))])
-
-    rows = texts.select("doc_id", "text").mapInArrow(
-        _projected(vocabulary), "doc_id long, terms array<long>, counts array<long>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
-    ids = np.array([r["doc_id"] for r in rows], np.int64)
+    rows = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        _counted, "doc_id long, text_hash long, terms array<long>, counts array<long>").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
+    flat = lambda name: rows[name].combine_chunks().flatten().to_numpy() if len(rows) else np.zeros(0, np.int64)
+    ids, text_hash = rows["doc_id"].to_numpy(), rows["text_hash"].to_numpy()
+    size = pc.list_value_length(rows["terms"]).to_numpy() if len(rows) else np.zeros(0, np.int64)
+    hashes, number = np.unique(flat("terms").view(np.uint64), return_inverse=True)
+    counts = Sparse(hashes, np.repeat(np.arange(len(ids)), size), number, flat("counts"))
     toxic = np.array([chosen[d][1] for d in ids.tolist()], np.int64)
-    flat = lambda name: np.array([x for r in rows for x in r[name]], np.int64)
-    counts = Sparse(np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows]), flat("terms"), flat("counts"))
-    model = Model(vocabulary, idf, None, ids, toxic, np.zeros(0), np.zeros(0), 0.0)
-    vectors = model.vectors(counts, len(rows))
     used = np.array([chosen[d][0] == "example" for d in ids.tolist()], bool)
+    # the weights: each text among the examples counts once, toxic where one of its labels is
+    by = np.lexsort((1 - toxic, text_hash))
+    by = by[used[by]]
+    once = np.zeros(len(ids), bool)
+    once[by[np.flatnonzero(np.diff(text_hash[by], prepend=text_hash[by[:1]] - 1))]] = True
+    at = once[counts.row]
+    weight = class_weights(counts.term[at], toxic[counts.row[at]], len(hashes), int((1 - toxic[once]).sum()), int(toxic[once].sum()))
+    own = np.zeros(len(hashes), bool)
+    own[counts.term[used[counts.row]]] = True
+
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_frequencies, "h long, n long")
+    df = counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1 or h is null").toArrow()
+    n_docs = pc.sum(df.filter(pc.is_null(df["h"]))["n"]).as_py() or 0
+    df = df.filter(pc.is_valid(df["h"]))
+    held, n = df["h"].to_numpy().view(np.uint64), df["n"].to_numpy()
+    by = np.argsort(held)
+    held, n = held[by], n[by]
+    idf = lambda n: 1 + np.log((1 + n_docs) / (1 + n))
+    vocabulary = hashes[own]
+    place, there = find(held, vocabulary)
+    frequency = np.ones(len(vocabulary))  # a term that isn't held is in one document
+    frequency[there] = n[place[there]]
+    rest = ~find(vocabulary, held)[1]
+    model = Model(vocabulary, idf(frequency) * weight[own], held[rest], idf(n[rest]) * LEAST_WEIGHT, float(idf(1) * LEAST_WEIGHT),
+                  None, ids[used], toxic[used], np.zeros(0), np.zeros(0), 0.0)
+    vectors = model.vectors(counts, len(ids))
     model.index = BlockMaxIndex([vectors[i] for i in np.flatnonzero(used)], len(vocabulary))
-    model.ids, model.toxic = ids[used], toxic[used]
     votes = [(model.vote(vectors[i])[0], toxic[i]) for i in np.flatnonzero(~used)]
     none = [y for v, y in votes if v is None]
     model.none = float(np.mean(none)) if none else 0.0
@@ -266,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -
 def _score(model: Model, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "_t_text")):
-            counts = term_counts(part["_t_text"], model.vocabulary)
+            counts = term_counts(part["_t_text"])
             known: dict[bytes, tuple] = {}
             out = []
             for terms, weights in model.vectors(counts, part.num_rows):

@@ -56,6 +56,22 @@ def test_held_out_accuracy(spark):
     assert sum(e.toxic for e in one.evidence) > len(one.evidence) / 2
 
 
+def test_every_term_counts(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice([f"{a}{b}" for a in "klmnprst" for b in "aeiou"], 12)) + (f" vile{'xyzuv'[i // 8 % 5]}" if i % 8 == 0 else ""))
+            for i in range(1, 601)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id").withColumn("toxic", (F.col("doc_id") % 8 == 0).cast("int"))
+    out = toxicity.score(docs, toxicity.fit(docs, labels)).filter(toxicity.crc_part(F.col("doc_id"), 4) == 2).collect()
+    bad = [r.predicted for r in out if r.doc_id % 8 == 0]
+    good = [r.predicted for r in out if r.doc_id % 8]
+    assert sum(bad) >= 0.7 * len(bad) and sum(good) <= 0.1 * len(good), (sum(bad), len(bad), sum(good), len(good))
+    # a text's length runs over all its terms, so that few shared ones leave it far from every example
+    clean = spark.createDataFrame([(0, "vilex " + " ".join(f"far{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)))], "doc_id long, text string")
+    one = toxicity.score(clean, toxicity.fit(docs, labels)).collect()[0]
+    assert one.evidence and all(0 < e.similarity < 0.999 for e in one.evidence)
+
+
 def test_toxicity_cases(spark):
     labels = spark.createDataFrame([(4, 0, 1), (4, 1, 1), (None, 1, 0), (6, None, 0), (999, 1, 1)], "doc_id long, toxic int, quality int")
     for labelled in (labels, labels.limit(0)):
