@@ -3,16 +3,22 @@
 1. Canonical words: punctuation goes; a word that begins with a capital becomes a name slot, a
    number a number slot, a unit after a number a unit slot; the rest is lower-cased.  A
    re-parameterised question thereby keeps its template.
-2. Windows of ``WINDOW`` canonical words are joined by hash with the benchmark's windows (those
-   with at least ``LITERALS`` words that aren't slots).
-3. Where a document holds ``SHARE`` of an item's windows, the slots are compared: along one
-   alignment of document and item, equal values of the item must have become equal values of
-   the document.  The item leaks where ``SHARE`` of the matched windows lie on such alignments.
-
-Cases: null and empty texts, and items without a window that has enough literal words, match
-nothing; a text with fewer than ``WINDOW`` words is one window; rows that repeat an id count as
-one document (or item) holding all their windows; either table may be empty; other columns
-don't matter.
+2. Windows of ``WINDOW`` words are joined by hash with the benchmark's windows under two keys:
+   the template (of item windows with at least ``LITERALS`` words that aren't slots), and the
+   plain words in lower case (of every window).
+3. An item leaks by its templates: where a document holds ``SHARE`` of them, the slots are
+   compared (in lower case): along one alignment of document and item, equal values of the item
+   must have become equal values of the document.  ``SHARE`` of the matched templates must lie
+   on such alignments.
+4. It also leaks by its words: where ``SHARE`` of all its windows are met, each by the plain
+   words or by a template on such an alignment.  So copies are found whatever their letter case,
+   and also of items that are mostly names and numbers.
+
+Cases: null and empty texts match nothing; an item with fewer than ``WINDOW`` words is one
+window, and is looked for among the document's windows of that length; rows that repeat an id
+count as one document (or item) holding all their windows; either table may be empty; other
+columns don't matter.  The counts returned are of templates where an item leaks by them, and
+else of all windows.
 """
 
 from __future__ import annotations
@@ -54,27 +60,52 @@ def _words(bare: Column) -> Column:
     return F.split(bare, r"\s+", -1)
 
 
-def _windows(words: Column) -> Column:
-    """A hash of each window; the words must be a column of their own, read many times here."""
-    last = F.greatest(F.size(words) - WINDOW, F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(WINDOW))))
+def _windows(words: Column, plain: bool, size: int = WINDOW, at: bool = False) -> Column:
+    """A hash of each window (``at``: with its place); the words must be a column of their own,
+    read many times here.  Fewer than WINDOW words are one window."""
+    last = F.greatest(F.size(words) - size, F.lit(0))
+    seed = [F.lit("plain")] if plain else []
+
+    def window(i: Column) -> Column:
+        h = F.xxhash64(*seed, F.slice(words, i + 1, F.lit(size)))
+        return F.struct(i.alias("i"), h.alias("h")) if at else h
+
+    found = F.transform(F.sequence(F.lit(0), last), window)
+    return found if size == WINDOW else F.when(F.size(words) > size, found)
+
+
+def _all_windows(short: list[int], at: bool = False) -> Column:
+    """Of a document: both keys, for windows of WINDOW words and of the lengths of shorter items."""
+    kinds = [("words", False), ("own", True)]
+    whole = [_windows(F.col(c), plain, at=at) for c, plain in kinds]
+    kind = "array<struct<i:int,h:bigint>>" if at else "array<bigint>"
+    less = [F.coalesce(_windows(F.col(c), plain, n, at), F.array().cast(kind)) for n in short for c, plain in kinds
+            if plain or n >= LITERALS]
+    return F.concat(*whole, *less)
 
 
 def _templates(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
-    """(out, bare, words): rows with at least one word."""
+    """(out, words, own): rows with at least one word, as a template and in lower case."""
     bare = df.select(F.col(key).alias(out), bare_text(F.col(text)).alias("bare")).filter("bare <> ''")
-    return bare.select(out, "bare", _words(canonical_text(F.col("bare"))).alias("words"))
+    return bare.select(out, _words(canonical_text(F.col("bare"))).alias("words"), _words(F.lower("bare")).alias("own"))
 
 
 def _item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item_id, j, h, own, slot): windows with enough literal words, with their words in the
-    item's own letters and which of them are slots."""
-    t = _templates(benchmark, item_id, text, "item_id").withColumn("own", _words(F.col("bare")))
-    w = t.select("item_id", "words", "own", F.posexplode(_windows(F.col("words"))).alias("j", "h"))
+    """(item_id, j, plain, h, w, own, slot): each window under its keys; w: the plain one, which
+    names the window; its words in lower case, and which of them are slots.  The template is no
+    key of a window with too few literal words."""
+    t = _templates(benchmark, item_id, text, "item_id")
+    w = t.select("item_id", "words", "own", F.explode(F.arrays_zip(
+        _windows(F.col("words"), False, at=True).alias("t"), _windows(F.col("own"), True).alias("w"))).alias("x"))
+    w = w.select("item_id", "words", "own", F.col("x.t.i").alias("j"), F.col("x.t.h").alias("t"), F.col("x.w").alias("w"))
     cut = lambda c: F.slice(c, F.col("j") + 1, F.lit(WINDOW))
-    w = w.select("item_id", "j", "h", cut(F.col("own")).alias("own"),
+    w = w.select("item_id", "j", "t", "w", cut(F.col("own")).alias("own"),
                  F.transform(cut(F.col("words")), lambda x: x.isin(*SLOTS)).alias("slot"))
-    return w.filter(F.size(F.filter("slot", lambda x: ~x)) >= LITERALS)
+    own = F.struct(F.lit(True).alias("plain"), F.col("w").alias("h"))
+    template = F.struct(F.lit(False).alias("plain"), F.col("t").alias("h"))
+    enough = F.size(F.filter("slot", lambda x: ~x)) >= LITERALS
+    keys = F.explode(F.when(enough, F.array(own, template)).otherwise(F.array(own))).alias("k")
+    return w.select("item_id", "j", "w", "own", "slot", keys).select("item_id", "j", "k.plain", "k.h", "w", "own", "slot")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id",
@@ -82,37 +113,51 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
     """(doc_id, item_id, n_windows, n_matched, n_consistent, kind): documents that hold a
     benchmark item; kind is exact or reparameterised."""
     items = _item_windows(benchmark, item_id, text)
-    keys = items.select("item_id", "h").distinct()
-    totals = keys.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    keys = items.select("item_id", "plain", "h", "w").distinct()
+    counts = lambda t, w: (F.size(F.collect_set(F.when(~F.col("plain"), F.col("h")))).alias(t),
+                           F.size(F.collect_set("w")).alias(w))
+    totals = keys.groupBy("item_id").agg(*counts("all_t", "all_w"))
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     sized = F.broadcast if small else (lambda df: df)
+    short = sorted(r["n"] for r in items.select(F.size("own").alias("n")).filter(F.col("n") < WINDOW).distinct().collect())
+    share = F.lit(SHARE)
 
     # One pass over the texts: windows, probe, count.  Only hits are shuffled.
     docs = docs.select(F.col(doc_id).alias(doc_id), F.col(text).alias(text))
-    seen = _templates(docs, doc_id, text, "doc_id").select("doc_id", F.explode(_windows(F.col("words"))).alias("h"))
-    hits = seen.join(sized(keys), "h").groupBy("doc_id", "item_id", "h").agg(F.count("*").alias("n"))
-    pairs = (hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched")).join(totals, "item_id")
-             .filter(F.col("n_matched") >= F.lit(SHARE) * F.col("n_windows")))
+    seen = _templates(docs, doc_id, text, "doc_id").select("doc_id", F.explode(_all_windows(short)).alias("h"))
+    hits = seen.join(sized(keys), "h").groupBy("doc_id", "item_id", "plain", "h", "w").agg(F.count("*").alias("n"))
+    pairs = (hits.groupBy("doc_id", "item_id").agg(*counts("n_t", "n_w")).join(totals, "item_id")
+             .filter(((F.col("all_t") > 0) & (F.col("n_t") >= share * F.col("all_t"))) | (F.col("n_w") >= share * F.col("all_w"))))
 
     # The slots of those pairs alone: their texts once more, window against window.
     some = pairs.select(F.col("doc_id").alias(doc_id)).distinct()
-    held = _templates(docs.join(some, doc_id), doc_id, text, "doc_id").withColumn("own", _words(F.col("bare")))
-    held = held.select("doc_id", "own", F.posexplode(_windows(F.col("words"))).alias("i", "h"))
+    held = _templates(docs.join(some, doc_id), doc_id, text, "doc_id")
+    held = held.select("doc_id", "own", F.explode(_all_windows(short, at=True)).alias("x")).select("doc_id", "own", "x.*")
     met = (held.join(sized(items.withColumnRenamed("own", "theirs")), "h")
            .join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi"))
     theirs = F.filter(F.zip_with("theirs", "slot", lambda x, s: F.when(s, x)), lambda x: x.isNotNull())
     ours = F.filter(F.zip_with(F.slice("own", F.col("i") + 1, F.lit(WINDOW)), "slot", lambda x, s: F.when(s, x)),
                     lambda x: x.isNotNull())
-    met = met.select("doc_id", "item_id", "h", (F.col("i") - F.col("j")).alias("shift"),
+    met = met.select("doc_id", "item_id", "plain", "h", "w", (F.col("i") - F.col("j")).alias("shift"),
                      F.arrays_zip(theirs.alias("theirs"), ours.alias("ours")).alias("slots"))
     along = ["doc_id", "item_id", "shift"]
-    values = (met.select(*along, F.explode("slots").alias("s")).distinct().groupBy(*along, "s.theirs")
+    values = (met.filter("not plain").select(*along, F.explode("slots").alias("s")).distinct().groupBy(*along, "s.theirs")
               .agg(F.count("*").alias("n"), F.max(F.col("s.theirs") != F.col("s.ours")).alias("other")))
     lines = values.groupBy(*along).agg(F.max("n").alias("most"), F.max("other").alias("other"))
-    agreed = (met.select(*along, "h").distinct().join(lines, along, "left")
-              .filter(F.coalesce("most", F.lit(1)) == 1)
-              .groupBy("doc_id", "item_id", "h").agg(F.min(F.coalesce("other", F.lit(False))).alias("other"))
-              .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_consistent"), F.max("other").alias("other")))
-    out = pairs.join(agreed, ["doc_id", "item_id"]).filter(F.col("n_consistent") >= F.lit(SHARE) * F.col("n_matched"))
-    return out.select("doc_id", "item_id", "n_windows", "n_matched", "n_consistent",
-                      F.when(F.col("other"), "reparameterised").otherwise("exact").alias("kind"))
+    # a window that the plain words meet has its own values, on whatever alignment
+    window = (met.select(*along, "plain", "h", "w").distinct().join(lines, along, "left")
+              .filter(F.col("plain") | (F.coalesce("most", F.lit(1)) == 1))
+              .groupBy("doc_id", "item_id", "plain", "h", "w")
+              .agg(F.min(~F.col("plain") & F.coalesce("other", F.lit(False))).alias("other"))
+              .groupBy("doc_id", "item_id", "w")
+              .agg(F.min("other").alias("other"), F.collect_set(F.when(~F.col("plain"), F.col("h"))).alias("t")))
+    agreed = window.groupBy("doc_id", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("t")))).alias("c_t"), F.count("*").alias("c_w"),
+        F.max(F.col("other") & (F.size("t") > 0)).alias("other_t"), F.max("other").alias("other_w"))
+    by_template = (F.col("all_t") > 0) & (F.col("n_t") >= share * F.col("all_t")) & (F.col("c_t") >= share * F.col("n_t"))
+    out = (pairs.join(agreed, ["doc_id", "item_id"]).withColumn("by_t", by_template)
+           .filter(F.col("by_t") | (F.col("c_w") >= share * F.col("all_w"))))
+    one = lambda t, w, name: F.when(F.col("by_t"), F.col(t)).otherwise(F.col(w)).cast("long").alias(name)
+    other = F.when(F.col("by_t"), F.col("other_t")).otherwise(F.col("other_w"))
+    return out.select("doc_id", "item_id", one("all_t", "all_w", "n_windows"), one("n_t", "n_w", "n_matched"),
+                      one("c_t", "c_w", "n_consistent"), F.when(other, "reparameterised").otherwise("exact").alias("kind"))

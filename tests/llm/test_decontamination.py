@@ -27,6 +27,14 @@ def test_exact_reparameterised_and_inconsistent(spark):
     assert got[(20, 2)] == "exact" and len(got) == 5
 
 
+def test_verbatim_copies_of_any_item(spark):
+    items = [*ITEMS, (7, "ALL CAPS 12 + 30 = 42"), (8, "Paris"), (9, "Five Words In Title Case")]
+    docs = [(1, f"{LONG} {ITEMS[5][1]} {LONG}"), (2, f"{LONG} short item text {LONG}"), (3, f"{LONG} ALL CAPS 12 + 30 = 42 {LONG}"),
+            (4, f"{LONG} Paris {LONG}"), (5, f"{LONG} Five Words In Title Case {LONG}"), (6, LONG), (7, "Other Names In Title Case"),
+            (8, ITEMS[5][1]), (9, "paris"), (10, "a short item text")]
+    assert leaks(spark, docs, items) == {(d, i): "exact" for d, i in ((1, 6), (2, 3), (3, 7), (4, 8), (5, 9), (8, 6), (9, 8), (10, 3))}
+
+
 def test_empty_tables(spark):
     assert leaks(spark, []) == {}
     assert leaks(spark, [(1, LONG)], []) == {}
