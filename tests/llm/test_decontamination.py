@@ -35,6 +35,12 @@ def test_verbatim_copies_of_any_item(spark):
     assert leaks(spark, docs, items) == {(d, i): "exact" for d, i in ((1, 6), (2, 3), (3, 7), (4, 8), (5, 9), (8, 6), (9, 8), (10, 3))}
 
 
+def test_copies_in_other_letter_case(spark):
+    one = ITEMS[0][1]
+    docs = [(1, f"{LONG} {one.lower()} {LONG}"), (2, f"{LONG} {one.upper()} {LONG}"), (3, one.title())]
+    assert leaks(spark, docs) == {(1, 1): "exact", (2, 1): "exact", (3, 1): "exact"}
+
+
 def test_empty_tables(spark):
     assert leaks(spark, []) == {}
     assert leaks(spark, [(1, LONG)], []) == {}
