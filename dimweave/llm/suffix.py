@@ -74,8 +74,8 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """For each place of the suffix array, how many bytes its suffix shares with the one before
     (0 at the first).  Kasai's rule, for all positions at once: where the neighbour of position
-    p is the neighbour of p - 1 moved on by one, the prefix is one byte shorter; only the other
-    positions compare bytes."""
+    p is the neighbour of p - 1 moved on by one, and p - 1 shares a byte, the prefix is one byte
+    shorter; only the other positions compare bytes."""
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
@@ -83,24 +83,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     fresh[1:] = before[1:] != before[:-1] + 1
     fresh[1:] |= before[:-1] < 0
     at = words_at(text)
-    a = np.flatnonzero(fresh & (before >= 0))
-    b = before[a]
-    shared = np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
-    while len(live):
-        p, q = a[live] + shared[live], b[live] + shared[live]
-        room = n - np.maximum(p, q)
-        inside = room > 0
-        live, p, q, room = live[inside], p[inside], q[inside], room[inside]
-        differ = at[p] ^ at[q]
-        low = differ & (~differ + np.uint64(1))  # the lowest bit in which they differ
-        equal = np.where(differ == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) // 8)
-        shared[live] += np.minimum(equal, room)
-        live = live[(differ == 0) & (room > 8)]
     length = np.zeros(n, np.int64)
-    length[a] = shared
-    lead = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    length = length[lead] - (np.arange(n) - lead)
+    a = np.flatnonzero(fresh & (before >= 0))
+    while len(a):
+        b = before[a]
+        shared = np.zeros(len(a), np.int64)
+        live = np.arange(len(a))
+        while len(live):
+            p, q = a[live] + shared[live], b[live] + shared[live]
+            room = n - np.maximum(p, q)
+            inside = room > 0
+            live, p, q, room = live[inside], p[inside], q[inside], room[inside]
+            differ = at[p] ^ at[q]
+            low = differ & (~differ + np.uint64(1))  # the lowest bit in which they differ
+            equal = np.where(differ == 0, 8, np.log2(np.maximum(low, 1).astype(np.float64)).astype(np.int64) // 8)
+            shared[live] += np.minimum(equal, room)
+            live = live[(differ == 0) & (room > 8)]
+        length[a] = shared
+        lead = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        chained = length[lead] - (np.arange(n) - lead)
+        # after a prefix of 0 the rule says nothing; at most one place a byte value has such a prefix
+        a = np.flatnonzero((chained == -1) & (before >= 0))
+        fresh[a] = True
+    length = chained if n > 1 else length
     length[before < 0] = 0
     return length[order]
 

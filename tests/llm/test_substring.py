@@ -63,6 +63,12 @@ def test_empty_tables(spark):
     assert suffix.remove_later_copies(none).count() == 0
 
 
+def test_equal_strings_after_a_prefix_of_nothing():
+    # the bytes in front of the two copies are neighbours in byte order
+    name, first = suffix.equal_strings([b"aXYZc", b"bXYZd"], 3, 1 << 20)
+    assert name[first[0] + 1] == name[first[1] + 1] and len(set(name.tolist())) == 5
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(3)
     for n, letters in ((1, 2), (300, 2), (300, 26), (200, 1)):
