@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimweave.llm import decontamination, jaccard, language_model, packing, sanitise, substring, suffix, topk, toxicity, urls
+from dimweave.llm import (decontamination, jaccard, language_model, license_texts, licenses, oracles, packing, sanitise, substring,
+                          suffix, topk, toxicity, trie, turn_repair, urls)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +100,62 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def _op11_sql() -> str:
+    templates = [(i, *row) for i, row in enumerate([(n, "true", t) for n, t in license_texts.PHRASES]
+                                                   + [(n, "false", t) for n, t in license_texts.TEXTS])]
+    values = ",\n  ".join(f"({i}, '{n}', {p}, '{t}')" for i, n, p, t in templates)
+    return f"""WITH tpl(template, label, phrase, txt) AS (VALUES
+  {values}),
+tw AS (SELECT template, label, phrase, string_split(txt, ' ') AS w FROM tpl),
+tp AS (SELECT template, label, phrase, w, len(w) AS size, unnest(range(0, len(w) - 2)) AS t_at FROM tw),
+tg AS (SELECT *, w[t_at + 1] || ' ' || w[t_at + 2] || ' ' || w[t_at + 3] AS g FROM tp),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+dp AS (SELECT rid, w, unnest(range(0, greatest(len(w) - 2, 0))) AS pos FROM d),
+dg AS (SELECT rid, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] AS g FROM dp),
+votes AS (SELECT DISTINCT rid, template, label, phrase, size, pos - t_at AS diagonal, t_at FROM dg JOIN tg USING (g)),
+diagonals AS (SELECT rid, template, label, phrase, size, diagonal, count(*) AS n, min(t_at) AS first, max(t_at) AS last
+  FROM votes GROUP BY ALL),
+base AS (SELECT rid, label, diagonal AS start, diagonal + size AS stop, 1.0::DOUBLE AS share FROM diagonals WHERE phrase AND n = size - 2),
+steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) > {licenses.REACH}
+    THEN 1 ELSE 0 END AS begins FROM diagonals WHERE NOT phrase),
+parts AS (SELECT *, sum(begins) OVER (PARTITION BY rid, template ORDER BY diagonal) AS part FROM steps),
+extent AS (SELECT rid, template, part, label, size, min(diagonal + first) AS start, max(diagonal + last + 3) AS stop FROM parts GROUP BY ALL),
+under AS (SELECT DISTINCT v.rid, v.template, p.part, v.t_at + u.k AS word
+  FROM votes v JOIN parts p USING (rid, template, diagonal) CROSS JOIN (VALUES (0), (1), (2)) u(k)),
+covered AS (SELECT rid, template, part, count(*) AS n FROM under GROUP BY ALL),
+spans AS (SELECT rid, label, start, stop, n / size AS share,
+    n >= {licenses.SHARE} * size AND stop - start <= 1.5 * size + {licenses.REACH} AS good FROM extent JOIN covered USING (rid, template, part)),
+chain AS (SELECT *, max(stop) OVER (PARTITION BY rid ORDER BY start, stop, label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM spans WHERE good),
+run AS (SELECT *, sum(CASE WHEN start >= before THEN 1 ELSE 0 END)
+    OVER (PARTITION BY rid ORDER BY start, stop, label ROWS UNBOUNDED PRECEDING) AS run FROM chain),
+best AS (SELECT rid, label FROM run QUALIFY share = max(share) OVER (PARTITION BY rid, run)),
+places AS (SELECT rid, count(*) AS n, min(start) AS first_word, max(start) AS last_word FROM base GROUP BY rid),
+own AS (SELECT rid, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT rid, label FROM base) GROUP BY rid),
+every AS (SELECT rid, string_agg(label, ',' ORDER BY label) AS labels
+  FROM (SELECT rid, label FROM base UNION SELECT rid, label FROM best) GROUP BY rid),
+score AS (SELECT rid, max(share) AS score FROM (SELECT rid, share FROM base UNION ALL SELECT rid, share FROM spans) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(places.n, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(own.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+  CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN places USING (rid) LEFT JOIN own USING (rid) LEFT JOIN every USING (rid) LEFT JOIN score USING (rid)"""
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.rebuild(trie.turns_of(table(spark, sf_dir, "conversations")), groups=5, parts=9)
+    return trie.prefix_trie(turns).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                                          "ends_sha256")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digest(turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_personal_data": op2_personal_data,
@@ -110,8 +167,14 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_packing": op10_packing,
+    "op11_license_scans": op11_license_scans,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_topk": OP4_SQL,
     "op9_url_filters": _op9_sql(),
+    "op11_license_scans": _op11_sql(),
+    "op12_conversation_trie": oracles.OP12,
+    "op13_conversation_repair": oracles.op13(),
 }

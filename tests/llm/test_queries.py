@@ -13,7 +13,7 @@ from conftest import ROOT, SF_SMALL
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 from oracle_check import rows_of  # noqa: E402
 
-TABLES = ["documents", "embeddings", "pages", "benchmark", "labels"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 COLUMNS = {
     "op1_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
     "op2_personal_data": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint",
@@ -28,6 +28,12 @@ COLUMNS = {
     "op9_url_filters": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op10_packing": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint",
                      "sequence_id": "bigint", "offset": "bigint"},
+    "op11_license_scans": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint", "last_word": "bigint",
+                           "base_labels": "string", "labels": "string", "score": "double"},
+    "op12_conversation_trie": {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint",
+                               "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint", "ends_sha256": "string"},
+    "op13_conversation_repair": {"conv_id": "bigint", **dict.fromkeys(["gaps", "blank", "duplicate", "truncated", "illegal", "cost"], "bigint"),
+                                 "audit": "string", "repaired_sha256": "string"},
 }
 
 
@@ -36,7 +42,7 @@ def test_contract_columns(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     kinds = dict(df.dtypes)
     assert {c: kinds.get(c) for c in COLUMNS[name]} == COLUMNS[name]
-    if name not in ("op4_topk", "op8_decontamination", "op10_packing"):  # a row for each row of the table
+    if name not in ("op4_topk", "op8_decontamination", "op10_packing", "op12_conversation_trie", "op13_conversation_repair"):  # a row for each row of the table
         source = spark.read.parquet(f"{SF_SMALL}/{'pages' if name.startswith('op9') else 'documents'}.parquet")
         ids = lambda x: sorted(r[0] for r in x.select(x.columns[0]).collect())
         assert ids(df) == ids(source)
