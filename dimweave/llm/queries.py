@@ -60,7 +60,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), holdout=(4, 2))
     held = F.coalesce(toxicity.crc_part(F.col("doc_id"), 4) == 2, F.lit(False))
     # the text leaves the task again only as doc_id, score and prediction
-    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, keep=["doc_id"], evidence=False).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

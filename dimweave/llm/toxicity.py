@@ -1,25 +1,29 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
 1. Examples: up to ``EXAMPLES`` labelled training documents of each class, and up to
    ``CALIBRATION`` others as they come, all by the hash of their id: a bounded sample of the
-   labelled rows.  Besides it, tasks hold 16 bytes for each distinct term of the corpus that
-   occurs in two documents or more.
-2. Vectors: every term of a text counts, with its tf-idf (document frequencies over all
-   documents) times a weight for how differently the two classes of examples use it: its
-   chi-squared, plus ``LEAST_WEIGHT`` for terms that say nothing or that no example holds.
-   Vectors have length 1 over all their terms.  The weight takes the place of a choice of terms:
-   by plain tf-idf the nearest example is the one on the same subject, toxic or not.
-3. Every document is compared with the examples: the index keeps, for each term and block of
-   examples, the largest weight; blocks are scored in the order of their upper bound until no
-   other block can reach the k nearest.  Nearest examples vote with the inverse of their
-   distance, and the votes become a rate by an isotonic fit on the calibration rows.  The
-   nearest examples are the evidence.
+   labelled rows, one text for each id.
+2. Vectors: tf-idf of every term of a text, of length 1.  Document frequencies are counted over
+   all documents; a term in fewer than ``LEAST_SHARE`` of them counts as being in that share.  So
+   the idf table that tasks hold has at most (mean number of terms of a document) / LEAST_SHARE
+   entries, however large the corpus.
+3. Every document is compared with the examples of each class: short inverted lists are added up
+   whole, long ones (those in more than ``LONG_LIST`` of the class) by block of examples, and only in
+   blocks whose upper bound, from the largest weight of each list in the block, reaches the k-th
+   nearest.
+4. Votes: a nearest example votes with the part of its cosine that comes from telling terms, those
+   which the classes of examples use differently (chi-squared of at least ``TELLING``), each times
+   its chi-squared.  The mean vote of the k nearest toxic examples less that of the k nearest
+   others becomes a rate by an isotonic fit on the calibration rows.  By the whole cosine, the
+   nearest examples tell the subject, and votes by it are right less often (see the README).
+   The examples whose votes weigh most are the evidence.
 
 Terms are runs of ASCII letters and non-ASCII characters, with A-Z lower-cased; every term of a
 text counts, whatever its length.
 
-Cases: a null or empty text, or one that shares no term with an example, has no neighbour and
-gets the rate of such calibration rows; without labels every score is 0; repeated rows get equal scores;
+Cases: a null or empty text, or one that shares no telling term with an example, has a vote of 0
+and gets the rate of such calibration rows; without labels every score is 0; repeated rows get
+equal scores; of several texts with a sampled id the one with the least hash counts;
 a document labelled both ways counts as toxic; ties between examples go to the smaller id; an
 empty table gives an empty result; input columns named like a result column are replaced.
 """
@@ -32,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,10 +44,13 @@ from pyspark.sql import types as T
 from dimweave.llm.words import LOWER, NO_TERM, buffer_of, ranges, slices, words_of
 
 EXAMPLES, CALIBRATION = 2_048, 6_144
-LEAST_WEIGHT = 0.25
+LEAST_SHARE = 2.0 ** -14
+LONG_LIST = 1 / 4
+#: chi-squared that a term without a class exceeds once in a thousand times.
+TELLING = 10.83
 #: Distinct terms that a task counts before it hands them on.
 HELD_TERMS = 1 << 20
-NEIGHBOURS, BLOCK, LEAST_DISTANCE = 15, 32, 0.02
+NEIGHBOURS, BLOCK, SHOWN = 50, 32, 15
 THRESHOLD = 0.3
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
                                      T.StructField("toxic", T.IntegerType())]))
@@ -84,83 +92,117 @@ def find(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class BlockMaxIndex:
-    """Inverted lists of unit vectors, cut into blocks of ``block`` examples, with the largest
-    weight of each list in each block."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
-        # examples with the same heaviest term lie together, so that few blocks have high bounds
-        self.order = np.array(sorted(range(len(vectors)), key=lambda i: (
-            vectors[i][0][np.argmax(vectors[i][1])] if len(vectors[i][0]) else n_terms, i)), np.int64)
-        self.block, self.n = block, len(vectors)
-        ids = [np.full(len(vectors[i][0]), k) for k, i in enumerate(self.order)]
+    """Inverted lists of unit vectors in blocks of ``block`` examples.  Lists of more than
+    ``long_list`` of the examples are long: they have their largest weight in each block."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK, long_list: float = LONG_LIST):
+        self.n, self.block, self.blocks = len(vectors), block, max(1, -(-len(vectors) // block))
         none = [np.zeros(0)]
-        row = np.concatenate([*ids, *none]).astype(np.int64)
-        term = np.concatenate([*(vectors[i][0] for i in self.order), *none]).astype(np.int64)
-        weight = np.concatenate([*(vectors[i][1] for i in self.order), *none])
+        size = np.array([len(t) for t, _ in vectors], np.int64)
+        row = np.repeat(np.arange(self.n), size)
+        term = np.concatenate([*(t for t, _ in vectors), *none]).astype(np.int64)
+        weight = np.concatenate([*(w for _, w in vectors), *none])
+        is_long = np.bincount(term, minlength=n_terms) > max(block, long_list * self.n)
+        # examples whose heaviest long list, then heaviest list, is the same lie together, so that
+        # a block holds one language or subject and few blocks have high bounds
+        def heaviest(of: np.ndarray) -> np.ndarray:
+            out = np.full(self.n, n_terms)
+            by = np.lexsort((-weight[of], row[of]))
+            rows, at = np.unique(row[of][by], return_index=True)
+            out[rows] = term[of][by][at]
+            return out
+
+        self.order = np.lexsort((np.arange(self.n), heaviest(np.arange(len(term))), heaviest(np.flatnonzero(is_long[term]))))
+        place = np.empty(self.n, np.int64)
+        place[self.order] = np.arange(self.n)
+        row = place[row]
         by = np.lexsort((row, term))
         row, term, weight = row[by], term[by], weight[by]
-        cell = term * (-(-self.n // block) or 1) + row // block
-        starts = np.flatnonzero(np.diff(cell, prepend=-1))
-        top = np.maximum.reduceat(weight, starts) if len(starts) else np.zeros(0)
-        # the cells of term t are first[t]:first[t + 1]; a cell's postings end where the next begin
-        self.first = np.searchsorted(term[starts], np.arange(n_terms + 1))
-        self.blocks, self.top = (row[starts] // block).astype(np.int32), top
-        self.starts = np.append(starts, len(row))
+        self.first = np.searchsorted(term, np.arange(n_terms + 1))
         self.row, self.weight = row.astype(np.int32), weight
+        # of the long lists: where each block's postings begin, and the largest weight in each block
+        self.long = np.full(n_terms, -1, np.int32)
+        lists = np.flatnonzero(is_long)
+        self.long[lists] = np.arange(len(lists))
+        self.begin = np.zeros((len(lists), self.blocks + 1), np.int64)
+        self.top = np.zeros((len(lists), self.blocks))
+        for k, t in enumerate(lists.tolist()):
+            a, b = self.first[t], self.first[t + 1]
+            self.begin[k] = a + np.searchsorted(row[a:b], np.arange(self.blocks + 1) * block)
+            np.maximum.at(self.top[k], row[a:b] // block, weight[a:b])
+
+    def _add(self, start: np.ndarray, size: np.ndarray, w: np.ndarray) -> np.ndarray:
+        at = ranges(start, size)
+        return np.bincount(self.row[at], np.repeat(w, size) * self.weight[at], self.blocks * self.block).astype(float)
+
+    def along(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of every example (in the index's order) the sum over all the lists."""
+        return self._add(self.first[terms], self.first[terms + 1] - self.first[terms], weights)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The k examples of highest cosine over 0, as (cosine, example), best first."""
-        count = self.first[terms + 1] - self.first[terms]
-        cells, w = ranges(self.first[terms], count), np.repeat(weights, count)
-        blocks = self.blocks[cells]
-        bound = np.bincount(blocks, w * self.top[cells], -(-self.n // self.block) or 1)
-        by = np.argsort(-bound, kind="stable")
-        place = np.empty(len(by), np.int64)
-        place[by] = np.arange(len(by))
-        turn = place[blocks]
-        score, who = np.zeros(0), np.zeros(0, np.int64)
-        lo, hi, live = 0, 2, np.count_nonzero(bound > 0)
-        while lo < live and (len(score) < k or bound[by[lo]] >= score[k - 1] - 1e-9):
-            now = (turn >= lo) & (turn < hi)
-            cell = cells[now]
-            size = self.starts[cell + 1] - self.starts[cell]
-            at = ranges(self.starts[cell], size)
-            new = np.round(np.bincount(self.row[at], np.repeat(w[now], size) * self.weight[at]), 9)
-            hit = np.flatnonzero(new)
-            score, who = np.concatenate([score, new[hit]]), np.concatenate([who, self.order[hit]])
-            if len(score) > k:
-                best = score >= np.partition(score, len(score) - k)[len(score) - k]
-                score, who = score[best], who[best]
-            best = np.lexsort((who, -score))[:k]
-            score, who = score[best], who[best]
-            lo, hi = hi, 3 * hi  # blocks are taken a few at first, then more at once
-        return list(zip(score.tolist(), who.tolist()))
+        who, score = self.nearest_places(terms, weights, k)
+        return list(zip(score.tolist(), self.order[who].tolist()))
+
+    def nearest_places(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the index's order, cosines) of the same."""
+        if not self.n or not len(terms):
+            return np.zeros(0, np.int64), np.zeros(0)
+        number = self.long[terms]
+        short = number < 0
+        score = self.along(terms[short], weights[short])
+        lists, w = number[~short], weights[~short]
+        if len(lists):
+            bound = score.reshape(-1, self.block).max(axis=1) + w @ self.top[lists] + 1e-9
+            begin = self.begin[lists]
+
+            def finish(blocks: np.ndarray) -> None:
+                start = begin[:, blocks]
+                size = begin[:, blocks + 1] - start
+                at = ranges(start.ravel(), size.ravel())
+                score[:] += np.bincount(self.row[at], np.repeat(np.repeat(w, len(blocks)), size.ravel()) * self.weight[at], len(score))
+
+            by = np.argsort(-bound, kind="stable")
+            head = -(-2 * k // self.block)  # these hold k examples, and what they reach bounds the others
+            finish(by[:head])
+            seen = np.zeros(self.blocks, bool)
+            seen[by[:head]] = True
+            known = score.reshape(-1, self.block)[by[:head]].ravel()
+            reach = np.partition(known, len(known) - k)[len(known) - k] if len(known) > k else 0.0
+            rest = by[head:][bound[by[head:]] >= max(reach, 1e-300)]
+            if len(rest):
+                finish(rest)
+                seen[rest] = True
+            score[np.repeat(~seen, self.block)] = 0.0  # lists left out: below the k-th nearest
+        score = np.round(score, 9)
+        hit = np.flatnonzero(score)
+        if len(hit) > k:
+            hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k]]
+        hit = hit[np.lexsort((self.order[hit], -score[hit]))[:k]]
+        return hit, score[hit]
 
 
 @dataclass
 class Model:
     """What tasks need: small, bounded by the parameters."""
 
-    vocabulary: np.ndarray  # the examples' terms
-    weights: np.ndarray  # their idf times class weight
-    others: np.ndarray  # terms of no example, in two documents or more
-    other_weights: np.ndarray
-    least: float  # the weight of any other term
-    index: BlockMaxIndex
-    ids: np.ndarray
-    toxic: np.ndarray
+    held: np.ndarray  # the terms in LEAST_SHARE of the documents or more, ascending
+    held_idf: np.ndarray
+    most: float  # the idf of any other term
+    vocabulary: np.ndarray  # the examples' terms, ascending
+    telling: np.ndarray  # their chi-squared where it tells, else 0
+    index: list[BlockMaxIndex]  # of the examples that aren't toxic, and of those that are
+    ids: list[np.ndarray]
     steps: np.ndarray  # the isotonic fit: votes from steps[i] on get rates[i]
     rates: np.ndarray
-    none: float  # the rate where there is no neighbour
 
     def vectors(self, counts: Sparse, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Unit vectors over all terms, of which those that an example holds are given."""
+        idf = np.full(len(counts.hashes), self.most)
+        at, known = find(self.held, counts.hashes)
+        idf[known] = self.held_idf[at[known]]
         at, known = find(self.vocabulary, counts.hashes)
-        by_term = np.full(len(known), self.least)
-        by_term[known] = self.weights[at[known]]
-        other, there = find(self.others, counts.hashes)
-        by_term[there] = self.other_weights[other[there]]
-        w = (1 + np.log(counts.count)) * by_term[counts.term]
+        w = (1 + np.log(counts.count)) * idf[counts.term]
         if len(w):
             w = w / np.sqrt(np.bincount(counts.row, w * w, n))[counts.row]
         given = known[counts.term]
@@ -168,18 +210,23 @@ class Model:
         cut = np.searchsorted(row, np.arange(n + 1))
         return [(term[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
-    def vote(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float | None, list[tuple[float, int]]]:
-        near = self.index.nearest(*vector, NEIGHBOURS)
-        if not near:
-            return None, near
-        s, i = np.array([x[0] for x in near]), np.array([x[1] for x in near])
-        w = s / np.maximum(1 - s, LEAST_DISTANCE)
-        return float((w * self.toxic[i]).sum() / w.sum()), near
-
-    def rate(self, vote: float | None) -> float:
-        if vote is None:
-            return self.none
-        return float(self.rates[max(0, np.searchsorted(self.steps, vote, side="right") - 1)]) if len(self.steps) else vote
+    def vote(self, vector: tuple[np.ndarray, np.ndarray], shown: int = 0) -> tuple[float, list[tuple[float, float, int, int]]]:
+        """The vote, and of the examples that weigh most in it (vote, cosine, id, toxic)."""
+        terms, weights = vector
+        tells = self.telling[terms] > 0
+        out, near = 0.0, []
+        if not shown and not tells.any():
+            return out, near
+        for toxic, index in enumerate(self.index):
+            who, cosine = index.nearest_places(terms, weights, NEIGHBOURS)
+            own = index.along(terms[tells], weights[tells] * self.telling[terms[tells]])[who] if len(who) else np.zeros(0)
+            out += (1 if toxic else -1) * float(own.sum()) / NEIGHBOURS
+            near += zip(own.tolist(), cosine.tolist(), self.ids[toxic][index.order[who]].tolist(), [toxic] * len(who))
+        near.sort(key=lambda x: (-x[0], -x[1], x[2]))
+        return round(out, 9), near[:shown]
+
+    def rate(self, vote: float) -> float:
+        return float(self.rates[max(0, np.searchsorted(self.steps, vote, side="right") - 1)]) if len(self.steps) else 0.0
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,120 +259,128 @@ def _pick(labels: DataFrame, holdout: tuple[int, int]) -> dict[int, tuple[str, i
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many of the task's texts each term occurs, and without a term their number."""
-    n, known, df = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    batch = lambda h, n: pa.record_batch([h, pa.array(n)], ["h", "n"])
+    """In how many of the task's texts each term occurs."""
+    known, df = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    batch = lambda: pa.record_batch([pa.array(known.view(np.int64)), pa.array(df)], ["h", "n"])
     for part in (p for b in batches for p in slices(b)):
-        n += part.num_rows
         c = term_counts(part["text"])
         both, number = np.unique(np.concatenate([known, c.hashes]), return_inverse=True)
         own = np.bincount(c.term, minlength=len(c.hashes))
         known, df = both, np.bincount(number, np.concatenate([df, own]), len(both)).astype(np.int64)
         if len(known) > HELD_TERMS:
-            yield batch(pa.array(known.view(np.int64)), df)
+            yield batch()
             known, df = known[:0], df[:0]
-    yield batch(pa.array(known.view(np.int64)), df)
-    yield batch(pa.array([None], pa.int64()), np.array([n]))
+    yield batch()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in (p for b in batches for p in slices(b)):
         c = term_counts(part["text"])
         cut = np.searchsorted(c.row, np.arange(part.num_rows + 1)).astype(np.int32)
-        arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (c.hashes.view(np.int64)[c.term], c.count)]
+        arrays = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (c.hashes.view(np.int64)[c.term], c.count.astype(np.int32))]
         yield pa.record_batch([part["doc_id"], part["text_hash"], *arrays], ["doc_id", "text_hash", "terms", "counts"])
 
 
-def class_weights(term: np.ndarray, toxic: np.ndarray, n_terms: int, n0: int, n1: int) -> np.ndarray:
-    """chi-squared of each term and the class, plus LEAST_WEIGHT; ``term`` and ``toxic`` of each
-    (example, term), and the number of examples of both classes."""
+def chi_squared(term: np.ndarray, toxic: np.ndarray, n_terms: int, n0: int, n1: int) -> np.ndarray:
+    """chi-squared of each term and the class; ``term`` and ``toxic`` of each (example, term), and
+    the number of examples of both classes."""
     a, b = (np.bincount(term[toxic == y], minlength=n_terms).astype(float) for y in (1, 0))
     c, d = n1 - a, n0 - b
     den = (a + b) * (c + d) * n1 * n0
-    return np.where(den > 0, (n0 + n1) * (a * d - b * c) ** 2 / np.maximum(den, 1), 0) + LEAST_WEIGHT
+    return np.where(den > 0, (n0 + n1) * (a * d - b * c) ** 2 / np.maximum(den, 1), 0)
+
+
+def _idf(n: np.ndarray, n_docs: int) -> np.ndarray:
+    return 1 + np.log((1 + n_docs) / (1 + n))
+
+
+def _sampled(docs: DataFrame, chosen: dict[int, tuple[str, int]], use: str) -> DataFrame:
+    """(doc_id, toxic, text_hash, text): one text for each chosen id of a use."""
+    rows = [(d, y) for d, (u, y) in chosen.items() if u == use]
+    sample = docs.sparkSession.createDataFrame(rows, "doc_id long, toxic int")
+    # bounded by EXAMPLES and CALIBRATION, so broadcast
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(sample), "doc_id").withColumn("text_hash", F.xxhash64("text"))
+    return found.groupBy("doc_id", "toxic").agg(F.min("text_hash").alias("text_hash"), F.min_by("text", "text_hash").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -> Model:
     """Learns from ``labels`` (doc_id, toxic) outside the part ``holdout`` = (parts, part) of
-    crc32(doc_id as text), and from the texts of ``docs``."""
-    spark = docs.sparkSession
+    crc32(doc_id as text), and from the texts of ``docs``.  The driver gets the examples' term
+    counts, the terms in LEAST_SHARE of all documents, and one vote of each calibration row."""
     chosen = _pick(labels, holdout)
-    sample = spark.createDataFrame([(d, u, y) for d, (u, y) in chosen.items()], "doc_id long, use string, toxic int")
-    # bounded by EXAMPLES and CALIBRATION, so broadcast
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(sample), "doc_id")
-    rows = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        _counted, "doc_id long, text_hash long, terms array<long>, counts array<long>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
+    rows = _sampled(docs, chosen, "example").select("doc_id", "text_hash", "text").mapInArrow(
+        _counted, "doc_id long, text_hash long, terms array<long>, counts array<int>").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending")]).combine_chunks()
     flat = lambda name: rows[name].combine_chunks().flatten().to_numpy() if len(rows) else np.zeros(0, np.int64)
     ids, text_hash = rows["doc_id"].to_numpy(), rows["text_hash"].to_numpy()
     size = pc.list_value_length(rows["terms"]).to_numpy() if len(rows) else np.zeros(0, np.int64)
     hashes, number = np.unique(flat("terms").view(np.uint64), return_inverse=True)
     counts = Sparse(hashes, np.repeat(np.arange(len(ids)), size), number, flat("counts"))
+    del rows
     toxic = np.array([chosen[d][1] for d in ids.tolist()], np.int64)
-    used = np.array([chosen[d][0] == "example" for d in ids.tolist()], bool)
-    # the weights: each text among the examples counts once, toxic where one of its labels is
+    # each text among the examples counts once, toxic where one of its labels is
     by = np.lexsort((1 - toxic, text_hash))
-    by = by[used[by]]
     once = np.zeros(len(ids), bool)
     once[by[np.flatnonzero(np.diff(text_hash[by], prepend=text_hash[by[:1]] - 1))]] = True
     at = once[counts.row]
-    weight = class_weights(counts.term[at], toxic[counts.row[at]], len(hashes), int((1 - toxic[once]).sum()), int(toxic[once].sum()))
-    own = np.zeros(len(hashes), bool)
-    own[counts.term[used[counts.row]]] = True
+    told = chi_squared(counts.term[at], toxic[counts.row[at]], len(hashes), int((1 - toxic[once]).sum()), int(toxic[once].sum()))
 
+    n_docs = docs.count()
+    least = max(1.0, LEAST_SHARE * n_docs)
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_frequencies, "h long, n long")
-    df = counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1 or h is null").toArrow()
-    n_docs = pc.sum(df.filter(pc.is_null(df["h"]))["n"]).as_py() or 0
-    df = df.filter(pc.is_valid(df["h"]))
+    df = counted.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > least).toArrow()
     held, n = df["h"].to_numpy().view(np.uint64), df["n"].to_numpy()
+    del df
     by = np.argsort(held)
-    held, n = held[by], n[by]
-    idf = lambda n: 1 + np.log((1 + n_docs) / (1 + n))
-    vocabulary = hashes[own]
-    place, there = find(held, vocabulary)
-    frequency = np.ones(len(vocabulary))  # a term that isn't held is in one document
-    frequency[there] = n[place[there]]
-    rest = ~find(vocabulary, held)[1]
-    model = Model(vocabulary, idf(frequency) * weight[own], held[rest], idf(n[rest]) * LEAST_WEIGHT, float(idf(1) * LEAST_WEIGHT),
-                  None, ids[used], toxic[used], np.zeros(0), np.zeros(0), 0.0)
+    model = Model(held[by], _idf(n[by], n_docs), float(_idf(least, n_docs)), hashes, np.where(told >= TELLING, told, 0.0), [],
+                  [ids[toxic == y] for y in (0, 1)], np.zeros(0), np.zeros(0))
     vectors = model.vectors(counts, len(ids))
-    model.index = BlockMaxIndex([vectors[i] for i in np.flatnonzero(used)], len(vocabulary))
-    votes = [(model.vote(vectors[i])[0], toxic[i]) for i in np.flatnonzero(~used)]
-    none = [y for v, y in votes if v is None]
-    model.none = float(np.mean(none)) if none else 0.0
-    x, y = np.array([v for v, _ in votes if v is not None]), np.array([y for v, y in votes if v is not None])
-    model.steps, model.rates = isotonic(x, y)
+    model.index = [BlockMaxIndex([vectors[i] for i in np.flatnonzero(toxic == y)], len(hashes)) for y in (0, 1)]
+    votes = _sampled(docs, chosen, "calibration").select("toxic", "text").mapInArrow(
+        _votes(docs.sparkSession.sparkContext.broadcast(model)), "vote double, toxic int").toArrow()
+    model.steps, model.rates = isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
     return model
 
 
-def _score(model: Model, keep: list[str]):
+def _votes(model: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in slices(b)):
+            vectors = model.value.vectors(term_counts(part["text"]), part.num_rows)
+            yield pa.record_batch([pa.array([model.value.vote(v)[0] for v in vectors], pa.float64()), part["toxic"]], ["vote", "toxic"])
+
+    return run
+
+
+def _score(model: Broadcast, keep: list[str], read: str, evidence: bool):
+    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for b in batches for p in slices(b, "_t_text")):
-            counts = term_counts(part["_t_text"])
+        own = model.value
+        for part in (p for b in batches for p in slices(b, read)):
+            counts = term_counts(part[read])
             known: dict[bytes, tuple] = {}
             out = []
-            for terms, weights in model.vectors(counts, part.num_rows):
+            for terms, weights in own.vectors(counts, part.num_rows):
                 key = terms.tobytes() + weights.tobytes()
                 if key not in known:
-                    vote, near = model.vote((terms, weights))
-                    known[key] = (model.rate(vote), [{"doc_id": int(model.ids[i]), "similarity": s, "toxic": int(model.toxic[i])}
-                                                     for s, i in near])
+                    vote, near = own.vote((terms, weights), SHOWN if evidence else 0)
+                    known[key] = (own.rate(vote), [{"doc_id": i, "similarity": s, "toxic": y} for _, s, i, y in near])
                 out.append(known[key])
             score = pa.array([s for s, _ in out], pa.float64())
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.record_batch([*(part[c] for c in keep), score, pa.array([int(s >= THRESHOLD) for s, _ in out], pa.int32()),
-                                   pa.array([e for _, e in out], kind)], [*keep, *OUT])
+            results = [score, pa.array([int(s >= THRESHOLD) for s, _ in out], pa.int32()), pa.array([e for _, e in out], kind)]
+            yield pa.record_batch([*(part[c] for c in keep), *results[:2 + evidence]], [*keep, *OUT[:2 + evidence]])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, *, text: str = "text", evidence: bool = True) -> DataFrame:
     """``docs`` (all columns or those of ``keep``) with score (0 to 1), predicted (1 from
-    THRESHOLD on) and evidence (the nearest examples with their cosine and label).  Only the
-    column text is read for a score."""
-    base = docs.drop(*OUT) if keep is None else docs.select(*keep, "text")
-    kept = base.columns if keep is None else keep
-    schema = T.StructType([*(base.schema[c] for c in kept), T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType()), T.StructField("evidence", EVIDENCE)])
-    return base.withColumn("_t_text", F.col("text").cast("string")).mapInArrow(_score(model, kept), schema)
+    THRESHOLD on) and evidence (of the nearest examples those whose votes weigh most, with cosine
+    and label).  Only the column ``text`` is read for a score."""
+    kept = [c for c in docs.columns if c not in OUT] if keep is None else keep
+    read = text if docs.schema[text].dataType == T.StringType() else "_t_text"
+    sent = docs.select(*kept, *([F.col(text).cast("string").alias(read)] if read not in kept else []))
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
+                           *([T.StructField("evidence", EVIDENCE)] if evidence else [])])
+    return sent.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), kept, read, evidence), schema)
