@@ -25,8 +25,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return toxicity.score(rows, model, keep=["row"]).filter("predicted = 0").select("row.*")
+    own = [f"_p{i}" for i in range(len(docs.columns))]  # a column may be named like a result
+    judged = toxicity.score(docs.toDF(*own), model, text=own[docs.columns.index("text")], evidence=False)
+    return judged.filter("predicted = 0").select(*(F.col(o).alias(c) for o, c in zip(own, docs.columns)))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
