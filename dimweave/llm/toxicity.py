@@ -45,12 +45,14 @@ from dimweave.llm.words import LOWER, NO_TERM, buffer_of, ranges, slices, words_
 
 EXAMPLES, CALIBRATION = 2_048, 6_144
 LEAST_SHARE = 2.0 ** -14
-LONG_LIST = 1 / 4
+LONG_LIST = 1 / 8
 #: chi-squared that a term without a class exceeds once in a thousand times.
 TELLING = 10.83
 #: Distinct terms that a task counts before it hands them on.
 HELD_TERMS = 1 << 20
-NEIGHBOURS, BLOCK, SHOWN = 50, 32, 15
+NEIGHBOURS, BLOCK, SHOWN = 50, 64, 15
+#: Documents that are compared with the examples at once.
+AT_ONCE = 256
 THRESHOLD = 0.3
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
                                      T.StructField("toxic", T.IntegerType())]))
@@ -120,66 +122,96 @@ class BlockMaxIndex:
         row, term, weight = row[by], term[by], weight[by]
         self.first = np.searchsorted(term, np.arange(n_terms + 1))
         self.row, self.weight = row.astype(np.int32), weight
-        # of the long lists: where each block's postings begin, and the largest weight in each block
+        # of the long lists: the largest weight in each block
+        self.width = self.blocks * block
         self.long = np.full(n_terms, -1, np.int32)
         lists = np.flatnonzero(is_long)
         self.long[lists] = np.arange(len(lists))
-        self.begin = np.zeros((len(lists), self.blocks + 1), np.int64)
+        own = np.flatnonzero(is_long[term])
         self.top = np.zeros((len(lists), self.blocks))
-        for k, t in enumerate(lists.tolist()):
-            a, b = self.first[t], self.first[t + 1]
-            self.begin[k] = a + np.searchsorted(row[a:b], np.arange(self.blocks + 1) * block)
-            np.maximum.at(self.top[k], row[a:b] // block, weight[a:b])
-
-    def _add(self, start: np.ndarray, size: np.ndarray, w: np.ndarray) -> np.ndarray:
-        at = ranges(start, size)
-        return np.bincount(self.row[at], np.repeat(w, size) * self.weight[at], self.blocks * self.block).astype(float)
-
-    def along(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Of every example (in the index's order) the sum over all the lists."""
-        return self._add(self.first[terms], self.first[terms + 1] - self.first[terms], weights)
+        np.maximum.at(self.top, (self.long[term[own]], row[own] // block), weight[own])
+        self._whole: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_whole": None}
+
+    def whole(self) -> np.ndarray:
+        """The long lists written out, block by block; made where it is first used."""
+        if self._whole is None:
+            lists = np.flatnonzero(self.long >= 0)
+            size = self.first[lists + 1] - self.first[lists]
+            at = ranges(self.first[lists], size)
+            out = np.zeros((self.blocks, len(lists), self.block))
+            out[self.row[at] // self.block, np.repeat(np.arange(len(lists)), size), self.row[at] % self.block] = self.weight[at]
+            self._whole = out
+        return self._whole
+
+    def _short(self, q: int, doc: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Sums of (document, example) along the lists of the terms."""
+        size = self.first[term + 1] - self.first[term]
+        at = ranges(self.first[term], size)
+        sums = np.bincount(np.repeat(doc * self.width, size) + self.row[at], np.repeat(weight, size) * self.weight[at], q * self.width)
+        return sums.astype(float).reshape(q, self.blocks, self.block)
+
+    def _finish(self, score: np.ndarray, long: np.ndarray, todo: np.ndarray) -> None:
+        """Adds the long lists for the (document, block) pairs of ``todo``."""
+        for b, lists in enumerate(self.whole()):
+            docs = np.flatnonzero(todo[:, b])
+            if len(docs) == len(long):
+                score[:, b] += long @ lists
+            elif len(docs):
+                score[docs, b] += long[docs] @ lists
+
+    def search(self, q: int, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int,
+               telling: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For q documents, whose terms and weights are given with the document's number: (document,
+        example, cosine, cosine along the terms' ``telling``) of the k examples of highest cosine
+        over 0, by document, best first."""
+        none = np.zeros(0)
+        if not self.n or not len(term):
+            return none.astype(np.int64), none.astype(np.int64), none, none
+        number = self.long[term]
+        short = number < 0
+        score = self._short(q, doc[short], term[short], weight[short])
+        long = np.zeros((q, len(self.top)))
+        long[doc[~short], number[~short]] = weight[~short]
+        bound = score.max(axis=2) + long @ self.top + 1e-9
+        # first the blocks of the highest bounds, which hold k examples: what they reach bounds the others
+        head = min(self.blocks, -(-2 * k // self.block))
+        done = np.zeros((q, self.blocks), bool)
+        np.put_along_axis(done, np.argsort(-bound, axis=1, kind="stable")[:, :head], True, 1)
+        self._finish(score, long, done)
+        reach = np.zeros(q)
+        if self.width > k:
+            reach = np.partition(np.where(done[:, :, None], score, 0).reshape(q, -1), self.width - k, axis=1)[:, self.width - k]
+        rest = ~done & (bound >= np.maximum(reach, 1e-300)[:, None])
+        self._finish(score, long, rest)
+        score[~(done | rest)] = 0.0  # lists left out: below the k-th nearest
+        score = np.round(score, 9).reshape(q, -1)
+        if self.width > k:
+            reach = np.partition(score, self.width - k, axis=1)[:, self.width - k]
+        who, place = np.nonzero((score > 0) & (score >= reach[:, None]))
+        cosine = score[who, place]
+        by = np.lexsort((self.order[place], -cosine, who))
+        who, place, cosine = who[by], place[by], cosine[by]
+        best = np.arange(len(who)) - np.searchsorted(who, who) < k
+        who, place, cosine = who[best], place[best], cosine[best]
+        told = np.zeros(len(who))
+        if telling is not None:
+            tells = telling[term] > 0
+            parts = self._short(q, doc[tells & short], term[tells & short], (weight * telling[term])[tells & short])
+            some = np.unique(number[tells & ~short])
+            facts = np.zeros(len(self.top))
+            facts[number[tells & ~short]] = telling[term[tells & ~short]]
+            told = parts.reshape(q, -1)[who, place]
+            if len(some):
+                told += np.einsum("ij,ij->i", (long[:, some] * facts[some])[who], self.whole()[place // self.block, :, place % self.block][:, some])
+        return who, self.order[place], cosine, told
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k examples of highest cosine over 0, as (cosine, example), best first."""
-        who, score = self.nearest_places(terms, weights, k)
-        return list(zip(score.tolist(), self.order[who].tolist()))
-
-    def nearest_places(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places in the index's order, cosines) of the same."""
-        if not self.n or not len(terms):
-            return np.zeros(0, np.int64), np.zeros(0)
-        number = self.long[terms]
-        short = number < 0
-        score = self.along(terms[short], weights[short])
-        lists, w = number[~short], weights[~short]
-        if len(lists):
-            bound = score.reshape(-1, self.block).max(axis=1) + w @ self.top[lists] + 1e-9
-            begin = self.begin[lists]
-
-            def finish(blocks: np.ndarray) -> None:
-                start = begin[:, blocks]
-                size = begin[:, blocks + 1] - start
-                at = ranges(start.ravel(), size.ravel())
-                score[:] += np.bincount(self.row[at], np.repeat(np.repeat(w, len(blocks)), size.ravel()) * self.weight[at], len(score))
-
-            by = np.argsort(-bound, kind="stable")
-            head = -(-2 * k // self.block)  # these hold k examples, and what they reach bounds the others
-            finish(by[:head])
-            seen = np.zeros(self.blocks, bool)
-            seen[by[:head]] = True
-            known = score.reshape(-1, self.block)[by[:head]].ravel()
-            reach = np.partition(known, len(known) - k)[len(known) - k] if len(known) > k else 0.0
-            rest = by[head:][bound[by[head:]] >= max(reach, 1e-300)]
-            if len(rest):
-                finish(rest)
-                seen[rest] = True
-            score[np.repeat(~seen, self.block)] = 0.0  # lists left out: below the k-th nearest
-        score = np.round(score, 9)
-        hit = np.flatnonzero(score)
-        if len(hit) > k:
-            hit = hit[score[hit] >= np.partition(score[hit], len(hit) - k)[len(hit) - k]]
-        hit = hit[np.lexsort((self.order[hit], -score[hit]))[:k]]
-        return hit, score[hit]
+        """The k examples of highest cosine over 0 to one document, as (cosine, example), best first."""
+        _, who, cosine, _ = self.search(1, np.zeros(len(terms), np.int64), terms, weights, k)
+        return list(zip(cosine.tolist(), who.tolist()))
 
 
 @dataclass
@@ -210,20 +242,25 @@ class Model:
         cut = np.searchsorted(row, np.arange(n + 1))
         return [(term[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
 
-    def vote(self, vector: tuple[np.ndarray, np.ndarray], shown: int = 0) -> tuple[float, list[tuple[float, float, int, int]]]:
-        """The vote, and of the examples that weigh most in it (vote, cosine, id, toxic)."""
-        terms, weights = vector
-        tells = self.telling[terms] > 0
-        out, near = 0.0, []
-        if not shown and not tells.any():
-            return out, near
-        for toxic, index in enumerate(self.index):
-            who, cosine = index.nearest_places(terms, weights, NEIGHBOURS)
-            own = index.along(terms[tells], weights[tells] * self.telling[terms[tells]])[who] if len(who) else np.zeros(0)
-            out += (1 if toxic else -1) * float(own.sum()) / NEIGHBOURS
-            near += zip(own.tolist(), cosine.tolist(), self.ids[toxic][index.order[who]].tolist(), [toxic] * len(who))
-        near.sort(key=lambda x: (-x[0], -x[1], x[2]))
-        return round(out, 9), near[:shown]
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], shown: int = 0) -> list[tuple[float, list[dict]]]:
+        """For each document its vote, and the ``shown`` examples that weigh most in it."""
+        # without a telling term the vote is 0 whatever the nearest examples are
+        asked = [i for i, (t, _) in enumerate(vectors) if len(t) and (shown or (self.telling[t] > 0).any())]
+        out: list[tuple[float, list[dict]]] = [(0.0, [])] * len(vectors)
+        for lo in range(0, len(asked), AT_ONCE):
+            own = asked[lo:lo + AT_ONCE]
+            q, size = len(own), [len(vectors[i][0]) for i in own]
+            given = [np.repeat(np.arange(q), size), *(np.concatenate([vectors[i][c] for i in own]) for c in (0, 1))]
+            vote, near = np.zeros(q), [[] for _ in own]
+            for toxic, index in enumerate(self.index):
+                doc, who, cosine, told = index.search(q, *given, NEIGHBOURS, self.telling)
+                vote += (1 if toxic else -1) * np.bincount(doc, told, q) / NEIGHBOURS
+                if shown:
+                    for d, *x in zip(doc.tolist(), (-told).tolist(), (-cosine).tolist(), self.ids[toxic][who].tolist()):
+                        near[d].append((*x, toxic))
+            for i, v, found in zip(own, np.round(vote, 9).tolist(), near):
+                out[i] = v, [{"doc_id": d, "similarity": -c, "toxic": y} for _, c, d, y in sorted(found)[:shown]]
+        return out
 
     def rate(self, vote: float) -> float:
         return float(self.rates[max(0, np.searchsorted(self.steps, vote, side="right") - 1)]) if len(self.steps) else 0.0
@@ -347,7 +384,7 @@ def _votes(model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b)):
             vectors = model.value.vectors(term_counts(part["text"]), part.num_rows)
-            yield pa.record_batch([pa.array([model.value.vote(v)[0] for v in vectors], pa.float64()), part["toxic"]], ["vote", "toxic"])
+            yield pa.record_batch([pa.array([v for v, _ in model.value.votes(vectors)], pa.float64()), part["toxic"]], ["vote", "toxic"])
 
     return run
 
@@ -358,17 +395,13 @@ def _score(model: Broadcast, keep: list[str], read: str, evidence: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for part in (p for b in batches for p in slices(b, read)):
-            counts = term_counts(part[read])
-            known: dict[bytes, tuple] = {}
-            out = []
-            for terms, weights in own.vectors(counts, part.num_rows):
-                key = terms.tobytes() + weights.tobytes()
-                if key not in known:
-                    vote, near = own.vote((terms, weights), SHOWN if evidence else 0)
-                    known[key] = (own.rate(vote), [{"doc_id": i, "similarity": s, "toxic": y} for _, s, i, y in near])
-                out.append(known[key])
-            score = pa.array([s for s, _ in out], pa.float64())
-            results = [score, pa.array([int(s >= THRESHOLD) for s, _ in out], pa.int32()), pa.array([e for _, e in out], kind)]
+            vectors = own.vectors(term_counts(part[read]), part.num_rows)
+            number: dict[bytes, int] = {}  # equal texts are compared once
+            place = [number.setdefault(t.tobytes() + w.tobytes(), len(number)) for t, w in vectors]
+            once = np.unique(np.array(place, np.int64), return_index=True)[1].tolist()
+            each = own.votes([vectors[i] for i in once], SHOWN if evidence else 0)
+            rates = np.array([own.rate(v) for v, _ in each])[place]
+            results = [pa.array(rates, pa.float64()), pa.array(rates >= THRESHOLD).cast(pa.int32()), pa.array([each[i][1] for i in place], kind)]
             yield pa.record_batch([*(part[c] for c in keep), *results[:2 + evidence]], [*keep, *OUT[:2 + evidence]])
 
     return run
