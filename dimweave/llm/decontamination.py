@@ -14,21 +14,33 @@
    words or by a template on such an alignment.  So copies are found whatever their letter case,
    and also of items that are mostly names and numbers.
 
+One pass reads the texts: windows whose hash no item has are dropped inside the text's own array,
+and what is left (hash, place and words) is all that the later steps need.  A document can only
+leak an item whose rarest windows it holds, as many as ``SHARE`` lets it miss and one more; only
+such pairs are counted, so windows that many items share multiply nothing.
+
 Cases: null and empty texts match nothing; an item with fewer than ``WINDOW`` words is one
-window, and is looked for among the document's windows of that length; rows that repeat an id
-count as one document (or item) holding all their windows; either table may be empty; other
-columns don't matter.  The counts returned are of templates where an item leaks by them, and
-else of all windows.
+window, and is looked for among the document's windows of that length; every text is judged by
+itself, also where rows repeat an id, and rows of equal id and text count once; a null id is an id
+like any other; rows that repeat an item's id count as one item holding all their windows; either table may be
+empty; other columns don't matter.  The counts returned are of templates where an item leaks by
+them, and else of all windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimweave.session import ensure_checkpoint_dir
+
 WINDOW, LITERALS, SHARE = 5, 3, 0.8
 #: Benchmark windows that may be broadcast (a few dozen MB); above that the join is shuffled.
 BROADCAST_WINDOWS = 500_000
+#: Distinct window hashes that are looked up inside a text's array, in a bitmap of BITS bits for
+#: each; beyond that all windows become rows before the join.
+LOOKED_UP, BITS = 50_000, 16
 NAME, NUMBER, UNIT = "‹w›", "‹n›", "‹u›"
 #: Words that are units where they follow a number.
 UNITS = ["km", "m", "cm", "mm", "mi", "mile", "miles", "ft", "foot", "feet", "inch", "inches", "yard", "yards", "kg", "g",
@@ -60,44 +72,45 @@ def _words(bare: Column) -> Column:
     return F.split(bare, r"\s+", -1)
 
 
-def _windows(words: Column, plain: bool, size: int = WINDOW, at: bool = False) -> Column:
-    """A hash of each window (``at``: with its place); the words must be a column of their own,
-    read many times here.  Fewer than WINDOW words are one window."""
-    last = F.greatest(F.size(words) - size, F.lit(0))
-    seed = [F.lit("plain")] if plain else []
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def window(i: Column) -> Column:
-        h = F.xxhash64(*seed, F.slice(words, i + 1, F.lit(size)))
-        return F.struct(i.alias("i"), h.alias("h")) if at else h
 
-    found = F.transform(F.sequence(F.lit(0), last), window)
-    return found if size == WINDOW else F.when(F.size(words) > size, found)
+def _windows(hashes: Column, plain: bool, size: int = WINDOW) -> Column:
+    """(i, h): place and hash of each window, from the hashes of the words, which must be a column
+    of their own.  Fewer than WINDOW words are one window; of shorter windows, texts with more
+    words than that have them."""
+    last = F.greatest(F.size(hashes) - size, F.lit(0))
+    seed = [F.lit("plain")] if plain else []
+    found = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        i.alias("i"), F.xxhash64(*seed, *(F.get(hashes, i + k) for k in range(size))).alias("h")))
+    return found if size == WINDOW else F.when(F.size(hashes) > size, found).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
 
 
-def _all_windows(short: list[int], at: bool = False) -> Column:
+def _all_windows(short: list[int]) -> Column:
     """Of a document: both keys, for windows of WINDOW words and of the lengths of shorter items."""
-    kinds = [("words", False), ("own", True)]
-    whole = [_windows(F.col(c), plain, at=at) for c, plain in kinds]
-    kind = "array<struct<i:int,h:bigint>>" if at else "array<bigint>"
-    less = [F.coalesce(_windows(F.col(c), plain, n, at), F.array().cast(kind)) for n in short for c, plain in kinds
-            if plain or n >= LITERALS]
-    return F.concat(*whole, *less)
+    kinds = [("h_words", False), ("h_own", True)]
+    return F.concat(*(_windows(F.col(c), plain, n) for n in [WINDOW, *short] for c, plain in kinds if plain or n >= LITERALS))
 
 
-def _templates(df: DataFrame, key: str, text: str, out: str) -> DataFrame:
-    """(out, words, own): rows with at least one word, as a template and in lower case."""
-    bare = df.select(F.col(key).alias(out), bare_text(F.col(text)).alias("bare")).filter("bare <> ''")
-    return bare.select(out, _words(canonical_text(F.col("bare"))).alias("words"), _words(F.lower("bare")).alias("own"))
+def _templates(df: DataFrame, text: str, keep: list[Column]) -> DataFrame:
+    """(kept columns, words, own, h_words, h_own): rows with at least one word, as a template and in
+    lower case, and the hashes of the words."""
+    bare = df.select(*keep, bare_text(F.col(text)).alias("bare")).filter("bare <> ''")
+    names = [c for c in bare.columns if c != "bare"]
+    words = bare.select(*names, _words(canonical_text(F.col("bare"))).alias("words"), _words(F.lower("bare")).alias("own"))
+    return words.select("*", _hashes(F.col("words")).alias("h_words"), _hashes(F.col("own")).alias("h_own"))
 
 
 def _item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     """(item_id, j, plain, h, w, own, slot): each window under its keys; w: the plain one, which
     names the window; its words in lower case, and which of them are slots.  The template is no
     key of a window with too few literal words."""
-    t = _templates(benchmark, item_id, text, "item_id")
-    w = t.select("item_id", "words", "own", F.explode(F.arrays_zip(
-        _windows(F.col("words"), False, at=True).alias("t"), _windows(F.col("own"), True).alias("w"))).alias("x"))
-    w = w.select("item_id", "words", "own", F.col("x.t.i").alias("j"), F.col("x.t.h").alias("t"), F.col("x.w").alias("w"))
+    t = _templates(benchmark, text, [F.col(item_id).alias("item_id")])
+    # (outer: a plain explode would test the array's size where the text is read, window by window)
+    w = t.select("item_id", "words", "own", F.explode_outer(F.arrays_zip(
+        _windows(F.col("h_words"), False).alias("t"), _windows(F.col("h_own"), True).alias("w"))).alias("x"))
+    w = w.select("item_id", "words", "own", F.col("x.t.i").alias("j"), F.col("x.t.h").alias("t"), F.col("x.w.h").alias("w"))
     cut = lambda c: F.slice(c, F.col("j") + 1, F.lit(WINDOW))
     w = w.select("item_id", "j", "t", "w", cut(F.col("own")).alias("own"),
                  F.transform(cut(F.col("words")), lambda x: x.isin(*SLOTS)).alias("slot"))
@@ -108,56 +121,113 @@ def _item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     return w.select("item_id", "j", "w", "own", "slot", keys).select("item_id", "j", "k.plain", "k.h", "w", "own", "slot")
 
 
+def _counts(t: str, w: str) -> list[Column]:
+    """How many templates, and how many windows."""
+    return [F.size(F.collect_set(F.when(~F.col("plain"), F.col("h")))).alias(t), F.size(F.collect_set("w")).alias(w)]
+
+
+def _rarest(keys: DataFrame, totals: DataFrame) -> DataFrame:
+    """(item_id, h): the hashes under which each item's rarest windows, and its rarest templates,
+    are found, as many as may be missing and one more."""
+    shared = keys.join(keys.groupBy("h").agg(F.countDistinct("item_id").alias("n")), "h").join(totals, "item_id")
+    least = lambda n: F.col(n) - F.ceil(F.lit(SHARE) * F.col(n)) + 1
+    windows = shared.groupBy("item_id", "w", "all_w").agg(F.max("n").alias("n"), F.collect_set("h").alias("h"))
+    windows = windows.withColumn("place", F.row_number().over(Window.partitionBy("item_id").orderBy("n", "w")))
+    templates = shared.filter("not plain").select("item_id", "h", "n", "all_t").distinct()
+    templates = templates.withColumn("place", F.row_number().over(Window.partitionBy("item_id").orderBy("n", "h")))
+    return (windows.filter(F.col("place") <= least("all_w")).select("item_id", F.explode("h").alias("h"))
+            .union(templates.filter(F.col("place") <= least("all_t")).select("item_id", "h")).distinct())
+
+
+def _cells(n: int) -> int:
+    """Numbers of a bitmap for n hashes, a power of two."""
+    return 1 << max(0, (n * BITS // 64).bit_length())
+
+
+def _cell(h: Column, n: int) -> Column:
+    return F.shiftright(h, 6).bitwiseAND(_cells(n) - 1).cast("int")
+
+
+def _bitmap(hashes: list[int]) -> np.ndarray:
+    """The bit of each hash: a hash whose bit is missing is none of them."""
+    h = np.array(hashes, np.int64)
+    out = np.zeros(_cells(len(h)), np.uint64)
+    np.bitwise_or.at(out, (h >> 6) & (len(out) - 1), np.uint64(1) << (h & 63).astype(np.uint64))
+    return out.view(np.int64)
+
+
+def _hits(docs: DataFrame, held: list[int], short: list[int], doc_id: str, text: str) -> DataFrame:
+    """(k1, k2, doc_id, text_hash, i, h, ours): the windows of each text that an item may hold."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    keep = [F.xxhash64(F.col(doc_id).isNull(), doc_id, t).alias("k1"), F.xxhash64(F.lit(8), F.col(doc_id).isNull(), doc_id, t).alias("k2"),
+            F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash")]
+    seen = _templates(docs, text, keep).select("k1", "k2", "doc_id", "text_hash", "own", _all_windows(short).alias("all"))
+    row = ["k1", "k2", "doc_id", "text_hash"]
+    if not held:
+        return seen.select(*row, "own", F.explode_outer("all").alias("x")).select(
+            *row, "x.i", "x.h", F.slice("own", F.col("x.i") + 1, F.lit(WINDOW)).alias("ours"))
+    bits = F.lit(_bitmap(held))
+    known = F.filter("all", lambda x: F.getbit(F.get(bits, _cell(x["h"], len(held))), x["h"].bitwiseAND(63).cast("int")) == 1)
+    found = seen.select(*row, F.transform(known, lambda x: F.struct(
+        x["i"].alias("i"), x["h"].alias("h"), F.slice("own", x["i"] + 1, F.lit(WINDOW)).alias("ours"))).alias("x"))
+    return found.checkpoint().select(*row, F.explode("x").alias("x")).select(*row, "x.*")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id",
                text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, n_consistent, kind): documents that hold a
-    benchmark item; kind is exact or reparameterised."""
-    items = _item_windows(benchmark, item_id, text)
+    """(doc_id, item_id, n_windows, n_matched, n_consistent, kind, text_hash): documents that hold a
+    benchmark item; kind is exact or reparameterised; text_hash is xxhash64 of the text (null:
+    empty)."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    items = _item_windows(benchmark, item_id, text).checkpoint()
     keys = items.select("item_id", "plain", "h", "w").distinct()
-    counts = lambda t, w: (F.size(F.collect_set(F.when(~F.col("plain"), F.col("h")))).alias(t),
-                           F.size(F.collect_set("w")).alias(w))
-    totals = keys.groupBy("item_id").agg(*counts("all_t", "all_w"))
+    totals = keys.groupBy("item_id").agg(*_counts("all_t", "all_w"))
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     sized = F.broadcast if small else (lambda df: df)
     short = sorted(r["n"] for r in items.select(F.size("own").alias("n")).filter(F.col("n") < WINDOW).distinct().collect())
+    held = [r["h"] for r in items.select("h").distinct().limit(LOOKED_UP + 1).collect()]
     share = F.lit(SHARE)
 
-    # One pass over the texts: windows, probe, count.  Only hits are shuffled.
-    docs = docs.select(F.col(doc_id).alias(doc_id), F.col(text).alias(text))
-    seen = _templates(docs, doc_id, text, "doc_id").select("doc_id", F.explode(_all_windows(short)).alias("h"))
-    hits = seen.join(sized(keys), "h").groupBy("doc_id", "item_id", "plain", "h", "w").agg(F.count("*").alias("n"))
-    pairs = (hits.groupBy("doc_id", "item_id").agg(*counts("n_t", "n_w")).join(totals, "item_id")
+    # One pass over the texts; only windows that some item holds go on, each once for equal rows.
+    doc = ["k1", "k2"]
+    hits = _hits(docs, held if len(held) <= LOOKED_UP else [], short, doc_id, text)
+    hits = hits.join(sized(items.select("h").distinct()), "h", "left_semi").groupBy(*doc, "i", "h").agg(
+        *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "ours"))).checkpoint()
+    held_by = hits.select(*doc, "h").distinct()
+    some = held_by.join(sized(_rarest(keys, totals)), "h").select(*doc, "item_id").distinct()
+    pairs = (held_by.join(sized(keys), "h").join(some, [*doc, "item_id"], "left_semi")
+             .groupBy(*doc, "item_id").agg(*_counts("n_t", "n_w")).join(totals, "item_id")
              .filter(((F.col("all_t") > 0) & (F.col("n_t") >= share * F.col("all_t"))) | (F.col("n_w") >= share * F.col("all_w"))))
+    pairs = pairs.checkpoint()
 
-    # The slots of those pairs alone: their texts once more, window against window.
-    some = pairs.select(F.col("doc_id").alias(doc_id)).distinct()
-    held = _templates(docs.join(some, doc_id), doc_id, text, "doc_id")
-    held = held.select("doc_id", "own", F.explode(_all_windows(short, at=True)).alias("x")).select("doc_id", "own", "x.*")
-    met = (held.join(sized(items.withColumnRenamed("own", "theirs")), "h")
-           .join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi"))
+    # The slots of those pairs alone: window against window.
+    met = (hits.join(pairs.select(*doc, "item_id"), doc)
+           .join(items.withColumnRenamed("own", "theirs"), ["item_id", "h"]))
     theirs = F.filter(F.zip_with("theirs", "slot", lambda x, s: F.when(s, x)), lambda x: x.isNotNull())
-    ours = F.filter(F.zip_with(F.slice("own", F.col("i") + 1, F.lit(WINDOW)), "slot", lambda x, s: F.when(s, x)),
-                    lambda x: x.isNotNull())
-    met = met.select("doc_id", "item_id", "plain", "h", "w", (F.col("i") - F.col("j")).alias("shift"),
+    ours = F.filter(F.zip_with("ours", "slot", lambda x, s: F.when(s, x)), lambda x: x.isNotNull())
+    met = met.select(*doc, "item_id", "plain", "h", "w", (F.col("i") - F.col("j")).alias("shift"),
                      F.arrays_zip(theirs.alias("theirs"), ours.alias("ours")).alias("slots"))
-    along = ["doc_id", "item_id", "shift"]
+    pair = [*doc, "item_id"]
+    along = [*pair, "shift"]
     values = (met.filter("not plain").select(*along, F.explode("slots").alias("s")).distinct().groupBy(*along, "s.theirs")
               .agg(F.count("*").alias("n"), F.max(F.col("s.theirs") != F.col("s.ours")).alias("other")))
     lines = values.groupBy(*along).agg(F.max("n").alias("most"), F.max("other").alias("other"))
     # a window that the plain words meet has its own values, on whatever alignment
     window = (met.select(*along, "plain", "h", "w").distinct().join(lines, along, "left")
               .filter(F.col("plain") | (F.coalesce("most", F.lit(1)) == 1))
-              .groupBy("doc_id", "item_id", "plain", "h", "w")
+              .groupBy(*pair, "plain", "h", "w")
               .agg(F.min(~F.col("plain") & F.coalesce("other", F.lit(False))).alias("other"))
-              .groupBy("doc_id", "item_id", "w")
+              .groupBy(*pair, "w")
               .agg(F.min("other").alias("other"), F.collect_set(F.when(~F.col("plain"), F.col("h"))).alias("t")))
-    agreed = window.groupBy("doc_id", "item_id").agg(
+    agreed = window.groupBy(*pair).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("t")))).alias("c_t"), F.count("*").alias("c_w"),
         F.max(F.col("other") & (F.size("t") > 0)).alias("other_t"), F.max("other").alias("other_w"))
     by_template = (F.col("all_t") > 0) & (F.col("n_t") >= share * F.col("all_t")) & (F.col("c_t") >= share * F.col("n_t"))
-    out = (pairs.join(agreed, ["doc_id", "item_id"]).withColumn("by_t", by_template)
+    out = (pairs.join(agreed, pair).withColumn("by_t", by_template)
            .filter(F.col("by_t") | (F.col("c_w") >= share * F.col("all_w"))))
+    named = hits.groupBy(*doc).agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"))
     one = lambda t, w, name: F.when(F.col("by_t"), F.col(t)).otherwise(F.col(w)).cast("long").alias(name)
     other = F.when(F.col("by_t"), F.col("other_t")).otherwise(F.col("other_w"))
-    return out.select("doc_id", "item_id", one("all_t", "all_w", "n_windows"), one("n_t", "n_w", "n_matched"),
-                      one("c_t", "c_w", "n_consistent"), F.when(other, "reparameterised").otherwise("exact").alias("kind"))
+    return out.join(named, doc).select(
+        "doc_id", "item_id", one("all_t", "all_w", "n_windows"), one("n_t", "n_w", "n_matched"), one("c_t", "c_w", "n_consistent"),
+        F.when(other, "reparameterised").otherwise("exact").alias("kind"), "text_hash")
