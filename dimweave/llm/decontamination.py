@@ -14,10 +14,10 @@
    words or by a template on such an alignment.  So copies are found whatever their letter case,
    and also of items that are mostly names and numbers.
 
-One pass reads the texts: windows whose hash no item has are dropped inside the text's own array,
-and what is left (hash, place and words) is all that the later steps need.  A document can only
-leak an item whose rarest windows it holds, as many as ``SHARE`` lets it miss and one more; only
-such pairs are counted, so windows that many items share multiply nothing.
+One pass over the texts finds which windows of items each holds; only these go on.  A document can
+only leak an item of whose rarest windows, as many as ``SHARE`` lets it miss and one more, it holds
+one; only such pairs are counted, so windows that many items share multiply nothing.  The places of
+the windows are looked up in the texts of the pairs that are left.
 
 Cases: null and empty texts match nothing; an item with fewer than ``WINDOW`` words is one
 window, and is looked for among the document's windows of that length; every text is judged by
@@ -29,7 +29,6 @@ them, and else of all windows.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,9 +37,6 @@ from dimweave.session import ensure_checkpoint_dir
 WINDOW, LITERALS, SHARE = 5, 3, 0.8
 #: Benchmark windows that may be broadcast (a few dozen MB); above that the join is shuffled.
 BROADCAST_WINDOWS = 500_000
-#: Distinct window hashes that are looked up inside a text's array, in a bitmap of BITS bits for
-#: each; beyond that all windows become rows before the join.
-LOOKED_UP, BITS = 50_000, 16
 NAME, NUMBER, UNIT = "‹w›", "‹n›", "‹u›"
 #: Words that are units where they follow a number.
 UNITS = ["km", "m", "cm", "mm", "mi", "mile", "miles", "ft", "foot", "feet", "inch", "inches", "yard", "yards", "kg", "g",
@@ -76,21 +72,29 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _windows(hashes: Column, plain: bool, size: int = WINDOW) -> Column:
-    """(i, h): place and hash of each window, from the hashes of the words, which must be a column
-    of their own.  Fewer than WINDOW words are one window; of shorter windows, texts with more
-    words than that have them."""
+def _windows(hashes: Column, plain: bool, size: int = WINDOW, at: bool = False) -> Column:
+    """A hash of each window (``at``: with its place i, as h), from the hashes of the words, which
+    must be a column of their own.  Fewer than WINDOW words are one window; of shorter windows,
+    texts with more words than that have them."""
     last = F.greatest(F.size(hashes) - size, F.lit(0))
     seed = [F.lit("plain")] if plain else []
-    found = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-        i.alias("i"), F.xxhash64(*seed, *(F.get(hashes, i + k) for k in range(size))).alias("h")))
-    return found if size == WINDOW else F.when(F.size(hashes) > size, found).otherwise(F.array().cast("array<struct<i:int,h:bigint>>"))
 
+    def window(i: Column) -> Column:
+        h = F.xxhash64(*seed, *(F.get(hashes, i + k) for k in range(size)))
+        return F.struct(i.alias("i"), h.alias("h")) if at else h
 
-def _all_windows(short: list[int]) -> Column:
-    """Of a document: both keys, for windows of WINDOW words and of the lengths of shorter items."""
+    found = F.transform(F.sequence(F.lit(0), last), window)
+    none = F.array().cast("array<struct<i:int,h:bigint>>" if at else "array<bigint>")
+    return found if size == WINDOW else F.when(F.size(hashes) > size, found).otherwise(none)
+
+
+def _all_windows(short: list[int], at: bool = False) -> Column:
+    """Of a document, a row for each: both keys, for windows of WINDOW words and of the lengths of
+    shorter items.  (Outer: a plain explode would also test the array's size where the text is
+    read, and compute it twice.)"""
     kinds = [("h_words", False), ("h_own", True)]
-    return F.concat(*(_windows(F.col(c), plain, n) for n in [WINDOW, *short] for c, plain in kinds if plain or n >= LITERALS))
+    return F.explode_outer(F.concat(*(_windows(F.col(c), plain, n, at) for n in [WINDOW, *short] for c, plain in kinds
+                                      if plain or n >= LITERALS)))
 
 
 def _templates(df: DataFrame, text: str, keep: list[Column]) -> DataFrame:
@@ -107,10 +111,9 @@ def _item_windows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     names the window; its words in lower case, and which of them are slots.  The template is no
     key of a window with too few literal words."""
     t = _templates(benchmark, text, [F.col(item_id).alias("item_id")])
-    # (outer: a plain explode would test the array's size where the text is read, window by window)
     w = t.select("item_id", "words", "own", F.explode_outer(F.arrays_zip(
-        _windows(F.col("h_words"), False).alias("t"), _windows(F.col("h_own"), True).alias("w"))).alias("x"))
-    w = w.select("item_id", "words", "own", F.col("x.t.i").alias("j"), F.col("x.t.h").alias("t"), F.col("x.w.h").alias("w"))
+        _windows(F.col("h_words"), False, at=True).alias("t"), _windows(F.col("h_own"), True).alias("w"))).alias("x"))
+    w = w.select("item_id", "words", "own", F.col("x.t.i").alias("j"), F.col("x.t.h").alias("t"), F.col("x.w").alias("w"))
     cut = lambda c: F.slice(c, F.col("j") + 1, F.lit(WINDOW))
     w = w.select("item_id", "j", "t", "w", cut(F.col("own")).alias("own"),
                  F.transform(cut(F.col("words")), lambda x: x.isin(*SLOTS)).alias("slot"))
@@ -139,40 +142,6 @@ def _rarest(keys: DataFrame, totals: DataFrame) -> DataFrame:
             .union(templates.filter(F.col("place") <= least("all_t")).select("item_id", "h")).distinct())
 
 
-def _cells(n: int) -> int:
-    """Numbers of a bitmap for n hashes, a power of two."""
-    return 1 << max(0, (n * BITS // 64).bit_length())
-
-
-def _cell(h: Column, n: int) -> Column:
-    return F.shiftright(h, 6).bitwiseAND(_cells(n) - 1).cast("int")
-
-
-def _bitmap(hashes: list[int]) -> np.ndarray:
-    """The bit of each hash: a hash whose bit is missing is none of them."""
-    h = np.array(hashes, np.int64)
-    out = np.zeros(_cells(len(h)), np.uint64)
-    np.bitwise_or.at(out, (h >> 6) & (len(out) - 1), np.uint64(1) << (h & 63).astype(np.uint64))
-    return out.view(np.int64)
-
-
-def _hits(docs: DataFrame, held: list[int], short: list[int], doc_id: str, text: str) -> DataFrame:
-    """(k1, k2, doc_id, text_hash, i, h, ours): the windows of each text that an item may hold."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keep = [F.xxhash64(F.col(doc_id).isNull(), doc_id, t).alias("k1"), F.xxhash64(F.lit(8), F.col(doc_id).isNull(), doc_id, t).alias("k2"),
-            F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("text_hash")]
-    seen = _templates(docs, text, keep).select("k1", "k2", "doc_id", "text_hash", "own", _all_windows(short).alias("all"))
-    row = ["k1", "k2", "doc_id", "text_hash"]
-    if not held:
-        return seen.select(*row, "own", F.explode_outer("all").alias("x")).select(
-            *row, "x.i", "x.h", F.slice("own", F.col("x.i") + 1, F.lit(WINDOW)).alias("ours"))
-    bits = F.lit(_bitmap(held))
-    known = F.filter("all", lambda x: F.getbit(F.get(bits, _cell(x["h"], len(held))), x["h"].bitwiseAND(63).cast("int")) == 1)
-    found = seen.select(*row, F.transform(known, lambda x: F.struct(
-        x["i"].alias("i"), x["h"].alias("h"), F.slice("own", x["i"] + 1, F.lit(WINDOW)).alias("ours"))).alias("x"))
-    return found.checkpoint().select(*row, F.explode("x").alias("x")).select(*row, "x.*")
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id",
                text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, n_consistent, kind, text_hash): documents that hold a
@@ -185,21 +154,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
     small = items.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS
     sized = F.broadcast if small else (lambda df: df)
     short = sorted(r["n"] for r in items.select(F.size("own").alias("n")).filter(F.col("n") < WINDOW).distinct().collect())
-    held = [r["h"] for r in items.select("h").distinct().limit(LOOKED_UP + 1).collect()]
     share = F.lit(SHARE)
 
     # One pass over the texts; only windows that some item holds go on, each once for equal rows.
-    doc = ["k1", "k2"]
-    hits = _hits(docs, held if len(held) <= LOOKED_UP else [], short, doc_id, text)
-    hits = hits.join(sized(items.select("h").distinct()), "h", "left_semi").groupBy(*doc, "i", "h").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "text_hash", "ours"))).checkpoint()
-    held_by = hits.select(*doc, "h").distinct()
+    doc, t = ["k1", "k2"], F.coalesce(F.col(text).cast("string"), F.lit(""))
+    docs = docs.select(F.xxhash64(F.col(doc_id).isNull(), doc_id, t).alias("k1"), F.xxhash64(F.lit(8), F.col(doc_id).isNull(), doc_id, t).alias("k2"),
+                       F.col(doc_id).alias("doc_id"), t.alias("text"))
+    seen = _templates(docs, "text", [F.col("k1"), F.col("k2")]).select(*doc, _all_windows(short).alias("h"))
+    held_by = seen.join(sized(items.select("h").distinct()), "h", "left_semi").distinct().checkpoint()
     some = held_by.join(sized(_rarest(keys, totals)), "h").select(*doc, "item_id").distinct()
     pairs = (held_by.join(sized(keys), "h").join(some, [*doc, "item_id"], "left_semi")
              .groupBy(*doc, "item_id").agg(*_counts("n_t", "n_w")).join(totals, "item_id")
              .filter(((F.col("all_t") > 0) & (F.col("n_t") >= share * F.col("all_t"))) | (F.col("n_w") >= share * F.col("all_w"))))
     pairs = pairs.checkpoint()
 
+    # Their texts once more: where those windows lie.
+    texts = docs.join(pairs.select(*doc).distinct(), doc, "left_semi")
+    row = [*doc, "doc_id", F.xxhash64("text").alias("text_hash")]
+    hits = _templates(texts, "text", row).select(*doc, "doc_id", "text_hash", "own", _all_windows(short, at=True).alias("x"))
+    hits = hits.select(*doc, "doc_id", "text_hash", "x.i", "x.h", "own").join(sized(items.select("h").distinct()), "h", "left_semi")
+    hits = hits.groupBy(*doc, "i", "h").agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"),
+                                            F.first(F.slice("own", F.col("i") + 1, F.lit(WINDOW))).alias("ours")).checkpoint()
+
     # The slots of those pairs alone: window against window.
     met = (hits.join(pairs.select(*doc, "item_id"), doc)
            .join(items.withColumnRenamed("own", "theirs"), ["item_id", "h"]))

@@ -140,10 +140,9 @@ def test_null_and_repeated_ids_are_told_apart_by_their_text(spark):
     assert sorted((str(r.doc_id), r.item_id) for r in found) == [("2", 2), ("None", 2)] and len({r.text_hash for r in found}) == 1
 
 
-def test_without_look_up_and_broadcast(spark, monkeypatch):
+def test_without_broadcast(spark, monkeypatch):
     docs = [(10, f"{LONG} {ITEMS[0][1]} {LONG}"), (18, "short item text"), (19, ITEMS[5][1]), (20, None)]
     first = leaks(spark, docs)
-    monkeypatch.setattr(decontamination, "LOOKED_UP", 3)
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 3)
     assert leaks(spark, docs) == first and len(first) == 3
 
