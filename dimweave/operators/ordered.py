@@ -7,10 +7,10 @@ with more than ``chunk_rows`` rows is cut into order-respecting chunks of about
 row per chunk of a hot key) supplies what a chunk needs from the chunks before or
 after it.
 
-Cost: one partial aggregation (row count and order range per key, over a hash-chosen
-sample of the rows) whose hot-key output is bounded by ``rows / chunk_rows`` and
-therefore safe to broadcast; one shuffle of the rows by (key, chunk); a carry table
-built by a partial aggregation over the rows of hot keys only (one row per hot chunk,
+Cost: one partial aggregation (row count per key, over a hash-chosen sample of the rows); for
+hot keys, splitters at equal ranks of a thinner sample, over the whole order tuple and whatever
+its types, at most ``rows / chunk_rows`` of them and therefore safe to broadcast; one shuffle
+of the rows by (key, chunk); a carry table built by a partial aggregation over the rows of hot keys only (one row per hot chunk,
 again at most ``rows / chunk_rows`` rows, broadcast).  A later scan over a subset of the
 rows can reuse the same chunks (``chunked=True``) and so needs no further shuffle.
 """
@@ -21,7 +21,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from dimweave.session import ensure_checkpoint_dir
 
 CHUNK = "_dw_chunk"
 HOT = "_dw_hot"
@@ -38,6 +39,10 @@ _BROADCAST_META = "dw_broadcast"
 # this chunk size the whole input is used.
 SAMPLE_ROWS_PER_CHUNK = 10_000
 SAMPLE_SEED = 17
+# Splitters come from about this many rows per chunk; a node of the splitters' tree has FAN - 1.
+SPLIT_ROWS_PER_CHUNK = 200
+SPLIT_SEED = 23
+FAN = 32
 _SAMPLE_SPACE = 1_000_000
 
 
@@ -59,18 +64,29 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], *,
     return left.join(F.broadcast(r) if broadcast else r, cond, "left").drop(*[f"_dw_r_{c}" for c in on])
 
 
-def _order_number(df: DataFrame, name: str) -> Column:
-    """The first order column as a double that never decreases with the order; null for types
-    without one (text), whose keys then stay in one piece."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if not isinstance(dt, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.lit(None).cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+def _sampled(df: DataFrame, columns: Sequence[str], fraction: float, salt: int) -> DataFrame:
+    """Rows chosen by a hash of their columns, not by position: every branch of a plan and every
+    retried task picks the same ones."""
+    if fraction >= 1.0:
+        return df
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.lit(salt)), F.lit(_SAMPLE_SPACE))
+    return df.filter(h < F.lit(max(1, int(fraction * _SAMPLE_SPACE))))
+
+
+def _splitters(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int) -> DataFrame:
+    """(keys, _dw_i, _dw_s): for a hot key with k chunks the order tuples at the ranks 1/k, 2/k, ..
+    of a sample of about ``SPLIT_ROWS_PER_CHUNK`` rows for each chunk, numbered from 1."""
+    few = _sampled(df.select(*keys, *order), [*keys, *order], SPLIT_ROWS_PER_CHUNK / float(chunk_rows), SPLIT_SEED)
+    h = hot.select(*[F.col(c).alias(f"_dw_h_{c}") for c in keys], "_dw_k")
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & few[c].eqNullSafe(h[f"_dw_h_{c}"])
+    few = few.join(h, cond).select(*keys, "_dw_k", F.struct(*order).alias("_dw_s"))
+    w = Window.partitionBy(*keys)
+    ranked = few.select("*", (F.row_number().over(w.orderBy("_dw_s")) - 1).alias("_dw_r"), F.count(F.lit(1)).over(w).alias("_dw_n"))
+    chunk = lambda r: F.floor(r * F.col("_dw_k") / F.col("_dw_n"))
+    return (ranked.filter((F.col("_dw_r") > 0) & (chunk(F.col("_dw_r")) > chunk(F.col("_dw_r") - 1)))
+            .select(*keys, F.row_number().over(w.orderBy("_dw_s")).alias("_dw_i"), "_dw_s"))
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int) -> DataFrame:
@@ -78,54 +94,48 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chun
     predicate on a window partition column, which Spark pushes below windows and
     shuffles) and ``_dw_hot``.
 
-    A hot key with about n rows over the order range [lo, hi] gets ceil(n / chunk_rows)
-    chunks of equal order width, so the chunk number never decreases along the order.
+    A hot key with about n rows is cut at k - 1 splitters, k = ceil(n / chunk_rows): a row's
+    chunk is the number of splitters that don't come after its order tuple, so it never decreases
+    along the order, and chunks hold about ``chunk_rows`` rows however the order is spread.
 
-    n, lo and hi come from a sample of about ``SAMPLE_ROWS_PER_CHUNK`` rows per chunk.
-    The sample is chosen by a hash of each row's key and order values, not by row
-    position, so every branch of the plan and every retried task picks the same rows
-    and computes the same chunks, whatever the partitioning or row order.  The sample
-    only places chunk boundaries: every row is still scanned, and any monotone chunking
-    gives the same result, so an estimate that is off only changes chunk sizes.
+    n comes from a sample of about ``SAMPLE_ROWS_PER_CHUNK`` rows per chunk, the splitters from a
+    thinner one.  Samples only place chunk boundaries: every row is still scanned, and any monotone
+    chunking gives the same result, so an estimate that is off only changes chunk sizes.  Splitters
+    are checkpointed, so no branch of the plan finds them again.
 
     One small action (how many hot keys and chunks does the sample show?) chooses the
     plan: with no hot key the chunk is a literal null and the carry machinery folds away;
     the hot-key and carry tables are broadcast only up to ``MAX_BROADCAST_CHUNKS``.
     """
-    o0 = _order_number(df, order[0])
+    keys, order = list(keys), list(order)
     fraction = min(1.0, SAMPLE_ROWS_PER_CHUNK / float(chunk_rows))
-    src = df
-    if fraction < 1.0:
-        h = F.pmod(F.xxhash64(*[F.col(c) for c in [*keys, *order]], F.lit(SAMPLE_SEED)), F.lit(_SAMPLE_SPACE))
-        src = df.filter(h < F.lit(int(fraction * _SAMPLE_SPACE)))
-    stats = (
-        src.groupBy(*keys)
-        .agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_dw_n"), F.min(o0).alias("_dw_lo"),
-             F.max(o0).alias("_dw_hi"))
-        .filter(F.col("_dw_n") > F.lit(chunk_rows))
-        .select(
-            *keys,
-            F.col("_dw_lo"),
-            F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).alias("_dw_k"),
-            ((F.col("_dw_hi") - F.col("_dw_lo") + F.lit(1.0))
-             / F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).cast("double")).alias("_dw_width"),
-        )
-    )
+    src = _sampled(df, [*keys, *order], fraction, SAMPLE_SEED)
+    hot = (src.groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_dw_n")).filter(F.col("_dw_n") > F.lit(chunk_rows))
+           .select(*keys, F.ceil(F.col("_dw_n") / F.lit(chunk_rows)).alias("_dw_k")))
     cols = df.columns
-    # One small action sizes the plan: how many hot keys and chunks the sample shows.
-    size = stats.agg(F.count(F.lit(1)).alias("keys"), F.sum("_dw_k").alias("chunks")).first()
+    size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_dw_k").alias("chunks"), F.max("_dw_k").alias("most")).first()
     if size["keys"] == 0:
         # No hot key: a literal null chunk.  Catalyst then folds every "hot rows only"
         # branch to an empty relation and drops the carry joins, leaving a plain window.
         return df.select(*cols, F.lit(None).cast("long").alias(CHUNK), F.lit(False).alias(HOT))
     broadcast = int(size["chunks"]) <= MAX_BROADCAST_CHUNKS
-    x = left_join_null_safe(df, stats.drop("_dw_k"), keys, broadcast=broadcast)
-    # A null order sorts first (Spark's ascending default), so it goes to the first chunk.
-    chunk = F.when(F.col("_dw_width").isNotNull(),
-                   F.coalesce(F.floor((o0 - F.col("_dw_lo")) / F.col("_dw_width")).cast("long"),
-                              F.lit(-(2 ** 63)).cast("long")))
-    return x.select(*cols, chunk.alias(CHUNK, metadata={_BROADCAST_META: broadcast}),
-                    F.col("_dw_width").isNotNull().alias(HOT))
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = hot.checkpoint()
+    splits = _splitters(df, hot, keys, order, chunk_rows).checkpoint()
+    # Splitters as a tree of nodes of FAN - 1: a row goes down one level at a time, so it meets few
+    # of them, and no row carries a long array.
+    x = left_join_null_safe(df, hot, keys, broadcast=broadcast).withColumn(CHUNK, F.when(F.col("_dw_k").isNotNull(), F.lit(0).cast("long")))
+    levels = 1
+    while FAN ** levels < int(size["most"]):
+        levels += 1
+    for level in reversed(range(levels)):
+        own = splits.filter((F.col("_dw_i") % FAN ** level == 0) & (F.col("_dw_i") % FAN ** (level + 1) != 0))
+        own = own.groupBy(*keys, F.floor(F.col("_dw_i") / FAN ** (level + 1)).cast("long").alias(CHUNK)).agg(
+            F.collect_list("_dw_s").alias("_dw_node"))
+        x = left_join_null_safe(x, own, [*keys, CHUNK], broadcast=broadcast)
+        below = F.size(F.filter(F.coalesce("_dw_node", F.array().cast(own.schema["_dw_node"].dataType)), lambda s: s <= F.struct(*order)))
+        x = x.withColumn(CHUNK, F.col(CHUNK) * FAN + below).drop("_dw_node")
+    return x.select(*cols, F.col(CHUNK).alias(CHUNK, metadata={_BROADCAST_META: broadcast}), F.col("_dw_k").isNotNull().alias(HOT))
 
 
 def keyed_scan(
