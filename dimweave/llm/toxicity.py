@@ -52,7 +52,9 @@ TELLING = 10.83
 HELD_TERMS = 1 << 20
 NEIGHBOURS, BLOCK, SHOWN = 50, 64, 15
 #: Documents that are compared with the examples at once.
-AT_ONCE = 256
+AT_ONCE = 64
+#: Bytes of text that a task turns into vectors at once.
+PART_BYTES = 1 << 20
 THRESHOLD = 0.3
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()),
                                      T.StructField("toxic", T.IntegerType())]))
@@ -382,7 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: tuple[int, int] = (4, 2)) -
 
 def _votes(model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for b in batches for p in slices(b)):
+        for part in (p for b in batches for p in slices(b, size=PART_BYTES)):
             vectors = model.value.vectors(term_counts(part["text"]), part.num_rows)
             yield pa.record_batch([pa.array([v for v, _ in model.value.votes(vectors)], pa.float64()), part["toxic"]], ["vote", "toxic"])
 
@@ -394,7 +396,7 @@ def _score(model: Broadcast, keep: list[str], read: str, evidence: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
-        for part in (p for b in batches for p in slices(b, read)):
+        for part in (p for b in batches for p in slices(b, read, PART_BYTES)):
             vectors = own.vectors(term_counts(part[read]), part.num_rows)
             number: dict[bytes, int] = {}  # equal texts are compared once
             place = [number.setdefault(t.tobytes() + w.tobytes(), len(number)) for t, w in vectors]
