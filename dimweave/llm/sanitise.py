@@ -164,7 +164,8 @@ def _disclosing(docs: DataFrame, held: DataFrame, total: int) -> DataFrame:
         return held.select("text_hash", F.lit(0).cast("long").alias("th"), F.lit(0.0).alias("share"), F.lit("").alias("entity")).limit(0)
     # of every term, in how many texts it occurs
     rare = most ** GENERALISE * total ** (1 - GENERALISE) * (1 + 1e-9)
-    everywhere = docs.select("text_hash", F.explode_outer(_terms(F.col("text"))).alias("th")).filter("th is not null").distinct()
+    once = docs.dropDuplicates(["text_hash"])  # copies meet before their terms become rows
+    everywhere = once.select("text_hash", F.explode_outer(_terms(F.col("text"))).alias("th")).filter("th is not null")
     counts = _classes(everywhere, "th").filter(F.col("n") <= rare)
     here = held.select("text_hash", F.explode_outer(_terms(F.col("text"))).alias("th")).filter("th is not null")
     here = here.join(counts.select("th", F.col("n").alias("n_term"), F.col("c1").alias("t1"), F.col("c2").alias("t2")), "th").checkpoint()
