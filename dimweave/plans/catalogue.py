@@ -213,6 +213,14 @@ def q20_account_dimension_rates(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.col("id").alias("account_no"), "eff_seq", "end_seq", F.col("rate").cast("double").alias("rate"))
 
 
+def q26_rated_account_scd2(spark: SparkSession, d: str) -> DataFrame:
+    """Account events and rate events together on the account dimension: each rate event acts on
+    the version in force when it comes."""
+    v = jobs.rated_account_versions(fx.fx_account(spark, d), fx.fx_dim_account(spark, d), fx.fx_az(spark, d), fx.fx_accr(spark, d),
+                                    _rate_inputs(spark, d), chunk_rows=chunk_rows_of(spark))
+    return jobs.account_dimension_layout(v)
+
+
 def _as_message(df: DataFrame, key: str, schema: T.StructType, **fields: Column) -> DataFrame:
     """Rows -> messages in an entity's JSON layout."""
     body = F.struct(*[fields[f.name].alias(f.name) for f in schema.fields if f.name in fields])
@@ -307,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "q23_teller_messages": q23_teller_messages,
     "q24_dead_letter_reasons": q24_dead_letter_reasons,
     "q25_product_layout": q25_product_layout,
+    "q26_rated_account_scd2": q26_rated_account_scd2,
 }
 
 
@@ -557,6 +566,15 @@ FROM v""",
   FROM fx_rate_events GROUP BY account_no)""") + """SELECT d.id AS account_no, d.eff_seq, d.end_seq,
   CAST(CASE WHEN d.end_seq IS NULL THEN coalesce(a.ow, d.rate, a.fl) ELSE d.rate END AS DOUBLE) AS rate
 FROM fx_dim_account d LEFT JOIN agg a ON a.account_no = d.id""",
+    "q26_rated_account_scd2": _with(fx.FX_RATE_EVENTS_SQL, f"v AS (\n{_account_scd2_sql('standard')})", """hit AS (
+  SELECT v.account_no, v.eff_seq,
+    arg_max(e.rate, e.seq) FILTER (WHERE source = 'overwrite' AND e.rate IS NOT NULL) AS ow,
+    arg_min(e.rate, e.seq) FILTER (WHERE source = 'fill' AND e.rate IS NOT NULL) AS fl
+  FROM v JOIN fx_rate_events e ON e.account_no = v.account_no AND e.seq >= v.eff_seq
+    AND (v.end_seq IS NULL OR e.seq < v.end_seq)
+  GROUP BY v.account_no, v.eff_seq)""") + """SELECT
+  v.* REPLACE (coalesce(CAST(hit.ow AS DOUBLE), v.rate, CAST(hit.fl AS DOUBLE)) AS rate)
+FROM v LEFT JOIN hit ON hit.account_no = v.account_no AND hit.eff_seq = v.eff_seq""",
     "q21_product_messages": _with(fx.FX_PRODUCT_SQL, PRODUCT_ROWS_CTE) + """SELECT seq, product_no, product_category,
   product_code, product_type, record_stat FROM prod_rows""",
     "q22_rate_messages": ORACLE_SQL["q13_rate_inputs"],

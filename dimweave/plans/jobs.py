@@ -16,10 +16,11 @@ from dimweave.functions.expressions import (
     term_bucket,
 )
 from dimweave.operators.lookups import Lookup, current_versions, priority_lookup
-from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, keyed_scan
-from dimweave.operators.rates import rates_final
+from dimweave.operators.ordered import DEFAULT_CHUNK_ROWS, keyed_scan, left_join_null_safe
+from dimweave.operators.rates import rates_by_version, rates_final
 from dimweave.operators.scd2 import IS_NEW, TOUCHED, scd2_versions
 from dimweave.schemas import DIM_ACCOUNT_COLUMNS, MONEY
+from dimweave.session import ensure_checkpoint_dir
 
 ACCOUNT_KEY, PRODUCT_KEY = "id", "product_no"
 ORDER, BOUNDS = ["seq"], ["seq", "ts"]
@@ -78,6 +79,16 @@ def account_versions(events: DataFrame, seed: DataFrame | None, az: DataFrame, a
     return x.withColumn("rate", F.when(F.col(IS_NEW), F.col("_dw_rate")).otherwise(F.col("rate"))).drop("_dw_rate")
 
 
+def rated_account_versions(events: DataFrame, seed: DataFrame | None, az: DataFrame, accr: DataFrame, rates: DataFrame, *,
+                           chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """The account dimension after account events and rate events (account_no, seq, rate, source),
+    taken together in the order of ``seq``, the account event first at equal places: a new version
+    begins with the looked-up rate, and a rate event acts on the version then in force."""
+    ensure_checkpoint_dir(events.sparkSession)
+    v = account_versions(events, seed, az, accr, chunk_rows=chunk_rows).checkpoint()  # read by the scan and by the join
+    return rates_by_version(v, rates, key="account_no", order=ORDER, dim_key=ACCOUNT_KEY, chunk_rows=chunk_rows)
+
+
 def in_layout(df: DataFrame, layout: list[tuple[str, str | None]]) -> DataFrame:
     """The warehouse's columns, in its order, in front of the others; decimals as double."""
     names = [n for n, _ in layout]
@@ -140,8 +151,9 @@ def account_rates(dim: DataFrame, events: DataFrame) -> DataFrame:
     versions keep theirs."""
     cur = current_versions(dim, [ACCOUNT_KEY], "end_seq", ["eff_seq"]).select(ACCOUNT_KEY, "eff_seq", "rate")
     final = rates_final(events, cur, key="account_no", order=ORDER, dim_key=ACCOUNT_KEY, dim_rate="rate")
-    final = (final.select(F.col("account_no").alias("_dw_k"), F.col("rate").alias("_dw_rate"))
-             .join(cur.select(F.col(ACCOUNT_KEY).alias("_dw_k"), F.col("eff_seq").alias("_dw_eff")), "_dw_k"))
+    final = left_join_null_safe(cur.select(F.col(ACCOUNT_KEY).alias("_dw_k"), F.col("eff_seq").alias("_dw_eff")),
+                                final.select(F.col("account_no").alias("_dw_k"), F.col("rate").alias("_dw_rate")), ["_dw_k"],
+                                broadcast=False)
     here = dim[ACCOUNT_KEY].eqNullSafe(final["_dw_k"]) & (dim["eff_seq"] == final["_dw_eff"]) & dim["end_seq"].isNull()
     x = dim.join(final, here, "left")
     return x.withColumn("rate", F.when(F.col("_dw_eff").isNotNull(), F.col("_dw_rate")).otherwise(F.col("rate"))).select(*dim.columns)

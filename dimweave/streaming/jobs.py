@@ -19,16 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from dimweave.operators.ordered import chunk_rows_of
+from dimweave.operators.rates import FILL, OVERWRITE, normalise_rate_events, rate_events, rates_by_version
 from dimweave.operators.scd2 import TOUCHED
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
-from dimweave.schemas import ACCOUNT_EVENT
+from dimweave.schemas import ACCOUNT_EVENT, MONEY
+from dimweave.session import ensure_checkpoint_dir
 from dimweave.sources.messages import decode, message_text
 from dimweave.sources.streams import open_files
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
 
 DIM_COLUMNS = ["id", *jobs.ACCOUNT_COLUMNS, "eff_seq", "end_seq", "eff_ts", "end_ts", "loaded", "update_tms"]
+RATE_COLUMNS = ["rate", "source"]
 LAST_COLUMNS = ["id", "seq", "ts", *jobs.ACCOUNT_COMPARE]
 #: The order that a batch is applied in: what is there already comes before every row of the
 #: batch, the batch's rows go by ``seq``.
@@ -79,9 +82,13 @@ def seed_store(store: VersionedStore, seed: DataFrame, account_events: DataFrame
 
 
 def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_rows: int,
-                  metrics: list | None = None, late: str = "apply"):
+                  metrics: list | None = None, late: str = "apply", rated: bool = False):
     """The ``foreachBatch`` body: version ``b`` + batch ``b`` -> version ``b + 1``.
 
+    ``rated``: the batch holds rate events too (``source`` and ``rate``; account events have
+    neither).  The account events open and close versions first, then each rate event acts on the
+    version in force at its place, so one commit holds both.
+
     ``late``: events that are older than the last one applied for their key are applied in the
     order in which they arrive (``apply``), or set aside in the version's ``late`` table, which
     ``late_rows`` reads, and counted in ``metrics`` (``divert``)."""
@@ -90,16 +97,17 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         # The batch is read several times below; keep it for the duration of the batch.
-        batch = batch.select(*LAST_COLUMNS).persist()
+        batch = batch.select(*LAST_COLUMNS, *(RATE_COLUMNS if rated else [])).persist()
         # Only the buckets holding this batch's keys are read and rewritten.
         buckets = store.touched_buckets(batch.select("id"))
         dim, last = store.read(batch_id, "dim", buckets), store.read(batch_id, "last", buckets)
         touched = batch.select("id").distinct()
         dim_u, last_u = semi(dim, touched, "id", "left_anti"), semi(last, touched, "id", "left_anti")
         last_t = semi(last, touched, "id")
-        on_time, aside = batch, batch.limit(0)
+        own = (batch.filter(F.col("source").isNull()) if rated else batch).select(*LAST_COLUMNS)
+        on_time, aside = own, own.limit(0)
         if late == "divert":
-            on_time, aside = split_late(batch, last_t.select("id", F.col("seq").alias("_dw_newest")), "id")
+            on_time, aside = split_late(own, last_t.select("id", F.col("seq").alias("_dw_newest")), "id")
         first = batch.groupBy("id").agg(F.min("seq").alias("_dw_first"))
         prior = place_before(last_t, first, "id", "seq")
         dim_t = place_before(dim, first, "id", "eff_seq").withColumnRenamed(PLACE, f"eff_{PLACE}").withColumn(
@@ -107,6 +115,13 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
         ev = on_time.withColumns({"loaded": F.lit(True), "update_tms": F.lit(None).cast("timestamp_ntz"), PLACE: F.col("seq")})
         v = jobs.account_versions(ev, dim_t, az, accr, prior=prior, chunk_rows=chunk_rows, order=[PLACE],
                                   bounds=[PLACE, *jobs.BOUNDS], extra_columns=("loaded", "update_tms"))
+        matched = Observation(f"rates_{batch_id}") if rated else None
+        if rated:
+            ensure_checkpoint_dir(batch.sparkSession)
+            v = v.checkpoint()  # read by the scan and by the join
+            ra = batch.filter(F.col("source").isNotNull()).select("id", F.col("seq").alias(PLACE), *RATE_COLUMNS)
+            v = rates_by_version(v, ra, key="id", order=[PLACE], dim_key="id", tell_apart=["eff_seq"],
+                                 chunk_rows=chunk_rows, observe=matched)
         new_t = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
         new_dim = new_t.select(*DIM_COLUMNS).unionByName(dim_u.select(*DIM_COLUMNS))
         last_rows = (last_t.select(*LAST_COLUMNS, F.lit(0).alias("_dw_new"))
@@ -121,7 +136,7 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
                     base=batch_id)
         batch.unpersist()
         if metrics is not None:
-            metrics.append({"batch": batch_id, **obs.get, **seen.get})
+            metrics.append({"batch": batch_id, **obs.get, **seen.get, **(matched.get if matched else {})})
 
     return apply
 
@@ -154,6 +169,34 @@ def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
     return store
 
 
+def run_rated_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
+                             glob: str | None = None, max_files_per_trigger: int = 1, metrics: list | None = None,
+                             buckets: int | None = None, events: DataFrame | None = None, rates: DataFrame | None = None,
+                             late: str = "apply", trigger: dict | None = None) -> VersionedStore:
+    """Account events and both rate sources on one account dimension: the three streams are one
+    query with one checkpoint, so a micro-batch commits what all of them brought, and a later
+    account batch closes the version with the rate that it got.  ``events`` and ``rates``
+    (account_no, seq, rate, source): any streaming frames instead of the given table."""
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
+    if store.latest() is None:
+        seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
+
+    def source() -> DataFrame:
+        return table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob, max_files_per_trigger=max_files_per_trigger)
+
+    if events is None:
+        events = fx.account_events_from(source())
+    if rates is None:
+        rates = rate_events(*[normalise_rate_events(fx.rate_source_from(source(), kind), key="account", rate="amount", source=s,
+                                                    order=["seq"]) for kind, s in (("purchase", OVERWRITE), ("click", FILL))])
+    events = events.select(*LAST_COLUMNS, F.lit(None).cast(MONEY).alias("rate"), F.lit(None).cast("string").alias("source"))
+    both = events.unionByName(rates.select(F.col("account_no").cast(events.schema["id"].dataType).alias("id"), "seq", *RATE_COLUMNS),
+                              allowMissingColumns=True)
+    handler = account_batch(store, fx.fx_az(spark, sf_dir), fx.fx_accr(spark, sf_dir), chunk_rows_of(spark), metrics, late, rated=True)
+    start(both.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")), trigger)
+    return store
+
+
 def run_account_messages(spark: SparkSession, messages: DataFrame, sf_dir: str, root: str, *,
                          required: Sequence[str] = ("id", "prtCode", "opType"), metrics: list | None = None,
                          buckets: int | None = None, late: str = "apply",

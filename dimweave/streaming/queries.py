@@ -13,6 +13,7 @@ from dimweave.streaming.jobs import (
     account_stream_layout,
     run_account_messages,
     run_account_stream,
+    run_rated_account_stream,
     run_stateful_changes,
     table_stream,
 )
@@ -70,6 +71,12 @@ def s08_account_dead_letters(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(folder).select("seq", "reason")
 
 
+def s09_rated_account_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Account and rate streams on one dimension."""
+    store = run_rated_account_stream(spark, d, work_dir(spark, "s09"))
+    return account_stream_layout(store.read_latest("dim"))
+
+
 def s06_fact_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(run_fact_stream(spark, d, work_dir(spark, "s06")))
 
@@ -83,6 +90,7 @@ STREAM_QUERIES = {
     "s06_fact_stream": s06_fact_stream,
     "s07_account_messages": s07_account_messages,
     "s08_account_dead_letters": s08_account_dead_letters,
+    "s09_rated_account_stream": s09_rated_account_stream,
 }
 
 #: A stream that has read all its input holds the rows of its batch twin.
@@ -94,5 +102,6 @@ STREAM_SQL = {
     "s05b_rates_before": ORACLE_SQL["q14_rates_before"],
     "s06_fact_stream": ORACLE_SQL["q17_fact_rows"],
     "s07_account_messages": account_messages_sql(),
+    "s09_rated_account_stream": ORACLE_SQL["q26_rated_account_scd2"],
     "s08_account_dead_letters": "SELECT event_id AS seq, 'missing:prtCode' AS reason FROM events WHERE event_id % 50 = 0",
 }
