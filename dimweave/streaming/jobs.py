@@ -11,7 +11,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -169,6 +169,13 @@ def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
     return store
 
 
+def rate_streams(source: Callable[[], DataFrame]) -> DataFrame:
+    """Both rate sources of an events stream, normalised and unioned; each reads a ``source()`` of
+    its own."""
+    return rate_events(*[normalise_rate_events(fx.rate_source_from(source(), kind), key="account", rate="amount", source=name,
+                                               order=["seq"]) for kind, name in (("purchase", OVERWRITE), ("click", FILL))])
+
+
 def run_rated_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                              glob: str | None = None, max_files_per_trigger: int = 1, metrics: list | None = None,
                              buckets: int | None = None, events: DataFrame | None = None, rates: DataFrame | None = None,
@@ -187,8 +194,7 @@ def run_rated_account_stream(spark: SparkSession, sf_dir: str, root: str, *, sou
     if events is None:
         events = fx.account_events_from(source())
     if rates is None:
-        rates = rate_events(*[normalise_rate_events(fx.rate_source_from(source(), kind), key="account", rate="amount", source=s,
-                                                    order=["seq"]) for kind, s in (("purchase", OVERWRITE), ("click", FILL))])
+        rates = rate_streams(source)
     events = events.select(*LAST_COLUMNS, F.lit(None).cast(MONEY).alias("rate"), F.lit(None).cast("string").alias("source"))
     both = events.unionByName(rates.select(F.col("account_no").cast(events.schema["id"].dataType).alias("id"), "seq", *RATE_COLUMNS),
                               allowMissingColumns=True)

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from dimweave.operators.facts import teller_to_fact
 from dimweave.operators.keys import assign_surrogate_keys
 from dimweave.operators.ordered import chunk_rows_of
-from dimweave.operators.rates import FILL, OVERWRITE, normalise_rate_events, rate_events, rates_before, rates_final
+from dimweave.operators.rates import rates_before, rates_final
 from dimweave.operators.scd2 import IS_NEW, TOUCHED, scd2_versions
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.schemas import MONEY
 from dimweave.session import ensure_checkpoint_dir
-from dimweave.streaming.jobs import PLACE, place_before, semi, split_late, table_stream
+from dimweave.streaming.counts import counting, start_counted
+from dimweave.streaming.jobs import PLACE, place_before, rate_streams, semi, split_late, table_stream
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
 
@@ -112,10 +113,11 @@ def product_stream_layout(dim: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rates
 def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                     glob: str | None = None, max_files_per_trigger: int = 1,
-                    buckets: int | None = None, metrics: list | None = None,
+                    buckets: int | None = None, metrics: list | None = None, events: DataFrame | None = None,
                     trigger: dict | None = None) -> VersionedStore:
     """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
-    every known account's rate before each event and writes the rates after it.
+    every known account's rate before each event and writes the rates after it.  ``events``: any
+    streaming rate events (account_no, seq, rate, source) instead of the given table.
     ``metrics`` receives per batch the number of events and of events for accounts
     the dimension does not know (they change nothing and are otherwise lost)."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="account_no", buckets=buckets)
@@ -146,12 +148,10 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
             metrics.append({"batch": batch_id, **m.asDict()})
         batch.unpersist()
 
-    streams = []
-    for event_type, source in (("purchase", OVERWRITE), ("click", FILL)):
-        src = table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob, max_files_per_trigger=max_files_per_trigger)
-        streams.append(normalise_rate_events(fx.rate_source_from(src, event_type), key="account", rate="amount",
-                                             source=source, order=["seq"]))
-    _run(rate_events(*streams), apply, root, trigger)
+    if events is None:
+        events = rate_streams(lambda: table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob,
+                                                   max_files_per_trigger=max_files_per_trigger))
+    _run(events, apply, root, trigger)
     return store
 
 
@@ -167,15 +167,21 @@ def rate_stream_before(store: VersionedStore) -> DataFrame:
 # ------------------------------------------------------------------ facts
 def run_fact_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                     glob: str | None = None, max_files_per_trigger: int = 1, tellers: DataFrame | None = None,
-                    trigger: dict | None = None) -> str:
+                    metrics: list | None = None, trigger: dict | None = None) -> str:
     """Teller rows -> fact rows, appended with the file sink's exactly-once log.  ``tellers``:
-    any streaming teller rows instead of the given table."""
+    any streaming teller rows instead of the given table.  ``metrics`` receives each batch's
+    number of fact rows."""
     if tellers is None:
         tellers = fx.teller_from(table_stream(spark, sf_dir, "orders", source_dir=source_dir, glob=glob,
                                               max_files_per_trigger=max_files_per_trigger))
     facts = teller_to_fact(tellers, fx.fx_customer_dim(spark, sf_dir), dim_key="c_custkey",
                            dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
     out = posixpath.join(root, "facts")
-    start(facts.writeStream.format("parquet").option("path", out)
-          .option("checkpointLocation", posixpath.join(root, "checkpoint")).outputMode("append"), trigger)
+    facts, name = counting(facts)
+    writer = (facts.writeStream.format("parquet").option("path", out)
+              .option("checkpointLocation", posixpath.join(root, "checkpoint")).outputMode("append"))
+    if metrics is None:
+        start(writer, trigger)
+    else:
+        start_counted(spark, writer, name, metrics, trigger)
     return out
