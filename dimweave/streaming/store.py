@@ -8,8 +8,9 @@ micro-batch costs the size of the buckets it touches, not the size of the dimens
 
 A batch that is run again after a failure (same batch id, same input) reads the same
 version ``b`` and rewrites version ``b + 1`` and its manifest with the same rows, so a
-retry changes nothing; readers follow the ``_LATEST`` pointer, which moves only after
-the data and manifest of a version are complete.  All paths go through the Hadoop file
+retry changes nothing.  A version is published by its manifest, which is written beside its
+place and renamed into it once the data are complete; the latest version is the last one with a
+manifest.  No file is ever changed in place, so a reader finds a version whole or not at all.  All paths go through the Hadoop file
 system, so any store Spark can write (HDFS, object stores) works.
 """
 
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 import json
 import posixpath
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_LATEST"
+MANIFESTS = "_manifest"
 BUCKET = "_dw_bucket"
 #: Buckets of a store unless its maker says otherwise: choose about as many as a micro-batch
 #: should be able to rewrite apart from each other.  A bucket of any size is written by as many
@@ -38,10 +40,16 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
 
 class VersionedStore:
     """``buckets``: number of key-hash buckets (``BUCKETS`` unless given).  Once written, the
-    count is read back from the manifest, so every version of a store uses the same buckets."""
-
-    def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int | None = None):
+    count is read back from the manifest, so every version of a store uses the same buckets.
+    ``retain``: after each write, delete what none of the last ``retain`` versions holds
+    (``expire``); without it everything stays."""
+
+    def __init__(self, spark: SparkSession, root: str, *, key: str = "id", buckets: int | None = None,
+                 retain: int | None = None):
+        if retain is not None and retain < 2:
+            raise ValueError("retain at least 2 versions: a batch that runs again reads the one before the latest")
         self.spark = spark
+        self.retain = retain
         self.root = root.rstrip("/")
         self.key = key
         self.buckets = buckets or BUCKETS
@@ -71,13 +79,31 @@ class VersionedStore:
         finally:
             stream.close()
 
-    def _write_text(self, path: str, text: str) -> None:
+    def _publish(self, path: str, text: str) -> None:
+        """``text`` as a whole file under ``path``.  A batch that runs again publishes the same text,
+        which is left as it is."""
+        if self._read_text(path) == text:
+            return
         p, fs = self._fs(path)
-        out = fs.create(p, True)
+        beside, _ = self._fs(posixpath.join(posixpath.dirname(path), f"_{uuid.uuid4().hex}.tmp"))
+        out = fs.create(beside, False)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if fs.rename(beside, p):
+            return
+        # Another text is there: a store whose input or bucket count was changed under it.
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        rename = getattr(hadoop, "Options$Rename")
+        over = self.spark.sparkContext._gateway.new_array(rename, 1)
+        over[0] = rename.OVERWRITE
+        files = hadoop.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        files.rename(fs.makeQualified(beside), fs.makeQualified(p), over)
+
+    def _names(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
     def _listed_buckets(self, path: str) -> set[int]:
         p, fs = self._fs(path)
@@ -99,11 +125,11 @@ class VersionedStore:
         return posixpath.join(self.root, part, f"v={version}")
 
     def _manifest_path(self, version: int) -> str:
-        return posixpath.join(self.root, "_manifest", f"v={version}.json")
+        return posixpath.join(self.root, MANIFESTS, f"v={version}.json")
 
     def latest(self) -> int | None:
-        text = self._read_text(posixpath.join(self.root, POINTER))
-        return None if text is None else int(text.strip())
+        there = self.versions()
+        return there[-1] if there else None
 
     def manifest(self, version: int) -> dict:
         text = self._read_text(self._manifest_path(version))
@@ -115,6 +141,38 @@ class VersionedStore:
     def value(self, version: int, name: str, default: int) -> int:
         return int(self.manifest(version).get("_values", {}).get(name, default))
 
+    def versions(self) -> list[int]:
+        """Versions whose manifest is there."""
+        return sorted(int(n[2:-5]) for n in self._names(posixpath.join(self.root, MANIFESTS)) if n.startswith("v="))
+
+    def expire(self, keep: int, *, outputs: bool = False) -> int:
+        """Delete the bucketed rows that none of the last ``keep`` versions holds, and count the
+        folders deleted.  A batch's own rows (plain parts, such as late rows) are read by version and
+        stay, with their manifests; ``outputs`` deletes those of older versions too."""
+        last = self.latest()
+        if last is None:
+            return 0
+        kept = {v: self.manifest(v) for v in self.versions() if v > last - keep}
+        parts = {p: e for p, e in self.manifest(last).items() if not p.startswith("_")}
+        gone = 0
+        for part, entry in parts.items():
+            held = {(v, int(b)) for m in kept.values() for b, v in m.get(part, {}).get("buckets", {}).items()}
+            for name in self._names(posixpath.join(self.root, part)):
+                v, path = int(name[2:]), posixpath.join(self.root, part, name)
+                if v > last - keep or (entry["kind"] == "plain" and not outputs):
+                    continue
+                if entry["kind"] == "plain" or not any(h == v for h, _ in held):
+                    gone += self.delete(path)
+                    continue
+                for b in self._listed_buckets(path):
+                    if (v, b) not in held:
+                        gone += self.delete(posixpath.join(path, f"{BUCKET}={b}"))
+        if outputs:
+            for v in self.versions():
+                if v not in kept:
+                    self.delete(self._manifest_path(v))
+        return gone
+
     def parts(self, version: int) -> list[str]:
         return [p for p in self.manifest(version) if not p.startswith("_")]
 
@@ -177,5 +235,6 @@ class VersionedStore:
             manifest.setdefault(part, entry)
         manifest["_buckets"] = self.buckets
         manifest["_values"] = {**prev.get("_values", {}), **(values or {})}
-        self._write_text(self._manifest_path(version), json.dumps(manifest))
-        self._write_text(posixpath.join(self.root, POINTER), str(version))
+        self._publish(self._manifest_path(version), json.dumps(manifest))
+        if self.retain is not None:
+            self.expire(self.retain)
