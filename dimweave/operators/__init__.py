@@ -1,7 +1,7 @@
 """Set-based operators: change detection, SCD2, lookups, rate merge, keys, facts."""
 
 from dimweave.operators.changes import changed_rows  # noqa: F401
-from dimweave.operators.facts import teller_to_fact  # noqa: F401
+from dimweave.operators.facts import key_in_force, teller_to_fact, teller_to_fact_at  # noqa: F401
 from dimweave.operators.keys import assign_surrogate_keys  # noqa: F401
 from dimweave.operators.lookups import (  # noqa: F401
     Lookup,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimweave.functions.expressions import rate_from_text
-from dimweave.operators.facts import teller_to_fact
+from dimweave.operators.facts import teller_to_fact, teller_to_fact_at
 from dimweave.operators.keys import assign_surrogate_keys
 from dimweave.operators.lookups import flag_known, priority_lookup
 from dimweave.operators.changes import changed_rows
@@ -48,6 +48,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
 SURROGATE_START, SURROGATE_BUCKETS = 1000, 8
+#: The customer dimension's member for facts whose customer has no version in force.
+MISSING_MEMBER = -1
 
 
 # ------------------------------------------------------------------ sources
@@ -221,6 +223,13 @@ def q26_rated_account_scd2(spark: SparkSession, d: str) -> DataFrame:
     return jobs.account_dimension_layout(v)
 
 
+def q27_fact_point_in_time(spark: SparkSession, d: str) -> DataFrame:
+    """Fact rows with the key of the customer's version in force on the transaction's date."""
+    return teller_to_fact_at(fx.fx_teller(spark, d), fx.fx_customer_versions(spark, d), dim_key="c_custkey", dim_id="cst_dim_id",
+                             begins="eff_dt", ends="end_dt", load_date=fx.FACT_LOAD_DATE, missing=MISSING_MEMBER,
+                             chunk_rows=chunk_rows_of(spark))
+
+
 def _as_message(df: DataFrame, key: str, schema: T.StructType, **fields: Column) -> DataFrame:
     """Rows -> messages in an entity's JSON layout."""
     body = F.struct(*[fields[f.name].alias(f.name) for f in schema.fields if f.name in fields])
@@ -316,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "q24_dead_letter_reasons": q24_dead_letter_reasons,
     "q25_product_layout": q25_product_layout,
     "q26_rated_account_scd2": q26_rated_account_scd2,
+    "q27_fact_point_in_time": q27_fact_point_in_time,
 }
 
 
@@ -587,6 +597,14 @@ SELECT event_id, raw AS raw_value, CASE WHEN raw IS NULL THEN 'null' WHEN raw =
 FROM m WHERE raw IS NULL OR raw = '{}' OR NOT json_valid(raw)""",
 }
 
+_FACT_SQL = ORACLE_SQL["q17_fact_rows"]
+ORACLE_SQL["q27_fact_point_in_time"] = (
+    _FACT_SQL[:_FACT_SQL.index("cd AS (")] + fx.FX_CUSTOMER_VERSIONS_SQL + "\n"
+    + _FACT_SQL[_FACT_SQL.index("SELECT CASE WHEN o_custkey"):].replace("cd.cst_dim_id", f"coalesce(cd.cst_dim_id, {MISSING_MEMBER}) AS cst_dim_id")
+    .replace("FROM t LEFT JOIN cd ON cd.c_custkey = t.o_custkey", """FROM t LEFT JOIN fx_customer_versions cd ON cd.c_custkey = t.o_custkey
+  AND cd.eff_dt <= CAST(try_strptime(CAST(vd AS VARCHAR), '%Y%m%d') AS DATE)
+  AND (cd.end_dt IS NULL OR CAST(try_strptime(CAST(vd AS VARCHAR), '%Y%m%d') AS DATE) < cd.end_dt)"""))
+
 
 def account_messages_sql() -> str:
     """The account dimension from the messages of ``fixtures.account_messages_from``: every 50th

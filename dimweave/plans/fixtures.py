@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimweave.schemas import MONEY, TELLER_EVENT
 from dimweave.sources.tables import driver_table
 
 SEED_OPEN_SEQ, SEED_CLOSED_SEQ = -5, -9
@@ -278,3 +279,59 @@ def fx_customer_dim(spark: SparkSession, d: str) -> DataFrame:
     """Customer dimension keys: one market segment is not loaded yet."""
     c = driver_table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
     return c.select("c_custkey", (F.col("c_custkey") + F.lit(100000)).alias("cst_dim_id"))
+
+
+def fx_customer_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Three versions of every customer in ``fx_customer_dim``, 700 days each, beginning at a day of
+    the customer's own; the last is open but for every fifth customer, whose ends after 400 days."""
+    c = driver_table(spark, d, "customer").filter(F.col("c_mktsegment") != "HOUSEHOLD")
+    c = c.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i"))
+    days = ((F.col("c_custkey") % 200) - 100 + F.col("i") * 700).cast("int")
+    first = F.lit("1996-01-01").cast("date")
+    end = F.when(F.col("i") < 2, F.date_add(first, days + 700)).when(_mod("c_custkey", 5) == 0, F.date_add(first, days + 400))
+    return c.select("c_custkey", (F.col("c_custkey") * 10 + F.col("i") + 100000).alias("cst_dim_id"),
+                    F.date_add(first, days).alias("eff_dt"), end.alias("end_dt"))
+
+
+FX_CUSTOMER_VERSIONS_SQL = """fx_customer_versions AS (
+  SELECT c_custkey, c_custkey * 10 + i + 100000 AS cst_dim_id, DATE '1996-01-01' + days AS eff_dt,
+    CASE WHEN i < 2 THEN DATE '1996-01-01' + days + 700
+         WHEN c_custkey % 5 = 0 THEN DATE '1996-01-01' + days + 400 END AS end_dt
+  FROM (SELECT c_custkey, i, CAST(c_custkey % 200 - 100 + i * 700 AS INTEGER) AS days
+        FROM customer, range(3) r(i) WHERE c_mktsegment <> 'HOUSEHOLD'))"""
+
+
+# ------------------------------------------------------------------ messages of every entity
+def _with_faults(rows: DataFrame, seq: str, ts: str, **fields: Column) -> DataFrame:
+    """Rows -> messages (value, seq, ts); every 50th text is cut short, every 49th is missing."""
+    body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
+    x = rows.select(F.col(seq).alias("seq"), F.col(ts).cast("timestamp_ntz").alias("ts"), body.alias("value"))
+    value = (F.when(_mod("seq", 50) == 0, F.expr("substring(value, 1, length(value) - 1)"))
+             .when(_mod("seq", 49) == 0, F.lit(None).cast("string")).otherwise(F.col("value")))
+    return x.select(value.alias("value"), "seq", "ts")
+
+
+def _but_47th(c: Column, seq: str, instead: str | None = None) -> Column:
+    return F.when(_mod(seq, 47) == 0, F.lit(instead).cast("string")).otherwise(c.cast("string"))
+
+
+NO_FAULT_SQL = "{0} % 50 <> 0 AND {0} % 49 <> 0 AND {0} % 47 <> 0"
+
+
+def product_messages_from(events: DataFrame) -> DataFrame:
+    """events rows (batch or streaming) -> product messages; every 47th lacks its product."""
+    return _with_faults(product_events_from(events), "seq", "ts", productNo=_but_47th(F.col("product_no"), "seq").cast("int"),
+                        locTerm=F.col("loc_term"), category=F.col("category"), subProduct=F.col("sub_product"), opType=F.col("op_type"))
+
+
+def rate_messages_from(events: DataFrame, event_type: str, key: str, rate: str) -> DataFrame:
+    """events rows of one type -> rate messages; every 47th account isn't a number."""
+    r = rate_source_from(events, event_type).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    return _with_faults(r, "seq", "ts", **{key: _but_47th(F.col("account"), "seq", "n/a"), rate: F.col("amount").cast(MONEY)})
+
+
+def teller_messages_from(orders: DataFrame) -> DataFrame:
+    """orders rows -> teller messages; every 47th lacks its id."""
+    t = teller_from(orders).withColumns({"seq": F.col("id"), "ts": F.lit(None).cast("timestamp_ntz")})
+    own = {f.name: F.col(f.name).cast(f.dataType) for f in TELLER_EVENT.fields}
+    return _with_faults(t, "seq", "ts", **{**own, "id": _but_47th(F.col("id"), "seq")})

@@ -115,6 +115,12 @@ def product_rows(events: DataFrame) -> DataFrame:
         product_record_stat("op_type").alias("record_stat"))
 
 
+def product_events_from_messages(decoded: DataFrame) -> DataFrame:
+    """Decoded product messages (entity field names, ``seq``, ``ts``) -> the product event layout."""
+    return decoded.select("seq", "ts", F.col("productNo").alias("product_no"), F.col("locTerm").alias("loc_term"), "category",
+                          F.col("subProduct").alias("sub_product"), F.col("opType").alias("op_type"))
+
+
 def product_versions(events: DataFrame, seed: DataFrame | None, *, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                      close: str = "standard") -> DataFrame:
     """The product dimension after ``events``: a new version whenever the four derived

@@ -18,6 +18,12 @@ def open_topic(spark: SparkSession, servers: str, topic: str, *, starting: str =
     return df.selectExpr("CAST(value AS STRING) AS value", "partition", "offset", "timestamp")
 
 
+def topic_messages(topic: DataFrame) -> DataFrame:
+    """A topic's rows as the loaders take them (value, seq, ts).  A key's messages lie in one
+    partition, where the offset orders them."""
+    return topic.selectExpr("value", "offset AS seq", "CAST(timestamp AS TIMESTAMP_NTZ) AS ts")
+
+
 def open_files(spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet",
                max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
     """File-stream source (the file-based stand-in for a topic).  A file source always

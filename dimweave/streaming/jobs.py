@@ -25,8 +25,8 @@ from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
 from dimweave.schemas import ACCOUNT_EVENT, MONEY
 from dimweave.session import ensure_checkpoint_dir
-from dimweave.sources.messages import decode, message_text
 from dimweave.sources.streams import open_files
+from dimweave.streaming.decoded import Entity, run_messages
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
 
@@ -143,7 +143,7 @@ def account_batch(store: VersionedStore, az: DataFrame, accr: DataFrame, chunk_r
 
 def late_rows(store: VersionedStore) -> DataFrame:
     """Every row that any batch set aside, with its version."""
-    parts = [store.read(v, "late").withColumn("version", F.lit(v)) for v in range((store.latest() or 0) + 1)]
+    parts = [store.read(v, "late").withColumn("version", F.lit(v)) for v in store.versions()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -153,10 +153,10 @@ def late_rows(store: VersionedStore) -> DataFrame:
 def run_account_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
                        glob: str | None = None, max_files_per_trigger: int = 1,
                        metrics: list | None = None, buckets: int | None = None, events: DataFrame | None = None,
-                       late: str = "apply", trigger: dict | None = None) -> VersionedStore:
-    """Run the account stream (see ``streaming.triggers`` for ``trigger``).  ``events``: any
+                       late: str = "apply", retain: int | None = None, trigger: dict | None = None) -> VersionedStore:
+    """Run the account stream (see ``streaming.triggers`` for ``trigger``, ``streaming.store`` for ``retain``).  ``events``: any
     streaming account events (id, seq, ts and the compared fields) instead of the given table."""
-    store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets, retain=retain)
     if store.latest() is None:
         seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
     if events is None:
@@ -210,21 +210,13 @@ def run_account_messages(spark: SparkSession, messages: DataFrame, sf_dir: str,
     """The account load from a stream of messages (``value`` text, ``seq``, ``ts``; for example
     ``open_topic`` with its offset and timestamp under these names): decoded by the entity's
     schema, dead letters appended to a folder of their own, the rest loaded.  Returns the store
-    and the dead letters' folder.  Each batch writes its dead letters under its id, so a batch
-    that is run again writes the same files."""
+    and the dead letters' folder (see ``streaming.decoded``)."""
     store = VersionedStore(spark, posixpath.join(root, "store"), key="id", buckets=buckets)
     if store.latest() is None:
         seed_store(store, fx.fx_dim_account(spark, sf_dir), fx.fx_account(spark, sf_dir))
     load = account_batch(store, fx.fx_az(spark, sf_dir), fx.fx_accr(spark, sf_dir), chunk_rows_of(spark), metrics, late)
-    folder = posixpath.join(root, "dead")
-
-    def handler(batch: DataFrame, batch_id: int) -> None:
-        good, dead = decode(batch, message_text(batch), ACCOUNT_EVENT, required=required, keep=["seq", "ts"])
-        dead.write.mode("overwrite").parquet(posixpath.join(folder, f"batch={batch_id}"))
-        events = jobs.account_events_from_messages(good).withColumn("id", F.col("id").cast("bigint"))
-        load(events, batch_id)
-
-    start(messages.writeStream.foreachBatch(handler).option("checkpointLocation", posixpath.join(root, "checkpoint")), trigger)
+    account = Entity("account", ACCOUNT_EVENT, jobs.account_events_from_messages, required, {"id": "bigint"})
+    folder = run_messages([(account, messages)], load, root, trigger=trigger)
     return store, folder
 
 

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from dimweave.operators.facts import teller_to_fact
 from dimweave.operators.keys import assign_surrogate_keys
 from dimweave.operators.ordered import chunk_rows_of
-from dimweave.operators.rates import rates_before, rates_final
+from dimweave.operators.rates import FILL, OVERWRITE, normalise_rate_events, rates_before, rates_final
 from dimweave.operators.scd2 import IS_NEW, TOUCHED, scd2_versions
 from dimweave.plans import fixtures as fx
 from dimweave.plans import jobs
-from dimweave.schemas import MONEY
+from dimweave.schemas import MONEY, PRODUCT_EVENT, RATE_FILL_EVENT, RATE_OVERWRITE_EVENT, TELLER_EVENT
 from dimweave.session import ensure_checkpoint_dir
 from dimweave.streaming.counts import counting, start_counted
+from dimweave.streaming.decoded import Entity, run_messages
 from dimweave.streaming.jobs import PLACE, place_before, rate_streams, semi, split_late, table_stream
 from dimweave.streaming.store import VersionedStore
 from dimweave.streaming.triggers import start
@@ -38,13 +39,9 @@ def _run(stream: DataFrame, handler, root: str, trigger: dict | None) -> None:
 
 
 # ------------------------------------------------------------------ products
-def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                       glob: str | None = None, max_files_per_trigger: int = 1, metrics: list | None = None,
-                       buckets: int | None = None, events: DataFrame | None = None, late: str = "apply",
-                       trigger: dict | None = None) -> VersionedStore:
-    """``events``: any streaming product events instead of the given table; ``late``: as in
-    ``streaming.jobs.account_batch``."""
-    store = VersionedStore(spark, posixpath.join(root, "store"), key="product_no", buckets=buckets)
+def product_store(spark: SparkSession, sf_dir: str, root: str, buckets: int | None = None, retain: int | None = None) -> VersionedStore:
+    """The product dimension's store under ``root``, made from the existing dimension at the first start."""
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="product_no", buckets=buckets, retain=retain)
     if store.latest() is None:
         seed = fx.fx_dim_product(spark, sf_dir).select(
             "*", F.lit(False).alias("loaded"), F.lit(None).cast("timestamp_ntz").alias("update_tms"))
@@ -53,7 +50,11 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         rows = jobs.product_rows(fx.fx_product(spark, sf_dir))
         store.write(0, {"dim": seed.select(*PRODUCT_DIM_COLUMNS)}, empty={"last": rows.select("product_no", "seq").schema},
                     plain={"late": spark.createDataFrame([], rows.schema)})
-    chunk_rows = chunk_rows_of(spark)
+    return store
+
+
+def product_batch(store: VersionedStore, chunk_rows: int, metrics: list | None = None, late: str = "apply"):
+    """The ``foreachBatch`` body of the product loads; ``late``: as in ``streaming.jobs.account_batch``."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = jobs.product_rows(batch).persist()
@@ -78,7 +79,7 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         v = v.withColumn("update_tms", F.when(F.col(TOUCHED), F.col("end_ts")).otherwise(F.col("update_tms")))
         # The batch's versions feed two branches (new rows get keys, existing rows keep
         # theirs): materialise them once in the shared checkpoint folder.
-        ensure_checkpoint_dir(spark)
+        ensure_checkpoint_dir(store.spark)
         v = v.checkpoint(eager=True)
         # Surrogate keys continue the sequence kept with the store version, so a retried
         # batch hands out the same keys.
@@ -98,35 +99,54 @@ def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_di
         if metrics is not None:
             metrics.append({"batch": batch_id, "new_versions": n_new, **obs.get})
 
+    return apply
+
+
+def run_product_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
+                       glob: str | None = None, max_files_per_trigger: int = 1, metrics: list | None = None,
+                       buckets: int | None = None, events: DataFrame | None = None, late: str = "apply",
+                       retain: int | None = None, trigger: dict | None = None) -> VersionedStore:
+    """``events``: any streaming product events instead of the given table; ``late``: as in
+    ``streaming.jobs.account_batch``."""
+    store = product_store(spark, sf_dir, root, buckets, retain)
     if events is None:
         events = fx.product_events_from(table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob,
                                                      max_files_per_trigger=max_files_per_trigger))
-    _run(events, apply, root, trigger)
+    _run(events, product_batch(store, chunk_rows_of(spark), metrics, late), root, trigger)
     return store
 
 
+def run_product_messages(spark: SparkSession, messages: DataFrame, sf_dir: str, root: str, *, metrics: list | None = None,
+                         buckets: int | None = None, late: str = "apply", retain: int | None = None,
+                         trigger: dict | None = None) -> tuple[VersionedStore, str]:
+    """The product load from message text; the store and the dead letters' folder (see ``streaming.decoded``)."""
+    store = product_store(spark, sf_dir, root, buckets, retain)
+    product = Entity("product", PRODUCT_EVENT, jobs.product_events_from_messages, ["productNo"])
+    return store, run_messages([(product, messages)], product_batch(store, chunk_rows_of(spark), metrics, late), root, trigger=trigger)
+
+
 def product_stream_layout(dim: DataFrame) -> DataFrame:
     return dim.select("product_no", *jobs.PRODUCT_ATTRS, "eff_seq", "end_seq", F.col("eff_ts").alias("eff_dt"),
                       F.col("end_ts").alias("end_dt"), "update_tms", F.col("loaded").alias(IS_NEW))
 
 
 # ------------------------------------------------------------------ rates
-def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
-                    glob: str | None = None, max_files_per_trigger: int = 1,
-                    buckets: int | None = None, metrics: list | None = None, events: DataFrame | None = None,
-                    trigger: dict | None = None) -> VersionedStore:
-    """Two rate sources (overwrite and fill), unioned into one stream; each batch emits
-    every known account's rate before each event and writes the rates after it.  ``events``: any
-    streaming rate events (account_no, seq, rate, source) instead of the given table.
-    ``metrics`` receives per batch the number of events and of events for accounts
-    the dimension does not know (they change nothing and are otherwise lost)."""
-    store = VersionedStore(spark, posixpath.join(root, "store"), key="account_no", buckets=buckets)
+def rate_store(spark: SparkSession, sf_dir: str, root: str, buckets: int | None = None, retain: int | None = None) -> VersionedStore:
+    """The rates' store under ``root``, made from the existing rates at the first start."""
+    store = VersionedStore(spark, posixpath.join(root, "store"), key="account_no", buckets=buckets, retain=retain)
     if store.latest() is None:
         dim = fx.fx_rate_dim(spark, sf_dir).select("account_no", F.col("rate").cast(MONEY).alias("rate"))
         empty = spark.createDataFrame([], "seq bigint, account_no bigint, source string, rate decimal(38,10), "
                                           "rate_before decimal(38,10)")
         store.write(0, {"rates": dim}, plain={"before": empty})
-    chunk_rows = chunk_rows_of(spark)
+    return store
+
+
+def rate_batch(store: VersionedStore, chunk_rows: int, metrics: list | None = None):
+    """The ``foreachBatch`` body of the rate loads: each batch emits every known account's rate
+    before each event and writes the rates after it.  ``metrics`` receives per batch the number of
+    events and of events for accounts the dimension does not know (they change nothing and are
+    otherwise lost)."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -148,16 +168,39 @@ def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
             metrics.append({"batch": batch_id, **m.asDict()})
         batch.unpersist()
 
+    return apply
+
+
+def run_rate_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir: str | None = None,
+                    glob: str | None = None, max_files_per_trigger: int = 1,
+                    buckets: int | None = None, metrics: list | None = None, events: DataFrame | None = None,
+                    retain: int | None = None, trigger: dict | None = None) -> VersionedStore:
+    """Two rate sources (overwrite and fill), unioned into one stream (see ``rate_batch``).
+    ``events``: any streaming rate events (account_no, seq, rate, source) instead of the given table."""
+    store = rate_store(spark, sf_dir, root, buckets, retain)
     if events is None:
         events = rate_streams(lambda: table_stream(spark, sf_dir, "events", source_dir=source_dir, glob=glob,
                                                    max_files_per_trigger=max_files_per_trigger))
-    _run(events, apply, root, trigger)
+    _run(events, rate_batch(store, chunk_rows_of(spark), metrics), root, trigger)
     return store
 
 
+def run_rate_messages(spark: SparkSession, overwrite: DataFrame, fill: DataFrame, sf_dir: str, root: str, *,
+                      metrics: list | None = None, buckets: int | None = None, retain: int | None = None,
+                      trigger: dict | None = None) -> tuple[VersionedStore, str]:
+    """Both rate sources from message text, as one query; the store and the dead letters' folder
+    (see ``streaming.decoded``).  ``seq`` must tell an account's events of both sources apart."""
+    store = rate_store(spark, sf_dir, root, buckets, retain)
+    ow = Entity(OVERWRITE, RATE_OVERWRITE_EVENT, lambda g: normalise_rate_events(
+        g, key="id", rate="interestNumber", source=OVERWRITE, order=["seq"]), ["id"], {"id": "bigint"})
+    fl = Entity(FILL, RATE_FILL_EVENT, lambda g: normalise_rate_events(
+        g, key="accountNumber", rate="crIntRate", source=FILL, order=["seq"]), ["accountNumber"], {"accountNumber": "bigint"})
+    return store, run_messages([(ow, overwrite), (fl, fill)], rate_batch(store, chunk_rows_of(spark), metrics), root, trigger=trigger)
+
+
 def rate_stream_before(store: VersionedStore) -> DataFrame:
     """Every batch's emitted rows (a loop over versions, not over rows)."""
-    parts = [store.read(v, "before") for v in range(1, (store.latest() or 0) + 1)]
+    parts = [store.read(v, "before") for v in store.versions()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -185,3 +228,23 @@ def run_fact_stream(spark: SparkSession, sf_dir: str, root: str, *, source_dir:
     else:
         start_counted(spark, writer, name, metrics, trigger)
     return out
+
+
+def run_fact_messages(spark: SparkSession, messages: DataFrame, sf_dir: str, root: str, *, metrics: list | None = None,
+                      trigger: dict | None = None) -> tuple[str, str]:
+    """The fact load from message text; the folders of the facts and of the dead letters (see
+    ``streaming.decoded``).  Each batch writes its facts under its id (column ``batch``), so a batch
+    that is run again writes the same files."""
+    out = posixpath.join(root, "facts")
+    customers = fx.fx_customer_dim(spark, sf_dir)
+
+    def load(tellers: DataFrame, batch_id: int) -> None:
+        obs = Observation(f"facts_{batch_id}")
+        facts = teller_to_fact(tellers, customers, dim_key="c_custkey", dim_id="cst_dim_id", load_date=fx.FACT_LOAD_DATE)
+        facts = facts.observe(obs, F.count(F.lit(1)).alias("rows"))
+        facts.write.mode("overwrite").parquet(posixpath.join(out, f"batch={batch_id}"))
+        if metrics is not None:
+            metrics.append({"batch": batch_id, **obs.get})
+
+    teller = Entity("teller", TELLER_EVENT, lambda g: g, ["id"])
+    return out, run_messages([(teller, messages)], load, root, trigger=trigger)

@@ -45,7 +45,7 @@ def test_query_matches_oracle(spark, duck, name):
     _check(spark, duck, name)
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n[:3] in {"q06", "q09", "q11", "q12", "q14", "q16"}])
+@pytest.mark.parametrize("name", [n for n in NAMES if n[:3] in {"q06", "q09", "q11", "q12", "q14", "q16", "q27"}])
 def test_query_matches_oracle_with_hot_key_chunks(spark, duck, small_chunks, name):
     _check(spark, duck, name)
 
