@@ -267,6 +267,7 @@ def _link(percent: int):
         _, first = np.unique(node, return_index=True)
         blobs = table["blob"].take(pa.array(first)).to_pylist()
         a, b = links_of(node[first], [unsqueeze_sorted(x)[0] for x in blobs], table["part"].to_numpy()[first], percent)
+        a, b = forest(a, b)  # as stars: where a task holds whole blocks, no round is left
         return pa.table({"a": a, "b": b})
 
     return run

@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from dimweave.llm import components as stars
 from dimweave.llm import jaccard
 from dimweave.llm.components import components
 from helpers import DOCS, frame, shingles
@@ -87,5 +89,49 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def _rounds(spark, links, monkeypatch):
+    """Components by node, and how many stars were drawn."""
+    drawn, star = [], stars._star
+    with monkeypatch.context() as m:
+        m.setattr(stars, "_star", lambda rows, large: (drawn.append(large), star(rows, large))[1])
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    return got, len(drawn)
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    got, drawn = _rounds(spark, [(-3, 5), (9, -3), (5, -3), (7, 8), (4, 4)], monkeypatch)
+    assert (got, drawn) == ({-3: -3, 5: -3, 9: -3, 7: 7, 8: 7}, 0)
+    # one more round than needed would draw two more
+    got, drawn = _rounds(spark, [(1, 2), (2, 3), (11, 13), (12, 13)], monkeypatch)
+    assert (got, drawn) == ({1: 1, 2: 1, 3: 1, 11: 11, 12: 11, 13: 11}, 2)
+
+
+def test_components_of_random_links(spark, monkeypatch):
+    rnd = random.Random(2)
+    nodes = [rnd.randrange(-2**62, 2**62) for _ in range(300)]
+    links = [(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(160)] + [(nodes[0], n) for n in nodes[:40]]
+    links += list(zip(nodes[200:230], nodes[201:231]))
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert _rounds(spark, links, monkeypatch)[0] == {n: find(n) for n in linked}
+
+
+def test_links_of_a_task_are_stars():
+    rows = [[i, *range(100, 140)] for i in range(5)] + [[90, *range(200, 240)], [91, *range(200, 240)]]
+    nodes = [14, 11, 13, 12, 15, 22, 21]
+    table = pa.table({"node": nodes, "part": [0] * 7, "blob": [jaccard.squeeze_sorted(np.array(sorted(r), np.uint64)) for r in rows]})
+    got = jaccard._link(80)(table)
+    assert sorted(zip(got["a"].to_pylist(), got["b"].to_pylist())) == [(12, 11), (13, 11), (14, 11), (15, 11), (22, 21)]
+
+
 def test_empty_table(spark):
     assert jaccard.similar_documents(frame(spark, [])).count() == 0
